@@ -41,3 +41,39 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min("unit").alias("low"),
         F.max_by("unit", rank).alias("close"),
         F.sum("l_quantity").cast("long").alias("volume"))
+
+
+# ---------------------------------------------------------------- market grains
+
+AS_OF_HOURLY = "2001-01-01 00:00:00"
+
+
+def spot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spot snapshot per part: list price and total traded quantity."""
+    part = table(spark, sf_dir, "part")
+    vol = (table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("crypto_id"))
+           .agg(F.sum("l_quantity").alias("volume_24h")))
+    return (part.select(F.col("p_partkey").alias("crypto_id"), F.col("p_brand").alias("symbol"),
+                        F.col("p_retailprice").alias("spot_price_usd"))
+            .join(vol, "crypto_id", "left").fillna(0.0, subset=["volume_24h"]))
+
+
+def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fine grain: line unit prices shipped from 2001 on (pushed to the scan)."""
+    li = table(spark, sf_dir, "lineitem")
+    return (li.filter(F.col("l_shipdate") >= F.lit(AS_OF_HOURLY).cast("timestamp_ntz"))
+            .select(F.col("l_partkey").alias("crypto_id"), F.col("l_shipdate").alias("timestamp"),
+                    unit_price().alias("price_usd"), F.col("l_quantity").alias("volume")))
+
+
+def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coarse grain: every line's unit price."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(F.col("l_partkey").alias("crypto_id"), F.to_date("l_shipdate").alias("date"),
+                     unit_price().alias("price_usd"), F.col("l_quantity").alias("volume"))
+
+
+def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part")
+    return part.select(F.col("p_partkey").alias("crypto_id"), F.col("p_brand").alias("symbol"),
+                       F.col("p_name").alias("name"), F.col("p_size").cast("long").alias("market_cap_rank"))

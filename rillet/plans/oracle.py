@@ -88,3 +88,124 @@ def flow_indicators() -> str:
            "WHEN price_change_pct < -2 THEN 'strong_loss' ELSE 'loss' END AS day_type"])
     return with_ctes({"bars": BARS, "ind1": IND1, "ind2": IND2, "ind3": IND3, "ctx": CTX},
                      f"SELECT {cols} FROM ctx")
+
+
+# ---------------------------------------------------------------- market grains
+
+UNIT = "CASE WHEN l_quantity = 0 THEN NULL ELSE l_extendedprice / l_quantity END"
+
+MARKET = {
+    "spot": f"""
+SELECT p_partkey AS crypto_id, p_brand AS symbol, p_retailprice AS spot_price_usd,
+       coalesce(v.volume_24h, 0) AS volume_24h
+FROM part LEFT JOIN (SELECT l_partkey AS crypto_id, sum(l_quantity) AS volume_24h FROM lineitem GROUP BY 1) v
+  ON p_partkey = v.crypto_id""",
+    "hourly": f"""
+SELECT l_partkey AS crypto_id, l_shipdate AS "timestamp", {UNIT} AS price_usd, l_quantity AS volume
+FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-01-01 00:00:00'""",
+    "daily": f"""
+SELECT l_partkey AS crypto_id, CAST(l_shipdate AS DATE) AS date, {UNIT} AS price_usd, l_quantity AS volume
+FROM lineitem""",
+    "meta": """
+SELECT p_partkey AS crypto_id, p_brand AS symbol, p_name AS name, CAST(p_size AS BIGINT) AS market_cap_rank
+FROM part""",
+    "cv0": """
+SELECT s.crypto_id, s.symbol, s.spot_price_usd AS spot_price, s.spot_price_usd, s.volume_24h,
+       CASE WHEN h.n IS NULL THEN s.spot_price_usd ELSE h.avg_p END AS avg_24h_price,
+       CASE WHEN h.n IS NULL THEN 0.0::DOUBLE ELSE h.std_p END AS std_24h_price,
+       CASE WHEN h.n IS NULL THEN 0.0::DOUBLE ELSE h.avg_v END AS avg_24h_volume,
+       h.hi AS price_24h_high, h.lo AS price_24h_low,
+       CASE WHEN d.n IS NULL THEN s.spot_price_usd ELSE d.avg_p END AS avg_7d_price,
+       CASE WHEN d.n IS NULL THEN 0.0::DOUBLE ELSE d.avg_v END AS avg_7d_volume,
+       d.hi AS price_7d_high, d.lo AS price_7d_low
+FROM spot s
+LEFT JOIN (SELECT crypto_id, count(*) AS n, avg(price_usd) AS avg_p, stddev_samp(price_usd) AS std_p,
+                  avg(volume) AS avg_v, max(price_usd) AS hi, min(price_usd) AS lo
+           FROM hourly GROUP BY crypto_id) h USING (crypto_id)
+LEFT JOIN (SELECT crypto_id, count(*) AS n, avg(price_usd) AS avg_p, avg(volume) AS avg_v,
+                  max(price_usd) AS hi, min(price_usd) AS lo
+           FROM daily GROUP BY crypto_id) d USING (crypto_id)""",
+    "cv1": """
+SELECT *,
+  CASE WHEN avg_24h_price > 0 THEN (spot_price - avg_24h_price) / avg_24h_price * 100 ELSE 0.0::DOUBLE END
+    AS price_deviation_24h_pct,
+  CASE WHEN avg_7d_price > 0 THEN (spot_price - avg_7d_price) / avg_7d_price * 100 ELSE 0.0::DOUBLE END
+    AS price_deviation_7d_pct,
+  CASE WHEN avg_7d_volume > 0 THEN (volume_24h - avg_7d_volume) / avg_7d_volume * 100 ELSE 0.0::DOUBLE END
+    AS volume_deviation_pct,
+  CASE WHEN avg_24h_price > 0 THEN std_24h_price / avg_24h_price * 100 ELSE 0.0::DOUBLE END AS volatility_score
+FROM cv0""",
+    "cv": """
+SELECT *, trend_24h = trend_7d AS trend_consistent FROM (
+  SELECT *, CASE WHEN price_deviation_24h_pct > 0 THEN 'up' ELSE 'down' END AS trend_24h,
+            CASE WHEN price_deviation_7d_pct > 0 THEN 'up' ELSE 'down' END AS trend_7d
+  FROM cv1) t""",
+    "conf": """
+SELECT *,
+  CASE WHEN confidence_score >= 80 THEN 'high' WHEN confidence_score >= 60 THEN 'medium'
+       WHEN confidence_score >= 40 THEN 'low' ELSE 'very_low' END AS data_quality,
+  CASE WHEN confidence_score >= 90 THEN 'A' WHEN confidence_score >= 75 THEN 'B'
+       WHEN confidence_score >= 60 THEN 'C' WHEN confidence_score >= 50 THEN 'D' ELSE 'F' END AS reliability_rating
+FROM (SELECT *, greatest(0.0::DOUBLE, least(100.0::DOUBLE, 100.0::DOUBLE
+    - CASE WHEN abs(price_deviation_24h_pct) > 10 THEN 20 WHEN abs(price_deviation_24h_pct) > 5 THEN 10 ELSE 0 END
+    - CASE WHEN abs(price_deviation_7d_pct) > 15 THEN 15 WHEN abs(price_deviation_7d_pct) > 10 THEN 10 ELSE 0 END
+    - CASE WHEN volatility_score > 5 THEN 15 WHEN volatility_score > 3 THEN 10 ELSE 0 END
+    - CASE WHEN trend_consistent THEN 0 ELSE 15 END
+    - CASE WHEN abs(volume_deviation_pct) > 50 THEN 10 ELSE 0 END)) AS confidence_score
+  FROM cv) t""",
+    "anom0": """
+SELECT *,
+  CASE WHEN price_deviation_24h_pct < -10 THEN 'high' WHEN price_deviation_24h_pct < -5 THEN 'medium'
+       ELSE 'low' END AS flash_crash_risk,
+  CASE WHEN price_deviation_24h_pct > 15 THEN 'high' WHEN price_deviation_24h_pct > 10 THEN 'medium'
+       ELSE 'low' END AS pump_risk,
+  coalesce(abs(volume_deviation_pct) > 100, false) AS volume_manipulation_flag,
+  CAST(least(100,
+      CASE WHEN abs(price_deviation_24h_pct) > 10 THEN 30 ELSE 0 END
+    + CASE WHEN abs(volume_deviation_pct) > 50 THEN 25 ELSE 0 END
+    + CASE WHEN volatility_score > 5 THEN 20 ELSE 0 END
+    + CASE WHEN trend_consistent THEN 0 ELSE 15 END
+    + CASE WHEN confidence_score < 50 THEN 10 ELSE 0 END) AS DOUBLE) AS manipulation_score
+FROM conf""",
+    "anom": """
+SELECT *,
+  CASE WHEN manipulation_score >= 75 THEN 'critical' WHEN manipulation_score >= 50 THEN 'high'
+       WHEN manipulation_score >= 25 THEN 'medium' ELSE 'low' END AS risk_level,
+  coalesce(manipulation_score >= 50, false) AS requires_investigation,
+  CASE WHEN trend_consistent AND trend_24h = 'up' THEN 'bullish'
+       WHEN trend_consistent AND trend_24h = 'down' THEN 'bearish' ELSE 'neutral' END AS market_sentiment
+FROM anom0""",
+}
+
+
+def range_pos(x: str, lo: str, hi: str) -> str:
+    return (f"coalesce(CASE WHEN {hi} = {lo} THEN (CASE WHEN {x} > {lo} THEN 'Infinity'::DOUBLE "
+            f"WHEN {x} < {lo} THEN '-Infinity'::DOUBLE END) ELSE ({x} - {lo}) / ({hi} - {lo}) * 100 END, 50.0::DOUBLE)")
+
+
+MARKET_ROUNDED = ["spot_price", "avg_24h_price", "avg_7d_price", "price_deviation_24h_pct",
+                  "price_deviation_7d_pct", "volume_deviation_pct", "volatility_score", "confidence_score",
+                  "manipulation_score", "price_24h_high", "price_24h_low", "price_7d_high", "price_7d_low",
+                  "position_in_24h_range_pct", "position_in_7d_range_pct"]
+
+MARKET_FINAL_COLS = [
+    "crypto_id", "symbol", "spot_price", "spot_price_usd", "volume_24h", "avg_24h_price", "avg_24h_volume",
+    "price_24h_high", "price_24h_low", "avg_7d_price", "avg_7d_volume", "price_7d_high", "price_7d_low",
+    "price_deviation_24h_pct", "price_deviation_7d_pct", "volume_deviation_pct", "volatility_score",
+    "trend_24h", "trend_7d", "trend_consistent", "confidence_score", "data_quality", "reliability_rating",
+    "flash_crash_risk", "pump_risk", "volume_manipulation_flag", "manipulation_score", "risk_level",
+    "requires_investigation", "market_sentiment", "name", "market_cap_rank",
+    "position_in_24h_range_pct", "position_in_7d_range_pct"]
+
+
+def market_final_select(cols=None) -> str:
+    cols = cols or MARKET_FINAL_COLS
+    return ", ".join(f"{r(c)} AS {c}" if c in MARKET_ROUNDED else c for c in cols)
+
+
+def flow_cross_validation(cols=None) -> str:
+    final = (f"SELECT a.*, m.name, m.market_cap_rank, "
+             f"{range_pos('spot_price', 'price_24h_low', 'price_24h_high')} AS position_in_24h_range_pct, "
+             f"{range_pos('spot_price', 'price_7d_low', 'price_7d_high')} AS position_in_7d_range_pct "
+             f"FROM anom a LEFT JOIN meta m USING (crypto_id, symbol)")
+    return with_ctes({**MARKET, "final": final}, f"SELECT {market_final_select(cols)} FROM final")

@@ -14,3 +14,49 @@ from rillet.plans.indicators import flow_indicators
 @register("flow_indicators", sql.flow_indicators)
 def q_flow_indicators(spark: SparkSession, sf: str) -> DataFrame:
     return flow_indicators(fx.bars(spark, sf))
+
+
+# ---------------------------------------------------------------- market flow
+from rillet.plans import cross_validation as cvf  # noqa: E402
+
+
+def _market(spark, sf):
+    return cvf.flow_cross_validation(fx.spot(spark, sf), fx.hourly(spark, sf), fx.daily(spark, sf),
+                                     fx.metadata(spark, sf))
+
+
+@register("flow_cross_validation", sql.flow_cross_validation)
+def q_flow_cross_validation(spark, sf):
+    return _market(spark, sf).select(*sql.MARKET_FINAL_COLS)
+
+
+def _market_view(name, cols):
+    @register(name, lambda: sql.flow_cross_validation(cols))
+    def q(spark, sf):
+        return _market(spark, sf).select(*cols)
+    q.__name__ = f"q_{name}"
+    return q
+
+
+# Each view is one operator of the flow, checked on its own columns.
+_market_view("confidence_score", ["crypto_id", "price_deviation_24h_pct", "price_deviation_7d_pct",
+                                  "volatility_score", "trend_consistent", "volume_deviation_pct",
+                                  "confidence_score"])
+_market_view("quality_rating", ["crypto_id", "confidence_score", "data_quality", "reliability_rating"])
+_market_view("crash_pump_risk", ["crypto_id", "price_deviation_24h_pct", "flash_crash_risk", "pump_risk"])
+_market_view("manipulation_score", ["crypto_id", "manipulation_score", "volume_manipulation_flag",
+                                    "risk_level", "requires_investigation"])
+_market_view("sentiment", ["crypto_id", "trend_24h", "trend_7d", "trend_consistent", "market_sentiment"])
+_market_view("range_position", ["crypto_id", "spot_price", "price_24h_low", "price_24h_high",
+                                "price_7d_low", "price_7d_high", "position_in_24h_range_pct",
+                                "position_in_7d_range_pct"])
+_market_view("cross_validate", ["crypto_id", "symbol", "spot_price", "avg_24h_price", "avg_7d_price",
+                                "price_deviation_24h_pct", "price_deviation_7d_pct", "volume_deviation_pct",
+                                "volatility_score", "trend_24h", "trend_7d", "trend_consistent",
+                                "avg_24h_volume", "avg_7d_volume"])
+_market_view("left_join_composite", ["crypto_id", "symbol", "name", "market_cap_rank", "risk_level"])
+_market_view("deviation_pct", ["crypto_id", "spot_price", "avg_24h_price", "price_deviation_24h_pct"])
+_market_view("coef_variation", ["crypto_id", "avg_24h_price", "volatility_score"])
+_market_view("lookup_default", ["crypto_id", "spot_price", "avg_24h_price", "avg_24h_volume",
+                                "avg_7d_price", "avg_7d_volume"])
+_market_view("range_enrich", ["crypto_id", "price_24h_high", "price_24h_low", "price_7d_high", "price_7d_low"])
