@@ -76,8 +76,13 @@ CROSS JOIN (SELECT quantile_cont(volatility_7d, 0.75) AS q75 FROM ind3) q
 """
 
 
-def flow_indicators() -> str:
-    cols = ", ".join(
+IND_COLS = ["timestamp", "date", "symbol", "open", "high", "low", "close", "volume", "daily_return",
+            "ma_7", "ma_20", "volatility_7d", "rsi", "momentum", "volume_category", "trend", "rsi_signal",
+            "volatility_level", "price_change", "price_change_pct", "day_type"]
+
+
+def flow_indicators(cols=None) -> str:
+    allc = ", ".join(
         [f'"timestamp"', "date", "symbol"]
         + [f"{r(c)} AS {c}" for c in ["open", "high", "low", "close"]]
         + ["volume"]
@@ -86,8 +91,9 @@ def flow_indicators() -> str:
         + [f"{r(c)} AS {c}" for c in ["price_change", "price_change_pct"]]
         + ["CASE WHEN price_change_pct > 2 THEN 'strong_gain' WHEN price_change_pct > 0 THEN 'gain' "
            "WHEN price_change_pct < -2 THEN 'strong_loss' ELSE 'loss' END AS day_type"])
-    return with_ctes({"bars": BARS, "ind1": IND1, "ind2": IND2, "ind3": IND3, "ctx": CTX},
-                     f"SELECT {cols} FROM ctx")
+    pick = ", ".join(f'"{c}"' for c in (cols or IND_COLS))
+    return with_ctes({"bars": BARS, "ind1": IND1, "ind2": IND2, "ind3": IND3, "ctx": CTX,
+                      "flow": f"SELECT {allc} FROM ctx"}, f"SELECT {pick} FROM flow")
 
 
 # ---------------------------------------------------------------- market grains
@@ -209,3 +215,13 @@ def flow_cross_validation(cols=None) -> str:
              f"{range_pos('spot_price', 'price_7d_low', 'price_7d_high')} AS position_in_7d_range_pct "
              f"FROM anom a LEFT JOIN meta m USING (crypto_id, symbol)")
     return with_ctes({**MARKET, "final": final}, f"SELECT {market_final_select(cols)} FROM final")
+
+
+def tail_per_key(n: int = 66) -> str:
+    return with_ctes({"bars": BARS}, f"""SELECT symbol, "timestamp", close FROM bars
+QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY "timestamp" DESC) <= {n}""")
+
+
+def head_per_key(n: int = 24) -> str:
+    return with_ctes({"hourly": MARKET["hourly"]}, f"""SELECT crypto_id, "timestamp", price_usd, volume FROM hourly
+QUALIFY row_number() OVER (PARTITION BY crypto_id ORDER BY "timestamp", price_usd, volume) <= {n}""")

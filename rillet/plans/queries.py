@@ -60,3 +60,49 @@ _market_view("coef_variation", ["crypto_id", "avg_24h_price", "volatility_score"
 _market_view("lookup_default", ["crypto_id", "spot_price", "avg_24h_price", "avg_24h_volume",
                                 "avg_7d_price", "avg_7d_volume"])
 _market_view("range_enrich", ["crypto_id", "price_24h_high", "price_24h_low", "price_7d_high", "price_7d_low"])
+
+
+# ---------------------------------------------------------------- indicator views
+from rillet.operators import ranking  # noqa: E402
+
+
+def _ind_view(name, cols):
+    @register(name, lambda: sql.flow_indicators(cols))
+    def q(spark, sf):
+        return flow_indicators(fx.bars(spark, sf)).select(*cols)
+    q.__name__ = f"q_{name}"
+    return q
+
+
+_ind_view("daily_return", ["symbol", "timestamp", "close", "daily_return"])
+_ind_view("moving_average", ["symbol", "timestamp", "close", "ma_7", "ma_20"])
+_ind_view("rolling_volatility", ["symbol", "timestamp", "daily_return", "volatility_7d"])
+_ind_view("rsi", ["symbol", "timestamp", "close", "rsi"])
+_ind_view("momentum", ["symbol", "timestamp", "close", "ma_7", "momentum"])
+_ind_view("volume_category", ["symbol", "timestamp", "volume", "volume_category"])
+_ind_view("trend", ["symbol", "timestamp", "close", "ma_7", "ma_20", "trend"])
+_ind_view("rsi_signal", ["symbol", "timestamp", "rsi", "rsi_signal"])
+_ind_view("volatility_level", ["symbol", "timestamp", "volatility_7d", "volatility_level"])
+_ind_view("day_type", ["symbol", "timestamp", "price_change_pct", "day_type"])
+_ind_view("pct_change_row", ["symbol", "timestamp", "open", "close", "price_change", "price_change_pct"])
+_ind_view("round_cols", ["symbol", "timestamp", "open", "high", "low", "close"])
+_ind_view("select_reorder", ["timestamp", "date", "symbol", "open", "high", "low", "close", "volume"])
+
+
+@register("tail_per_key", sql.tail_per_key)
+def q_tail_per_key(spark, sf):
+    b = fx.bars(spark, sf)
+    return ranking.last_n_per_key(b, ["symbol"], [F.col("timestamp")], 66).select("symbol", "timestamp", "close")
+
+
+@register("head_per_key", sql.head_per_key)
+def q_head_per_key(spark, sf):
+    h = fx.hourly(spark, sf)
+    return ranking.first_n_per_key(h, ["crypto_id"], ["timestamp", "price_usd", "volume"], 24).select(
+        "crypto_id", "timestamp", "price_usd", "volume")
+
+
+@register("sort_multi", lambda: sql.with_ctes({"bars": sql.BARS},
+          'SELECT symbol, "timestamp", close FROM bars ORDER BY symbol, "timestamp"'))
+def q_sort_multi(spark, sf):
+    return fx.bars(spark, sf).select("symbol", "timestamp", "close").orderBy("symbol", "timestamp")
