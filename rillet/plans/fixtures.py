@@ -77,3 +77,37 @@ def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     return part.select(F.col("p_partkey").alias("crypto_id"), F.col("p_brand").alias("symbol"),
                        F.col("p_name").alias("name"), F.col("p_size").cast("long").alias("market_cap_rank"))
+
+
+# ---------------------------------------------------------------- network packets
+
+# Ports that stand in for source ports (picked by part key), and
+# protocol labels picked by line number.
+SOURCE_PORTS = [23, 80, 443, 135, 8080, 139, 22, 445, 1433, 3389, 5900, 53]
+PROTOCOL_LABELS = ["TCP", "6", "UDP", "17", "ICMP", "1", "HTTP"]
+
+
+def packets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One packet record per line item (sizes, ports, flags, spectral features,
+    a label and one-hot protocol columns)."""
+    li = table(spark, sf_dir, "lineitem")
+    ports = F.array(*[F.lit(p) for p in SOURCE_PORTS])
+    protos = F.array(*[F.lit(p) for p in PROTOCOL_LABELS])
+    ip = F.concat_ws(".", F.pmod("l_orderkey", F.lit(256)), F.pmod("l_partkey", F.lit(256)),
+                     F.pmod("l_suppkey", F.lit(256)), F.col("l_linenumber"))
+    return li.select(
+        F.col("l_orderkey").alias("flow_id"),
+        (F.col("l_quantity") * 40).alias("packet_size"),
+        F.element_at(ports, (F.pmod("l_partkey", F.lit(len(SOURCE_PORTS))) + 1).cast("int")).alias("src_port"),
+        (F.col("l_suppkey") + 1000).cast("int").alias("dst_port"),
+        F.col("l_extendedprice").alias("packet_count_5s"),
+        (F.col("l_tax") + F.col("l_discount")).alias("spectral_entropy"),
+        (F.col("l_extendedprice") * F.col("l_discount")).alias("frequency_band_energy"),
+        (F.col("l_returnflag") == "R").cast("int").alias("label"),
+        (F.col("l_linestatus") == "O").cast("int").alias("protocol_type_tcp"),
+        (F.col("l_returnflag") == "A").cast("int").alias("protocol_type_udp"),
+        (F.col("l_returnflag") == "N").cast("int").alias("protocol_type_icmp"),
+        (F.pmod("l_linenumber", F.lit(2)) == 1).cast("int").alias("tcp_flags_SYN"),
+        (F.pmod("l_linenumber", F.lit(3)) == 0).cast("int").alias("tcp_flags_SYN-ACK"),
+        F.when(F.col("l_linenumber") == 7, F.concat(ip, F.lit(".x"))).otherwise(ip).alias("src_ip"),
+        F.element_at(protos, F.col("l_linenumber")).alias("protocol"))

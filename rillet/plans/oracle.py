@@ -225,3 +225,70 @@ QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY "timestamp" DESC) <= {n}
 def head_per_key(n: int = 24) -> str:
     return with_ctes({"hourly": MARKET["hourly"]}, f"""SELECT crypto_id, "timestamp", price_usd, volume FROM hourly
 QUALIFY row_number() OVER (PARTITION BY crypto_id ORDER BY "timestamp", price_usd, volume) <= {n}""")
+
+
+# ---------------------------------------------------------------- network packets
+
+PACKETS = """
+SELECT l_orderkey AS flow_id, l_quantity * 40 AS packet_size,
+       CAST(([23, 80, 443, 135, 8080, 139, 22, 445, 1433, 3389, 5900, 53])[(l_partkey % 12) + 1] AS INTEGER) AS src_port,
+       CAST(l_suppkey + 1000 AS INTEGER) AS dst_port,
+       l_extendedprice AS packet_count_5s, l_tax + l_discount AS spectral_entropy,
+       l_extendedprice * l_discount AS frequency_band_energy,
+       CAST(l_returnflag = 'R' AS INTEGER) AS label,
+       CAST(l_linestatus = 'O' AS INTEGER) AS protocol_type_tcp,
+       CAST(l_returnflag = 'A' AS INTEGER) AS protocol_type_udp,
+       CAST(l_returnflag = 'N' AS INTEGER) AS protocol_type_icmp,
+       CAST(l_linenumber % 2 = 1 AS INTEGER) AS tcp_flags_SYN,
+       CAST(l_linenumber % 3 = 0 AS INTEGER) AS "tcp_flags_SYN-ACK",
+       CASE WHEN l_linenumber = 7 THEN ip || '.x' ELSE ip END AS src_ip,
+       (['TCP', '6', 'UDP', '17', 'ICMP', '1', 'HTTP'])[l_linenumber] AS protocol
+FROM (SELECT *, concat_ws('.', l_orderkey % 256, l_partkey % 256, l_suppkey % 256, l_linenumber) AS ip
+      FROM lineitem) li
+"""
+
+THREAT = {
+    "packets": PACKETS,
+    "q": """
+SELECT quantile_cont(packet_count_5s, 0.85) AS q85c, quantile_cont(spectral_entropy, 0.25) AS q25e,
+       quantile_cont(spectral_entropy, 0.15) AS q15e, quantile_cont(frequency_band_energy, 0.85) AS q85f
+FROM packets""",
+    "t1": """
+SELECT p.*,
+  CASE WHEN protocol_type_icmp = 1 THEN 'icmp' WHEN protocol_type_udp = 1 THEN 'udp'
+       WHEN protocol_type_tcp = 1 THEN 'tcp' ELSE 'unknown' END AS primary_protocol,
+  CASE WHEN packet_size > 0 AND packet_size <= 100 THEN 'tiny' WHEN packet_size > 100 AND packet_size <= 500 THEN 'small'
+       WHEN packet_size > 500 AND packet_size <= 1500 THEN 'medium' WHEN packet_size > 1500 THEN 'large' END
+    AS packet_category,
+  coalesce(src_port IN (23, 135, 139, 445, 1433, 3389, 5900) OR dst_port IN (23, 135, 139, 445, 1433, 3389, 5900),
+           false) AS uses_suspicious_port,
+  coalesce(packet_count_5s > q.q85c, false) AS high_volume_traffic,
+  coalesce(tcp_flags_SYN = 1 AND "tcp_flags_SYN-ACK" = 0, false) AS potential_syn_flood,
+  coalesce(spectral_entropy < q.q25e, false) AS low_entropy_traffic,
+  CASE WHEN label = 1 THEN 'malicious' ELSE 'benign' END AS labeled_threat,
+  coalesce(spectral_entropy < q.q15e, false) AND coalesce(frequency_band_energy > q.q85f, false) AS spectral_attack
+FROM packets p CROSS JOIN q""",
+    "t2": """
+SELECT *, CAST(0 + CASE WHEN labeled_threat = 'malicious' THEN 50 ELSE 0 END
+  + CASE WHEN uses_suspicious_port THEN 20 ELSE 0 END + CASE WHEN high_volume_traffic THEN 15 ELSE 0 END
+  + CASE WHEN low_entropy_traffic THEN 10 ELSE 0 END + CASE WHEN potential_syn_flood THEN 15 ELSE 0 END
+  + CASE WHEN spectral_attack THEN 10 ELSE 0 END + CASE WHEN packet_size < 50 THEN 8 ELSE 0 END
+  + CASE WHEN packet_size > 1400 THEN 6 ELSE 0 END AS DOUBLE) AS risk_score
+FROM t1""",
+    "t3": """
+SELECT *,
+  CASE WHEN risk_score > -1 AND risk_score <= 10 THEN 'low' WHEN risk_score > 10 AND risk_score <= 30 THEN 'medium'
+       WHEN risk_score > 30 AND risk_score <= 60 THEN 'high' WHEN risk_score > 60 THEN 'critical' END AS threat_level,
+  CASE WHEN max(risk_score) OVER () > 0
+       THEN round_even(risk_score / max(risk_score) OVER () * 100 * 100, 0) / 100 ELSE 0.0::DOUBLE END
+    AS anomaly_confidence
+FROM t2""",
+    "threat": """
+SELECT * EXCLUDE (spectral_attack), coalesce(threat_level IN ('high', 'critical'), false) AS requires_investigation
+FROM t3""",
+}
+
+
+def threat(cols: list[str] | None = None) -> str:
+    pick = ", ".join(f'"{c}"' for c in cols) if cols else "*"
+    return with_ctes(THREAT, f"SELECT {pick} FROM threat")

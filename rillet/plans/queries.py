@@ -106,3 +106,62 @@ def q_head_per_key(spark, sf):
           'SELECT symbol, "timestamp", close FROM bars ORDER BY symbol, "timestamp"'))
 def q_sort_multi(spark, sf):
     return fx.bars(spark, sf).select("symbol", "timestamp", "close").orderBy("symbol", "timestamp")
+
+
+# ---------------------------------------------------------------- network threat
+from rillet.functions import columns as fc  # noqa: E402
+from rillet.plans import threat as thr  # noqa: E402
+
+
+@register("flow_threat", sql.threat)
+def q_flow_threat(spark, sf):
+    return thr.flow_threat(fx.packets(spark, sf))
+
+
+def _threat_view(name, cols):
+    @register(name, lambda: sql.threat(cols))
+    def q(spark, sf):
+        return thr.flow_threat(fx.packets(spark, sf)).select(*[f"`{c}`" for c in cols])
+    q.__name__ = f"q_{name}"
+    return q
+
+
+_threat_view("packet_category", ["flow_id", "packet_size", "packet_category"])
+_threat_view("threat_level", ["flow_id", "risk_score", "threat_level", "requires_investigation"])
+_threat_view("onehot_decode", ["flow_id", "protocol_type_tcp", "protocol_type_udp", "protocol_type_icmp",
+                               "primary_protocol"])
+_threat_view("risk_score", ["flow_id", "labeled_threat", "uses_suspicious_port", "high_volume_traffic",
+                            "low_entropy_traffic", "potential_syn_flood", "packet_size", "risk_score"])
+_threat_view("max_normalize", ["flow_id", "risk_score", "anomaly_confidence"])
+_threat_view("isin_flag", ["flow_id", "src_port", "dst_port", "uses_suspicious_port"])
+_threat_view("quantile_flag", ["flow_id", "packet_count_5s", "high_volume_traffic", "spectral_entropy",
+                               "low_entropy_traffic"])
+_threat_view("pattern_flag", ["flow_id", "tcp_flags_SYN", "tcp_flags_SYN-ACK", "potential_syn_flood"])
+
+
+@register("quantiles", lambda: sql.with_ctes({"packets": sql.PACKETS}, """
+SELECT quantile_cont(packet_count_5s, 0.15) AS q15, quantile_cont(packet_count_5s, 0.25) AS q25,
+       quantile_cont(packet_count_5s, 0.75) AS q75, quantile_cont(packet_count_5s, 0.85) AS q85 FROM packets"""))
+def q_quantiles(spark, sf):
+    from rillet.operators.stats import exact_quantiles
+    out = exact_quantiles(fx.packets(spark, sf), "packet_count_5s", [0.15, 0.25, 0.75, 0.85],
+                          ["q15", "q25", "q75", "q85"])
+    return out.select(*[fc.round_half_even(c, 6).alias(c) for c in out.columns])
+
+
+@register("protocol_class", lambda: sql.with_ctes({"packets": sql.PACKETS}, """
+SELECT flow_id, protocol, CASE WHEN upper(protocol) IN ('TCP', '6') THEN 'tcp' WHEN upper(protocol) IN ('UDP', '17') THEN 'udp'
+  WHEN upper(protocol) IN ('ICMP', '1') THEN 'icmp' WHEN upper(protocol) IN ('HTTP', 'HTTPS') THEN 'http'
+  ELSE 'other' END AS protocol_family FROM packets"""))
+def q_protocol_class(spark, sf):
+    return fx.packets(spark, sf).select("flow_id", "protocol", fc.protocol_family("protocol").alias("protocol_family"))
+
+
+@register("ip_private", lambda: sql.with_ctes({"packets": sql.PACKETS}, """
+SELECT flow_id, src_ip, coalesce(len(parts) = 4 AND a IS NOT NULL AND b IS NOT NULL
+  AND (a = 10 OR (a = 172 AND b BETWEEN 16 AND 31) OR (a = 192 AND b = 168)), false) AS is_private
+FROM (SELECT flow_id, src_ip, string_split(src_ip, '.') AS parts,
+             TRY_CAST(string_split(src_ip, '.')[1] AS INTEGER) AS a,
+             TRY_CAST(string_split(src_ip, '.')[2] AS INTEGER) AS b FROM packets) t"""))
+def q_ip_private(spark, sf):
+    return fx.packets(spark, sf).select("flow_id", "src_ip", fc.is_private_ipv4("src_ip").alias("is_private"))
