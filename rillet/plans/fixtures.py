@@ -111,3 +111,49 @@ def packets(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.pmod("l_linenumber", F.lit(3)) == 0).cast("int").alias("tcp_flags_SYN-ACK"),
         F.when(F.col("l_linenumber") == 7, F.concat(ip, F.lit(".x"))).otherwise(ip).alias("src_ip"),
         F.element_at(protos, F.col("l_linenumber")).alias("protocol"))
+
+
+# ---------------------------------------------------------------- launches
+
+LAUNCH_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+AS_OF = "2025-01-01 00:00:00"
+
+
+def launches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One launch per order: tri-state success from the status, array sizes as
+    line counts (pre-aggregated per order before the join), a UTC date text."""
+    orders = table(spark, sf_dir, "orders")
+    lines = (table(spark, sf_dir, "lineitem").groupBy("l_orderkey")
+             .agg(F.count(F.lit(1)).alias("payloads"),
+                  F.count_if(F.col("l_returnflag") == "R").alias("crew"),
+                  F.count_distinct("l_suppkey").alias("cores_used")))
+    o = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
+    return o.select(
+        F.col("o_orderkey").alias("flight_number"),
+        F.concat(F.lit("mission-"), F.col("o_orderkey")).alias("name"),
+        F.date_format("o_orderdate", LAUNCH_TS_FORMAT).alias("date_utc"),
+        F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("date_unix"),
+        F.when(F.col("o_orderstatus") == "F", True).when(F.col("o_orderstatus") == "O", False)
+         .alias("success"),
+        F.when(~F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.col("o_orderpriority")).alias("details"),
+        F.col("o_custkey").alias("rocket_id"),
+        F.pmod("o_orderkey", F.lit(30)).cast("int").alias("launchpad_id"),
+        F.coalesce("crew", F.lit(0)).alias("crew"),
+        F.coalesce("payloads", F.lit(0)).alias("payloads"),
+        F.coalesce("cores_used", F.lit(0)).alias("cores_used"))
+
+
+def rockets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer")
+    return c.select(
+        F.col("c_custkey").alias("rocket_id"), F.col("c_name").alias("rocket_name"),
+        F.col("c_mktsegment").alias("rocket_type"),
+        F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("cost_per_launch"),
+        F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_nationkey") * 4.0).alias("success_rate"))
+
+
+def pads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    return n.join(r, n.n_regionkey == r.r_regionkey, "left").select(
+        F.col("n_nationkey").alias("launchpad_id"), F.col("n_name").alias("launchpad_name"),
+        F.col("r_name").alias("region"))

@@ -292,3 +292,77 @@ FROM t3""",
 def threat(cols: list[str] | None = None) -> str:
     pick = ", ".join(f'"{c}"' for c in cols) if cols else "*"
     return with_ctes(THREAT, f"SELECT {pick} FROM threat")
+
+
+# ---------------------------------------------------------------- launches
+
+LAUNCH = {
+    "launches": """
+SELECT o_orderkey AS flight_number, 'mission-' || CAST(o_orderkey AS VARCHAR) AS name,
+       strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%gZ') AS date_utc,
+       CAST(epoch(o_orderdate) AS BIGINT) AS date_unix,
+       CASE o_orderstatus WHEN 'F' THEN true WHEN 'O' THEN false END AS success,
+       CASE WHEN o_orderpriority NOT IN ('1-URGENT', '2-HIGH') THEN o_orderpriority END AS details,
+       o_custkey AS rocket_id, CAST(o_orderkey % 30 AS INTEGER) AS launchpad_id,
+       coalesce(l.crew, 0) AS crew, coalesce(l.payloads, 0) AS payloads, coalesce(l.cores_used, 0) AS cores_used
+FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS payloads, count_if(l_returnflag = 'R') AS crew,
+                              count(DISTINCT l_suppkey) AS cores_used FROM lineitem GROUP BY l_orderkey) l
+  ON o_orderkey = l.l_orderkey""",
+    "rockets": """
+SELECT c_custkey AS rocket_id, c_name AS rocket_name, c_mktsegment AS rocket_type,
+       CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS cost_per_launch,
+       CASE WHEN c_mktsegment <> 'BUILDING' THEN c_nationkey * 4.0::DOUBLE END AS success_rate
+FROM customer""",
+    "pads": """
+SELECT n_nationkey AS launchpad_id, n_name AS launchpad_name, r_name AS region
+FROM nation LEFT JOIN region ON n_regionkey = r_regionkey""",
+    "enriched": """
+SELECT l.*, r.rocket_name, r.rocket_type, r.cost_per_launch, r.success_rate, p.launchpad_name, p.region,
+       strptime(date_utc, '%Y-%m-%dT%H:%M:%S.%gZ') AS launch_date,
+       CASE WHEN payloads > 0 AND r.cost_per_launch IS NOT NULL THEN r.cost_per_launch / payloads END
+         AS cost_per_payload
+FROM launches l LEFT JOIN rockets r USING (rocket_id) LEFT JOIN pads p USING (launchpad_id)""",
+    "scored": """
+SELECT *, CAST(year(launch_date) AS INTEGER) AS launch_year, CAST(month(launch_date) AS INTEGER) AS launch_month,
+       dayname(launch_date) AS launch_day_of_week,
+       (CAST(success IS NOT NULL AS INTEGER) + CAST(rocket_name IS NOT NULL AS INTEGER)
+        + CAST(launchpad_name IS NOT NULL AS INTEGER) + CAST(cost_per_launch IS NOT NULL AS INTEGER)
+        + CAST(details IS NOT NULL AS INTEGER)) / 5.0::DOUBLE AS completeness_score
+FROM enriched""",
+    "branched": """
+SELECT *,
+  CASE WHEN completeness_score >= 0.8 THEN coalesce(success_rate / 100.0 * completeness_score, completeness_score)
+       ELSE completeness_score END AS reliability_score,
+  CASE WHEN completeness_score >= 0.8 THEN
+       (CASE WHEN crew > 0 OR payloads > 3 THEN 'High' WHEN payloads > 1 THEN 'Medium' ELSE 'Low' END)
+       ELSE 'Unknown' END AS mission_complexity,
+  CASE WHEN completeness_score >= 0.8 THEN 'complete_analytics' ELSE 'basic_metrics' END AS processing_tier,
+  CASE WHEN success THEN 'Success' WHEN NOT success THEN 'Failure' ELSE 'Unknown' END AS mission_outcome,
+  CAST(floor((epoch_us(TIMESTAMP '2025-01-01 00:00:00') - epoch_us(launch_date)) / 86400000000) AS BIGINT)
+    AS days_since_launch
+FROM scored""",
+    "final": """
+SELECT *,
+  CASE WHEN rocket_name IS NOT NULL THEN avg(CAST(success AS INTEGER)) OVER (PARTITION BY rocket_name) END
+    AS avg_success_rate_by_rocket,
+  CASE WHEN rocket_name IS NOT NULL THEN count(rocket_name) OVER (PARTITION BY rocket_name) END
+    AS launches_by_rocket,
+  CASE WHEN launchpad_name IS NOT NULL THEN avg(CAST(success AS INTEGER)) OVER (PARTITION BY launchpad_name) END
+    AS avg_success_rate_by_pad
+FROM branched""",
+}
+
+LAUNCH_OUT = ["flight_number", "name", "date_utc", "launch_year", "launch_month", "launch_day_of_week",
+              "success", "details", "rocket_id", "rocket_name", "launchpad_id", "launchpad_name", "region",
+              "crew", "payloads", "cores_used", "cost_per_launch", "success_rate", "cost_per_payload",
+              "completeness_score", "mission_outcome", "reliability_score", "mission_complexity",
+              "days_since_launch", "processing_tier", "avg_success_rate_by_rocket", "launches_by_rocket",
+              "avg_success_rate_by_pad"]
+LAUNCH_ROUND4 = ["cost_per_payload", "reliability_score", "avg_success_rate_by_rocket",
+                 "avg_success_rate_by_pad", "completeness_score"]
+
+
+def launches(cols=None) -> str:
+    cols = cols or LAUNCH_OUT
+    pick = ", ".join(f"{r(c, 4)} AS {c}" if c in LAUNCH_ROUND4 else c for c in cols)
+    return with_ctes(LAUNCH, f"SELECT {pick} FROM final")

@@ -165,3 +165,108 @@ FROM (SELECT flow_id, src_ip, string_split(src_ip, '.') AS parts,
              TRY_CAST(string_split(src_ip, '.')[2] AS INTEGER) AS b FROM packets) t"""))
 def q_ip_private(spark, sf):
     return fx.packets(spark, sf).select("flow_id", "src_ip", fc.is_private_ipv4("src_ip").alias("is_private"))
+
+
+# ---------------------------------------------------------------- launches
+from rillet.operators import combine as cmb  # noqa: E402
+from rillet.plans import launches as lf  # noqa: E402
+
+
+def _launch_flow(spark, sf):
+    out = lf.flow_quality_branch(fx.launches(spark, sf), fx.rockets(spark, sf), fx.pads(spark, sf))
+    return fc.with_rounded(out, sql.LAUNCH_ROUND4, 4)
+
+
+@register("flow_quality_branch", sql.launches)
+def q_flow_quality_branch(spark, sf):
+    return _launch_flow(spark, sf)
+
+
+def _launch_view(name, cols):
+    @register(name, lambda: sql.launches(cols))
+    def q(spark, sf):
+        return _launch_flow(spark, sf).select(*cols)
+    q.__name__ = f"q_{name}"
+    return q
+
+
+_launch_view("left_join_dims", ["flight_number", "rocket_id", "rocket_name", "cost_per_launch",
+                                "launchpad_id", "launchpad_name", "region"])
+_launch_view("tri_state", ["flight_number", "success", "mission_outcome"])
+_launch_view("complexity", ["flight_number", "crew", "payloads", "completeness_score", "mission_complexity"])
+_launch_view("reliability", ["flight_number", "success_rate", "completeness_score", "reliability_score"])
+_launch_view("completeness", ["flight_number", "completeness_score", "processing_tier"])
+_launch_view("group_transform", ["flight_number", "rocket_name", "launchpad_name", "avg_success_rate_by_rocket",
+                                 "launches_by_rocket", "avg_success_rate_by_pad"])
+_launch_view("safe_div", ["flight_number", "cost_per_launch", "payloads", "cost_per_payload"])
+_launch_view("date_parts", ["flight_number", "date_utc", "launch_year", "launch_month", "launch_day_of_week"])
+_launch_view("days_since", ["flight_number", "date_utc", "days_since_launch"])
+_launch_view("constant_column", ["flight_number", "processing_tier"])
+
+
+@register("top_k_recent", lambda: sql.with_ctes({"launches": sql.LAUNCH["launches"]}, """
+SELECT flight_number, date_unix FROM launches ORDER BY coalesce(date_unix, 0) DESC, flight_number LIMIT 200"""))
+def q_top_k_recent(spark, sf):
+    l = fx.launches(spark, sf)
+    return ranking.top_k(l, [F.coalesce("date_unix", F.lit(0)).desc(), F.col("flight_number")], 200).select(
+        "flight_number", "date_unix")
+
+
+@register("branch_split", lambda: sql.with_ctes({k: sql.LAUNCH[k] for k in ["launches", "rockets", "pads", "enriched", "scored"]}, """
+SELECT flight_number, CASE WHEN coalesce(completeness_score >= 0.8, false) THEN 'complete' ELSE 'incomplete' END AS branch
+FROM scored"""))
+def q_branch_split(spark, sf):
+    e = lf.enrich(fx.launches(spark, sf), fx.rockets(spark, sf), fx.pads(spark, sf))
+    scored = e.withColumn("completeness_score", lf.completeness())
+    t, f = cmb.split(scored, F.col("completeness_score") >= 0.8)
+    return t.select("flight_number", F.lit("complete").alias("branch")).unionByName(
+        f.select("flight_number", F.lit("incomplete").alias("branch")))
+
+
+@register("branch_union", lambda: sql.with_ctes({k: sql.LAUNCH[k] for k in ["launches", "rockets", "pads", "enriched", "scored"]}, """
+SELECT flight_number, CASE WHEN completeness_score >= 0.8 THEN cost_per_payload END AS cost_per_payload,
+       CASE WHEN completeness_score < 0.8 THEN 'basic_metrics' END AS basic_tier
+FROM scored"""))
+def q_branch_union(spark, sf):
+    e = lf.enrich(fx.launches(spark, sf), fx.rockets(spark, sf), fx.pads(spark, sf))
+    scored = e.withColumn("completeness_score", lf.completeness())
+    return cmb.branch_map(scored, F.col("completeness_score") >= 0.8,
+                          lambda d: d.select("flight_number", "cost_per_payload"),
+                          lambda d: d.select("flight_number", F.lit("basic_metrics").alias("basic_tier")))
+
+
+@register("fallback_fill", lambda: sql.with_ctes({"rockets": sql.LAUNCH["rockets"]}, """
+SELECT rocket_id, rocket_name, cost_per_launch, 'primary' AS source FROM rockets WHERE cost_per_launch IS NOT NULL
+UNION ALL
+SELECT rocket_id, rocket_name, NULL AS cost_per_launch, 'fallback' AS source FROM rockets r
+WHERE NOT EXISTS (SELECT 1 FROM rockets p WHERE p.cost_per_launch IS NOT NULL AND p.rocket_id = r.rocket_id)"""))
+def q_fallback_fill(spark, sf):
+    rk = fx.rockets(spark, sf)
+    primary = rk.filter(F.col("cost_per_launch").isNotNull()).select(
+        "rocket_id", "rocket_name", "cost_per_launch", F.lit("primary").alias("source"))
+    fallback = rk.select("rocket_id", "rocket_name", F.lit("fallback").alias("source"))
+    return cmb.fallback_fill(primary, fallback, "rocket_id")
+
+
+@register("semi_dim", lambda: sql.with_ctes({"launches": sql.LAUNCH["launches"], "rockets": sql.LAUNCH["rockets"]}, """
+SELECT * FROM rockets WHERE rocket_id IN (SELECT rocket_id FROM launches)"""))
+def q_semi_dim(spark, sf):
+    return cmb.semi_dim(fx.rockets(spark, sf), fx.launches(spark, sf), "rocket_id")
+
+
+@register("distinct_ids", lambda: sql.with_ctes({"launches": sql.LAUNCH["launches"]},
+                                                "SELECT DISTINCT rocket_id FROM launches"))
+def q_distinct_ids(spark, sf):
+    return fx.launches(spark, sf).select("rocket_id").distinct()
+
+
+@register("typed_empty", lambda: sql.with_ctes({"launches": sql.LAUNCH["launches"]}, """
+SELECT flight_number, launchpad_id, CAST(NULL AS VARCHAR) AS launchpad_name, CAST(NULL AS VARCHAR) AS region
+FROM launches"""))
+def q_typed_empty(spark, sf):
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("launchpad_id", T.IntegerType()),
+                           T.StructField("launchpad_name", T.StringType()),
+                           T.StructField("region", T.StringType())])
+    empty = cmb.typed_empty(spark, schema)
+    return fx.launches(spark, sf).select("flight_number", "launchpad_id").join(empty, "launchpad_id", "left")
