@@ -212,7 +212,7 @@ def is_private_ipv4(c: ColumnOrName) -> Column:
 
 def parse_timestamp(c: ColumnOrName, fmt: str) -> Column:
     """Coercing parse with an explicit format; bad text -> NULL."""
-    return F.try_to_timestamp(_c(c), F.lit(fmt))
+    return F.try_to_timestamp(_c(c), F.lit(fmt)).cast("timestamp_ntz")
 
 
 def date_parts(ts: ColumnOrName) -> dict[str, Column]:

@@ -157,3 +157,37 @@ def pads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.join(r, n.n_regionkey == r.r_regionkey, "left").select(
         F.col("n_nationkey").alias("launchpad_id"), F.col("n_name").alias("launchpad_name"),
         F.col("r_name").alias("region"))
+
+
+# ---------------------------------------------------------------- retail and titles
+
+def shopping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Retail rows with source-style headers (spaces, capitals), a US date text
+    (bad on 7th lines), a unit price, a quantity and a customer age."""
+    li = table(spark, sf_dir, "lineitem")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+    return j.select(
+        F.col("l_orderkey").alias("Invoice No"),
+        F.col("o_custkey").alias("Customer Id"),
+        F.when(F.col("l_linenumber") == 7, F.lit("unknown"))
+         .otherwise(F.date_format("l_shipdate", "M/d/yyyy")).alias("Invoice Date"),
+        (unit_price() / 100.0).alias("Price"),
+        F.col("l_quantity").cast("int").alias("Quantity"),
+        F.pmod("o_custkey", F.lit(110)).cast("int").alias("Age"))
+
+
+def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Game titles with regional sales as text (some 'N/A') and a text year."""
+    p = table(spark, sf_dir, "part")
+    txt = lambda c: c.cast("string")
+    return p.select(
+        F.col("p_partkey").alias("Rank"),
+        F.col("p_name").alias("Name"),
+        txt(F.col("p_size") / 10.0).alias("NA_Sales"),
+        txt(F.pmod("p_partkey", F.lit(7)) / 4.0).alias("EU_Sales"),
+        F.when(F.pmod("p_partkey", F.lit(13)) == 0, F.lit("N/A"))
+         .otherwise(txt((F.col("p_retailprice") - 900.0) / 50.0)).alias("JP_Sales"),
+        txt(F.pmod("p_partkey", F.lit(3)) / 10.0).alias("Other_Sales"),
+        F.when(F.col("p_size") == 1, F.lit("N/A"))
+         .otherwise(txt(F.lit(1980) + F.pmod("p_partkey", F.lit(40)))).alias("Year"))

@@ -50,7 +50,7 @@ def quality_branch(df: DataFrame, as_of: str = AS_OF, threshold: float = 0.8) ->
     """Both branches in one pass: the complete rows get the full analytics,
     the others the basic metrics."""
     scored = df.withColumn("completeness_score", completeness())
-    days = whole_days_between(F.lit(as_of).cast("timestamp"), F.col("launch_date"))
+    days = whole_days_between(F.lit(as_of).cast("timestamp_ntz"), F.col("launch_date"))
     out = branch_columns(scored, F.col("completeness_score") >= threshold, {
         "reliability_score": (reliability(), F.col("completeness_score")),
         "mission_complexity": (complexity(), F.lit("Unknown")),

@@ -366,3 +366,74 @@ def launches(cols=None) -> str:
     cols = cols or LAUNCH_OUT
     pick = ", ".join(f"{r(c, 4)} AS {c}" if c in LAUNCH_ROUND4 else c for c in cols)
     return with_ctes(LAUNCH, f"SELECT {pick} FROM final")
+
+
+# ---------------------------------------------------------------- retail and titles
+
+def _bins(x: str, edges, labels) -> str:
+    arms = []
+    for lo, hi, lab in zip(edges[:-1], edges[1:], labels):
+        cond = f"{x} > {lo}" + ("" if hi == float("inf") else f" AND {x} <= {hi}")
+        arms.append(f"WHEN {cond} THEN '{lab}'")
+    return "CASE " + " ".join(arms) + " END"
+
+
+AGE_EDGES, AGE_LABELS = [0, 18, 30, 45, 60, 100], ["Under 18", "18-30", "31-45", "46-60", "Over 60"]
+SPEND_EDGES, SPEND_LABELS = [0, 50, 200, 500, float("inf")], ["Low", "Medium", "High", "Premium"]
+SALES_EDGES, SALES_LABELS = [0, 0.5, 2, 5, float("inf")], ["Niche", "Moderate", "Popular", "Blockbuster"]
+
+RETAIL = {
+    "shop0": f"""
+SELECT l_orderkey AS invoice_no, o_custkey AS customer_id,
+       CASE WHEN l_linenumber = 7 THEN NULL ELSE l_shipdate END AS invoice_date,
+       ({UNIT}) / 100.0::DOUBLE AS price, CAST(l_quantity AS INTEGER) AS quantity,
+       CAST(o_custkey % 110 AS INTEGER) AS age
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+    "shop": f"""
+SELECT *, CAST(year(invoice_date) AS INTEGER) AS year, CAST(month(invoice_date) AS INTEGER) AS month,
+       dayname(invoice_date) AS day_of_week, price * quantity AS total_amount,
+       {_bins('age', AGE_EDGES, AGE_LABELS)} AS age_group,
+       {_bins('price * quantity', SPEND_EDGES, SPEND_LABELS)} AS spending_tier
+FROM shop0""",
+    "games0": """
+SELECT p_partkey AS rank, p_name AS name, p_size / 10.0::DOUBLE AS na_sales, (p_partkey % 7) / 4.0::DOUBLE AS eu_sales,
+       CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE (p_retailprice - 900.0::DOUBLE) / 50.0::DOUBLE END AS jp_sales,
+       (p_partkey % 3) / 10.0::DOUBLE AS other_sales,
+       CASE WHEN p_size = 1 THEN NULL ELSE CAST(1980 + p_partkey % 40 AS DOUBLE) END AS year
+FROM part""",
+    "games1": """
+SELECT *, 0.0::DOUBLE + coalesce(na_sales, 0) + coalesce(eu_sales, 0) + coalesce(jp_sales, 0)
+          + coalesce(other_sales, 0) AS global_sales
+FROM games0""",
+    "games": f"""
+SELECT *, {_bins('global_sales', SALES_EDGES, SALES_LABELS)} AS sales_category,
+       CAST(floor(year / 10) * 10 AS INTEGER) AS decade,
+       CASE greatest(coalesce(na_sales, 0), coalesce(eu_sales, 0), coalesce(jp_sales, 0), coalesce(other_sales, 0))
+         WHEN coalesce(na_sales, 0) THEN 'na' WHEN coalesce(eu_sales, 0) THEN 'eu'
+         WHEN coalesce(jp_sales, 0) THEN 'jp' ELSE 'other' END AS primary_market
+FROM games1""",
+    "shop_summary": """
+SELECT d.age_group, coalesce(s.total_revenue, 0.0::DOUBLE) AS total_revenue,
+       coalesce(s.transaction_count, 0) AS transaction_count, s.avg_transaction
+FROM (VALUES ('Under 18'), ('18-30'), ('31-45'), ('46-60'), ('Over 60')) d(age_group)
+LEFT JOIN (SELECT age_group, sum(total_amount) AS total_revenue, count(total_amount) AS transaction_count,
+                  avg(total_amount) AS avg_transaction
+           FROM shop WHERE age_group IS NOT NULL GROUP BY age_group) s USING (age_group)""",
+    "games_summary": """
+SELECT decade, sum(global_sales) AS total_sales_millions, avg(global_sales) AS avg_sales,
+       count(global_sales) AS game_count
+FROM games WHERE decade IS NOT NULL GROUP BY decade""",
+    "crossed": """
+SELECT s.age_group, g.decade, s.total_revenue AS shopping_revenue, s.transaction_count AS shopping_transactions,
+       s.avg_transaction AS avg_shopping_amount, g.total_sales_millions AS gaming_sales_millions,
+       g.game_count AS games_released, g.avg_sales AS avg_game_sales
+FROM shop_summary s CROSS JOIN games_summary g""",
+}
+
+
+def retail(body: str) -> str:
+    return with_ctes(RETAIL, body)
+
+
+def rounded_select(cols, round4=(), src="t") -> str:
+    return ", ".join(f"{r(c, 4)} AS {c}" if c in round4 else c for c in cols) + f" FROM {src}"

@@ -270,3 +270,71 @@ def q_typed_empty(spark, sf):
                            T.StructField("region", T.StringType())])
     empty = cmb.typed_empty(spark, schema)
     return fx.launches(spark, sf).select("flight_number", "launchpad_id").join(empty, "launchpad_id", "left")
+
+
+# ---------------------------------------------------------------- retail and titles
+from rillet.plans import retail as rt  # noqa: E402
+from rillet.operators import aggregate as agg  # noqa: E402
+
+
+def _r4(df, cols):
+    return fc.with_rounded(df, cols, 4)
+
+
+CROSS_COLS = ["age_group", "decade", "shopping_revenue", "shopping_transactions", "avg_shopping_amount",
+              "gaming_sales_millions", "games_released", "avg_game_sales"]
+CROSS_R4 = ["shopping_revenue", "avg_shopping_amount", "gaming_sales_millions", "avg_game_sales"]
+
+
+@register("flow_retail_cross", lambda: sql.retail("SELECT " + sql.rounded_select(CROSS_COLS, CROSS_R4, "crossed")))
+def q_flow_retail_cross(spark, sf):
+    return _r4(rt.flow_retail_cross(fx.shopping(spark, sf), fx.titles(spark, sf)), CROSS_R4)
+
+
+@register("cross_summary", lambda: sql.retail(
+    "SELECT age_group, decade, shopping_transactions, games_released FROM crossed"))
+def q_cross_summary(spark, sf):
+    return rt.flow_retail_cross(fx.shopping(spark, sf), fx.titles(spark, sf)).select(
+        "age_group", "decade", "shopping_transactions", "games_released")
+
+
+@register("group_agg_domain", lambda: sql.retail("SELECT " + sql.rounded_select(
+    ["age_group", "total_revenue", "transaction_count", "avg_transaction"], ["total_revenue", "avg_transaction"],
+    "shop_summary")))
+def q_group_agg_domain(spark, sf):
+    s = rt.shopping_summary(rt.clean_shopping(fx.shopping(spark, sf)))
+    return _r4(s, ["total_revenue", "avg_transaction"])
+
+
+@register("group_agg", lambda: sql.retail("SELECT " + sql.rounded_select(
+    ["decade", "total_sales_millions", "avg_sales", "game_count"], ["total_sales_millions", "avg_sales"],
+    "games_summary")))
+def q_group_agg(spark, sf):
+    g = rt.games_summary(rt.clean_games(fx.titles(spark, sf)))
+    return _r4(g, ["total_sales_millions", "avg_sales"])
+
+
+def _shop_view(name, cols):
+    @register(name, lambda: sql.retail(f"SELECT {', '.join(cols)} FROM shop"))
+    def q(spark, sf):
+        return rt.clean_shopping(fx.shopping(spark, sf)).select(*cols)
+    q.__name__ = f"q_{name}"
+
+
+def _games_view(name, cols):
+    @register(name, lambda: sql.retail(f"SELECT {', '.join(cols)} FROM games"))
+    def q(spark, sf):
+        return rt.clean_games(fx.titles(spark, sf)).select(*cols)
+    q.__name__ = f"q_{name}"
+
+
+_shop_view("snake_case", ["invoice_no", "customer_id", "price", "quantity", "age"])
+_shop_view("age_group", ["invoice_no", "customer_id", "age", "age_group"])
+_shop_view("spending_tier", ["invoice_no", "price", "quantity", "total_amount", "spending_tier"])
+_shop_view("row_arith", ["invoice_no", "price", "quantity", "total_amount"])
+_shop_view("date_parse_coerce", ["invoice_no", "invoice_date", "year", "month", "day_of_week"])
+_games_view("sales_category", ["rank", "global_sales", "sales_category"])
+_games_view("coerce_numeric", ["rank", "na_sales", "eu_sales", "jp_sales", "other_sales", "year"])
+_games_view("row_sum", ["rank", "na_sales", "eu_sales", "jp_sales", "other_sales", "global_sales"])
+_games_view("row_argmax", ["rank", "na_sales", "eu_sales", "jp_sales", "other_sales", "primary_market"])
+_games_view("decade", ["rank", "year", "decade"])
