@@ -191,3 +191,43 @@ def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
         txt(F.pmod("p_partkey", F.lit(3)) / 10.0).alias("Other_Sales"),
         F.when(F.col("p_size") == 1, F.lit("N/A"))
          .otherwise(txt(F.lit(1980) + F.pmod("p_partkey", F.lit(40)))).alias("Year"))
+
+
+# ---------------------------------------------------------------- weather
+
+# The event types act as the regional feeds, each with a city.
+REGION_CITY = [("click", "Chiang Mai"), ("view", "Bangkok"), ("purchase", "Phuket"),
+               ("signup", "Khon Kaen"), ("error", "Hat Yai")]
+JSON_TS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+HOURLY_MEASURES = ["temperature_2m", "relative_humidity_2m", "precipitation", "wind_speed_10m"]
+
+
+def weather_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly measures derived from the event stream, one row per event."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select(
+        "event_id", F.col("event_type").alias("feed"), F.col("ts").alias("time"),
+        (F.col("value") / 10.0 - 10.0).alias("temperature_2m"),
+        F.get_json_object("props", "$.k").try_cast("double").alias("relative_humidity_2m"),
+        (F.col("value") / 40.0).alias("precipitation"),
+        (F.col("value") / 5.0).alias("wind_speed_10m"))
+
+
+def weather_documents(spark: SparkSession, sf_dir: str, per_doc: int = 24) -> DataFrame:
+    """Column-oriented documents (parallel arrays), ``per_doc`` consecutive
+    events each: the group key is ``event_id // per_doc`` over a unique id, so
+    no document holds more than ``per_doc`` entries."""
+    rows = weather_rows(spark, sf_dir)
+    grouped = rows.groupBy(F.floor(F.col("event_id") / per_doc).alias("doc_id"), "feed").agg(
+        F.array_sort(F.collect_list(F.struct("event_id", "time", *HOURLY_MEASURES))).alias("_items"))
+    def field(n):
+        return lambda x: x[n]
+    hourly = F.struct(*[F.transform("_items", field(n)).alias(n) for n in ["event_id", "time"] + HOURLY_MEASURES])
+    return grouped.select("doc_id", "feed", F.to_json(hourly, {"timestampNTZFormat": JSON_TS}).alias("hourly_json"))
+
+
+def regional_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """One source per region (event type); together they cover every event."""
+    rows = weather_rows(spark, sf_dir)
+    return {region: rows.filter(F.col("feed") == region).drop("feed").withColumn("city", F.lit(city))
+            for region, city in REGION_CITY}

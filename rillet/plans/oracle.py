@@ -437,3 +437,40 @@ def retail(body: str) -> str:
 
 def rounded_select(cols, round4=(), src="t") -> str:
     return ", ".join(f"{r(c, 4)} AS {c}" if c in round4 else c for c in cols) + f" FROM {src}"
+
+
+# ---------------------------------------------------------------- weather
+
+WEATHER = {
+    "wrows": """
+SELECT event_id, event_type AS feed, ts AS time, value / 10.0::DOUBLE - 10.0::DOUBLE AS temperature_2m,
+       TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS relative_humidity_2m,
+       value / 40.0::DOUBLE AS precipitation, value / 5.0::DOUBLE AS wind_speed_10m
+FROM events""",
+    "merged": """
+SELECT event_id, time, temperature_2m, relative_humidity_2m, precipitation, wind_speed_10m,
+       CASE feed WHEN 'click' THEN 'Chiang Mai' WHEN 'view' THEN 'Bangkok' WHEN 'purchase' THEN 'Phuket'
+                 WHEN 'signup' THEN 'Khon Kaen' WHEN 'error' THEN 'Hat Yai' END AS city, feed AS region
+FROM wrows WHERE feed IN ('click', 'view', 'purchase', 'signup', 'error')""",
+    "numbered": """
+SELECT *, row_number() OVER (ORDER BY region, time, event_id) AS rn, count(*) OVER () AS n FROM merged""",
+    "sampled": """
+SELECT * EXCLUDE (rn, n) FROM numbered
+WHERE n <= 200 OR ((rn - 1) % (n // 200) = 0 AND rn <= (n // 200) * 200)""",
+}
+
+
+def weather_transform(src: str) -> str:
+    return f"""
+SELECT *, CAST(time AS DATE) AS date, CAST(hour(time) AS INTEGER) AS hour,
+  CASE WHEN precipitation > 5 THEN 'rainy' WHEN temperature_2m > 25 THEN 'hot' WHEN temperature_2m < 5 THEN 'cold'
+       ELSE 'moderate' END AS weather_type,
+  100.0::DOUBLE - abs(temperature_2m - 22.0::DOUBLE) * 2.0::DOUBLE - relative_humidity_2m * 0.3::DOUBLE AS comfort_index,
+  {_bins('wind_speed_10m', [0, 5, 10, 20, 100], ['calm', 'light', 'moderate', 'strong'])} AS wind_category
+FROM {src}"""
+
+
+def weather(body: str, sample: bool = True) -> str:
+    ctes = dict(WEATHER)
+    ctes["final"] = weather_transform("sampled" if sample else "merged")
+    return with_ctes(ctes, body)

@@ -338,3 +338,55 @@ _games_view("coerce_numeric", ["rank", "na_sales", "eu_sales", "jp_sales", "othe
 _games_view("row_sum", ["rank", "na_sales", "eu_sales", "jp_sales", "other_sales", "global_sales"])
 _games_view("row_argmax", ["rank", "na_sales", "eu_sales", "jp_sales", "other_sales", "primary_market"])
 _games_view("decade", ["rank", "year", "decade"])
+
+
+# ---------------------------------------------------------------- weather
+from rillet.plans import weather as wf  # noqa: E402
+from rillet.sources import reshape as rs  # noqa: E402
+
+WEATHER_COLS = ["event_id", "region", "city", "time", "date", "hour", "temperature_2m", "relative_humidity_2m",
+                "precipitation", "wind_speed_10m", "weather_type", "comfort_index", "wind_category"]
+
+
+@register("flow_weather", lambda: sql.weather(f"SELECT {', '.join(WEATHER_COLS)} FROM final"))
+def q_flow_weather(spark, sf):
+    return wf.flow_weather(fx.regional_feeds(spark, sf)).select(*WEATHER_COLS)
+
+
+@register("systematic_sample", lambda: sql.weather("SELECT event_id, region FROM sampled"))
+def q_systematic_sample(spark, sf):
+    from rillet.sources.files import fan_in
+    merged = fan_in(fx.regional_feeds(spark, sf), "region")
+    return ranking.systematic_sample(merged, [F.col("region"), F.col("time"), F.col("event_id")], 200).select(
+        "event_id", "region")
+
+
+@register("fan_in_union", lambda: sql.weather("SELECT event_id, region, city FROM merged"))
+def q_fan_in_union(spark, sf):
+    from rillet.sources.files import fan_in
+    return fan_in(fx.regional_feeds(spark, sf), "region").select("event_id", "region", "city")
+
+
+def _weather_view(name, cols):
+    @register(name, lambda: sql.weather(f"SELECT {', '.join(cols)} FROM final", sample=False))
+    def q(spark, sf):
+        from rillet.sources.files import fan_in
+        return wf.transform(fan_in(fx.regional_feeds(spark, sf), "region")).select(*cols)
+    q.__name__ = f"q_{name}"
+
+
+_weather_view("weather_type", ["event_id", "precipitation", "temperature_2m", "weather_type"])
+_weather_view("comfort_index", ["event_id", "temperature_2m", "relative_humidity_2m", "comfort_index"])
+_weather_view("wind_category", ["event_id", "wind_speed_10m", "wind_category"])
+_weather_view("date_hour", ["event_id", "time", "date", "hour"])
+
+_HOURLY_SCHEMA = ("struct<event_id: array<bigint>, time: array<timestamp_ntz>, temperature_2m: array<double>, "
+                  "relative_humidity_2m: array<double>, precipitation: array<double>, wind_speed_10m: array<double>>")
+
+
+@register("json_arrays_to_rows", lambda: sql.with_ctes({"wrows": sql.WEATHER["wrows"]}, """
+SELECT event_id, time, temperature_2m, relative_humidity_2m, precipitation, wind_speed_10m FROM wrows"""))
+def q_json_arrays_to_rows(spark, sf):
+    docs = rs.parse_json(fx.weather_documents(spark, sf), "hourly_json", _HOURLY_SCHEMA, "hourly", ["doc_id"],
+                         {"timestampNTZFormat": fx.JSON_TS})
+    return rs.arrays_to_rows(docs, "hourly", ["event_id", "time"] + fx.HOURLY_MEASURES)
