@@ -231,3 +231,56 @@ def regional_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     rows = weather_rows(spark, sf_dir)
     return {region: rows.filter(F.col("feed") == region).drop("feed").withColumn("city", F.lit(city))
             for region, city in REGION_CITY}
+
+
+# ---------------------------------------------------------------- listings
+
+def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listing rows with source headers, a money text and a review-count text."""
+    p = table(spark, sf_dir, "part")
+    price = F.col("p_retailprice") * F.col("p_size") / 10.0
+    return p.select(
+        F.col("p_partkey").alias("Listing Id"), F.col("p_name").alias("Resort Name"),
+        F.concat(F.lit("US$"), F.format_number(price, 2)).alias("Price"),
+        F.when(F.col("p_type") == "SMALL", F.lit("no reviews yet"))
+         .otherwise(F.concat(F.col("p_size").cast("string"), F.lit(" reviews"))).alias("Reviews"))
+
+
+# ---------------------------------------------------------------- creatures
+
+def creature_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One nested JSON entity per part: six base stats, one or two types and a
+    species reference by URL."""
+    p = table(spark, sf_dir, "part")
+    stats = F.array(*[F.struct((F.pmod(F.col("p_partkey") * (i + 3) + F.col("p_size"), F.lit(120)) + 20)
+                               .alias("base_stat")) for i in range(6)])
+    t1 = F.struct(F.struct(F.lower("p_type").alias("name")).alias("type"))
+    t2 = F.struct(F.struct(F.lower(F.regexp_replace("p_brand", "#", "-")).alias("name")).alias("type"))
+    types = F.when(F.col("p_size") > 25, F.array(t1, t2)).otherwise(F.array(t1))
+    doc = F.struct(
+        F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_size").cast("long").alias("height"),
+        F.col("p_retailprice").cast("long").alias("weight"), (F.col("p_size") * 5).cast("long").alias("base_experience"),
+        stats.alias("stats"), types.alias("types"),
+        F.struct(F.concat(F.lit("https://api.example/species/"), F.col("p_partkey")).alias("url")).alias("species"))
+    return p.select(F.to_json(doc).alias("json"))
+
+
+def species_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Species documents for the parts that have lines (others fail to resolve)."""
+    li = table(spark, sf_dir, "lineitem")
+    g = li.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n"), F.min("l_linenumber").alias("g"))
+    doc = F.struct(
+        F.concat(F.lit("https://api.example/species/"), F.col("l_partkey")).alias("url"),
+        (F.col("n") >= 40).alias("is_legendary"), (F.col("n") >= 45).alias("is_mythical"),
+        F.struct(F.concat(F.lit("generation-"), F.col("g")).alias("name")).alias("generation"))
+    return g.select(F.to_json(doc).alias("json"))
+
+
+# ---------------------------------------------------------------- parents and children
+
+def children(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Child rows (lines) of parent rows (orders): type, status and position."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(F.col("l_orderkey").alias("parent_id"), F.col("l_linenumber").alias("stage_number"),
+                     F.col("l_returnflag").alias("stage_type"), F.col("l_linestatus").alias("stage_status"),
+                     F.col("l_partkey").alias("child_id"))

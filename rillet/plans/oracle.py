@@ -474,3 +474,86 @@ def weather(body: str, sample: bool = True) -> str:
     ctes = dict(WEATHER)
     ctes["final"] = weather_transform("sampled" if sample else "merged")
     return with_ctes(ctes, body)
+
+
+# ---------------------------------------------------------------- pages, listings, creatures, parents
+
+AUTHORITY = "regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)', 1)"
+
+POSTS = {
+    "posts0": """
+SELECT CAST(page_id AS VARCHAR) AS story_id, nullif(trim(regexp_extract(html, '<h1>(.*?)</h1>', 1)), '') AS title,
+       url, coalesce(nullif(trim(regexp_extract(html, '<a href="([^"]*)"', 1)), ''), '') AS link0,
+       CAST(len(regexp_extract_all(html, '<p>')) AS INTEGER) AS points,
+       coalesce(nullif(trim(regexp_extract(html, '&copy; ([^ <]+)', 1)), ''), 'unknown') AS author,
+       coalesce(nullif(trim(regexp_extract(html, '<html lang="([^"]*)"', 1)), ''), 'unknown') AS age,
+       CAST(len(regexp_extract_all(html, '<li>')) AS INTEGER) AS comments
+FROM pages""",
+    "posts": f"""
+SELECT story_id, title, url,
+       CASE WHEN starts_with(link0, 'item?id=') THEN 'https://news.ycombinator.com/' || link0 ELSE link0 END AS link,
+       points, author, age, comments,
+       CASE WHEN starts_with(url, 'http') THEN {AUTHORITY} ELSE 'news.ycombinator.com' END AS source,
+       points + comments AS engagement_score,
+       CASE WHEN points + comments >= 100 THEN 'viral' WHEN points + comments >= 50 THEN 'popular'
+            WHEN points + comments >= 20 THEN 'moderate' ELSE 'new' END AS popularity,
+       NOT coalesce(regexp_matches(url, 'news.ycombinator.com'), false) AS is_external
+FROM posts0 WHERE title IS NOT NULL""",
+}
+
+LISTINGS = {
+    "lst0": """
+SELECT p_partkey AS listing_id, p_name AS name, 'US$' || format('{:,.2f}', p_retailprice * p_size / 10.0::DOUBLE) AS price,
+       CASE WHEN p_type = 'SMALL' THEN 'no reviews yet' ELSE CAST(p_size AS VARCHAR) || ' reviews' END AS total_reviews
+FROM part""",
+    "lst": """
+SELECT *, TRY_CAST(trim(replace(replace(price, 'US$', ''), ',', '')) AS DOUBLE) AS price_usd,
+       TRY_CAST(nullif(regexp_extract(total_reviews, '(\\d+)', 1), '') AS DOUBLE) AS review_count
+FROM lst0""",
+}
+
+_STATS = ["hp", "attack", "defense", "special_attack", "special_defense", "speed"]
+
+CREATURES = {
+    "ent": "SELECT p_partkey AS pokemon_id, p_name AS name, CAST(p_size AS BIGINT) AS height, "
+           "CAST(trunc(p_retailprice) AS BIGINT) AS weight, CAST(p_size * 5 AS BIGINT) AS base_experience, "
+           + ", ".join(f"CAST((p_partkey * {i + 3} + p_size) % 120 + 20 AS BIGINT) AS {n}" for i, n in enumerate(_STATS))
+           + ", lower(p_type) AS type_primary, "
+           "CASE WHEN p_size > 25 THEN lower(replace(p_brand, '#', '-')) END AS type_secondary, "
+           "6 AS n_stats, CASE WHEN p_size > 25 THEN 2 ELSE 1 END AS n_types FROM part",
+    "spc": """
+SELECT l_partkey AS pokemon_id, count(*) >= 40 AS is_legendary, count(*) >= 45 AS is_mythical,
+       'generation-' || CAST(min(l_linenumber) AS VARCHAR) AS generation
+FROM lineitem GROUP BY l_partkey""",
+    "cr0": "SELECT e.*, s.is_legendary, s.is_mythical, s.generation, "
+           + " + ".join(_STATS) + " AS total_stats FROM ent e JOIN spc s USING (pokemon_id)",
+    "cr": """
+SELECT * REPLACE (array_to_string(list_transform(regexp_extract_all(name, '(\\p{L}+|[^\\p{L}]+)'),
+                                                 lambda x: upper(x[1]) || lower(x[2:])), '') AS name),
+  CASE WHEN is_mythical THEN 'mythical' WHEN is_legendary THEN 'legendary' WHEN total_stats >= 500 THEN 'rare'
+       WHEN total_stats >= 400 THEN 'uncommon' ELSE 'common' END AS rarity,
+  CASE WHEN coalesce(is_legendary OR is_mythical, false) THEN
+       (CASE WHEN is_mythical THEN 'mythical' WHEN total_stats >= 680 THEN 'box_legendary' ELSE 'sub_legendary' END)
+       END AS legendary_tier,
+  CASE WHEN coalesce(is_legendary OR is_mythical, false) THEN total_stats * 1.5::DOUBLE + base_experience
+       ELSE total_stats + base_experience * 0.5::DOUBLE END AS power_score,
+  CASE WHEN NOT coalesce(is_legendary OR is_mythical, false) THEN
+       (CASE WHEN attack > defense AND speed >= 80 THEN 'sweeper' WHEN defense > attack AND hp >= 80 THEN 'tank'
+             ELSE 'balanced' END) END AS combat_role
+FROM cr0""",
+}
+
+PARENTS = {
+    "prof": """
+SELECT l_orderkey AS parent_id, coalesce(bool_or(l_returnflag = 'R'), false) AS has_special,
+       count(l_partkey) AS n_children, count(DISTINCT l_returnflag) AS n_types,
+       bool_or(l_linestatus = 'O') AS has_open, bool_or(l_linestatus = 'F') AS has_filled
+FROM lineitem GROUP BY l_orderkey""",
+    "par": """
+SELECT o_orderkey AS parent_id, o_orderpriority, coalesce(has_special, false) AS has_special,
+       coalesce(n_children, 0) AS n_children, coalesce(n_types, 0) AS n_types,
+       coalesce(has_open, false) AS has_open, coalesce(has_filled, false) AS has_filled,
+       CASE WHEN coalesce(has_special, false) OR coalesce(n_children, 0) >= 7 THEN 'advanced'
+            WHEN coalesce(n_children, 0) >= 4 THEN 'intermediate' ELSE 'beginner' END AS complexity
+FROM orders LEFT JOIN prof ON o_orderkey = prof.parent_id""",
+}

@@ -390,3 +390,156 @@ def q_json_arrays_to_rows(spark, sf):
     docs = rs.parse_json(fx.weather_documents(spark, sf), "hourly_json", _HOURLY_SCHEMA, "hourly", ["doc_id"],
                          {"timestampNTZFormat": fx.JSON_TS})
     return rs.arrays_to_rows(docs, "hourly", ["event_id", "time"] + fx.HOURLY_MEASURES)
+
+
+# ---------------------------------------------------------------- pages, listings, creatures, parents
+from rillet.plans import creatures as crf  # noqa: E402
+from rillet.plans import pages as pgf  # noqa: E402
+from rillet.plans import parents as prf  # noqa: E402
+from rillet.sources import html as htm  # noqa: E402
+
+POST_COLS = ["story_id", "title", "url", "link", "points", "author", "age", "comments", "source",
+             "engagement_score", "popularity", "is_external"]
+
+
+def _posts(spark, sf):
+    return pgf.flow_posts(fx.table(spark, sf, "pages"))
+
+
+@register("flow_posts", lambda: sql.with_ctes(sql.POSTS, f"SELECT {', '.join(POST_COLS)} FROM posts"))
+def q_flow_posts(spark, sf):
+    return _posts(spark, sf).select(*POST_COLS)
+
+
+def _post_view(name, cols):
+    @register(name, lambda: sql.with_ctes(sql.POSTS, f"SELECT {', '.join(cols)} FROM posts"))
+    def q(spark, sf):
+        return _posts(spark, sf).select(*cols)
+    q.__name__ = f"q_{name}"
+
+
+_post_view("clean_url", ["story_id", "link"])
+_post_view("url_host", ["story_id", "url", "source"])
+_post_view("popularity", ["story_id", "points", "comments", "engagement_score", "popularity"])
+_post_view("regex_flag", ["story_id", "url", "is_external"])
+_post_view("required_fields", ["story_id", "title"])
+
+
+@register("html_extract", lambda: sql.with_ctes({"b": """
+SELECT page_id, unnest(regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 1)) AS href,
+       unnest(regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 2)) AS text,
+       CAST(unnest(generate_series(0, len(regexp_extract_all(html, '<li><a href="([^"]*)">([^<]*)</a></li>', 1)) - 1))
+            AS INTEGER) AS pos
+FROM pages"""}, "SELECT page_id, pos, href, text FROM b"))
+def q_html_extract(spark, sf):
+    return htm.extract_blocks(fx.table(spark, sf, "pages"), "html", htm.LINK_BLOCK, {"href": 1, "text": 2},
+                              ["page_id"])
+
+
+LISTING_COLS = ["listing_id", "name", "price", "total_reviews", "price_usd", "review_count"]
+
+
+@register("flow_listings", lambda: sql.with_ctes(sql.LISTINGS, f"SELECT {', '.join(LISTING_COLS)} FROM lst"))
+def q_flow_listings(spark, sf):
+    return pgf.flow_listings(fx.listings(spark, sf)).select(*LISTING_COLS)
+
+
+@register("rename_map", lambda: sql.with_ctes(sql.LISTINGS, "SELECT listing_id, name, price, total_reviews FROM lst"))
+def q_rename_map(spark, sf):
+    from rillet.functions.columns import renamed
+    return renamed(fx.listings(spark, sf), pgf.LISTING_RENAME)
+
+
+@register("parse_price", lambda: sql.with_ctes(sql.LISTINGS, "SELECT listing_id, price, price_usd FROM lst"))
+def q_parse_price(spark, sf):
+    return pgf.flow_listings(fx.listings(spark, sf)).select("listing_id", "price", "price_usd")
+
+
+@register("extract_count", lambda: sql.with_ctes(sql.LISTINGS, "SELECT listing_id, total_reviews, review_count FROM lst"))
+def q_extract_count(spark, sf):
+    return pgf.flow_listings(fx.listings(spark, sf)).select("listing_id", "total_reviews", "review_count")
+
+
+CREATURE_COLS = ["pokemon_id", "name", "height", "weight", "base_experience", "hp", "attack", "defense",
+                 "special_attack", "special_defense", "speed", "type_primary", "type_secondary", "is_legendary",
+                 "is_mythical", "generation", "total_stats", "rarity", "legendary_tier", "power_score", "combat_role"]
+
+
+def _creatures(spark, sf):
+    return crf.flow_legendary(fx.creature_documents(spark, sf), fx.species_documents(spark, sf))
+
+
+@register("flow_legendary", lambda: sql.with_ctes(sql.CREATURES, f"SELECT {', '.join(CREATURE_COLS)} FROM cr"))
+def q_flow_legendary(spark, sf):
+    return _creatures(spark, sf).select(*CREATURE_COLS)
+
+
+def _creature_view(name, cols, src="cr"):
+    @register(name, lambda: sql.with_ctes(sql.CREATURES, f"SELECT {', '.join(cols)} FROM {src}"))
+    def q(spark, sf):
+        return _creatures(spark, sf).select(*cols)
+    q.__name__ = f"q_{name}"
+
+
+_creature_view("title_case", ["pokemon_id", "name"])
+_creature_view("rarity", ["pokemon_id", "total_stats", "is_legendary", "is_mythical", "rarity"])
+_creature_view("combat_role", ["pokemon_id", "attack", "defense", "speed", "hp", "combat_role"])
+_creature_view("legendary_tier", ["pokemon_id", "total_stats", "legendary_tier"])
+_creature_view("weighted_score", ["pokemon_id", "total_stats", "base_experience", "power_score"])
+_creature_view("stat_total", ["pokemon_id", "hp", "attack", "defense", "special_attack", "special_defense",
+                              "speed", "total_stats"])
+_creature_view("json_lookup_join", ["pokemon_id", "is_legendary", "is_mythical", "generation"])
+
+
+@register("json_flatten", lambda: sql.with_ctes(sql.CREATURES, "SELECT pokemon_id, name, height, weight, "
+          "base_experience, hp, attack, defense, special_attack, special_defense, speed, type_primary, "
+          "type_secondary FROM ent"))
+def q_json_flatten(spark, sf):
+    return crf.flatten(fx.creature_documents(spark, sf)).drop("species_url", "n_stats", "n_types")
+
+
+@register("json_array_sizes", lambda: sql.with_ctes(sql.CREATURES, "SELECT pokemon_id, n_stats, n_types FROM ent"))
+def q_json_array_sizes(spark, sf):
+    return crf.flatten(fx.creature_documents(spark, sf)).select("pokemon_id", "n_stats", "n_types")
+
+
+def _parents(spark, sf):
+    o = fx.table(spark, sf, "orders").select(F.col("o_orderkey").alias("parent_id"), "o_orderpriority")
+    return prf.profiles(o, fx.children(spark, sf))
+
+
+PARENT_COLS = ["parent_id", "has_special", "n_children", "n_types", "complexity"]
+
+
+@register("parent_profile", lambda: sql.with_ctes(sql.PARENTS, f"SELECT {', '.join(PARENT_COLS)} FROM par"))
+def q_parent_profile(spark, sf):
+    return _parents(spark, sf).select(*PARENT_COLS)
+
+
+@register("tags_contain_all", lambda: sql.with_ctes(sql.PARENTS,
+          "SELECT parent_id, complexity FROM par WHERE has_special AND has_open"))
+def q_tags_contain_all(spark, sf):
+    return prf.filter_tags(_parents(spark, sf), ["Branching", "Transform"]).select("parent_id", "complexity")
+
+
+@register("ordinal_sort", lambda: sql.with_ctes(sql.PARENTS, """
+SELECT parent_id, complexity, CASE complexity WHEN 'beginner' THEN 0 WHEN 'intermediate' THEN 1
+  WHEN 'advanced' THEN 2 ELSE 3 END AS complexity_rank FROM par ORDER BY complexity_rank, parent_id"""))
+def q_ordinal_sort(spark, sf):
+    p = _parents(spark, sf).withColumn("complexity_rank", ranking.ordinal_key("complexity", prf.COMPLEXITY_ORDER))
+    return p.select("parent_id", "complexity", "complexity_rank").orderBy("complexity_rank", "parent_id")
+
+
+@register("page", lambda: sql.with_ctes(sql.PARENTS, """
+SELECT parent_id, complexity FROM par ORDER BY CASE complexity WHEN 'beginner' THEN 0 WHEN 'intermediate' THEN 1
+  WHEN 'advanced' THEN 2 ELSE 3 END, parent_id LIMIT 10 OFFSET 20"""))
+def q_page(spark, sf):
+    return prf.complexity_page(_parents(spark, sf), 20, 10).select("parent_id", "complexity")
+
+
+@register("group_index", """
+SELECT l_orderkey AS parent_id, l_linenumber AS stage_number, l_returnflag AS stage_type,
+       CAST((dense_rank() OVER (PARTITION BY l_orderkey ORDER BY f, l_returnflag) - 1) % 6 AS INTEGER) AS colour_index
+FROM (SELECT *, min(l_linenumber) OVER (PARTITION BY l_orderkey, l_returnflag) AS f FROM lineitem) t""")
+def q_group_index(spark, sf):
+    return prf.group_colours(fx.children(spark, sf)).select("parent_id", "stage_number", "stage_type", "colour_index")
