@@ -284,3 +284,43 @@ def children(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(F.col("l_orderkey").alias("parent_id"), F.col("l_linenumber").alias("stage_number"),
                      F.col("l_returnflag").alias("stage_type"), F.col("l_linestatus").alias("stage_status"),
                      F.col("l_partkey").alias("child_id"))
+
+
+# ---------------------------------------------------------------- bounded JSON documents
+
+def _event_chunks(spark: SparkSession, sf_dir: str, per_doc: int = 24) -> DataFrame:
+    """Events grouped into documents of at most ``per_doc`` consecutive ids
+    (``event_id`` is unique), items sorted by id."""
+    ev = table(spark, sf_dir, "events")
+    return ev.groupBy(F.floor(F.col("event_id") / per_doc).alias("doc_id")).agg(
+        F.array_sort(F.collect_list(F.struct("event_id", "ts", "event_type", "value"))).alias("items"))
+
+
+def chart_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``prices`` / ``total_volumes`` as ``[epoch_ms, value]`` lists; the volume
+    list skips error events, so it is shorter than the price list."""
+    docs = _event_chunks(spark, sf_dir)
+    pair = lambda x, v: F.array(F.unix_millis(x["ts"].cast("timestamp")).cast("double"), v)
+    prices = F.transform("items", lambda x: pair(x, x["value"]))
+    vols = F.transform(F.filter("items", lambda x: x["event_type"] != "error"), lambda x: pair(x, x["value"] * 2))
+    return docs.select("doc_id", F.to_json(F.struct(prices.alias("prices"), vols.alias("total_volumes"))).alias("json"))
+
+
+def spot_documents(spark: SparkSession, sf_dir: str, per_doc: int = 20) -> DataFrame:
+    """Keyed objects ``{id: {usd, usd_24h_vol}}``, at most ``per_doc`` ids each."""
+    p = table(spark, sf_dir, "part")
+    entry = F.struct(F.col("p_partkey").cast("string").alias("k"),
+                     F.struct(F.col("p_retailprice").alias("usd"),
+                              F.col("p_size").cast("double").alias("usd_24h_vol")).alias("v"))
+    g = p.groupBy(F.floor(F.col("p_partkey") / per_doc).alias("doc_id")).agg(F.collect_list(entry).alias("e"))
+    return g.select("doc_id", F.to_json(F.map_from_entries("e")).alias("json"))
+
+
+def catalogue_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parent documents with a nested ``stages`` array (numbered from 1)."""
+    docs = _event_chunks(spark, sf_dir)
+    stages = F.transform("items", lambda x, i: F.struct(
+        x["event_id"].alias("stage_id"), x["event_type"].alias("stage_type"),
+        (i + 1).alias("stage_number")))
+    doc = F.struct(F.concat(F.lit("p-"), F.col("doc_id")).alias("pipeline_id"), stages.alias("stages"))
+    return docs.select(F.to_json(doc).alias("json"))

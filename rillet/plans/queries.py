@@ -543,3 +543,178 @@ SELECT l_orderkey AS parent_id, l_linenumber AS stage_number, l_returnflag AS st
 FROM (SELECT *, min(l_linenumber) OVER (PARTITION BY l_orderkey, l_returnflag) AS f FROM lineitem) t""")
 def q_group_index(spark, sf):
     return prf.group_colours(fx.children(spark, sf)).select("parent_id", "stage_number", "stage_type", "colour_index")
+
+
+# ---------------------------------------------------------------- sources, sinks and generic operators
+import uuid  # noqa: E402
+
+from pyspark.sql import types as T  # noqa: E402
+
+from rillet import sinks  # noqa: E402
+from rillet.session import checkpoint_dir  # noqa: E402
+from rillet.sources import files as fs  # noqa: E402
+
+
+def _landed(spark, name):
+    return f"{checkpoint_dir(spark).rstrip('/')}/landed/{name}-{uuid.uuid4().hex}"
+
+
+_PART_SCHEMA = "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+
+
+@register("scan_csv", "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part")
+def q_scan_csv(spark, sf):
+    path = _landed(spark, "part_csv")
+    sinks.replace_files(fx.table(spark, sf, "part"), path, fmt="csv")
+    return fs.read_csv(spark, path, _PART_SCHEMA)
+
+
+@register("write_read_back", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders""")
+def q_write_read_back(spark, sf):
+    path = _landed(spark, "orders_parquet")
+    sinks.replace_files(fx.table(spark, sf, "orders"), path, partition_by=["o_orderstatus"],
+                        sort_within=["o_orderdate"])
+    return spark.read.parquet(path).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                           "o_orderdate", "o_orderpriority")
+
+
+@register("json_zip_default", """
+WITH e AS (SELECT *, event_id // 24 AS doc_id, CAST(epoch_us(ts) // 1000 AS DOUBLE) AS ts_ms FROM events),
+p AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY event_id) - 1 AS pos, ts_ms, value FROM e),
+v AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY event_id) - 1 AS pos, value * 2 AS vol
+      FROM e WHERE event_type <> 'error')
+SELECT p.doc_id, CAST(p.pos AS INTEGER) AS pos, p.ts_ms, p.value, coalesce(v.vol, 0.0::DOUBLE) AS partner_value
+FROM p LEFT JOIN v USING (doc_id, pos)""")
+def q_json_zip_default(spark, sf):
+    docs = rs.parse_json(fx.chart_documents(spark, sf), "json",
+                         "struct<prices: array<array<double>>, total_volumes: array<array<double>>>", "c", ["doc_id"])
+    flat = docs.select("doc_id", F.col("c.prices").alias("prices"), F.col("c.total_volumes").alias("total_volumes"))
+    return rs.zip_with_default(flat, "prices", "total_volumes", ["doc_id"])
+
+
+@register("json_map_to_rows", """
+SELECT CAST(p_partkey AS VARCHAR) AS id, p_retailprice AS usd, CAST(p_size AS DOUBLE) AS usd_24h_vol FROM part""")
+def q_json_map_to_rows(spark, sf):
+    schema = T.StructType([T.StructField("usd", T.DoubleType()), T.StructField("usd_24h_vol", T.DoubleType())])
+    return rs.keyed_object_to_rows(fx.spot_documents(spark, sf), "json", schema)
+
+
+@register("json_parent_child", """
+SELECT 'p-' || CAST(event_id // 24 AS VARCHAR) AS pipeline_id, event_id AS stage_id, event_type AS stage_type,
+       CAST(row_number() OVER (PARTITION BY event_id // 24 ORDER BY event_id) AS INTEGER) AS stage_number
+FROM events""")
+def q_json_parent_child(spark, sf):
+    schema = ("struct<pipeline_id: string, stages: array<struct<stage_id: bigint, stage_type: string, "
+              "stage_number: int>>>")
+    docs = rs.parse_json(fx.catalogue_documents(spark, sf), "json", schema, "d")
+    return docs.select(F.col("d.pipeline_id").alias("pipeline_id"), F.explode("d.stages").alias("s")).select(
+        "pipeline_id", "s.*")
+
+
+@register("epoch_to_ts", """
+SELECT event_id, make_timestamp((epoch_us(ts) // 1000000) * 1000000) AS ts_seconds,
+       make_timestamp((epoch_us(ts) // 1000) * 1000) AS ts_millis, CAST(ts AS DATE) AS day
+FROM events""")
+def q_epoch_to_ts(spark, sf):
+    ev = fx.table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("_t"))
+    secs, millis = F.unix_seconds("_t"), F.unix_millis("_t")
+    return ev.select("event_id", fc.epoch_seconds_to_ts(secs).cast("timestamp_ntz").alias("ts_seconds"),
+                     fc.epoch_millis_to_ts(millis).cast("timestamp_ntz").alias("ts_millis"),
+                     F.to_date(fc.epoch_millis_to_ts(millis)).alias("day"))
+
+
+@register("sql_query", """
+SELECT l_returnflag, l_linestatus, count(*) AS n, sum(l_quantity) AS sum_qty FROM lineitem
+GROUP BY l_returnflag, l_linestatus""")
+def q_sql_query(spark, sf):
+    fx.table(spark, sf, "lineitem").createOrReplaceTempView("rillet_lineitem")
+    return fs.sql_query(spark, "SELECT l_returnflag, l_linestatus, count(*) AS n, sum(l_quantity) AS sum_qty "
+                               "FROM rillet_lineitem GROUP BY l_returnflag, l_linestatus")
+
+
+@register("time_range_scan", """
+SELECT event_id, ts, event_type, value FROM events
+WHERE ts BETWEEN TIMESTAMP '2024-01-30 00:00:00' - INTERVAL 7 DAY AND TIMESTAMP '2024-01-30 00:00:00'""")
+def q_time_range_scan(spark, sf):
+    as_of = F.lit("2024-01-30 00:00:00").cast("timestamp_ntz")
+    ev = fx.table(spark, sf, "events")
+    return ev.filter(F.col("ts").between(as_of - F.expr("INTERVAL 7 DAYS"), as_of)).select(
+        "event_id", "ts", "event_type", "value")
+
+
+@register("export_json_types", """
+SELECT o_orderkey, o_custkey, o_orderstatus, CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS DOUBLE) AS o_totalprice,
+       strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS o_orderdate
+FROM orders ORDER BY o_orderkey LIMIT 200""")
+def q_export_json_types(spark, sf):
+    o = fx.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
+                                            F.col("o_totalprice").cast("decimal(12,2)").alias("o_totalprice"),
+                                            "o_orderdate")
+    return sinks.export_shape(o, ["o_orderkey"], 200)
+
+
+@register("limit_k", """
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice FROM lineitem
+ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice LIMIT 200""")
+def q_limit_k(spark, sf):
+    cols = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"]
+    return fx.table(spark, sf, "lineitem").select(*cols).orderBy(*cols).limit(200)
+
+
+@register("drop_nulls", lambda: sql.with_ctes({"launches": sql.LAUNCH["launches"]}, """
+SELECT * FROM launches WHERE COLUMNS(*) IS NOT NULL"""))
+def q_drop_nulls(spark, sf):
+    return fx.launches(spark, sf).na.drop("any")
+
+
+@register("fill_null", lambda: sql.with_ctes({"rockets": sql.LAUNCH["rockets"]}, """
+SELECT rocket_id, coalesce(cost_per_launch, 0.0::DOUBLE) AS cost_per_launch,
+       coalesce(success_rate, 50.0::DOUBLE) AS success_rate FROM rockets"""))
+def q_fill_null(spark, sf):
+    return fx.rockets(spark, sf).select("rocket_id", "cost_per_launch", "success_rate").fillna(
+        {"cost_per_launch": 0.0, "success_rate": 50.0})
+
+
+@register("global_agg", lambda: sql.threat(None).replace("SELECT * FROM threat", """
+SELECT round_even(avg(risk_score) * 10000, 0) / 10000 AS mean_risk, max(risk_score) AS max_risk,
+       min(risk_score) AS min_risk, count_if(requires_investigation) AS n_investigate FROM threat"""))
+def q_global_agg(spark, sf):
+    t = thr.flow_threat(fx.packets(spark, sf))
+    return t.agg(fc.round_half_even(F.avg("risk_score"), 4).alias("mean_risk"), F.max("risk_score").alias("max_risk"),
+                 F.min("risk_score").alias("min_risk"), F.count_if("requires_investigation").alias("n_investigate"))
+
+
+@register("value_counts", lambda: sql.threat(None).replace("SELECT * FROM threat", """
+SELECT threat_level, count(*) AS count FROM threat WHERE threat_level IS NOT NULL GROUP BY threat_level"""))
+def q_value_counts(spark, sf):
+    return agg.value_counts(thr.flow_threat(fx.packets(spark, sf)), "threat_level")
+
+
+_PROFILE_COLS = ["flight_number", "success", "details", "rocket_id", "payloads"]
+
+
+@register("null_profile", lambda: sql.with_ctes({"launches": sql.LAUNCH["launches"]}, " UNION ALL ".join(
+    f"SELECT count(*) AS rows, '{c}' AS column_name, count({c}) AS non_null FROM launches" for c in _PROFILE_COLS)))
+def q_null_profile(spark, sf):
+    return agg.null_profile(fx.launches(spark, sf), _PROFILE_COLS)
+
+
+@register("union_all", lambda: sql.with_ctes({"hourly": sql.MARKET["hourly"], "daily": sql.MARKET["daily"]}, """
+SELECT crypto_id, price_usd, volume, 'hourly' AS grain FROM hourly
+UNION ALL SELECT crypto_id, price_usd, volume, 'daily' AS grain FROM daily"""))
+def q_union_all(spark, sf):
+    h = fx.hourly(spark, sf).select("crypto_id", "price_usd", "volume", F.lit("hourly").alias("grain"))
+    d = fx.daily(spark, sf).select("crypto_id", "price_usd", "volume", F.lit("daily").alias("grain"))
+    return cmb.union_branches(h, d)
+
+
+@register("mean_std", lambda: sql.with_ctes({"daily": sql.MARKET["daily"]}, """
+SELECT crypto_id, round_even(avg(price_usd) * 10000, 0) / 10000 AS mean_price,
+       round_even(stddev_samp(price_usd) * 10000, 0) / 10000 AS std_price, count(*) AS n
+FROM daily GROUP BY crypto_id"""))
+def q_mean_std(spark, sf):
+    d = fx.daily(spark, sf)
+    return d.groupBy("crypto_id").agg(fc.round_half_even(F.avg("price_usd"), 4).alias("mean_price"),
+                                      fc.round_half_even(F.stddev_samp("price_usd"), 4).alias("std_price"),
+                                      F.count(F.lit(1)).alias("n"))

@@ -65,3 +65,17 @@ def read_paths_tagged(spark: SparkSession, paths: Mapping[str, str], fmt: str =
         if hp.getFileSystem(conf).exists(hp):
             found[name] = spark.read.format(fmt).load(p)
     return fan_in(found, tag)
+
+
+def read_exported_json(spark: SparkSession, exports: Mapping[str, str], dataset: str) -> tuple[DataFrame, int]:
+    """Read back one exported dataset by name with its row count; an unknown
+    name is an error."""
+    if dataset not in exports:
+        raise KeyError(f"unknown dataset {dataset!r}")
+    df = spark.read.json(exports[dataset])
+    return df, df.count()
+
+
+def sql_query(spark: SparkSession, text: str) -> DataFrame:
+    """SQL text -> frame over registered views; errors are raised, not hidden."""
+    return spark.sql(text)
