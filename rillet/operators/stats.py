@@ -69,7 +69,10 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float],
     out = []
     for n in names:
         lo, hi, h = F.col(f"{n}_vlo"), F.col(f"{n}_vhi"), F.col(f"{n}_h")
-        out.append((lo + (h - F.floor(h)) * (hi - lo)).alias(n))
+        t = h - F.floor(h)
+        # numpy's linear interpolation (what pandas' quantile uses): from the
+        # nearer end, so results are exact at the bracketing values.
+        out.append(F.when(t >= 0.5, hi - (hi - lo) * (F.lit(1.0) - t)).otherwise(lo + (hi - lo) * t).alias(n))
     return pair.select(*out)
 
 
