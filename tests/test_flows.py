@@ -1,0 +1,112 @@
+"""Flows on the driver tables: golden rows, partition invariance, plan shape,
+streaming reuse of the row-wise operators."""
+
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as E
+from rillet.plans import creatures as crf
+from rillet.plans import fixtures as fx
+from rillet.plans import indicators as ind
+from rillet.session import checkpoint_dir
+
+SF = "/root/testdata/sf0.001"
+
+# Golden rows: stats and the derived values of five creatures, as exported by the reference.
+GOLDEN = [
+    # id, name, base_experience, hp, attack, defense, sp_attack, sp_defense, speed, total, rarity, power, role
+    (1, "bulbasaur", 64, 45, 49, 49, 65, 65, 45, 318, "common", 350.0, "balanced"),
+    (2, "ivysaur", 142, 60, 62, 63, 80, 80, 60, 405, "uncommon", 476.0, "balanced"),
+    (3, "venusaur", 236, 80, 82, 83, 100, 100, 80, 525, "rare", 643.0, "tank"),
+    (6, "charizard", 240, 78, 84, 78, 109, 85, 100, 534, "rare", 654.0, "sweeper"),
+    (20, "raticate", 145, 55, 81, 60, 50, 70, 97, 413, "uncommon", 485.5, "sweeper"),
+]
+
+
+def test_golden_creatures(spark):
+    rows = [(g[0], g[1], g[2], *g[3:9], False, False) for g in GOLDEN]
+    df = spark.createDataFrame(rows, "pokemon_id long, name string, base_experience long, hp long, attack long, "
+                                     "defense long, special_attack long, special_defense long, speed long, "
+                                     "is_legendary boolean, is_mythical boolean")
+    out = {r["pokemon_id"]: r for r in crf.branch(crf.transform(df)).collect()}
+    for g in GOLDEN:
+        r = out[g[0]]
+        assert (r["name"], r["total_stats"], r["rarity"], r["power_score"], r["combat_role"]) == \
+            (g[1].title(), g[9], g[10], g[11], g[12])
+        assert r["legendary_tier"] is None
+
+
+def test_legendary_branch_rows(spark):
+    rows = [(1, "x", 100, 100, 120, 100, 120, 100, 140, True, False),
+            (2, "y", 100, 80, 80, 80, 80, 80, 80, True, True),
+            (3, "z", 100, 80, 80, 80, 80, 80, 80, None, None)]
+    df = spark.createDataFrame(rows, "pokemon_id long, name string, base_experience long, hp long, attack long, "
+                                     "defense long, special_attack long, special_defense long, speed long, "
+                                     "is_legendary boolean, is_mythical boolean")
+    out = {r["pokemon_id"]: r for r in crf.branch(crf.transform(df)).collect()}
+    assert (out[1]["legendary_tier"], out[1]["power_score"], out[1]["combat_role"]) == ("box_legendary", 1120.0, None)
+    assert (out[2]["legendary_tier"], out[2]["rarity"]) == ("mythical", "mythical")
+    assert (out[3]["legendary_tier"], out[3]["combat_role"], out[3]["rarity"]) == (None, "balanced", "uncommon")
+
+
+def _rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_partition_invariance(spark):
+    base = _rows(ind.flow_indicators(fx.bars(spark, SF)))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "1")
+        one = _rows(ind.flow_indicators(fx.bars(spark, SF)))
+        spark.conf.set("spark.sql.shuffle.partitions", "13")
+        shuffled = fx.bars(spark, SF).repartition(5, F.rand(3))
+        many = _rows(ind.flow_indicators(shuffled))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert base == one == many
+
+
+def test_entry_and_every_query_builds(spark):
+    assert E.entry(spark).count() > 0
+    qs, orc = E.queries(), E.oracle_sql()
+    assert set(orc) <= set(qs)
+    for name in ["flow_threat", "flow_weather", "flow_posts", "flow_legendary", "flow_quality_branch"]:
+        assert qs[name](spark, SF).count() >= 0
+
+
+@pytest.mark.parametrize("name", ["flow_indicators", "flow_threat", "flow_cross_validation", "flow_quality_branch",
+                                  "flow_retail_cross", "flow_weather", "flow_posts", "flow_legendary"])
+def test_no_python_in_plans(spark, name):
+    plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_pushdown_and_pruning(spark):
+    df = E.queries()["time_range_scan"](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in plan
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,event_type:string,value:double>" in plan
+    hourly = fx.hourly(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(l_shipdate" in hourly and "l_returnflag" not in hourly
+
+
+def test_streaming_rowwise(spark):
+    from rillet.plans import weather as wf
+    from rillet.streaming import apply_rowwise, ensure_rowwise, write_each_batch
+    rows = fx.weather_rows(spark, SF)
+    src = (spark.readStream.schema(fx.table(spark, SF, "events").schema)
+           .option("pathGlobFilter", "events.parquet").parquet(SF))
+    staged = src.select("event_id", F.col("ts").alias("time"), (F.col("value") / 10.0 - 10.0).alias("temperature_2m"),
+                        F.lit(50.0).alias("relative_humidity_2m"), (F.col("value") / 40.0).alias("precipitation"),
+                        (F.col("value") / 5.0).alias("wind_speed_10m"))
+    out = apply_rowwise(staged, wf.transform)
+    got = []
+    ckpt = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    q = write_each_batch(out, lambda b, i: got.append(b.count()), ckpt)
+    q.awaitTermination(120)
+    assert sum(got) == fx.table(spark, SF, "events").count()
+    with pytest.raises(ValueError):
+        ensure_rowwise(rows.groupBy("feed").count())
