@@ -75,16 +75,21 @@ def volatility_and_rsi(window: int = 7, rsi_n: int = 14) -> Stage:
     """
     def st(w: WindowSpec) -> dict[str, Column]:
         d = F.col("_delta")
-        gain = F.avg(F.when(d > 0, d).otherwise(F.lit(0.0))).over(w.rowsBetween(1 - rsi_n, 0))
-        loss = F.avg(F.when(d < 0, -d).otherwise(F.lit(0.0))).over(w.rowsBetween(1 - rsi_n, 0))
-        loss = F.when(loss == 0, F.lit(0.0001)).otherwise(loss)
         return {
             f"volatility_{window}d": F.stddev_samp("daily_return").over(w.rowsBetween(1 - window, 0)),
-            "rsi": F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + gain / loss),
+            "_gain": F.avg(F.when(d > 0, d).otherwise(F.lit(0.0))).over(w.rowsBetween(1 - rsi_n, 0)),
+            "_loss": F.avg(F.when(d < 0, -d).otherwise(F.lit(0.0))).over(w.rowsBetween(1 - rsi_n, 0)),
         }
     return st
 
 
+def rsi_from_means(gain: str = "_gain", loss: str = "_loss") -> Column:
+    """``100 - 100 / (1 + gain/loss)`` with a zero mean loss taken as 0.0001."""
+    lo = F.col(loss)
+    lo = F.when(lo == 0, F.lit(0.0001)).otherwise(lo)
+    return F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + F.col(gain) / lo)
+
+
 def momentum(close: str = "close", ma: str = "ma_7") -> Column:
     """Distance of close from its moving average, in percent."""
     return F.try_divide(F.col(close) - F.col(ma), F.col(ma)) * F.lit(100.0)
@@ -99,5 +104,5 @@ def with_indicators(bars: DataFrame, key: str = "symbol", ts: str = "timestamp",
     missing values (first rows) become 0."""
     out = rolling(bars, key, [ts], [returns_and_averages(), volatility_and_rsi()],
                   lookback=19, skew_safe=skew_safe, chunk_rows=chunk_rows)
-    out = out.withColumn("momentum", momentum()).drop("_delta")
+    out = out.withColumns({"momentum": momentum(), "rsi": rsi_from_means()}).drop("_delta", "_gain", "_loss")
     return out.fillna(0.0, subset=INDICATOR_COLUMNS)
