@@ -305,7 +305,7 @@ SELECT o_orderkey AS flight_number, 'mission-' || CAST(o_orderkey AS VARCHAR) AS
        CASE WHEN o_orderpriority NOT IN ('1-URGENT', '2-HIGH') THEN o_orderpriority END AS details,
        o_custkey AS rocket_id, CAST(o_orderkey % 30 AS INTEGER) AS launchpad_id,
        coalesce(l.crew, 0) AS crew, coalesce(l.payloads, 0) AS payloads, coalesce(l.cores_used, 0) AS cores_used
-FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS payloads, count_if(l_returnflag = 'R') AS crew,
+FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS payloads, CAST(count_if(l_returnflag = 'R') AS BIGINT) AS crew,
                               count(DISTINCT l_suppkey) AS cores_used FROM lineitem GROUP BY l_orderkey) l
   ON o_orderkey = l.l_orderkey""",
     "rockets": """

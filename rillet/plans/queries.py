@@ -678,7 +678,7 @@ def q_fill_null(spark, sf):
 
 @register("global_agg", lambda: sql.threat(None).replace("SELECT * FROM threat", """
 SELECT round_even(avg(risk_score) * 10000, 0) / 10000 AS mean_risk, max(risk_score) AS max_risk,
-       min(risk_score) AS min_risk, count_if(requires_investigation) AS n_investigate FROM threat"""))
+       min(risk_score) AS min_risk, CAST(count_if(requires_investigation) AS BIGINT) AS n_investigate FROM threat"""))
 def q_global_agg(spark, sf):
     t = thr.flow_threat(fx.packets(spark, sf))
     return t.agg(fc.round_half_even(F.avg("risk_score"), 4).alias("mean_risk"), F.max("risk_score").alias("max_risk"),
