@@ -324,3 +324,14 @@ def catalogue_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         (i + 1).alias("stage_number")))
     doc = F.struct(F.concat(F.lit("p-"), F.col("doc_id")).alias("pipeline_id"), stages.alias("stages"))
     return docs.select(F.to_json(doc).alias("json"))
+
+
+def rocket_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rocket JSON whose ``height`` object and ``boosters`` field may be absent
+    (NULL fields are left out of the text)."""
+    c = table(spark, sf_dir, "customer")
+    doc = F.struct(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+        F.when(F.col("c_acctbal") >= 0, F.struct((F.col("c_acctbal") / 100.0).alias("meters"))).alias("height"),
+        F.when(F.pmod("c_nationkey", F.lit(2)) == 0, F.col("c_nationkey").cast("long")).alias("boosters"))
+    return c.select(F.to_json(doc).alias("json"))

@@ -718,3 +718,39 @@ def q_mean_std(spark, sf):
     return d.groupBy("crypto_id").agg(fc.round_half_even(F.avg("price_usd"), 4).alias("mean_price"),
                                       fc.round_half_even(F.stddev_samp("price_usd"), 4).alias("std_price"),
                                       F.count(F.lit(1)).alias("n"))
+
+
+@register("json_optional_fields", """
+SELECT c_custkey AS id, c_name AS name, CASE WHEN c_acctbal >= 0 THEN c_acctbal / 100.0::DOUBLE END AS height_meters,
+       CASE WHEN c_nationkey % 2 = 0 THEN CAST(c_nationkey AS BIGINT) ELSE 0 END AS boosters
+FROM customer""")
+def q_json_optional_fields(spark, sf):
+    schema = "struct<id: bigint, name: string, height: struct<meters: double>, boosters: bigint>"
+    d = rs.parse_json(fx.rocket_documents(spark, sf), "json", schema, "r")
+    return d.select(F.col("r.id").alias("id"), F.col("r.name").alias("name"),
+                    F.col("r.height.meters").alias("height_meters"),
+                    F.coalesce(F.col("r.boosters"), F.lit(0).cast("long")).alias("boosters"))
+
+
+@register("export_read_back", """
+SELECT o_orderkey, o_custkey, o_orderstatus, CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS DOUBLE) AS o_totalprice,
+       strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS o_orderdate
+FROM orders ORDER BY o_orderkey LIMIT 200""")
+def q_export_read_back(spark, sf):
+    o = fx.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
+                                            F.col("o_totalprice").cast("decimal(12,2)").alias("o_totalprice"),
+                                            "o_orderdate")
+    path = _landed(spark, "orders_export")
+    sinks.export_json(o, path, ["o_orderkey"], 200)
+    df, n = fs.read_exported_json(spark, {"orders": path}, "orders")
+    if n != 200 and n != o.count():
+        raise RuntimeError("export read-back count differs")
+    return df.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+
+
+@register("paged_source", "SELECT page_id, url FROM pages")
+def q_paged_source(spark, sf):
+    path = _landed(spark, "pages_paged")
+    pages = fx.table(spark, sf, "pages").select("page_id", "url")
+    sinks.replace_files(pages.repartitionByRange(7, "page_id"), path)
+    return fs.read_pages(spark, path).select("page_id", "url")

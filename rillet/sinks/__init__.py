@@ -111,3 +111,10 @@ def write_many(frames: Mapping[str, DataFrame], writer) -> dict[str, int]:
     if failed:
         raise RuntimeError(f"sinks failed: {', '.join(f'{k}: {v}' for k, v in failed.items())}")
     return done
+
+
+def with_processing_time(df: DataFrame, name: str = "processed_at", as_of: str | None = None) -> DataFrame:
+    """Stamp every row at the sink: the query start time, or a fixed ``as_of``
+    (reproducible runs and comparisons)."""
+    ts = F.lit(as_of).cast("timestamp_ntz") if as_of else F.current_timestamp().cast("timestamp_ntz")
+    return df.withColumn(name, ts)

@@ -79,3 +79,13 @@ def read_exported_json(spark: SparkSession, exports: Mapping[str, str], dataset:
 def sql_query(spark: SparkSession, text: str) -> DataFrame:
     """SQL text -> frame over registered views; errors are raised, not hidden."""
     return spark.sql(text)
+
+
+def read_pages(spark: SparkSession, path: str | Sequence[str], fmt: str = "parquet") -> DataFrame:
+    """Paged source: every file is one page; the page number is the rank of the
+    file name. The file list (one row per file) is numbered and broadcast."""
+    df = spark.read.format(fmt).load(path).withColumn("_file", F.input_file_name())
+    files = df.select("_file").distinct()
+    from pyspark.sql import Window
+    numbered = files.select("_file", F.row_number().over(Window.orderBy("_file")).alias("page_no"))
+    return df.join(F.broadcast(numbered), "_file").drop("_file")
