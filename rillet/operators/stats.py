@@ -40,40 +40,52 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float],
     * ``"approx"``: ``percentile_approx`` (bounded sketch, approximate).
     """
     names = list(names or [_qname(q) for q in qs])
-    vals = df.select(F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    if method == "percentile":
-        return vals.agg(*[F.percentile("_v", F.lit(q)).alias(n) for q, n in zip(qs, names)])
-    if method == "approx":
-        return vals.agg(*[F.percentile_approx("_v", F.lit(q), 100000).alias(n) for q, n in zip(qs, names)])
-    idx = with_global_index(vals, [F.col("_v")], "_rn")
-    total = idx.agg(F.count(F.lit(1)).alias("_n"))
-    pos = {}
-    for q, n in zip(qs, names):
-        h = (F.col("_n") - 1) * F.lit(float(q))
-        pos[f"{n}_h"] = h
-        pos[f"{n}_lo"] = F.floor(h) + 1
-        pos[f"{n}_hi"] = F.ceil(h) + 1
-    bounds = total.select("*", *[c.alias(k) for k, c in pos.items()])
-    wanted = None
-    for n in names:
-        hit = (F.col("_rn") == F.col(f"{n}_lo")) | (F.col("_rn") == F.col(f"{n}_hi"))
-        wanted = hit if wanted is None else wanted | hit
-    picked = idx.crossJoin(F.broadcast(bounds)).filter(wanted)
-    aggs = []
-    for n in names:
-        aggs += [F.max(F.when(F.col("_rn") == F.col(f"{n}_lo"), F.col("_v"))).alias(f"{n}_vlo"),
-                 F.max(F.when(F.col("_rn") == F.col(f"{n}_hi"), F.col("_v"))).alias(f"{n}_vhi"),
-                 F.first(f"{n}_h").alias(f"{n}_h")]
-    pair = picked.agg(*aggs)
-    # An empty input still yields one row (all NULL), like a global aggregate.
-    out = []
-    for n in names:
-        lo, hi, h = F.col(f"{n}_vlo"), F.col(f"{n}_vhi"), F.col(f"{n}_h")
-        t = h - F.floor(h)
-        # numpy's linear interpolation (what pandas' quantile uses): from the
-        # nearer end, so results are exact at the bracketing values.
-        out.append(F.when(t >= 0.5, hi - (hi - lo) * (F.lit(1.0) - t)).otherwise(lo + (hi - lo) * t).alias(n))
-    return pair.select(*out)
+    return exact_quantiles_many(df, [(col, q, n) for q, n in zip(qs, names)], method)
+
+
+def exact_quantiles_many(df: DataFrame, specs: Sequence[tuple[str, float, str]],
+                         method: str = "distributed") -> DataFrame:
+    """Exact quantiles of several columns in one pass: ``specs`` is
+    ``(column, q, output name)``; the result is one row.
+
+    Distributed method: the columns are stacked into (column, value) rows, so
+    one range shuffle and one numbering serve all of them; per-column row
+    counts and first ranks (one row per column) give each value its rank
+    within its column; only the rows bracketing each wanted rank are kept.
+    """
+    cols = list(dict.fromkeys(c for c, _, _ in specs))
+    if method in ("percentile", "approx"):
+        aggs = []
+        for c, q, n in specs:
+            v = F.col(c).cast("double")
+            v = F.when(~F.isnan(v), v)
+            aggs.append((F.percentile(v, F.lit(q)) if method == "percentile"
+                         else F.percentile_approx(v, F.lit(q), 100000)).alias(n))
+        return df.agg(*aggs)
+    stacked = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_k"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(cols)])).alias("_s"))
+    vals = stacked.select("_s._k", "_s._v").filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    idx = with_global_index(vals, [F.col("_k"), F.col("_v")], "_rn")
+    per_col = idx.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"), F.min("_rn").alias("_first"))
+    spark = df.sparkSession
+    wanted = spark.createDataFrame([(cols.index(c), float(q), n) for c, q, n in specs], "_k int, _q double, _name string")
+    h = (F.col("_n") - 1) * F.col("_q")
+    bounds = wanted.join(per_col, "_k", "left").select(
+        "_k", "_name", h.alias("_h"),
+        (F.col("_first") + F.floor(h)).alias("_lo"), (F.col("_first") + F.ceil(h)).alias("_hi"))
+    # bounds has one row per requested quantile: a proven size bound.
+    hits = idx.join(F.broadcast(bounds), "_k").filter((F.col("_rn") == F.col("_lo")) | (F.col("_rn") == F.col("_hi")))
+    pairs = hits.groupBy("_name").agg(
+        F.max(F.when(F.col("_rn") == F.col("_lo"), F.col("_v"))).alias("_vlo"),
+        F.max(F.when(F.col("_rn") == F.col("_hi"), F.col("_v"))).alias("_vhi"),
+        F.first("_h").alias("_h"))
+    lo, hi, hh = F.col("_vlo"), F.col("_vhi"), F.col("_h")
+    t = hh - F.floor(hh)
+    # numpy's linear interpolation (what pandas' quantile uses): from the
+    # nearer end, so results are exact at the bracketing values.
+    val = F.when(t >= 0.5, hi - (hi - lo) * (F.lit(1.0) - t)).otherwise(lo + (hi - lo) * t)
+    # One row even for empty input (all NULL), like a global aggregate.
+    return pairs.agg(*[F.max(F.when(F.col("_name") == n, val)).alias(n) for _, _, n in specs])
 
 
 def quantile_flags(df: DataFrame, specs: Sequence[tuple[str, str, float, str]],
@@ -81,23 +93,18 @@ def quantile_flags(df: DataFrame, specs: Sequence[tuple[str, str, float, str]],
     """Strict threshold flags against global quantiles.
 
     ``specs``: ``(out_name, column, q, op)`` with op ``'>'`` or ``'<'``. All
-    quantiles of one column are computed in one pass; flags are never NULL.
+    thresholds come from one statistics pass and are attached as one
+    broadcast row; flags are never NULL.
     """
-    by_col: dict[str, list[float]] = {}
-    for _, c, q, _ in specs:
-        by_col.setdefault(c, [])
-        if q not in by_col[c]:
-            by_col[c].append(q)
-    stats = None
-    for c, qs in by_col.items():
-        one = exact_quantiles(df, c, qs, [f"_q_{c}_{_qname(q)}" for q in qs], method)
-        stats = one if stats is None else stats.crossJoin(one)
+    wanted = list(dict.fromkeys((c, q) for _, c, q, _ in specs))
+    tmp = {cq: f"_q_{i}" for i, cq in enumerate(wanted)}
+    stats = exact_quantiles_many(df, [(c, q, tmp[(c, q)]) for c, q in wanted], method)
     out = with_global_stats(df, stats)
     for name, c, q, op in specs:
-        thr = F.col(f"_q_{c}_{_qname(q)}")
+        thr = F.col(tmp[(c, q)])
         cond = F.col(c) > thr if op == ">" else F.col(c) < thr
         out = out.withColumn(name, F.coalesce(cond, F.lit(False)))
-    return out.drop(*[f"_q_{c}_{_qname(q)}" for c, qs in by_col.items() for q in qs])
+    return out.drop(*tmp.values())
 
 
 def max_normalize(df: DataFrame, col: str, out: str, places: int = 2) -> DataFrame:

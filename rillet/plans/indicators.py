@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,6 +67,8 @@ def market_context(df: DataFrame, quantile_method: str = "distributed") -> DataF
 def flow_indicators(bars: DataFrame, skew_safe: bool = True) -> DataFrame:
     """Whole flow on a bars frame (symbol, timestamp, open, high, low, close, volume)."""
     clean = bars.na.drop("any").withColumn("date", F.to_date("timestamp"))
-    ind = with_indicators(clean, "symbol", "timestamp", skew_safe=skew_safe)
+    # The indicator frame feeds the rows, the per-symbol means and the global
+    # quantile; keep it once instead of re-running the windows per consumer.
+    ind = with_indicators(clean, "symbol", "timestamp", skew_safe=skew_safe).persist(StorageLevel.MEMORY_AND_DISK)
     ctx = market_context(ind)
     return with_rounded(ctx.select(*OUTPUT_COLUMNS), ROUNDED)
