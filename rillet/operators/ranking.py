@@ -17,10 +17,26 @@ from pyspark.sql import functions as F
 _LOW_BITS = (1 << 33) - 1  # monotonically_increasing_id: record number within a partition
 
 
+def _bytes(text: str) -> int:
+    t = text.strip().lower().rstrip("b")
+    mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}.get(t[-1:], 1)
+    return int(float(t[:-1] if t[-1:] in "kmgt" else t) * mult)
+
+
 def _partitions(df: DataFrame, n: int | None) -> int:
+    """Range partitions for a numbering: the plan's size estimate divided by
+    the advisory partition size, at most ``spark.sql.shuffle.partitions``.
+    (An explicit count is not coalesced by AQE, so it is sized up front.)"""
     if n:
         return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    conf = df.sparkSession.conf
+    cap = max(1, int(conf.get("spark.sql.shuffle.partitions", "200")))
+    target = _bytes(conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB") or "64MB")
+    try:
+        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate: use the configured count
+        return cap
+    return int(min(cap, max(1, -(-est // max(target, 1)))))
 
 
 def with_global_index(df: DataFrame, order: Sequence[Column | str], name: str = "_rn",
