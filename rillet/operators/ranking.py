@@ -25,7 +25,8 @@ def _bytes(text: str) -> int:
 
 def _partitions(df: DataFrame, n: int | None) -> int:
     """Range partitions for a numbering: the plan's size estimate divided by
-    the advisory partition size, at most ``spark.sql.shuffle.partitions``.
+    the advisory partition size, at least the default parallelism and at most
+    ``spark.sql.shuffle.partitions``.
     (An explicit count is not coalesced by AQE, so it is sized up front.)"""
     if n:
         return n
@@ -36,7 +37,8 @@ def _partitions(df: DataFrame, n: int | None) -> int:
         est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - no estimate: use the configured count
         return cap
-    return int(min(cap, max(1, -(-est // max(target, 1)))))
+    floor = max(1, df.sparkSession.sparkContext.defaultParallelism)  # keep every core busy
+    return int(min(cap, max(floor, -(-est // max(target, 1)))))
 
 
 def with_global_index(df: DataFrame, order: Sequence[Column | str], name: str = "_rn",

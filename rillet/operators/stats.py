@@ -38,6 +38,10 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float],
     * ``"percentile"``: Spark's exact ``percentile`` aggregate; its final merge
       holds a value->count map in one task, so use it for low-cardinality data.
     * ``"approx"``: ``percentile_approx`` (bounded sketch, approximate).
+    * ``"bracket"``: exact; ranks only the values between two approximate
+      probes (two scans, a small shuffle). Each column's sketches are merged in
+      one task, which grows with the number of map tasks, so the default stays
+      ``"distributed"`` for the largest inputs.
     """
     names = list(names or [_qname(q) for q in qs])
     return exact_quantiles_many(df, [(col, q, n) for q, n in zip(qs, names)], method)
@@ -65,6 +69,8 @@ def exact_quantiles_many(df: DataFrame, specs: Sequence[tuple[str, float, str]],
     stacked = df.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("_k"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(cols)])).alias("_s"))
     vals = stacked.select("_s._k", "_s._v").filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    if method == "bracket":
+        return _bracketed_quantiles(vals, [(cols.index(c), q, n) for c, q, n in specs])
     idx = with_global_index(vals, [F.col("_k"), F.col("_v")], "_rn")
     per_col = idx.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"), F.min("_rn").alias("_first"))
     spark = df.sparkSession
@@ -88,23 +94,90 @@ def exact_quantiles_many(df: DataFrame, specs: Sequence[tuple[str, float, str]],
     return pairs.agg(*[F.max(F.when(F.col("_name") == n, val)).alias(n) for _, _, n in specs])
 
 
+_ACCURACY = 10000
+
+
+def _interpolate(lo: Column, hi: Column, h: Column) -> Column:
+    """numpy's linear interpolation (what pandas' quantile uses): from the
+    nearer end, so results are exact at the bracketing values."""
+    t = h - F.floor(h)
+    return F.when(t >= 0.5, hi - (hi - lo) * (F.lit(1.0) - t)).otherwise(lo + (hi - lo) * t)
+
+
+def _bracketed_quantiles(vals: DataFrame, specs: Sequence[tuple[int, float, str]]) -> DataFrame:
+    """Exact quantiles without ranking every value.
+
+    1. One aggregate per column: the count and ``percentile_approx`` at
+       ``q -/+ 4/accuracy``. Its rank error is at most ``n/accuracy``, so for
+       ``n >= 2*accuracy`` the two probe values bracket the exact order
+       statistics ``floor/ceil((n-1)q)`` with ranks to spare; a smaller column
+       (where rounding of ranks could matter) keeps all its values.
+    2. One pass counts the values below the lower probe and keeps the values
+       inside the bracket (about ``6n/accuracy`` of them plus ties).
+    3. Only the bracket is numbered (distributed index); the two wanted ranks
+       are picked and interpolated.
+    Work is two scans and a shuffle of the bracket, not of every value.
+    """
+    eps = 4.0 / _ACCURACY
+    probes = sorted({max(0.0, q - eps) for _, q, _ in specs} | {min(1.0, q + eps) for _, q, _ in specs})
+    per_col = vals.groupBy("_k").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.percentile_approx("_v", F.array(*[F.lit(p) for p in probes]), _ACCURACY).alias("_p"))
+    spark = vals.sparkSession
+    wanted = spark.createDataFrame(
+        [(k, float(q), n, probes.index(max(0.0, q - eps)) + 1, probes.index(min(1.0, q + eps)) + 1)
+         for k, q, n in specs], "_k int, _q double, _name string, _il int, _iu int")
+    h = (F.col("_n") - 1) * F.col("_q")
+    # One row per requested quantile: a proven size bound.
+    bounds = wanted.join(per_col, "_k", "left").select(
+        "_k", "_name", h.alias("_h"), F.floor(h).alias("_r_lo"), F.ceil(h).alias("_r_hi"),
+        F.when(F.col("_n") >= 2 * _ACCURACY, F.element_at("_p", F.col("_il"))).alias("_a"),
+        F.when(F.col("_n") >= 2 * _ACCURACY, F.element_at("_p", F.col("_iu"))).alias("_b"))
+    tagged = vals.join(F.broadcast(bounds), "_k")
+    below = tagged.groupBy("_name").agg(F.count_if(F.coalesce(F.col("_v") < F.col("_a"), F.lit(False)))
+                                        .alias("_below"))
+    band = tagged.filter(F.coalesce(F.col("_v").between(F.col("_a"), F.col("_b")), F.lit(True))).select("_name", "_v")
+    idx = with_global_index(band, [F.col("_name"), F.col("_v")], "_rn")
+    first = idx.groupBy("_name").agg(F.min("_rn").alias("_first"))
+    ranked = (idx.join(first, "_name").join(below, "_name").join(F.broadcast(bounds.drop("_k")), "_name")
+              .withColumn("_rank", F.col("_rn") - F.col("_first") + F.col("_below")))
+    hits = ranked.filter((F.col("_rank") == F.col("_r_lo")) | (F.col("_rank") == F.col("_r_hi")))
+    pairs = hits.groupBy("_name").agg(
+        F.max(F.when(F.col("_rank") == F.col("_r_lo"), F.col("_v"))).alias("_vlo"),
+        F.max(F.when(F.col("_rank") == F.col("_r_hi"), F.col("_v"))).alias("_vhi"),
+        F.first("_h").alias("_h"))
+    val = _interpolate(F.col("_vlo"), F.col("_vhi"), F.col("_h"))
+    return pairs.agg(*[F.max(F.when(F.col("_name") == n, val)).alias(n) for _, _, n in specs])
+
+
 def quantile_flags(df: DataFrame, specs: Sequence[tuple[str, str, float, str]],
-                   method: str = "distributed") -> DataFrame:
+                   method: str = "distributed", materialize: bool = True) -> DataFrame:
     """Strict threshold flags against global quantiles.
 
     ``specs``: ``(out_name, column, q, op)`` with op ``'>'`` or ``'<'``. All
-    thresholds come from one statistics pass and are attached as one
-    broadcast row; flags are never NULL.
+    thresholds come from one statistics pass; flags are never NULL.
+
+    ``materialize=True`` runs that pass now and inlines the thresholds as
+    literals (one row of numbers reaches the driver), so later consumers of the
+    result (e.g. a global maximum over the flagged rows) do not re-run the
+    quantile job. ``False`` keeps everything lazy: the one-row statistics are
+    attached with a broadcast cross join.
     """
     wanted = list(dict.fromkeys((c, q) for _, c, q, _ in specs))
     tmp = {cq: f"_q_{i}" for i, cq in enumerate(wanted)}
     stats = exact_quantiles_many(df, [(c, q, tmp[(c, q)]) for c, q in wanted], method)
-    out = with_global_stats(df, stats)
+    if materialize:
+        row = stats.first()
+        thresholds = {v: F.lit(row[v]).cast("double") for v in tmp.values()}
+        out = df
+    else:
+        thresholds = {v: F.col(v) for v in tmp.values()}
+        out = with_global_stats(df, stats)
     for name, c, q, op in specs:
-        thr = F.col(tmp[(c, q)])
+        thr = thresholds[tmp[(c, q)]]
         cond = F.col(c) > thr if op == ">" else F.col(c) < thr
         out = out.withColumn(name, F.coalesce(cond, F.lit(False)))
-    return out.drop(*tmp.values())
+    return out if materialize else out.drop(*tmp.values())
 
 
 def max_normalize(df: DataFrame, col: str, out: str, places: int = 2) -> DataFrame:

@@ -35,7 +35,7 @@ def test_exact_quantiles_match_numpy(spark):
     df = spark.createDataFrame([(float(x) if x is not None else None,) for x in xs], "x double")
     qs = [0.15, 0.25, 0.75, 0.85]
     clean = [x for x in xs if x is not None and not np.isnan(x)]
-    for method in ["distributed", "percentile"]:
+    for method in ["distributed", "bracket", "percentile"]:
         row = exact_quantiles(df, "x", qs, ["a", "b", "c", "d"], method).first()
         assert np.allclose([row["a"], row["b"], row["c"], row["d"]], np.quantile(clean, qs), rtol=0, atol=1e-12)
     empty = exact_quantiles(spark.createDataFrame([(None,)], "x double"), "x", [0.5], ["m"]).collect()
@@ -137,3 +137,16 @@ def test_tags_contain_all(spark):
     tags = cmb.tag_array([(F.col("a"), "A"), (F.col("b"), "B")])
     out = df.select(cmb.tags_contain_all(tags, ["A", "B"]).alias("ok")).collect()
     assert [r["ok"] for r in out] == [False, True]
+
+
+def test_bracketed_quantiles_exact_with_ties_and_hot_value(spark):
+    from rillet.operators.stats import exact_quantiles_many
+    rng = np.random.default_rng(9)
+    n = 30000  # above the size where only the bracket is ranked
+    x = np.where(rng.uniform(size=n) < 0.34, 7.0, rng.integers(0, 19, size=n).astype(float))
+    y = rng.normal(size=n)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "x double, y double")
+    qs = [0.0, 0.15, 0.5, 0.85, 1.0]
+    specs = [("x", q, f"x{i}") for i, q in enumerate(qs)] + [("y", q, f"y{i}") for i, q in enumerate(qs)]
+    row = exact_quantiles_many(df, specs, "bracket").first()
+    assert [row[n] for _, _, n in specs] == list(np.quantile(x, qs)) + list(np.quantile(y, qs))
