@@ -17,9 +17,18 @@ def parse_json(df: DataFrame, text_col: str, schema: T.DataType | str, out: str
 
 
 def arrays_to_rows(df: DataFrame, struct_col: str, arrays: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """Dict of parallel arrays -> one row per position (``inline(arrays_zip)``)."""
-    zipped = F.arrays_zip(*[F.col(f"{struct_col}.{a}").alias(a) for a in arrays])
-    return df.select(*keep, F.inline(zipped))
+    """Dict of parallel arrays -> one row per position (``inline(arrays_zip)``).
+
+    Shorter or missing arrays give NULL at the missing positions (a missing
+    array counts as empty); a missing document gives no rows.
+    """
+    st = df.schema[struct_col].dataType
+    cols = []
+    for a in arrays:
+        c = F.col(f"{struct_col}.{a}")
+        empty = F.array_repeat(F.lit(None).cast(st[a].dataType.elementType), 0)
+        cols.append(F.when(F.col(struct_col).isNotNull(), F.coalesce(c, empty)).alias(a))
+    return df.filter(F.col(struct_col).isNotNull()).select(*keep, F.inline(F.arrays_zip(*cols)))
 
 
 def zip_with_default(df: DataFrame, main: str, partner: str, keep: Sequence[str] = (),

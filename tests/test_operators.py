@@ -150,3 +150,47 @@ def test_bracketed_quantiles_exact_with_ties_and_hot_value(spark):
     specs = [("x", q, f"x{i}") for i, q in enumerate(qs)] + [("y", q, f"y{i}") for i, q in enumerate(qs)]
     row = exact_quantiles_many(df, specs, "bracket").first()
     assert [row[n] for _, _, n in specs] == list(np.quantile(x, qs)) + list(np.quantile(y, qs))
+
+
+def test_systematic_sample_edges(spark):
+    for n, m in [(200, 200), (201, 200), (1001, 200), (399, 200)]:
+        df = spark.createDataFrame([(i,) for i in range(n)], "v long")
+        got = sorted(r["v"] for r in ranking.systematic_sample(df, [F.col("v")], m).collect())
+        expect = list(range(n)) if n <= m else list(range(0, n, n // m))[:m]
+        assert got == expect, (n, m)
+
+
+def test_left_join_dims_edges(spark):
+    fact = spark.createDataFrame([(1, 10), (2, None), (3, 99)], "id int, dim_id int")
+    dim = spark.createDataFrame([(10, "a"), (10, "a2"), (11, "b")], "dim_id int, name string")
+    out = sorted((r["id"], r["name"]) for r in cmb.left_join_dims(fact, [(dim, "dim_id")]).collect())
+    # duplicate dimension key fans out; unmatched and NULL keys keep NULL columns
+    assert out == [(1, "a"), (1, "a2"), (2, None), (3, None)]
+    from pyspark.sql import types as T
+    empty = cmb.typed_empty(spark, T.StructType([T.StructField("dim_id", T.IntegerType()),
+                                                 T.StructField("name", T.StringType())]))
+    assert sorted((r["id"], r["name"]) for r in cmb.left_join_dims(fact, [(empty, "dim_id")]).collect()) == \
+        [(1, None), (2, None), (3, None)]
+
+
+def test_union_column_order_and_empty_side(spark):
+    a = spark.createDataFrame([(1, "x")], "id int, s string")
+    b = spark.createDataFrame([("y", 2, 0.5)], "s string, id int, extra double")
+    e = spark.createDataFrame([], "id int")
+    out = sorted(tuple(r) for r in cmb.union_branches(a, b, e).select("id", "s", "extra").collect())
+    assert out == [(1, "x", None), (2, "y", 0.5)]
+
+
+def test_value_counts_and_null_profile(spark):
+    df = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "c string")
+    assert sorted(tuple(r) for r in agg.value_counts(df, "c").collect()) == [("a", 2), ("b", 1)]
+    prof = {r["column_name"]: (r["rows"], r["non_null"]) for r in agg.null_profile(df).collect()}
+    assert prof == {"c": (4, 3)}
+
+
+def test_group_index_first_seen(spark):
+    df = spark.createDataFrame([(1, 1, "x"), (1, 2, "y"), (1, 3, "x"), (1, 4, "z"), (2, 1, "z")],
+                               "parent_id long, stage_number int, stage_type string")
+    from rillet.plans.parents import group_colours
+    out = {(r["parent_id"], r["stage_number"]): r["colour_index"] for r in group_colours(df, palette=2).collect()}
+    assert out == {(1, 1): 0, (1, 2): 1, (1, 3): 0, (1, 4): 0, (2, 1): 0}

@@ -111,3 +111,10 @@ def test_read_paths_tagged_skips_absent(spark):
     out = fs.read_paths_tagged(spark, {"here": p, "gone": p + "-missing"}, tag="region")
     assert out.count() == 2 and {r["region"] for r in out.collect()} == {"here"}
     assert os.path.basename(p)
+
+
+def test_arrays_to_rows_missing_and_short(spark):
+    df = spark.createDataFrame([({"t": [1, 2], "v": [0.5, 1.5]},), ({"t": [3], "v": None},), (None,)],
+                               "h struct<t: array<int>, v: array<double>>")
+    out = sorted(tuple(r) for r in rs.arrays_to_rows(df, "h", ["t", "v"]).collect())
+    assert out == [(1, 0.5), (2, 1.5), (3, None)]
