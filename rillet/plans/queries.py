@@ -139,9 +139,9 @@ _threat_view("quantile_flag", ["flow_id", "packet_count_5s", "high_volume_traffi
 _threat_view("pattern_flag", ["flow_id", "tcp_flags_SYN", "tcp_flags_SYN-ACK", "potential_syn_flood"])
 
 
-@register("quantiles", lambda: sql.with_ctes({"packets": sql.PACKETS}, """
-SELECT quantile_cont(packet_count_5s, 0.15) AS q15, quantile_cont(packet_count_5s, 0.25) AS q25,
-       quantile_cont(packet_count_5s, 0.75) AS q75, quantile_cont(packet_count_5s, 0.85) AS q85 FROM packets"""))
+@register("quantiles", lambda: sql.with_ctes({"packets": sql.PACKETS}, "SELECT " + ", ".join(
+    f"{sql.r(f'quantile_cont(packet_count_5s, {q})', 6)} AS q{int(q * 100)}" for q in (0.15, 0.25, 0.75, 0.85))
+    + " FROM packets"))
 def q_quantiles(spark, sf):
     from rillet.operators.stats import exact_quantiles
     out = exact_quantiles(fx.packets(spark, sf), "packet_count_5s", [0.15, 0.25, 0.75, 0.85],
