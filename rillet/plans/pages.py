@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillet.functions.columns import absolute_url, first_int, parse_money, regex_flag, renamed, url_authority
+from rillet.functions.columns import (absolute_url, first_int, parse_money, regex_flag, renamed, url_authority,
+                                      when_columns_exist)
 from rillet.functions.rules import classify
 from rillet.sources.html import count_matches, first_match
 
@@ -42,6 +43,10 @@ def flow_posts(pages: DataFrame) -> DataFrame:
 LISTING_RENAME = {"Listing Id": "listing_id", "Resort Name": "name", "Price": "price", "Reviews": "total_reviews"}
 
 
-def flow_listings(raw: DataFrame) -> DataFrame:
-    out = renamed(raw, LISTING_RENAME)
-    return out.withColumns({"price_usd": parse_money("price"), "review_count": first_int("total_reviews")})
+def flow_listings(raw: DataFrame, mapping: dict[str, str] | None = None) -> DataFrame:
+    """Rename by mapping, then parse the price and the review count, each only
+    if its source column exists."""
+    out = renamed(raw, mapping or LISTING_RENAME)
+    out = when_columns_exist(out, ["price"], lambda d: d.withColumn("price_usd", parse_money("price")))
+    return when_columns_exist(out, ["total_reviews"],
+                              lambda d: d.withColumn("review_count", first_int("total_reviews")))

@@ -24,40 +24,52 @@ def threat_edges(strict: bool = False) -> list[float]:
 
 
 def analyze(df: DataFrame, quantile_method: str = "distributed") -> DataFrame:
-    proto_cols = [c for c in df.columns if c.startswith("protocol_type_")]
+    """Each derived column only when its source columns exist."""
+    cols = set(df.columns)
     out = df
+    proto_cols = [c for c in df.columns if c.startswith("protocol_type_")]
     if proto_cols:
         out = out.withColumn("primary_protocol", onehot_decode(
             proto_cols, [c.replace("protocol_type_", "").lower() for c in proto_cols]))
-    out = out.withColumns({
-        "packet_category": bucketize("packet_size", PACKET_EDGES, PACKET_LABELS),
-        "uses_suspicious_port": flag(F.col("src_port").isin(SUSPICIOUS_PORTS)
-                                     | F.col("dst_port").isin(SUSPICIOUS_PORTS)),
-        "potential_syn_flood": flag((F.col("tcp_flags_SYN") == 1) & (F.col("`tcp_flags_SYN-ACK`") == 0)),
-        "labeled_threat": F.when(F.col("label") == 1, "malicious").otherwise("benign"),
-    })
-    # All four thresholds in one statistics pass per column, attached by a
-    # one-row broadcast.
-    return quantile_flags(out, [
-        ("high_volume_traffic", "packet_count_5s", 0.85, ">"),
-        ("low_entropy_traffic", "spectral_entropy", 0.25, "<"),
-        ("_entropy_low", "spectral_entropy", 0.15, "<"),
-        ("_energy_high", "frequency_band_energy", 0.85, ">"),
-    ], quantile_method)
+    derived = {}
+    if "packet_size" in cols:
+        derived["packet_category"] = bucketize("packet_size", PACKET_EDGES, PACKET_LABELS)
+    if {"src_port", "dst_port"} <= cols:
+        derived["uses_suspicious_port"] = flag(F.col("src_port").isin(SUSPICIOUS_PORTS)
+                                               | F.col("dst_port").isin(SUSPICIOUS_PORTS))
+    if {"tcp_flags_SYN", "tcp_flags_SYN-ACK"} <= cols:
+        derived["potential_syn_flood"] = flag((F.col("tcp_flags_SYN") == 1) & (F.col("`tcp_flags_SYN-ACK`") == 0))
+    if "label" in cols:
+        derived["labeled_threat"] = F.when(F.col("label") == 1, "malicious").otherwise("benign")
+    out = out.withColumns(derived)
+    specs = []
+    if "packet_count_5s" in cols:
+        specs.append(("high_volume_traffic", "packet_count_5s", 0.85, ">"))
+    if "spectral_entropy" in cols:
+        specs.append(("low_entropy_traffic", "spectral_entropy", 0.25, "<"))
+    if {"spectral_entropy", "frequency_band_energy"} <= cols:
+        specs += [("_entropy_low", "spectral_entropy", 0.15, "<"), ("_energy_high", "frequency_band_energy", 0.85, ">")]
+    # All thresholds in one statistics pass.
+    return quantile_flags(out, specs, quantile_method) if specs else out
 
 
 def risk(df: DataFrame, strict: bool = False) -> DataFrame:
+    """Additive risk from whichever factors are present, threat level,
+    confidence relative to the maximum, investigation flag."""
     c = F.col
-    out = df.withColumn("risk_score", score([
-        (c("labeled_threat") == "malicious", 50),
-        (c("uses_suspicious_port"), 20),
-        (c("high_volume_traffic"), 15),
-        (c("low_entropy_traffic"), 10),
-        (c("potential_syn_flood"), 15),
-        (c("_entropy_low") & c("_energy_high"), 10),
-        (c("packet_size") < 50, 8),
-        (c("packet_size") > 1400, 6),
-    ])).drop("_entropy_low", "_energy_high")
+    cols = set(df.columns)
+    terms = []
+    if "labeled_threat" in cols:
+        terms.append((c("labeled_threat") == "malicious", 50))
+    for name, pts in [("uses_suspicious_port", 20), ("high_volume_traffic", 15), ("low_entropy_traffic", 10),
+                      ("potential_syn_flood", 15)]:
+        if name in cols:
+            terms.append((c(name), pts))
+    if {"_entropy_low", "_energy_high"} <= cols:
+        terms.append((c("_entropy_low") & c("_energy_high"), 10))
+    if "packet_size" in cols:
+        terms += [(c("packet_size") < 50, 8), (c("packet_size") > 1400, 6)]
+    out = df.withColumn("risk_score", score(terms)).drop("_entropy_low", "_energy_high")
     out = out.withColumn("threat_level", bucketize("risk_score", threat_edges(strict), THREAT_LABELS))
     out = max_normalize(out, "risk_score", "anomaly_confidence")
     return out.withColumn("requires_investigation", flag(c("threat_level").isin("high", "critical")))

@@ -110,3 +110,14 @@ def test_streaming_rowwise(spark):
     assert sum(got) == fx.table(spark, SF, "events").count()
     with pytest.raises(ValueError):
         ensure_rowwise(rows.groupBy("feed").count())
+
+
+def test_threat_with_missing_columns(spark):
+    from rillet.plans import threat as thr
+    df = spark.createDataFrame([(40.0, 23, 1), (2000.0, 80, 0), (600.0, 443, None)],
+                               "packet_size double, src_port int, label int")
+    out = {r["packet_size"]: r for r in thr.flow_threat(df).collect()}
+    assert "uses_suspicious_port" not in out[40.0].asDict()
+    assert (out[40.0]["packet_category"], out[40.0]["risk_score"]) == ("tiny", 58.0)
+    assert (out[2000.0]["packet_category"], out[2000.0]["risk_score"], out[2000.0]["threat_level"]) == ("large", 6.0, "low")
+    assert out[40.0]["anomaly_confidence"] == 100.0 and out[40.0]["requires_investigation"]
