@@ -42,7 +42,7 @@ def _partitions(df: DataFrame, n: int | None) -> int:
 
 
 def with_global_index(df: DataFrame, order: Sequence[Column | str], name: str = "_rn",
-                      n_parts: int | None = None) -> DataFrame:
+                      n_parts: int | None = None, durable: bool = False) -> DataFrame:
     """Add a 1-based row number over ``order`` (which should be a total order).
 
     Steps: range-partition on ``order`` with a fixed partition count (AQE does
@@ -51,12 +51,21 @@ def with_global_index(df: DataFrame, order: Sequence[Column | str], name: str =
     partition, a proven size bound, so it is broadcast) and add the prefix sum.
     The sorted frame is persisted so that the counts and the rows see the same
     partitions; a lost block is recomputed from the same range partitioner, and
-    the total order makes the recomputed ordinals identical.
+    the total order makes the recomputed ordinals identical. ``durable=True``
+    checkpoints it to ``spark.checkpoint.dir`` instead (lineage cut, no
+    recomputation at all).
     """
     n = _partitions(df, n_parts)
     ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .persist(StorageLevel.MEMORY_AND_DISK))
+              .withColumn("_mid", F.monotonically_increasing_id()))
+    if durable:
+        # Written to the cluster's shared checkpoint folder: later stages never
+        # recompute the numbering, even after losing executors.
+        from rillet.session import checkpoint_dir
+        checkpoint_dir(df.sparkSession)
+        ranged = ranged.checkpoint(eager=True)
+    else:
+        ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
     tagged = ranged.withColumns({"_pid": F.shiftright(F.col("_mid"), 33),
                                  "_ord": F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))})
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))

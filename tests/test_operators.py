@@ -194,3 +194,9 @@ def test_group_index_first_seen(spark):
     from rillet.plans.parents import group_colours
     out = {(r["parent_id"], r["stage_number"]): r["colour_index"] for r in group_colours(df, palette=2).collect()}
     assert out == {(1, 1): 0, (1, 2): 1, (1, 3): 0, (1, 4): 0, (2, 1): 0}
+
+
+def test_global_index_durable_checkpoint(spark):
+    df = spark.createDataFrame([(i,) for i in range(100)], "v long")
+    out = ranking.with_global_index(df, [F.col("v")], "rn", n_parts=3, durable=True).collect()
+    assert sorted((r["rn"], r["v"]) for r in out) == [(i + 1, i) for i in range(100)]
