@@ -1,14 +1,38 @@
-"""Registered queries over the driver tables (one per inventory item)."""
+"""Registered queries over the driver tables (one per inventory item).
+
+Each builder reads whole tables through ``rillet.plans.fixtures`` and returns
+a lazy DataFrame; the oracle SQL next to it is the DuckDB equivalent.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
+from pyspark.sql import types as T
+
+from rillet import sinks
+from rillet.functions import columns as fc
+from rillet.operators import aggregate as agg
+from rillet.operators import combine as cmb
+from rillet.operators import ranking
+from rillet.plans import creatures as crf
+from rillet.plans import cross_validation as cvf
 from rillet.plans import fixtures as fx
+from rillet.plans import launches as lf
 from rillet.plans import oracle as sql
+from rillet.plans import pages as pgf
+from rillet.plans import parents as prf
+from rillet.plans import retail as rt
+from rillet.plans import threat as thr
+from rillet.plans import weather as wf
 from rillet.plans.catalog import register
 from rillet.plans.indicators import flow_indicators
+from rillet.session import checkpoint_dir
+from rillet.sources import files as fs
+from rillet.sources import html as htm
+from rillet.sources import reshape as rs
 
 
 @register("flow_indicators", sql.flow_indicators)
@@ -17,7 +41,6 @@ def q_flow_indicators(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- market flow
-from rillet.plans import cross_validation as cvf  # noqa: E402
 
 
 def _market(spark, sf):
@@ -63,7 +86,6 @@ _market_view("range_enrich", ["crypto_id", "price_24h_high", "price_24h_low", "p
 
 
 # ---------------------------------------------------------------- indicator views
-from rillet.operators import ranking  # noqa: E402
 
 
 def _ind_view(name, cols):
@@ -109,8 +131,6 @@ def q_sort_multi(spark, sf):
 
 
 # ---------------------------------------------------------------- network threat
-from rillet.functions import columns as fc  # noqa: E402
-from rillet.plans import threat as thr  # noqa: E402
 
 
 @register("flow_threat", sql.threat)
@@ -168,8 +188,6 @@ def q_ip_private(spark, sf):
 
 
 # ---------------------------------------------------------------- launches
-from rillet.operators import combine as cmb  # noqa: E402
-from rillet.plans import launches as lf  # noqa: E402
 
 
 def _launch_flow(spark, sf):
@@ -273,8 +291,6 @@ def q_typed_empty(spark, sf):
 
 
 # ---------------------------------------------------------------- retail and titles
-from rillet.plans import retail as rt  # noqa: E402
-from rillet.operators import aggregate as agg  # noqa: E402
 
 
 def _r4(df, cols):
@@ -341,8 +357,6 @@ _games_view("decade", ["rank", "year", "decade"])
 
 
 # ---------------------------------------------------------------- weather
-from rillet.plans import weather as wf  # noqa: E402
-from rillet.sources import reshape as rs  # noqa: E402
 
 WEATHER_COLS = ["event_id", "region", "city", "time", "date", "hour", "temperature_2m", "relative_humidity_2m",
                 "precipitation", "wind_speed_10m", "weather_type", "comfort_index", "wind_category"]
@@ -393,10 +407,6 @@ def q_json_arrays_to_rows(spark, sf):
 
 
 # ---------------------------------------------------------------- pages, listings, creatures, parents
-from rillet.plans import creatures as crf  # noqa: E402
-from rillet.plans import pages as pgf  # noqa: E402
-from rillet.plans import parents as prf  # noqa: E402
-from rillet.sources import html as htm  # noqa: E402
 
 POST_COLS = ["story_id", "title", "url", "link", "points", "author", "age", "comments", "source",
              "engagement_score", "popularity", "is_external"]
@@ -546,13 +556,6 @@ def q_group_index(spark, sf):
 
 
 # ---------------------------------------------------------------- sources, sinks and generic operators
-import uuid  # noqa: E402
-
-from pyspark.sql import types as T  # noqa: E402
-
-from rillet import sinks  # noqa: E402
-from rillet.session import checkpoint_dir  # noqa: E402
-from rillet.sources import files as fs  # noqa: E402
 
 
 def _landed(spark, name):
