@@ -14,6 +14,7 @@ from rillet.functions.columns import coef_variation, deviation_pct, range_positi
 from rillet.functions.rules import classify, flag, score
 from rillet.operators.aggregate import lookup_with_default
 
+# Columns rounded to 2 places in the output.
 ROUNDED = ["spot_price", "avg_24h_price", "avg_7d_price", "price_deviation_24h_pct",
            "price_deviation_7d_pct", "volume_deviation_pct", "volatility_score", "confidence_score",
            "manipulation_score", "price_24h_high", "price_24h_low", "price_7d_high", "price_7d_low",

@@ -12,6 +12,7 @@ from rillet.operators.aggregate import with_group_stats
 from rillet.operators.stats import exact_quantiles, with_global_stats
 from rillet.operators.timeseries import with_indicators
 
+# Output columns and the columns rounded to 2 places.
 OUTPUT_COLUMNS = [
     "timestamp", "date", "symbol", "open", "high", "low", "close", "volume",
     "daily_return", "ma_7", "ma_20", "volatility_7d", "rsi", "momentum",

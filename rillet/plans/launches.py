@@ -12,6 +12,7 @@ from rillet.operators.aggregate import with_group_stats
 from rillet.operators.combine import branch_columns, left_join_dims
 from rillet.plans.fixtures import AS_OF, LAUNCH_TS_FORMAT
 
+# The fields whose presence makes a launch record complete.
 REQUIRED = ["success", "rocket_name", "launchpad_name", "cost_per_launch", "details"]
 
 

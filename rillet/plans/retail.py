@@ -12,6 +12,7 @@ from rillet.functions.rules import bucketize
 from rillet.operators.aggregate import group_agg, group_agg_domain
 from rillet.operators.combine import cross_summary
 
+# Bin edges and labels of the source (pd.cut, right-closed).
 AGE_EDGES = [0, 18, 30, 45, 60, 100]
 AGE_LABELS = ["Under 18", "18-30", "31-45", "46-60", "Over 60"]
 SPEND_EDGES = [0, 50, 200, 500, float("inf")]

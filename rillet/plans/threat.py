@@ -11,6 +11,7 @@ from rillet.operators.stats import max_normalize, quantile_flags
 
 # Ports treated as attack vectors.
 SUSPICIOUS_PORTS = [23, 135, 139, 445, 1433, 3389, 5900]
+# Packet-size and threat bins of the source.
 PACKET_EDGES = [0, 100, 500, 1500, float("inf")]
 PACKET_LABELS = ["tiny", "small", "medium", "large"]
 THREAT_LABELS = ["low", "medium", "high", "critical"]

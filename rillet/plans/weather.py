@@ -10,6 +10,7 @@ from rillet.functions.rules import bucketize, classify
 from rillet.operators.ranking import systematic_sample
 from rillet.sources.files import fan_in
 
+# Wind bins of the source (pd.cut, right-closed).
 WIND_EDGES = [0, 5, 10, 20, 100]
 WIND_LABELS = ["calm", "light", "moderate", "strong"]
 
