@@ -81,11 +81,20 @@ def sql_query(spark: SparkSession, text: str) -> DataFrame:
     return spark.sql(text)
 
 
+MAX_BROADCAST_FILES = 100_000
+
+
 def read_pages(spark: SparkSession, path: str | Sequence[str], fmt: str = "parquet") -> DataFrame:
     """Paged source: every file is one page; the page number is the rank of the
-    file name. The file list (one row per file) is numbered and broadcast."""
-    df = spark.read.format(fmt).load(path).withColumn("_file", F.input_file_name())
-    files = df.select("_file").distinct()
-    from pyspark.sql import Window
-    numbered = files.select("_file", F.row_number().over(Window.orderBy("_file")).alias("page_no"))
-    return df.join(F.broadcast(numbered), "_file").drop("_file")
+    file name. The file list is known when the read is planned; up to
+    ``MAX_BROADCAST_FILES`` files it is numbered as a small literal table and
+    broadcast, beyond that the page number comes from a distributed numbering."""
+    df = spark.read.format(fmt).load(path)
+    files = sorted(df.inputFiles())
+    tagged = df.withColumn("_file", F.input_file_name())
+    if len(files) <= MAX_BROADCAST_FILES:
+        numbered = spark.createDataFrame([(f, i + 1) for i, f in enumerate(files)], "_file string, page_no long")
+        return tagged.join(F.broadcast(numbered), "_file").drop("_file")
+    from rillet.operators.ranking import with_global_index
+    numbered = with_global_index(tagged.select("_file").distinct(), [F.col("_file")], "page_no")
+    return tagged.join(numbered, "_file").drop("_file")
