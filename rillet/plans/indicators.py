@@ -65,11 +65,12 @@ def market_context(df: DataFrame, quantile_method: str = "distributed") -> DataF
     return out.drop("_avg_volume", "_vol_q75")
 
 
-def flow_indicators(bars: DataFrame, skew_safe: bool = True) -> DataFrame:
+def flow_indicators(bars: DataFrame, skew_safe: bool | str = "auto", chunk_rows: int = 1 << 16) -> DataFrame:
     """Whole flow on a bars frame (symbol, timestamp, open, high, low, close, volume)."""
     clean = bars.na.drop("any").withColumn("date", F.to_date("timestamp"))
     # The indicator frame feeds the rows, the per-symbol means and the global
     # quantile; keep it once instead of re-running the windows per consumer.
-    ind = with_indicators(clean, "symbol", "timestamp", skew_safe=skew_safe).persist(StorageLevel.MEMORY_AND_DISK)
+    ind = with_indicators(clean, "symbol", "timestamp", skew_safe=skew_safe,
+                          chunk_rows=chunk_rows).persist(StorageLevel.MEMORY_AND_DISK)
     ctx = market_context(ind)
     return with_rounded(ctx.select(*OUTPUT_COLUMNS), ROUNDED)
