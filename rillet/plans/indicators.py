@@ -72,5 +72,6 @@ def flow_indicators(bars: DataFrame, skew_safe: bool | str = "auto", chunk_rows:
     # quantile; keep it once instead of re-running the windows per consumer.
     ind = with_indicators(clean, "symbol", "timestamp", skew_safe=skew_safe,
                           chunk_rows=chunk_rows).persist(StorageLevel.MEMORY_AND_DISK)
+    ind.count()  # fill the cache once, before three stages start reading it at the same time
     ctx = market_context(ind)
     return with_rounded(ctx.select(*OUTPUT_COLUMNS), ROUNDED)
