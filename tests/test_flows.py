@@ -121,3 +121,21 @@ def test_threat_with_missing_columns(spark):
     assert (out[40.0]["packet_category"], out[40.0]["risk_score"]) == ("tiny", 58.0)
     assert (out[2000.0]["packet_category"], out[2000.0]["risk_score"], out[2000.0]["threat_level"]) == ("large", 6.0, "low")
     assert out[40.0]["anomaly_confidence"] == 100.0 and out[40.0]["requires_investigation"]
+
+
+@pytest.mark.parametrize("name", ["flow_indicators", "flow_threat", "flow_weather", "systematic_sample",
+                                  "quantiles", "group_index", "flow_quality_branch"])
+def test_single_partition_exchanges_only_on_bounded_tables(spark, name):
+    """An unpartitioned exchange may only carry the per-partition count table
+    of the distributed numbering (one row per partition) or a one-row
+    aggregate; never the rows themselves."""
+    df = E.queries()[name](spark, SF)
+    df.write.format("noop").mode("overwrite").save()
+    lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            child = lines[i + 1] if i + 1 < len(lines) else ""
+            # a global aggregate's partial rows (one per map task) or the
+            # numbering's count table (one row per range partition)
+            bounded = "HashAggregate(keys=[]" in child or "HashAggregate(keys=[_pid" in child
+            assert bounded, "\n".join(lines[i:i + 4])
