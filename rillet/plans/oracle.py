@@ -487,8 +487,10 @@ SELECT CAST(page_id AS VARCHAR) AS story_id, nullif(trim(regexp_extract(html, '<
        CAST(len(regexp_extract_all(html, '<p>')) AS INTEGER) AS points,
        coalesce(nullif(trim(regexp_extract(html, '&copy; ([^ <]+)', 1)), ''), 'unknown') AS author,
        coalesce(nullif(trim(regexp_extract(html, '<html lang="([^"]*)"', 1)), ''), 'unknown') AS age,
-       CAST(len(regexp_extract_all(html, '<li>')) AS INTEGER) AS comments
-FROM pages""",
+       CASE WHEN contains(ltext, 'comment')
+            THEN coalesce(TRY_CAST(nullif(regexp_extract(ltext, '^(\d+)(\s|\xa0|$)', 1), '') AS INTEGER), 0)
+            ELSE 0 END AS comments
+FROM (SELECT *, trim(regexp_extract(html, '(?s).*<a href="[^"]*">([^<]*)</a>', 1)) AS ltext FROM pages) p""",
     "posts": f"""
 SELECT story_id, title, url,
        CASE WHEN starts_with(link0, 'item?id=') THEN 'https://news.ycombinator.com/' || link0 ELSE link0 END AS link,

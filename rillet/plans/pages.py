@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillet.functions.columns import (absolute_url, first_int, parse_money, regex_flag, renamed, url_authority,
-                                      when_columns_exist)
+from rillet.functions.columns import (absolute_url, first_int, leading_count, parse_money, regex_flag, renamed,
+                                      url_authority, when_columns_exist)
 from rillet.functions.rules import classify
 from rillet.sources.html import count_matches, first_match
 
+# The comment count is read from the text of the last link of a story block.
+LAST_LINK_TEXT = r'(?s).*<a href="[^"]*">([^<]*)</a>'
+
 
 def scrape_posts(pages: DataFrame) -> DataFrame:
     """One post per page; a page without a title is skipped (required field)."""
@@ -21,7 +24,7 @@ def scrape_posts(pages: DataFrame) -> DataFrame:
         count_matches("html", "<p>").alias("points"),
         first_match("html", r"&copy; ([^ <]+)", "unknown").alias("author"),
         first_match("html", r'<html lang="([^"]*)"', "unknown").alias("age"),
-        count_matches("html", "<li>").alias("comments"))
+        leading_count(first_match("html", LAST_LINK_TEXT)).alias("comments"))
     return posts.filter(F.col("title").isNotNull()).withColumn("source", url_authority("url"))
 
 
