@@ -488,7 +488,7 @@ SELECT CAST(page_id AS VARCHAR) AS story_id, nullif(trim(regexp_extract(html, '<
        coalesce(nullif(trim(regexp_extract(html, '&copy; ([^ <]+)', 1)), ''), 'unknown') AS author,
        coalesce(nullif(trim(regexp_extract(html, '<html lang="([^"]*)"', 1)), ''), 'unknown') AS age,
        CASE WHEN contains(ltext, 'comment')
-            THEN coalesce(TRY_CAST(nullif(regexp_extract(ltext, '^(\d+)(\s|\xa0|$)', 1), '') AS INTEGER), 0)
+            THEN coalesce(TRY_CAST(nullif(regexp_extract(ltext, '^(\\d+)(\\s|\\xa0|$)', 1), '') AS INTEGER), 0)
             ELSE 0 END AS comments
 FROM (SELECT *, trim(regexp_extract(html, '(?s).*<a href="[^"]*">([^<]*)</a>', 1)) AS ltext FROM pages) p""",
     "posts": f"""
