@@ -56,8 +56,10 @@ def group_agg_domain(df: DataFrame, key: str, domain: Sequence[str], sums: Mappi
 
 
 def value_counts(df: DataFrame, col: str, name: str = "count") -> DataFrame:
-    """Distribution of a column; NULL dropped (order: count desc, then label)."""
-    return (df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias(name)))
+    """Distribution of a column; NULL dropped; ordered by count desc, then label
+    (the sort runs on the aggregated rows, one per distinct value)."""
+    counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias(name))
+    return counts.orderBy(F.col(name).desc(), F.col(col))
 
 
 def null_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

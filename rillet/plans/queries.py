@@ -610,9 +610,8 @@ FROM events""")
 def q_json_parent_child(spark, sf):
     schema = ("struct<pipeline_id: string, stages: array<struct<stage_id: bigint, stage_type: string, "
               "stage_number: int>>>")
-    docs = rs.parse_json(fx.catalogue_documents(spark, sf), "json", schema, "d")
-    return docs.select(F.col("d.pipeline_id").alias("pipeline_id"), F.explode("d.stages").alias("s")).select(
-        "pipeline_id", "s.*")
+    docs = rs.parse_json(fx.catalogue_documents(spark, sf), "json", schema, "d").select("d.*")
+    return rs.child_rows(docs, "pipeline_id", "stages")
 
 
 @register("epoch_to_ts", """

@@ -65,3 +65,11 @@ def positional(arr: Column | str, i: int, field: str | None = None, default: obj
 def array_sizes(cols: Mapping[str, str]) -> dict[str, Column]:
     """Array lengths as measures, 0 for a missing array."""
     return {out: F.coalesce(F.size(F.col(src)), F.lit(0)).cast("int") for out, src in cols.items()}
+
+
+def child_rows(docs: DataFrame, parent_key: str, children: str, parent_id: object = None) -> DataFrame:
+    """Parent/child document -> one row per child with its parent key; with
+    ``parent_id`` only that parent's children (the filter runs before the
+    explode, on the parent rows)."""
+    d = docs if parent_id is None else docs.filter(F.col(parent_key) == F.lit(parent_id))
+    return d.select(parent_key, F.explode(children).alias("_c")).select(parent_key, "_c.*")

@@ -118,3 +118,11 @@ def test_arrays_to_rows_missing_and_short(spark):
                                "h struct<t: array<int>, v: array<double>>")
     out = sorted(tuple(r) for r in rs.arrays_to_rows(df, "h", ["t", "v"]).collect())
     assert out == [(1, 0.5), (2, 1.5), (3, None)]
+
+
+def test_child_rows_filter(spark):
+    docs = spark.createDataFrame([("p1", [(1, "a"), (2, "b")]), ("p2", [(3, "c")])],
+                                 "pipeline_id string, stages array<struct<stage_id: int, stage_type: string>>")
+    assert rs.child_rows(docs, "pipeline_id", "stages").count() == 3
+    out = [tuple(r) for r in rs.child_rows(docs, "pipeline_id", "stages", "p2").collect()]
+    assert out == [("p2", 3, "c")]
