@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillet.functions.rules import bucketize, classify, flag, onehot_decode, score
+from rillet.functions.rules import bucketize, flag, onehot_decode, score
 from rillet.operators.stats import max_normalize, quantile_flags
 
 # Ports treated as attack vectors.
