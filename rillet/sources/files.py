@@ -98,3 +98,18 @@ def read_pages(spark: SparkSession, path: str | Sequence[str], fmt: str = "parqu
     from rillet.operators.ranking import with_global_index
     numbered = with_global_index(tagged.select("_file").distinct(), [F.col("_file")], "page_no")
     return tagged.join(numbered, "_file").drop("_file")
+
+
+def read_jdbc_query(spark: SparkSession, url: str, query: str, properties: Mapping[str, str] | None = None,
+                    partition_column: str | None = None, lower: int | None = None, upper: int | None = None,
+                    num_partitions: int | None = None) -> DataFrame:
+    """SQL text run by a JDBC database -> frame; errors are raised. With a
+    partition column and bounds the read is split into parallel range queries
+    (``query`` is then wrapped as a table subquery, as Spark requires)."""
+    r = spark.read.format("jdbc").option("url", url).options(**dict(properties or {}))
+    if partition_column:
+        r = (r.option("dbtable", f"({query}) q").option("partitionColumn", partition_column)
+             .option("lowerBound", lower).option("upperBound", upper).option("numPartitions", num_partitions or 8))
+    else:
+        r = r.option("query", query)
+    return r.load()

@@ -126,3 +126,15 @@ def test_child_rows_filter(spark):
     assert rs.child_rows(docs, "pipeline_id", "stages").count() == 3
     out = [tuple(r) for r in rs.child_rows(docs, "pipeline_id", "stages", "p2").collect()]
     assert out == [("p2", 3, "c")]
+
+
+def test_jdbc_query_source(spark):
+    url = f"jdbc:derby:memory:src{uuid.uuid4().hex[:8]};create=true"
+    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    df = spark.createDataFrame([(i, i % 3) for i in range(100)], "ID int, G int")
+    sinks.replace_jdbc(df, url, "T_SRC", props)
+    q = "SELECT G, COUNT(*) AS N FROM T_SRC GROUP BY G"
+    out = sorted(tuple(r) for r in fs.read_jdbc_query(spark, url, q, props).collect())
+    assert out == [(0, 34), (1, 33), (2, 33)]
+    parts = fs.read_jdbc_query(spark, url, "SELECT ID, G FROM T_SRC", props, "ID", 0, 100, 4)
+    assert parts.rdd.getNumPartitions() == 4 and parts.count() == 100
