@@ -138,3 +138,10 @@ def test_jdbc_query_source(spark):
     assert out == [(0, 34), (1, 33), (2, 33)]
     parts = fs.read_jdbc_query(spark, url, "SELECT ID, G FROM T_SRC", props, "ID", 0, 100, 4)
     assert parts.rdd.getNumPartitions() == 4 and parts.count() == 100
+
+
+def test_processing_time_stamp(spark):
+    df = sinks.with_processing_time(spark.range(2), as_of="2025-01-01 00:00:00")
+    assert {str(r["processed_at"]) for r in df.collect()} == {"2025-01-01 00:00:00"}
+    live = sinks.with_processing_time(spark.range(2)).collect()
+    assert live[0]["processed_at"] is not None and live[0]["processed_at"] == live[1]["processed_at"]
