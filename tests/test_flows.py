@@ -139,3 +139,52 @@ def test_single_partition_exchanges_only_on_bounded_tables(spark, name):
             # numbering's count table (one row per range partition)
             bounded = "HashAggregate(keys=[]" in child or "HashAggregate(keys=[_pid" in child
             assert bounded, "\n".join(lines[i:i + 4])
+
+
+def _py_cross(spot_rows, fine, coarse):
+    """Plain-Python statement of the cross-validation rules (independent check)."""
+    import statistics
+    out = {}
+    for cid, sym, price, vol24 in spot_rows:
+        h = [p for k, p, _ in fine if k == cid]
+        hv = [v for k, _, v in fine if k == cid]
+        d = [p for k, p, _ in coarse if k == cid]
+        dv = [v for k, _, v in coarse if k == cid]
+        a24 = sum(h) / len(h) if h else price
+        s24 = (statistics.stdev(h) if len(h) > 1 else None) if h else 0.0
+        a7 = sum(d) / len(d) if d else price
+        v7 = sum(dv) / len(dv) if dv else 0.0
+        dev24 = (price - a24) / a24 * 100 if a24 > 0 else 0.0
+        dev7 = (price - a7) / a7 * 100 if a7 > 0 else 0.0
+        vdev = (vol24 - v7) / v7 * 100 if v7 > 0 else 0.0
+        volat = (None if s24 is None else s24 / a24 * 100) if a24 > 0 else 0.0
+        consistent = (dev24 > 0) == (dev7 > 0)
+        conf = 100.0
+        conf -= 20 if abs(dev24) > 10 else 10 if abs(dev24) > 5 else 0
+        conf -= 15 if abs(dev7) > 15 else 10 if abs(dev7) > 10 else 0
+        if volat is not None:
+            conf -= 15 if volat > 5 else 10 if volat > 3 else 0
+        conf -= 0 if consistent else 15
+        conf -= 10 if abs(vdev) > 50 else 0
+        conf = max(0.0, min(100.0, conf))
+        manip = (30 if abs(dev24) > 10 else 0) + (25 if abs(vdev) > 50 else 0) + \
+            (20 if volat is not None and volat > 5 else 0) + (0 if consistent else 15) + (10 if conf < 50 else 0)
+        out[cid] = (round(conf, 6), float(min(100, manip)), hv and sum(hv) / len(hv) or 0.0)
+    return out
+
+
+def test_cross_validation_edge_rows(spark):
+    from rillet.plans import cross_validation as cvf
+    spot = [(1, "A", 100.0, 500.0), (2, "B", 50.0, 10.0), (3, "C", 10.0, 0.0), (4, "D", 0.0, 5.0)]
+    fine = [(1, 90.0, 5.0), (1, 120.0, 7.0), (2, 50.0, 1.0), (4, 0.0, 2.0)]      # 3: no rows; 2: one row
+    coarse = [(1, 80.0, 100.0), (1, 100.0, 100.0), (2, 40.0, 20.0), (3, 10.0, 0.0)]
+    s = spark.createDataFrame(spot, "crypto_id long, symbol string, spot_price_usd double, volume_24h double")
+    f = spark.createDataFrame(fine, "crypto_id long, price_usd double, volume double")
+    c = spark.createDataFrame(coarse, "crypto_id long, price_usd double, volume double")
+    got = {r["crypto_id"]: r for r in cvf.classify_anomalies(cvf.feedback_enrich(cvf.cross_validate(s, f, c))).collect()}
+    want = _py_cross(spot, fine, coarse)
+    for cid, (conf, manip, avg_v) in want.items():
+        r = got[cid]
+        assert (round(r["confidence_score"], 6), r["manipulation_score"]) == (conf, manip), cid
+        assert abs(r["avg_24h_volume"] - avg_v) < 1e-12
+    assert got[2]["volatility_score"] is None  # one fine row: sample std undefined
