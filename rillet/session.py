@@ -51,3 +51,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+def release_cached(spark: SparkSession) -> None:
+    """Drop every cached frame of the session (the distributed numbering and
+    some flows persist intermediate frames; call this between independent jobs
+    in a long-lived session)."""
+    spark.catalog.clearCache()
