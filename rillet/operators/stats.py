@@ -66,12 +66,17 @@ def exact_quantiles_many(df: DataFrame, specs: Sequence[tuple[str, float, str]],
             aggs.append((F.percentile(v, F.lit(q)) if method == "percentile"
                          else F.percentile_approx(v, F.lit(q), 100000)).alias(n))
         return df.agg(*aggs)
-    stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_k"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(cols)])).alias("_s"))
-    vals = stacked.select("_s._k", "_s._v").filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    # A hash of the whole source row breaks ties between equal values, so a
+    # value held by a third of all rows still spreads over many range
+    # partitions (equal values need no particular order among themselves).
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("_rowhash")
+    stacked = df.select(row_hash, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_k"), F.col(f"`{c}`").cast("double").alias("_v")) for i, c in enumerate(cols)]))
+        .alias("_s"))
+    vals = stacked.select("_s._k", "_s._v", "_rowhash").filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
     if method == "bracket":
         return _bracketed_quantiles(vals, [(cols.index(c), q, n) for c, q, n in specs])
-    idx = with_global_index(vals, [F.col("_k"), F.col("_v")], "_rn")
+    idx = with_global_index(vals, [F.col("_k"), F.col("_v"), F.col("_rowhash")], "_rn")
     per_col = idx.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"), F.min("_rn").alias("_first"))
     spark = df.sparkSession
     wanted = spark.createDataFrame([(cols.index(c), float(q), n) for c, q, n in specs], "_k int, _q double, _name string")
@@ -136,8 +141,9 @@ def _bracketed_quantiles(vals: DataFrame, specs: Sequence[tuple[int, float, str]
     tagged = vals.join(F.broadcast(bounds), "_k")
     below = tagged.groupBy("_name").agg(F.count_if(F.coalesce(F.col("_v") < F.col("_a"), F.lit(False)))
                                         .alias("_below"))
-    band = tagged.filter(F.coalesce(F.col("_v").between(F.col("_a"), F.col("_b")), F.lit(True))).select("_name", "_v")
-    idx = with_global_index(band, [F.col("_name"), F.col("_v")], "_rn")
+    band = tagged.filter(F.coalesce(F.col("_v").between(F.col("_a"), F.col("_b")), F.lit(True))).select(
+        "_name", "_v", "_rowhash")
+    idx = with_global_index(band, [F.col("_name"), F.col("_v"), F.col("_rowhash")], "_rn")
     first = idx.groupBy("_name").agg(F.min("_rn").alias("_first"))
     ranked = (idx.join(first, "_name").join(below, "_name").join(F.broadcast(bounds.drop("_k")), "_name")
               .withColumn("_rank", F.col("_rn") - F.col("_first") + F.col("_below")))

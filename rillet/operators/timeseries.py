@@ -51,15 +51,18 @@ def rolling(df: DataFrame, key: str, order: Sequence[str], stages: Sequence[Stag
     """
     if skew_safe == "auto":
         skew_safe = not fits_one_task(df)
+    # Rows tied on the order key get a fixed order (a hash of the whole row),
+    # so results are repeatable and tied rows still spread over range partitions.
+    df = df.withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
     if not skew_safe:
-        w = Window.partitionBy(key).orderBy(*order)
+        w = Window.partitionBy(key).orderBy(*order, "_tie")
         out = df
         for st in stages:
             out = out.withColumns(st(w))
-        return out
+        return out.drop("_tie")
     if chunk_rows <= lookback:
         raise ValueError("chunk_rows must exceed lookback")
-    idx = with_global_index(df, [F.col(key)] + [F.col(o) for o in order], "_rn")
+    idx = with_global_index(df, [F.col(key)] + [F.col(o) for o in order] + [F.col("_tie")], "_rn")
     pos = F.col("_rn") - 1
     chunk = F.floor(pos / F.lit(chunk_rows))
     in_tail = F.pmod(pos, F.lit(chunk_rows)) >= F.lit(chunk_rows - lookback)
@@ -70,7 +73,7 @@ def rolling(df: DataFrame, key: str, order: Sequence[str], stages: Sequence[Stag
     out = spread
     for st in stages:
         out = out.withColumns(st(w))
-    return out.filter(F.col("_shift") == 0).drop("_shift", "_chunk", "_rn")
+    return out.filter(F.col("_shift") == 0).drop("_shift", "_chunk", "_rn", "_tie")
 
 
 # ---------------------------------------------------------------- indicators
