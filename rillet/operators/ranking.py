@@ -42,7 +42,7 @@ def _partitions(df: DataFrame, n: int | None) -> int:
 
 
 def with_global_index(df: DataFrame, order: Sequence[Column | str], name: str = "_rn",
-                      n_parts: int | None = None, durable: bool = False) -> DataFrame:
+                      n_parts: int | None = None, durable: bool = False, tie_break: bool = True) -> DataFrame:
     """Add a 1-based row number over ``order`` (which should be a total order).
 
     Steps: range-partition on ``order`` with a fixed partition count (AQE does
@@ -56,6 +56,12 @@ def with_global_index(df: DataFrame, order: Sequence[Column | str], name: str =
     recomputation at all).
     """
     n = _partitions(df, n_parts)
+    if tie_break:
+        # Rows tied on ``order`` are ordered by a hash of the whole row: the
+        # numbering is repeatable and a heavily repeated key still spreads over
+        # many range partitions.
+        df = df.withColumn("_tb", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+        order = list(order) + [F.col("_tb")]
     ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
               .withColumn("_mid", F.monotonically_increasing_id()))
     if durable:
@@ -75,7 +81,7 @@ def with_global_index(df: DataFrame, order: Sequence[Column | str], name: str =
                    F.lit(0)).alias("_off"))
     return (tagged.join(F.broadcast(offsets), "_pid")
             .withColumn(name, F.col("_off") + F.col("_ord") + F.lit(1))
-            .drop("_pid", "_ord", "_off", "_mid"))
+            .drop("_pid", "_ord", "_off", "_mid", "_tb"))
 
 
 def first_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], n: int,

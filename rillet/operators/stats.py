@@ -76,7 +76,7 @@ def exact_quantiles_many(df: DataFrame, specs: Sequence[tuple[str, float, str]],
     vals = stacked.select("_s._k", "_s._v", "_rowhash").filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
     if method == "bracket":
         return _bracketed_quantiles(vals, [(cols.index(c), q, n) for c, q, n in specs])
-    idx = with_global_index(vals, [F.col("_k"), F.col("_v"), F.col("_rowhash")], "_rn")
+    idx = with_global_index(vals, [F.col("_k"), F.col("_v"), F.col("_rowhash")], "_rn", tie_break=False)
     per_col = idx.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"), F.min("_rn").alias("_first"))
     spark = df.sparkSession
     wanted = spark.createDataFrame([(cols.index(c), float(q), n) for c, q, n in specs], "_k int, _q double, _name string")
@@ -143,7 +143,7 @@ def _bracketed_quantiles(vals: DataFrame, specs: Sequence[tuple[int, float, str]
                                         .alias("_below"))
     band = tagged.filter(F.coalesce(F.col("_v").between(F.col("_a"), F.col("_b")), F.lit(True))).select(
         "_name", "_v", "_rowhash")
-    idx = with_global_index(band, [F.col("_name"), F.col("_v"), F.col("_rowhash")], "_rn")
+    idx = with_global_index(band, [F.col("_name"), F.col("_v"), F.col("_rowhash")], "_rn", tie_break=False)
     first = idx.groupBy("_name").agg(F.min("_rn").alias("_first"))
     ranked = (idx.join(first, "_name").join(below, "_name").join(F.broadcast(bounds.drop("_k")), "_name")
               .withColumn("_rank", F.col("_rn") - F.col("_first") + F.col("_below")))

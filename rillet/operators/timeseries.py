@@ -62,7 +62,7 @@ def rolling(df: DataFrame, key: str, order: Sequence[str], stages: Sequence[Stag
         return out.drop("_tie")
     if chunk_rows <= lookback:
         raise ValueError("chunk_rows must exceed lookback")
-    idx = with_global_index(df, [F.col(key)] + [F.col(o) for o in order] + [F.col("_tie")], "_rn")
+    idx = with_global_index(df, [F.col(key)] + [F.col(o) for o in order] + [F.col("_tie")], "_rn", tie_break=False)
     pos = F.col("_rn") - 1
     chunk = F.floor(pos / F.lit(chunk_rows))
     in_tail = F.pmod(pos, F.lit(chunk_rows)) >= F.lit(chunk_rows - lookback)

@@ -215,3 +215,12 @@ def test_rolling_hot_key_split_matches_plain(spark):
         ["symbol", "t"]).sort_index()
     assert len(split) == len(plain) == 500
     assert np.allclose(split[cols].values, plain[cols].values, rtol=0, atol=1e-9)
+
+
+def test_global_index_balances_a_repeated_key(spark):
+    rows = [("hot", 1)] * 3000 + [(f"k{i}", i) for i in range(1000)]
+    df = spark.createDataFrame(rows, "k string, v long").withColumn("u", F.monotonically_increasing_id())
+    out = ranking.with_global_index(df, [F.col("k")], "rn", n_parts=8)
+    assert sorted(r["rn"] for r in out.select("rn").collect()) == list(range(1, 4001))
+    sizes = [r["c"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("c")).collect()]
+    assert max(sizes) < 3000  # the repeated key is split over several partitions
