@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rillet.operators.ranking import with_global_index
 
@@ -47,6 +48,17 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float],
     return exact_quantiles_many(df, [(col, q, n) for q, n in zip(qs, names)], method)
 
 
+_FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _tie_columns(df: DataFrame, first: Sequence[str], extra: int = 6) -> list[str]:
+    """Columns whose hash separates rows with equal values: the ranked columns
+    plus a few fixed-width others (cheap to hash, usually row-identifying)."""
+    others = [f.name for f in df.schema.fields
+              if f.name not in first and isinstance(f.dataType, _FIXED_WIDTH)][:extra]
+    return list(dict.fromkeys(list(first) + others)) or list(df.columns)
+
+
 def exact_quantiles_many(df: DataFrame, specs: Sequence[tuple[str, float, str]],
                          method: str = "distributed") -> DataFrame:
     """Exact quantiles of several columns in one pass: ``specs`` is
@@ -69,7 +81,7 @@ def exact_quantiles_many(df: DataFrame, specs: Sequence[tuple[str, float, str]],
     # A hash of the whole source row breaks ties between equal values, so a
     # value held by a third of all rows still spreads over many range
     # partitions (equal values need no particular order among themselves).
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("_rowhash")
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in _tie_columns(df, cols)]).alias("_rowhash")
     stacked = df.select(row_hash, F.explode(F.array(*[
         F.struct(F.lit(i).alias("_k"), F.col(f"`{c}`").cast("double").alias("_v")) for i, c in enumerate(cols)]))
         .alias("_s"))
