@@ -106,10 +106,11 @@ def systematic_sample(df: DataFrame, order: Sequence[Column | str], m: int) -> D
     """Every k-th row of the ordered set, ``k = n // m``, the first m of them;
     all rows when ``n <= m``. Sampling is the feature here, so it keeps m rows."""
     idx = with_global_index(df, order, "_rn")
-    total = idx.agg(F.count(F.lit(1)).alias("_n"))
-    step = F.floor(F.col("_n") / F.lit(m))
-    keep = (F.col("_n") <= m) | ((F.pmod(F.col("_rn") - 1, step) == 0) & (F.col("_rn") <= step * m))
-    return idx.crossJoin(F.broadcast(total)).filter(keep).drop("_n")
+    n = idx.count()  # one number; also fills the numbering's cache once
+    if n <= m:
+        return idx
+    step = n // m
+    return idx.filter((F.pmod(F.col("_rn") - 1, F.lit(step)) == 0) & (F.col("_rn") <= F.lit(step * m)))
 
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:

@@ -1,8 +1,9 @@
 """Global statistics attached to rows, and exact quantiles that scale.
 
 A global statistic is a one-row aggregate (partial aggregation on every
-partition, one tiny final merge) joined to the rows with a broadcast cross
-join: one row is a proven size bound. No unpartitioned window is used.
+partition, one tiny final merge) whose values are attached to the rows as
+literals (or, lazily, by broadcasting the single row). No unpartitioned
+window is used.
 """
 
 from __future__ import annotations
@@ -16,10 +17,20 @@ from pyspark.sql import types as T
 from rillet.operators.ranking import with_global_index
 
 
-def with_global_stats(df: DataFrame, stats: Mapping[str, Column] | DataFrame) -> DataFrame:
-    """Attach one-row statistics (an aggregate spec or a one-row frame) to every row."""
+def with_global_stats(df: DataFrame, stats: Mapping[str, Column] | DataFrame,
+                      materialize: bool = True) -> DataFrame:
+    """Attach one-row statistics (an aggregate spec or a one-row frame) to every row.
+
+    ``materialize=True`` (default) runs the one-row aggregate now and attaches
+    its values as typed literals: the row plan needs no join and does not
+    re-run the statistics. ``False`` keeps it lazy with a broadcast of the
+    single row (a proven size bound).
+    """
     one = stats if isinstance(stats, DataFrame) else df.agg(*[c.alias(k) for k, c in stats.items()])
-    return df.crossJoin(F.broadcast(one))
+    if not materialize:
+        return df.crossJoin(F.broadcast(one))
+    row = one.first()
+    return df.withColumns({f.name: F.lit(row[f.name]).cast(f.dataType) for f in one.schema.fields})
 
 
 def _qname(q: float) -> str:
@@ -190,7 +201,7 @@ def quantile_flags(df: DataFrame, specs: Sequence[tuple[str, str, float, str]],
         out = df
     else:
         thresholds = {v: F.col(v) for v in tmp.values()}
-        out = with_global_stats(df, stats)
+        out = with_global_stats(df, stats, materialize=False)
     for name, c, q, op in specs:
         thr = thresholds[tmp[(c, q)]]
         cond = F.col(c) > thr if op == ">" else F.col(c) < thr
