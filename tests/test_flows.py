@@ -188,3 +188,73 @@ def test_cross_validation_edge_rows(spark):
         assert (round(r["confidence_score"], 6), r["manipulation_score"]) == (conf, manip), cid
         assert abs(r["avg_24h_volume"] - avg_v) < 1e-12
     assert got[2]["volatility_score"] is None  # one fine row: sample std undefined
+
+
+def test_threat_scores_against_python(spark):
+    """Risk score of hand-made packets against a plain statement of the rules
+    (thresholds from numpy quantiles, as pandas computes them)."""
+    import numpy as np
+    from rillet.plans import threat as thr
+    rows = [
+        # size, src, dst, count, entropy, energy, label, tcp, udp, syn, synack
+        (40.0, 23, 80, 900.0, 0.01, 50.0, 1, 1, 0, 1, 0),
+        (1500.0, 443, 3389, 10.0, 0.50, 1.0, 0, 0, 1, 0, 0),
+        (600.0, 80, 8080, 500.0, 0.02, 90.0, 0, 1, 1, 1, 1),
+        (2000.0, 22, 22, 950.0, 0.90, 99.0, 1, 0, 0, 1, 0),
+        (100.0, 135, 1, 20.0, 0.30, 5.0, 0, 0, 0, 0, 0),
+        (45.0, 5900, 2, 300.0, 0.05, 70.0, 1, 1, 0, 0, 1),
+    ]
+    cols = ["packet_size", "src_port", "dst_port", "packet_count_5s", "spectral_entropy", "frequency_band_energy",
+            "label", "protocol_type_tcp", "protocol_type_udp", "tcp_flags_SYN", "tcp_flags_SYN-ACK"]
+    df = spark.createDataFrame(rows, "packet_size double, src_port int, dst_port int, packet_count_5s double, "
+                                     "spectral_entropy double, frequency_band_energy double, label int, "
+                                     "protocol_type_tcp int, protocol_type_udp int, tcp_flags_SYN int, "
+                                     "`tcp_flags_SYN-ACK` int")
+    got = {r["packet_size"]: r for r in thr.flow_threat(df).collect()}
+    cnt = np.array([r[3] for r in rows]); ent = np.array([r[4] for r in rows]); en = np.array([r[5] for r in rows])
+    q85c, q25e, q15e, q85f = np.quantile(cnt, .85), np.quantile(ent, .25), np.quantile(ent, .15), np.quantile(en, .85)
+    bad = {23, 135, 139, 445, 1433, 3389, 5900}
+    scores = []
+    for r in rows:
+        d = dict(zip(cols, r))
+        s = 50 * (d["label"] == 1) + 20 * (d["src_port"] in bad or d["dst_port"] in bad) \
+            + 15 * (d["packet_count_5s"] > q85c) + 10 * (d["spectral_entropy"] < q25e) \
+            + 15 * (d["tcp_flags_SYN"] == 1 and d["tcp_flags_SYN-ACK"] == 0) \
+            + 10 * (d["spectral_entropy"] < q15e and d["frequency_band_energy"] > q85f) \
+            + 8 * (d["packet_size"] < 50) + 6 * (d["packet_size"] > 1400)
+        scores.append(float(s))
+    top = max(scores)
+    for r, s in zip(rows, scores):
+        g = got[r[0]]
+        assert g["risk_score"] == s
+        assert g["anomaly_confidence"] == float(np.round(s / top * 100, 2))
+        proto = "udp" if r[8] == 1 else "tcp" if r[7] == 1 else "unknown"
+        assert g["primary_protocol"] == proto
+
+
+def test_launch_branches_edge_rows(spark):
+    from rillet.plans import launches as lf
+    launches = spark.createDataFrame([
+        (1, "2024-12-31T12:00:00.000Z", True, "ok", 10, 1, 0, 4),     # complete, High (payloads > 3)
+        (2, "2024-12-30T00:00:00.000Z", False, None, 11, 1, 1, 1),   # 4/5 present -> complete, High (crew)
+        (3, "bad-date", None, None, 99, 2, 0, 2),                    # unknown rocket -> incomplete
+        (4, "2023-01-01T00:00:00.000Z", True, "x", 10, 30, 0, 0),    # unknown pad -> 4/5 -> complete, Low
+    ], "flight_number long, date_utc string, success boolean, details string, rocket_id long, launchpad_id int, "
+       "crew long, payloads long").withColumns({"name": F.lit("m"), "cores_used": F.lit(1).cast("long")})
+    rockets = spark.createDataFrame([(10, "R10", 1000.0, 80.0), (11, "R11", None, None)],
+                                    "rocket_id long, rocket_name string, cost_per_launch double, success_rate double")
+    pads = spark.createDataFrame([(1, "P1", "north"), (2, "P2", "south")],
+                                 "launchpad_id int, launchpad_name string, region string")
+    out = {r["flight_number"]: r for r in lf.flow_quality_branch(launches, rockets, pads).collect()}
+    assert (out[1]["completeness_score"], out[1]["mission_complexity"], out[1]["processing_tier"]) == \
+        (1.0, "High", "complete_analytics")
+    assert abs(out[1]["reliability_score"] - 0.8) < 1e-12 and out[1]["cost_per_payload"] == 250.0
+    assert out[1]["days_since_launch"] == 0                         # 12 h before the as-of day -> 0 whole days
+    assert (out[2]["completeness_score"], out[2]["mission_complexity"], out[2]["reliability_score"]) == \
+        (0.6, "Unknown", 0.6)
+    assert (out[3]["processing_tier"], out[3]["mission_outcome"], out[3]["days_since_launch"]) == \
+        ("basic_metrics", "Unknown", None)
+    assert (out[4]["completeness_score"], out[4]["mission_complexity"]) == (0.8, "Low")
+    assert out[4]["launches_by_rocket"] == 2 and out[4]["avg_success_rate_by_rocket"] == 1.0
+    assert out[3]["avg_success_rate_by_rocket"] is None             # NULL rocket name -> NULL statistic
+    assert out[1]["avg_success_rate_by_pad"] == 0.5                 # pad P1: True and False
