@@ -51,9 +51,18 @@ def safe_ratio(num: ColumnOrName, den: ColumnOrName) -> Column:
     return F.try_divide(_c(num), _c(den))
 
 
+def float_div(num: ColumnOrName, den: ColumnOrName) -> Column:
+    """Division with IEEE float rules, as pandas/numpy compute it: x/0 is
+    +/-inf, 0/0 is NaN, NULL stays NULL (ANSI mode would raise instead)."""
+    n, d = _c(num).cast("double"), _c(den).cast("double")
+    inf = F.lit(float("inf"))
+    return (F.when(n.isNull() | d.isNull(), F.lit(None).cast("double")).when(d != 0, n / d)
+            .when(n > 0, inf).when(n < 0, -inf).otherwise(F.lit(float("nan"))))
+
+
 def pct_change(new: ColumnOrName, base: ColumnOrName) -> Column:
-    """``(new - base) / base * 100``; NULL when base is 0 or NULL."""
-    return F.try_divide(_c(new) - _c(base), _c(base)) * F.lit(100.0)
+    """``(new - base) / base * 100`` with float rules (base 0 -> +/-inf or NaN)."""
+    return float_div(_c(new) - _c(base), _c(base)) * F.lit(100.0)
 
 
 def deviation_pct(a: ColumnOrName, b: ColumnOrName) -> Column:

@@ -16,6 +16,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from rillet.functions.columns import float_div
 from rillet.operators.ranking import with_global_index
 
 # A stage maps (window spec) -> {column name: expression}; stages run in order,
@@ -84,7 +85,7 @@ def returns_and_averages(close: str = "close", fast: int = 7, slow: int = 20) ->
     def st(w: WindowSpec) -> dict[str, Column]:
         prev = F.lag(close, 1).over(w)
         return {
-            "daily_return": (F.try_divide(F.col(close), prev) - F.lit(1.0)) * F.lit(100.0),
+            "daily_return": (float_div(F.col(close), prev) - F.lit(1.0)) * F.lit(100.0),
             f"ma_{fast}": F.avg(close).over(w.rowsBetween(1 - fast, 0)),
             f"ma_{slow}": F.avg(close).over(w.rowsBetween(1 - slow, 0)),
             "_delta": F.col(close) - prev,
@@ -117,7 +118,7 @@ def rsi_from_means(gain: str = "_gain", loss: str = "_loss") -> Column:
 
 def momentum(close: str = "close", ma: str = "ma_7") -> Column:
     """Distance of close from its moving average, in percent."""
-    return F.try_divide(F.col(close) - F.col(ma), F.col(ma)) * F.lit(100.0)
+    return float_div(F.col(close) - F.col(ma), F.col(ma)) * F.lit(100.0)
 
 
 INDICATOR_COLUMNS = ["daily_return", "ma_7", "ma_20", "volatility_7d", "rsi", "momentum"]

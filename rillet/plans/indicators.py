@@ -6,7 +6,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillet.functions.columns import pct_change, with_rounded
+from rillet.functions.columns import nan_to_null, pct_change, with_rounded
 from rillet.functions.rules import classify
 from rillet.operators.aggregate import with_group_stats
 from rillet.operators.stats import exact_quantiles, with_global_stats
@@ -44,7 +44,7 @@ def volatility_level(vol="volatility_7d", q="_vol_q75") -> F.Column:
 
 
 def day_type(pct="price_change_pct") -> F.Column:
-    p = F.col(pct)
+    p = nan_to_null(pct)  # NaN (0/0) compares false in pandas and falls to "loss"
     return classify([(p > 2, "strong_gain"), (p > 0, "gain"), (p < -2, "strong_loss")], "loss")
 
 

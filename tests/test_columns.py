@@ -110,3 +110,15 @@ def test_decade_and_dates(spark):
     parts = d.select(*[c.alias(k) for k, c in fc.date_parts("ts").items()]).collect()
     assert (parts[0]["year"], parts[0]["month"], parts[0]["day_of_week"]) == (2024, 2, "Thursday")
     assert parts[1]["year"] is None
+
+
+def test_float_div_ieee_rules(spark):
+    rows = [(1.0, 0.0), (-2.0, 0.0), (0.0, 0.0), (None, 0.0), (3.0, 2.0)]
+    df = spark.createDataFrame(rows, "a double, b double").select(fc.float_div("a", "b").alias("q"))
+    got = [r["q"] for r in df.collect()]
+    assert got[0] == math.inf and got[1] == -math.inf and math.isnan(got[2]) and got[3] is None and got[4] == 1.5
+
+
+def test_float_div_null_denominator(spark):
+    df = spark.createDataFrame([(1.0, None), (0.0, None)], "a double, b double")
+    assert [r["q"] for r in df.select(fc.float_div("a", "b").alias("q")).collect()] == [None, None]

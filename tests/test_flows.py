@@ -258,3 +258,15 @@ def test_launch_branches_edge_rows(spark):
     assert out[4]["launches_by_rocket"] == 2 and out[4]["avg_success_rate_by_rocket"] == 1.0
     assert out[3]["avg_success_rate_by_rocket"] is None             # NULL rocket name -> NULL statistic
     assert out[1]["avg_success_rate_by_pad"] == 0.5                 # pad P1: True and False
+
+
+def test_day_type_zero_open(spark):
+    from rillet.plans.indicators import market_context
+    rows = [("s", 0, 0.0, 0.0, 10, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0),
+            ("s", 1, 0.0, 5.0, 10, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0),
+            ("s", 2, 2.0, 1.0, 10, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0)]
+    df = spark.createDataFrame(rows, "symbol string, timestamp long, open double, close double, volume long, "
+                                     "daily_return double, ma_7 double, ma_20 double, volatility_7d double, "
+                                     "rsi double, momentum double")
+    out = {r["timestamp"]: r["day_type"] for r in market_context(df).collect()}
+    assert out == {0: "loss", 1: "strong_gain", 2: "strong_loss"}  # 0/0 -> NaN -> loss; 5/0 -> inf
