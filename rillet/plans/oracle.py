@@ -89,8 +89,9 @@ def flow_indicators(cols=None) -> str:
         + [f"{r(c)} AS {c}" for c in ["daily_return", "ma_7", "ma_20", "volatility_7d", "rsi", "momentum"]]
         + ["volume_category", "trend", "rsi_signal", "volatility_level"]
         + [f"{r(c)} AS {c}" for c in ["price_change", "price_change_pct"]]
-        + ["CASE WHEN price_change_pct > 2 THEN 'strong_gain' WHEN price_change_pct > 0 THEN 'gain' "
-           "WHEN price_change_pct < -2 THEN 'strong_loss' ELSE 'loss' END AS day_type"])
+        + ["CASE WHEN isnan(price_change_pct) THEN 'loss' WHEN price_change_pct > 2 THEN 'strong_gain' "
+           "WHEN price_change_pct > 0 THEN 'gain' WHEN price_change_pct < -2 THEN 'strong_loss' ELSE 'loss' END "
+           "AS day_type"])
     pick = ", ".join(f'"{c}"' for c in (cols or IND_COLS))
     return with_ctes({"bars": BARS, "ind1": IND1, "ind2": IND2, "ind3": IND3, "ctx": CTX,
                       "flow": f"SELECT {allc} FROM ctx"}, f"SELECT {pick} FROM flow")
