@@ -17,15 +17,25 @@ from pyspark.sql import DataFrame
 
 Transform = Callable[[DataFrame], DataFrame]
 
-_STATEFUL_NODES = ("Aggregate", "Window", "Join", "Deduplicate", "Sort", "Limit")
+_STATEFUL_NODES = {"Aggregate", "Window", "Join", "Deduplicate", "DeduplicateWithinWatermark", "Sort",
+                   "GlobalLimit", "LocalLimit", "Offset", "Distinct", "Expand", "WindowGroupLimit"}
+
+
+def _node_names(plan) -> list[str]:
+    names, stack = [], [plan]
+    while stack:
+        node = stack.pop()
+        names.append(node.nodeName())
+        kids = node.children()
+        stack.extend(kids.apply(i) for i in range(kids.size()))
+    return names
 
 
 def ensure_rowwise(df: DataFrame) -> DataFrame:
-    """Raise if the logical plan holds a node that needs state or a full table."""
-    plan = df._jdf.queryExecution().analyzed().toString()
-    for node in _STATEFUL_NODES:
-        if f" {node} " in f" {plan} " or plan.lstrip().startswith(node) or f"+- {node}" in plan or f":- {node}" in plan:
-            raise ValueError(f"{node} is not row-wise; run this operator in batch")
+    """Raise if the analyzed plan holds a node that needs state or a full table."""
+    for name in _node_names(df._jdf.queryExecution().analyzed()):
+        if name in _STATEFUL_NODES:
+            raise ValueError(f"{name} is not row-wise; run this operator in batch")
     return df
 
 

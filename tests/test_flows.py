@@ -270,3 +270,14 @@ def test_day_type_zero_open(spark):
                                      "rsi double, momentum double")
     out = {r["timestamp"]: r["day_type"] for r in market_context(df).collect()}
     assert out == {0: "loss", 1: "strong_gain", 2: "strong_loss"}  # 0/0 -> NaN -> loss; 5/0 -> inf
+
+
+def test_ensure_rowwise_detects_stateful_nodes(spark):
+    from pyspark.sql import Window
+    from rillet.streaming import ensure_rowwise
+    df = spark.range(10).withColumn("k", F.col("id") % 2)
+    ensure_rowwise(df.withColumn("x", F.col("id") * 2).filter("x > 2"))
+    for bad in [df.groupBy("k").count(), df.join(df, "id"), df.orderBy("id"), df.limit(3), df.distinct(),
+                df.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy("id")))]:
+        with pytest.raises(ValueError):
+            ensure_rowwise(bad)
