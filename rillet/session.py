@@ -58,3 +58,22 @@ def release_cached(spark: SparkSession) -> None:
     some flows persist intermediate frames; call this between independent jobs
     in a long-lived session)."""
     spark.catalog.clearCache()
+
+
+def cluster_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Sizing for a cluster run: input splits and shuffle partitions of about
+    ``partition_bytes`` each (a multiple of the core count, at least two waves),
+    AQE coalescing towards half of that, and skew splitting above four times
+    the median. For 100 TB on 8000 cores this gives 376 000 shuffle partitions
+    of about 256 MB that AQE merges where the data turns out smaller."""
+    waves = max(2, -(-input_bytes // (partition_bytes * total_cores)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(waves * total_cores),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes * 2),
+    }

@@ -122,3 +122,12 @@ def test_float_div_ieee_rules(spark):
 def test_float_div_null_denominator(spark):
     df = spark.createDataFrame([(1.0, None), (0.0, None)], "a double, b double")
     assert [r["q"] for r in df.select(fc.float_div("a", "b").alias("q")).collect()] == [None, None]
+
+
+def test_cluster_conf_sizing():
+    from rillet.session import cluster_conf
+    big = cluster_conf(100 * 10**12, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) % 8000 == 0
+    assert 100 * 10**12 / int(big["spark.sql.shuffle.partitions"]) <= 256 << 20
+    small = cluster_conf(10 << 20, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
