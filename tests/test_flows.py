@@ -281,3 +281,15 @@ def test_ensure_rowwise_detects_stateful_nodes(spark):
                 df.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy("id")))]:
         with pytest.raises(ValueError):
             ensure_rowwise(bad)
+
+
+def test_entry_module_loads_by_path(spark):
+    import importlib.util
+    import os
+    path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "__spark_entry__.py")
+    spec = importlib.util.spec_from_file_location("entry_by_path", path)
+    mod = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(mod)
+    assert set(mod.oracle_sql()) == set(mod.queries())
+    df = mod.entry(spark)
+    assert df.columns[:3] == ["timestamp", "date", "symbol"] and df.count() > 0
