@@ -326,3 +326,41 @@ def test_retail_cross_against_pandas(spark):
     for k, (rev, n, sales, games_n) in want.items():
         grev, gn, gsales, ggames = got[k]
         assert (gn, ggames) == (n, games_n) and np.isclose(grev, rev) and np.isclose(gsales, sales), k
+
+
+def test_indicator_flow_against_pandas(spark):
+    """The whole indicator flow on sf0.001 bars against the same stages in pandas."""
+    import numpy as np
+    from rillet.plans.indicators import flow_indicators
+    bars = fx.bars(spark, SF)
+    pdf = bars.toPandas().dropna().sort_values(["symbol", "timestamp"])
+    parts = []
+    for _, d in pdf.groupby("symbol"):
+        d = d.copy()
+        d["daily_return"] = d["close"].pct_change() * 100
+        d["ma_7"] = d["close"].rolling(7, min_periods=1).mean()
+        d["ma_20"] = d["close"].rolling(20, min_periods=1).mean()
+        d["volatility_7d"] = d["daily_return"].rolling(7, min_periods=1).std()
+        delta = d["close"].diff()
+        gain = delta.where(delta > 0, 0).rolling(14, min_periods=1).mean()
+        loss = (-delta.where(delta < 0, 0)).rolling(14, min_periods=1).mean()
+        d["rsi"] = 100 - (100 / (1 + gain / loss.replace(0, 0.0001)))
+        d["momentum"] = (d["close"] - d["ma_7"]) / d["ma_7"] * 100
+        parts.append(d)
+    ref = __import__("pandas").concat(parts)
+    ind = ["daily_return", "ma_7", "ma_20", "volatility_7d", "rsi", "momentum"]
+    ref[ind] = ref[ind].fillna(0)
+    avg_vol = ref.groupby("symbol")["volume"].transform("mean")
+    ref["volume_category"] = np.where(ref["volume"] > avg_vol * 1.5, "high",
+                                      np.where(ref["volume"] < avg_vol * 0.5, "low", "normal"))
+    q = ref["volatility_7d"].quantile(0.75)
+    ref["volatility_level"] = np.where(ref["volatility_7d"] > q, "high",
+                                       np.where(ref["volatility_7d"] < q * 0.5, "low", "medium"))
+    ref["rsi_signal"] = np.where(ref["rsi"] > 70, "overbought", np.where(ref["rsi"] < 30, "oversold", "neutral"))
+    got = flow_indicators(bars).toPandas().set_index(["symbol", "timestamp"]).sort_index()
+    ref = ref.set_index(["symbol", "timestamp"]).sort_index()
+    assert len(got) == len(ref)
+    for c in ind:
+        assert np.allclose(got[c].values, ref[c].round(2).values, atol=0.011), c
+    for c in ["volume_category", "volatility_level", "rsi_signal"]:
+        assert (got[c].values == ref[c].values).mean() > 0.999, c
