@@ -364,3 +364,35 @@ def test_indicator_flow_against_pandas(spark):
         assert np.allclose(got[c].values, ref[c].round(2).values, atol=0.011), c
     for c in ["volume_category", "volatility_level", "rsi_signal"]:
         assert (got[c].values == ref[c].values).mean() > 0.999, c
+
+
+def test_threat_flow_against_pandas(spark):
+    """The threat flow on sf0.001 packets against the same stages in pandas."""
+    import numpy as np
+    import pandas as pd
+    from rillet.plans import threat as thr
+    pk = fx.packets(spark, SF)
+    df = pk.toPandas()
+    df["primary_protocol"] = "unknown"
+    for c in ["protocol_type_tcp", "protocol_type_udp", "protocol_type_icmp"]:
+        df.loc[df[c] == 1, "primary_protocol"] = c.replace("protocol_type_", "")
+    df["packet_category"] = pd.cut(df["packet_size"], bins=[0, 100, 500, 1500, float("inf")],
+                                   labels=["tiny", "small", "medium", "large"]).astype(object)
+    bad = [23, 135, 139, 445, 1433, 3389, 5900]
+    risk = 50.0 * (df["label"] == 1) + 20 * (df["src_port"].isin(bad) | df["dst_port"].isin(bad)) \
+        + 15 * (df["packet_count_5s"] > df["packet_count_5s"].quantile(0.85)) \
+        + 10 * (df["spectral_entropy"] < df["spectral_entropy"].quantile(0.25)) \
+        + 15 * ((df["tcp_flags_SYN"] == 1) & (df["tcp_flags_SYN-ACK"] == 0)) \
+        + 10 * ((df["spectral_entropy"] < df["spectral_entropy"].quantile(0.15))
+                & (df["frequency_band_energy"] > df["frequency_band_energy"].quantile(0.85))) \
+        + 8 * (df["packet_size"] < 50) + 6 * (df["packet_size"] > 1400)
+    df["risk_score"] = risk
+    df["anomaly_confidence"] = (risk / risk.max() * 100).round(2)
+    got = thr.flow_threat(pk).toPandas()
+    key = ["flow_id", "packet_size", "src_port", "packet_count_5s", "spectral_entropy", "frequency_band_energy"]
+    a = got.sort_values(key).reset_index(drop=True)
+    b = df.sort_values(key).reset_index(drop=True)
+    assert (a["risk_score"].values == b["risk_score"].values).all()
+    assert np.array_equal(a["anomaly_confidence"].values, b["anomaly_confidence"].values)
+    assert (a["primary_protocol"].values == b["primary_protocol"].values).all()
+    assert (a["packet_category"].values == b["packet_category"].values).all()
