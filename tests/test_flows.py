@@ -396,3 +396,28 @@ def test_threat_flow_against_pandas(spark):
     assert np.array_equal(a["anomaly_confidence"].values, b["anomaly_confidence"].values)
     assert (a["primary_protocol"].values == b["primary_protocol"].values).all()
     assert (a["packet_category"].values == b["packet_category"].values).all()
+
+
+def test_weather_flow_against_pandas(spark):
+    """Fan-in, systematic sample and classification on sf0.001 against pandas."""
+    import numpy as np
+    import pandas as pd
+    from rillet.plans import weather as wf
+    feeds = fx.regional_feeds(spark, SF)
+    merged = pd.concat([f.toPandas().assign(region=name) for name, f in feeds.items()], ignore_index=True)
+    merged = merged.sort_values(["region", "time", "event_id"]).reset_index(drop=True)
+    if len(merged) > 200:
+        merged = merged.iloc[::len(merged) // 200].head(200)
+    merged["weather_type"] = np.select(
+        [merged["precipitation"] > 5, merged["temperature_2m"] > 25, merged["temperature_2m"] < 5],
+        ["rainy", "hot", "cold"], "moderate")
+    merged["comfort_index"] = 100 - (merged["temperature_2m"] - 22).abs() * 2 - merged["relative_humidity_2m"] * 0.3
+    merged["wind_category"] = pd.cut(merged["wind_speed_10m"], bins=[0, 5, 10, 20, 100],
+                                     labels=["calm", "light", "moderate", "strong"]).astype(object)
+    got = wf.flow_weather(feeds).toPandas().set_index("event_id").sort_index()
+    ref = merged.set_index("event_id").sort_index()
+    assert list(got.index) == list(ref.index)
+    assert (got["weather_type"] == ref["weather_type"]).all()
+    assert np.allclose(got["comfort_index"], ref["comfort_index"])
+    assert [None if pd.isna(x) else x for x in got["wind_category"]] == \
+        [None if pd.isna(x) else x for x in ref["wind_category"]]
