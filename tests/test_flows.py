@@ -421,3 +421,34 @@ def test_weather_flow_against_pandas(spark):
     assert np.allclose(got["comfort_index"], ref["comfort_index"])
     assert [None if pd.isna(x) else x for x in got["wind_category"]] == \
         [None if pd.isna(x) else x for x in ref["wind_category"]]
+
+
+def test_launch_flow_against_pandas(spark):
+    """Launch enrichment, completeness branch and group statistics on sf0.001
+    against the same steps in pandas."""
+    import numpy as np
+    import pandas as pd
+    from rillet.plans import launches as lf
+    la, ro, pa = fx.launches(spark, SF), fx.rockets(spark, SF), fx.pads(spark, SF)
+    df = la.toPandas().merge(ro.toPandas(), on="rocket_id", how="left").merge(pa.toPandas(), on="launchpad_id",
+                                                                             how="left")
+    req = ["success", "rocket_name", "launchpad_name", "cost_per_launch", "details"]
+    df["completeness_score"] = df[req].notna().sum(axis=1) / len(req)
+    complete = df["completeness_score"] >= 0.8
+    rel = np.where(df["success_rate"].notna(), df["success_rate"] / 100 * df["completeness_score"],
+                   df["completeness_score"])
+    df["reliability_score"] = np.where(complete, rel, df["completeness_score"])
+    cx = np.where((df["crew"] > 0) | (df["payloads"] > 3), "High", np.where(df["payloads"] > 1, "Medium", "Low"))
+    df["mission_complexity"] = np.where(complete, cx, "Unknown")
+    s = df["success"].map({True: 1.0, False: 0.0})
+    df["avg_success_rate_by_rocket"] = s.groupby(df["rocket_name"]).transform("mean")
+    df["launches_by_rocket"] = df.groupby("rocket_name")["rocket_name"].transform("count")
+    df["avg_success_rate_by_pad"] = s.groupby(df["launchpad_name"]).transform("mean")
+    got = lf.flow_quality_branch(la, ro, pa).toPandas().set_index("flight_number").sort_index()
+    ref = df.set_index("flight_number").sort_index()
+    assert list(got.index) == list(ref.index)
+    assert np.allclose(got["completeness_score"], ref["completeness_score"])
+    assert np.allclose(got["reliability_score"], ref["reliability_score"])
+    assert (got["mission_complexity"] == ref["mission_complexity"]).all()
+    for c in ["avg_success_rate_by_rocket", "launches_by_rocket", "avg_success_rate_by_pad"]:
+        assert np.allclose(got[c].astype(float), ref[c].astype(float), equal_nan=True), c
