@@ -452,3 +452,40 @@ def test_launch_flow_against_pandas(spark):
     assert (got["mission_complexity"] == ref["mission_complexity"]).all()
     for c in ["avg_success_rate_by_rocket", "launches_by_rocket", "avg_success_rate_by_pad"]:
         assert np.allclose(got[c].astype(float), ref[c].astype(float), equal_nan=True), c
+
+
+def test_creature_flow_against_python(spark):
+    """Nested JSON flatten, species lookup, rarity and branch scores on sf0.001
+    against the same steps on the parsed documents in Python."""
+    import json
+    from rillet.plans import creatures as crf
+    ents = [json.loads(r["json"]) for r in fx.creature_documents(spark, SF).collect()]
+    spec = {d["url"]: d for d in (json.loads(r["json"]) for r in fx.species_documents(spark, SF).collect())}
+    got = {r["pokemon_id"]: r for r in crf.flow_legendary(fx.creature_documents(spark, SF),
+                                                          fx.species_documents(spark, SF)).collect()}
+    names = ["hp", "attack", "defense", "special_attack", "special_defense", "speed"]
+    seen = 0
+    for e in ents:
+        sp = spec.get(e["species"]["url"])
+        if sp is None:
+            assert e["id"] not in got
+            continue
+        seen += 1
+        st = {n: (e["stats"][i]["base_stat"] if i < len(e["stats"]) else 0) for i, n in enumerate(names)}
+        total = sum(st.values())
+        leg, myth = sp["is_legendary"], sp["is_mythical"]
+        rarity = ("mythical" if myth else "legendary" if leg else "rare" if total >= 500
+                  else "uncommon" if total >= 400 else "common")
+        r = got[e["id"]]
+        assert (r["total_stats"], r["rarity"], r["name"]) == (total, rarity, e["name"].title())
+        assert r["type_primary"] == (e["types"][0]["type"]["name"] if e["types"] else "normal")
+        if leg or myth:
+            tier = "mythical" if myth else "box_legendary" if total >= 680 else "sub_legendary"
+            assert (r["legendary_tier"], r["power_score"], r["combat_role"]) == \
+                (tier, total * 1.5 + e["base_experience"], None)
+        else:
+            a, d = st["attack"], st["defense"]
+            role = ("sweeper" if a > d and st["speed"] >= 80 else "tank" if d > a and st["hp"] >= 80 else "balanced")
+            assert (r["legendary_tier"], r["power_score"], r["combat_role"]) == \
+                (None, total + e["base_experience"] * 0.5, role)
+    assert seen == len(got)
