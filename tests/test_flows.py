@@ -489,3 +489,36 @@ def test_creature_flow_against_python(spark):
             assert (r["legendary_tier"], r["power_score"], r["combat_role"]) == \
                 (None, total + e["base_experience"] * 0.5, role)
     assert seen == len(got)
+
+
+def test_market_flow_against_pandas(spark):
+    """Cross-timeframe validation on sf0.001 against the per-key steps in pandas."""
+    import numpy as np
+    from rillet.plans import cross_validation as cvf
+    sp, hr, dl, md = fx.spot(spark, SF), fx.hourly(spark, SF), fx.daily(spark, SF), fx.metadata(spark, SF)
+    spot, h, d = sp.toPandas(), hr.toPandas(), dl.toPandas()
+    hs = h.groupby("crypto_id").agg(m=("price_usd", "mean"), s=("price_usd", "std"), v=("volume", "mean"))
+    ds = d.groupby("crypto_id").agg(m=("price_usd", "mean"), v=("volume", "mean"))
+    want = {}
+    for _, r in spot.iterrows():
+        cid, price = r["crypto_id"], r["spot_price_usd"]
+        a24 = hs.loc[cid, "m"] if cid in hs.index else price
+        s24 = hs.loc[cid, "s"] if cid in hs.index else 0.0
+        a7 = ds.loc[cid, "m"] if cid in ds.index else price
+        v7 = ds.loc[cid, "v"] if cid in ds.index else 0.0
+        dev24 = (price - a24) / a24 * 100 if a24 > 0 else 0
+        dev7 = (price - a7) / a7 * 100 if a7 > 0 else 0
+        vdev = (r["volume_24h"] - v7) / v7 * 100 if v7 > 0 else 0
+        vol = s24 / a24 * 100 if a24 > 0 else 0
+        cons = (dev24 > 0) == (dev7 > 0)
+        conf = 100.0 - (20 if abs(dev24) > 10 else 10 if abs(dev24) > 5 else 0) \
+            - (15 if abs(dev7) > 15 else 10 if abs(dev7) > 10 else 0) \
+            - (15 if vol > 5 else 10 if vol > 3 else 0) - (0 if cons else 15) - (10 if abs(vdev) > 50 else 0)
+        want[cid] = (round(dev24, 2), round(vdev, 2), max(0.0, min(100.0, conf)))
+    got = {r["crypto_id"]: r for r in cvf.flow_cross_validation(sp, hr, dl, md).collect()}
+    assert set(got) == set(want)
+    for cid, (dev24, vdev, conf) in want.items():
+        r = got[cid]
+        assert np.isclose(r["price_deviation_24h_pct"], dev24, atol=0.011), cid
+        assert np.isclose(r["volume_deviation_pct"], vdev, atol=0.011), cid
+        assert r["confidence_score"] == conf, cid
