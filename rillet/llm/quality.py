@@ -16,8 +16,9 @@ from rillet.llm.common import landed, let, sliding, words
 
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _BLANKS = " \t\n\x0b\f\r"
-RULES = ("words", "word_length", "symbols", "dup_lines", "repeats", "capitals", "digits", "line_ends", "variety")
+RULES = ("words", "word_length", "symbols", "dup_lines", "repeats", "capitals", "digits", "line_ends", "variety", "punctuation")
 
 
 def _repeat_words(w: Column) -> Column:
@@ -63,7 +64,8 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         "doc_id", let(words(text), of_words).alias("w"), let(lines, of_lines).alias("l"),
         (F.char_length(text).cast("long") - _removed(text, _BLANKS)).alias("word_chars"), _removed(text, SYMBOLS).alias("n_symbols"),
         _removed(text, upper).alias("n_upper"), _removed(text, lower).alias("n_lower"), _removed(text, "0123456789").alias("n_digits"),
-    ).select("doc_id", "w.*", "l.*", "word_chars", "n_symbols", "n_upper", "n_lower", "n_digits")
+        _removed(text, _MARKS).alias("n_marks"),
+    ).select("doc_id", "w.*", "l.*", "word_chars", "n_symbols", "n_upper", "n_lower", "n_digits", "n_marks")
 
 
 def _vote(value: Column, good: Column, bad: Column) -> Column:
@@ -80,6 +82,7 @@ def votes() -> dict[str, Column]:
     dup = F.when(F.col("n_lines") >= 3, F.try_divide(F.col("n_dup_lines"), F.col("n_lines")))
     capitals = F.try_divide(F.col("n_upper"), F.col("n_upper") + F.col("n_lower"))
     digits = F.try_divide(F.col("n_digits"), F.col("word_chars"))
+    marks = F.try_divide(F.col("n_marks"), F.col("word_chars"))
     ended = F.when(F.col("n_lines") >= 3, F.try_divide(F.col("n_ended"), F.col("n_lines")))
     variety = F.when(enough & (n <= 2000), per_word("n_distinct"))
     return {
@@ -92,39 +95,44 @@ def votes() -> dict[str, Column]:
         "digits": _vote(digits, digits <= 0.05, digits > 0.2),
         "line_ends": _vote(ended, ended >= 0.5, ended < 0.1),
         "variety": _vote(variety, variety >= 0.3, variety < 0.15),
+        "punctuation": _vote(marks, marks <= 0.08, marks > 0.12),
     }
 
 
-def fit_votes(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 50) -> tuple[float, list[dict[int, float]]]:
+#: Belief before any document: how often a rule votes bad on a bad and on a good document, worth this share of all documents.
+BAD_ON_BAD, BAD_ON_GOOD, BELIEF = 0.2, 0.01, 0.005
+
+
+def fit_votes(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 60) -> tuple[float, list[dict[int, float]]]:
     """EM over (pattern, count): prior log-odds of good, and per rule the log-odds of each vote.
 
-    The start says that rules are right in 4 of 5 votes. That belief stays in as
-    pseudo-counts, a hundredth of all documents, so the two classes cannot swap.
+    The first guess is the verdict of an all-must-pass filter, held with some doubt;
+    EM then learns which rules agree with the others and weighs each vote by that. A
+    belief worth half a percent of the documents keeps the two classes from swapping.
     """
     if not patterns:
         return 0.0, []
     rules, total = len(patterns[0][0]), sum(n for _, n in patterns)
-    weight = max(1.0, total / 100)
-    share, right = 0.9, [{1: (0.8, 0.2), 0: (0.2, 0.8)} for _ in range(rules)]
+    weight = max(1.0, BELIEF * total)
+    guess = [0.1 if 0 in pattern else 0.99 for pattern, _ in patterns]
     for _ in range(rounds):
-        good = [[weight * 0.8, weight * 0.2] for _ in range(rules)]  # votes 1, 0 by good documents
-        bad = [[weight * 0.2, weight * 0.8] for _ in range(rules)]
+        good = [[weight * (1 - BAD_ON_GOOD), weight * BAD_ON_GOOD] for _ in range(rules)]  # votes 1, 0 by good documents
+        bad = [[weight * (1 - BAD_ON_BAD), weight * BAD_ON_BAD] for _ in range(rules)]
         mass = 0.0
-        for pattern, n in patterns:
-            odds = math.log(share / (1 - share)) + sum(math.log(right[r][v][0] / right[r][v][1]) for r, v in enumerate(pattern) if v >= 0)
-            p = 1 / (1 + math.exp(-max(-500.0, min(500.0, odds))))
+        for (pattern, n), p in zip(patterns, guess, strict=True):
             mass += n * p
             for r, v in enumerate(pattern):
                 if v >= 0:
                     good[r][1 - v] += n * p
                     bad[r][1 - v] += n * (1 - p)
-        share = min(0.999, max(0.001, (mass + 0.9 * weight) / (total + weight)))
-        for r in range(rules):
-            g, b = good[r][0] / sum(good[r]), bad[r][0] / sum(bad[r])
-            right[r] = {1: (g, b), 0: (1 - g, 1 - b)}
-    # A vote never speaks against its own direction: an uninformative rule weighs nothing.
-    logs = [{1: max(0.0, math.log(x[1][0] / x[1][1])), 0: min(0.0, math.log(x[0][0] / x[0][1]))} for x in right]
-    return math.log(share / (1 - share)), logs
+        share = (mass + 0.9 * weight) / (total + weight)
+        # A vote never speaks against its own direction: an uninformative rule weighs nothing.
+        logs = [{1: max(0.0, math.log(g[0] / sum(g) * sum(b) / b[0])), 0: min(0.0, math.log(g[1] / sum(g) * sum(b) / b[1]))}
+                for g, b in zip(good, bad, strict=True)]
+        prior = math.log(share / (1 - share))
+        odds = [prior + sum(logs[r][v] for r, v in enumerate(pattern) if v >= 0) for pattern, _ in patterns]
+        guess = [1 / (1 + math.exp(-max(-500.0, min(500.0, o)))) for o in odds]
+    return prior, logs
 
 
 def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_at: float = 0.5) -> DataFrame:
@@ -138,7 +146,7 @@ def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     vote = votes()
     names = list(vote)
     counted = seen.select(*[c.alias(k) for k, c in vote.items()]).groupBy(*names).agg(F.count("*").alias("n"))
-    prior, logs = fit_votes([(tuple(r[k] for k in names), r["n"]) for r in counted.sort(*names).collect()])  # at most 3^9 rows
+    prior, logs = fit_votes([(tuple(r[k] for k in names), r["n"]) for r in counted.sort(*names).collect()])  # at most 3^10 rows
     odds = F.lit(prior)
     for k, weights in zip(names, logs, strict=False):
         odds = odds + F.when(vote[k] == 1, weights[1]).when(vote[k] == 0, weights[0]).otherwise(0.0)
