@@ -46,11 +46,6 @@ def clamp(c: ColumnOrName, lo: float | None = 0.0, hi: float | None = 100.0) ->
     return out
 
 
-def safe_ratio(num: ColumnOrName, den: ColumnOrName) -> Column:
-    """Division that yields NULL on a zero or NULL denominator (ANSI-safe)."""
-    return F.try_divide(_c(num), _c(den))
-
-
 def float_div(num: ColumnOrName, den: ColumnOrName) -> Column:
     """Division with IEEE float rules, as pandas/numpy compute it: x/0 is
     +/-inf, 0/0 is NaN, NULL stays NULL (ANSI mode would raise instead)."""
@@ -224,6 +219,12 @@ def parse_timestamp(c: ColumnOrName, fmt: str) -> Column:
     return F.try_to_timestamp(_c(c), F.lit(fmt)).cast("timestamp_ntz")
 
 
+def parse_utc(c: ColumnOrName) -> Column:
+    """Coercing parse of an ISO date or time text, with or without fraction and zone; a text
+    without a zone, and the result, are in the session's zone (UTC). Bad text -> NULL."""
+    return F.try_to_timestamp(_c(c)).cast("timestamp_ntz")
+
+
 def date_parts(ts: ColumnOrName) -> dict[str, Column]:
     """Year, month and English day name of a timestamp."""
     ts = _c(ts)

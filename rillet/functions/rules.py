@@ -50,11 +50,6 @@ def bucketize(c: ColumnOrName, edges: Sequence[float], labels: Sequence[str]) ->
     return classify(rules)
 
 
-def bucket_domain(labels: Sequence[str]) -> list[tuple[int, str]]:
-    """Ordered label domain of a bucketizer (for full-domain group-bys)."""
-    return list(enumerate(labels))
-
-
 def score(terms: Sequence[tuple[Column, float]], base: float = 0.0,
           lo: float | None = None, hi: float | None = None) -> Column:
     """``base + sum(points for each true condition)``, clamped to [lo, hi]."""
@@ -79,10 +74,3 @@ def tri_state(c: ColumnOrName, true_label: str = "Success", false_label: str = "
     """Nullable boolean -> three labels."""
     c = _c(c)
     return F.when(c, F.lit(true_label)).when(~c, F.lit(false_label)).otherwise(F.lit(null_label))
-
-
-def threshold_label(c: ColumnOrName, hi: float, lo: float, above: str, below: str,
-                    middle: str) -> Column:
-    """``above`` if x > hi, ``below`` if x < lo, else ``middle``."""
-    x = _c(c)
-    return classify([(x > hi, above), (x < lo, below)], middle)

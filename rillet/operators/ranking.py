@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillet.session import materialized
+
 _LOW_BITS = (1 << 33) - 1  # monotonically_increasing_id: record number within a partition
 
 
@@ -24,36 +25,28 @@ def _bytes(text: str) -> int:
 
 
 def _partitions(df: DataFrame, n: int | None) -> int:
-    """Range partitions for a numbering: the plan's size estimate divided by
-    the advisory partition size, at least the default parallelism and at most
-    ``spark.sql.shuffle.partitions``.
-    (An explicit count is not coalesced by AQE, so it is sized up front.)"""
+    """Range partitions for a numbering: the plan's size estimate divided by the advisory
+    partition size, and at least the default parallelism (an explicit count is not
+    coalesced by AQE, so it is sized up front)."""
     if n:
         return n
-    conf = df.sparkSession.conf
-    cap = max(1, int(conf.get("spark.sql.shuffle.partitions", "200")))
-    target = _bytes(conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB") or "64MB")
-    try:
-        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no estimate: use the configured count
-        return cap
-    floor = max(1, df.sparkSession.sparkContext.defaultParallelism)  # keep every core busy
-    return int(min(cap, max(floor, -(-est // max(target, 1)))))
+    spark = df.sparkSession
+    target = _bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB") or "64MB")
+    est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    # Beyond a million partitions the estimate is a product of unknown sizes.
+    return int(max(spark.sparkContext.defaultParallelism, min(-(-est // max(target, 1)), 1_000_000)))
 
 
 def with_global_index(df: DataFrame, order: Sequence[Column | str], name: str = "_rn",
-                      n_parts: int | None = None, durable: bool = False, tie_break: bool = True) -> DataFrame:
+                      n_parts: int | None = None, tie_break: bool = True) -> DataFrame:
     """Add a 1-based row number over ``order`` (which should be a total order).
 
-    Steps: range-partition on ``order`` with a fixed partition count (AQE does
-    not coalesce it), sort inside partitions, take each row's ordinal from
-    ``monotonically_increasing_id``, count rows per partition (one row per
-    partition, a proven size bound, so it is broadcast) and add the prefix sum.
-    The sorted frame is persisted so that the counts and the rows see the same
-    partitions; a lost block is recomputed from the same range partitioner, and
-    the total order makes the recomputed ordinals identical. ``durable=True``
-    checkpoints it to ``spark.checkpoint.dir`` instead (lineage cut, no
-    recomputation at all).
+    Steps: range-partition on ``order`` with a fixed partition count (AQE does not
+    coalesce it), sort inside partitions, take each row's ordinal from
+    ``monotonically_increasing_id``, write that to the shared scratch folder, count rows
+    per partition (one row per partition, a proven size bound, so it is broadcast) and add
+    the prefix sum. Counts and rows read the same written ordinals, whatever executor is
+    lost meanwhile, and nothing stays cached.
     """
     n = _partitions(df, n_parts)
     if tie_break:
@@ -62,18 +55,11 @@ def with_global_index(df: DataFrame, order: Sequence[Column | str], name: str =
         # many range partitions.
         df = df.withColumn("_tb", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
         order = list(order) + [F.col("_tb")]
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    if durable:
-        # Written to the cluster's shared checkpoint folder: later stages never
-        # recompute the numbering, even after losing executors.
-        from rillet.session import checkpoint_dir
-        checkpoint_dir(df.sparkSession)
-        ranged = ranged.checkpoint(eager=True)
-    else:
-        ranged = ranged.persist(StorageLevel.MEMORY_AND_DISK)
-    tagged = ranged.withColumns({"_pid": F.shiftright(F.col("_mid"), 33),
-                                 "_ord": F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))})
+    mid = F.monotonically_increasing_id()
+    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_mid", mid)
+              .withColumns({"_pid": F.shiftright(F.col("_mid"), 33), "_ord": F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))})
+              .drop("_mid", "_tb"))
+    tagged = materialized(ranged, "numbered")
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.select(
         "_pid",
@@ -81,17 +67,23 @@ def with_global_index(df: DataFrame, order: Sequence[Column | str], name: str =
                    F.lit(0)).alias("_off"))
     return (tagged.join(F.broadcast(offsets), "_pid")
             .withColumn(name, F.col("_off") + F.col("_ord") + F.lit(1))
-            .drop("_pid", "_ord", "_off", "_mid", "_tb"))
+            .drop("_pid", "_ord", "_off"))
+
+
+#: Parts of a key in the first of two top-n levels.
+_SALTS = 32
 
 
 def first_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], n: int,
                     name: str | None = None) -> DataFrame:
-    """``head(n)`` per key. ``row_number() <= n`` is planned with a partial
-    WindowGroupLimit before the shuffle, so a hot key sends at most n rows per
-    map task."""
+    """``head(n)`` per key in two levels: the first n of every part of a key, then the first
+    n of the survivors, so one task meets at most ``32 * n`` rows of a hot key."""
     col = name or "_rank"
-    w = Window.partitionBy(*keys).orderBy(*order)
-    out = df.withColumn(col, F.row_number().over(w)).filter(F.col(col) <= n)
+    part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(_SALTS))
+    parts = Window.partitionBy(*keys, "_part").orderBy(*order)
+    whole = Window.partitionBy(*keys).orderBy(*order)
+    out = df.withColumn("_part", part).withColumn("_first", F.row_number().over(parts)).filter(F.col("_first") <= n)
+    out = out.drop("_first", "_part").withColumn(col, F.row_number().over(whole)).filter(F.col(col) <= n)
     return out if name else out.drop(col)
 
 
@@ -106,7 +98,7 @@ def systematic_sample(df: DataFrame, order: Sequence[Column | str], m: int) -> D
     """Every k-th row of the ordered set, ``k = n // m``, the first m of them;
     all rows when ``n <= m``. Sampling is the feature here, so it keeps m rows."""
     idx = with_global_index(df, order, "_rn")
-    n = idx.count()  # one number; also fills the numbering's cache once
+    n = idx.count()  # one number, from the written ordinals
     if n <= m:
         return idx
     step = n // m
@@ -128,16 +120,3 @@ def ordinal_key(c: Column | str, labels: Sequence[str]) -> Column:
     """Rank of a label in a fixed order (unknown labels last)."""
     m = F.create_map(*[x for i, lab in enumerate(labels) for x in (F.lit(lab), F.lit(i))])
     return F.coalesce(F.element_at(m, c if isinstance(c, Column) else F.col(c)), F.lit(len(labels)))
-
-
-def group_first_seen_index(df: DataFrame, group: str, order: Column | str, palette: int,
-                           name: str = "group_index") -> DataFrame:
-    """Index of each group by first appearance, modulo a palette size.
-
-    One row per group (``min(order)``), numbered with the distributed global
-    index, then joined back on the group key.
-    """
-    firsts = df.groupBy(group).agg(F.min(order).alias("_first"))
-    numbered = with_global_index(firsts, [F.col("_first"), F.col(group)], "_gi")
-    idx = numbered.select(group, F.pmod(F.col("_gi") - 1, F.lit(palette)).cast("int").alias(name))
-    return df.join(idx, group, "left")

@@ -1,4 +1,4 @@
-"""Global statistics attached to rows, and exact quantiles that scale.
+"""Global statistics attached to rows, and exact quantiles by counting.
 
 A global statistic is a one-row aggregate (partial aggregation on every
 partition, one tiny final merge) whose values are attached to the rows as
@@ -8,13 +8,11 @@ window is used.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from rillet.operators.ranking import with_global_index
 
 
 def with_global_stats(df: DataFrame, stats: Mapping[str, Column] | DataFrame,
@@ -37,176 +35,103 @@ def _qname(q: float) -> str:
     return "q" + (f"{q:.6f}".rstrip("0").rstrip(".").replace("0.", "", 1) or "0")
 
 
-def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float],
-                    names: Sequence[str] | None = None, method: str = "distributed") -> DataFrame:
+def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], names: Sequence[str] | None = None) -> DataFrame:
     """One-row frame with the exact, linearly interpolated quantiles of ``col``.
-
-    NULL (and NaN, which pandas skips) are ignored. ``method``:
-
-    * ``"distributed"`` (default): number the non-null values with the
-      range-partitioned global index, keep only the 2 rows per quantile that
-      bracket rank ``(n-1)*q`` and interpolate. Memory per task stays bounded
-      whatever the number of distinct values.
-    * ``"percentile"``: Spark's exact ``percentile`` aggregate; its final merge
-      holds a value->count map in one task, so use it for low-cardinality data.
-    * ``"approx"``: ``percentile_approx`` (bounded sketch, approximate).
-    * ``"bracket"``: exact; ranks only the values between two approximate
-      probes (two scans, a small shuffle). Each column's sketches are merged in
-      one task, which grows with the number of map tasks, so the default stays
-      ``"distributed"`` for the largest inputs.
-    """
+    NULL (and NaN, which pandas skips) are ignored; see ``exact_quantiles_many``."""
     names = list(names or [_qname(q) for q in qs])
-    return exact_quantiles_many(df, [(col, q, n) for q, n in zip(qs, names)], method)
+    return exact_quantiles_many(df, [(col, q, n) for q, n in zip(qs, names)])
 
 
-_FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+#: Bins of one counting round; a round sends at most so many counts per wanted range to the driver.
+_BINS = 4096
 
 
-def _tie_columns(df: DataFrame, first: Sequence[str], extra: int = 6) -> list[str]:
-    """Columns whose hash separates rows with equal values: the ranked columns
-    plus a few fixed-width others (cheap to hash, usually row-identifying)."""
-    others = [f.name for f in df.schema.fields
-              if f.name not in first and isinstance(f.dataType, _FIXED_WIDTH)][:extra]
-    return list(dict.fromkeys(list(first) + others)) or list(df.columns)
+def _number(c: str) -> Column:
+    v = F.col(f"`{c}`").cast("double")
+    return F.when(~F.isnan(v), v)
 
 
-def exact_quantiles_many(df: DataFrame, specs: Sequence[tuple[str, float, str]],
-                         method: str = "distributed") -> DataFrame:
-    """Exact quantiles of several columns in one pass: ``specs`` is
-    ``(column, q, output name)``; the result is one row.
+def _order_statistics(df: DataFrame, ranks: Mapping[str, set[int]]) -> dict[tuple[str, int], float]:
+    """Values at the wanted 0-based ranks of each column, by counting.
 
-    Distributed method: the columns are stacked into (column, value) rows, so
-    one range shuffle and one numbering serve all of them; per-column row
-    counts and first ranks (one row per column) give each value its rank
-    within its column; only the rows bracketing each wanted rank are kept.
+    A round counts the values of every open range in bins of equal width (combined on
+    the map side, so a shuffle carries counts only), finds the bin that holds each rank
+    and narrows the range to the smallest and largest value in it. A range ends when
+    these are equal, so ties collapse by themselves however many rows hold them.
     """
+    # Open ranges: (column, rank inside the range, lowest, highest) by wanted rank.
+    found: dict[tuple[str, int], float] = {}
+    cols = list(ranks)
+    lows = df.agg(*[x for i, c in enumerate(cols) for x in (F.min(_number(c)).alias(f"lo{i}"), F.max(_number(c)).alias(f"hi{i}"))]).first()
+    todo = {(c, r): (r, lows[f"lo{i}"], lows[f"hi{i}"]) for i, c in enumerate(cols) for r in ranks[c]}
+    while todo:
+        for k, (_, lo, hi) in list(todo.items()):
+            if lo == hi:
+                found[k] = lo
+                del todo[k]
+        spans = sorted({(c, lo, hi) for (c, _), (_, lo, hi) in todo.items()})
+        if not spans:
+            break
+        entries = []
+        for i, (c, lo, hi) in enumerate(spans):
+            v = _number(c)
+            # Halves first: the width of a range may exceed the largest double.
+            share = F.coalesce(F.try_divide(v / 2 - lo / 2, F.lit(hi / 2 - lo / 2)), F.when(v > lo, 1.0).otherwise(0.0))
+            if lo == float("-inf") or hi == float("inf"):
+                share = F.when(v == float("-inf"), 0.0).when(v == float("inf"), 1.0).otherwise(0.5)
+            at = F.least(F.floor(share * _BINS), F.lit(_BINS - 1)).cast("int")
+            entries.append(F.when(v.between(lo, hi), F.struct(F.lit(i).alias("s"), at.alias("b"), v.alias("v"))))
+        rows = df.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*")
+        counts = rows.groupBy("s", "b").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
+        by_span: dict[int, list] = {}
+        for r in sorted(counts, key=lambda r: (r["s"], r["b"])):
+            by_span.setdefault(r["s"], []).append(r)
+        for k, (r, lo, hi) in list(todo.items()):
+            for entry in by_span[spans.index((k[0], lo, hi))]:
+                if r < entry["n"]:
+                    todo[k] = (r, entry["lo"], entry["hi"])
+                    break
+                r -= entry["n"]
+    return found
+
+
+def exact_quantiles_many(df: DataFrame, specs: Sequence[tuple[str, float, str]]) -> DataFrame:
+    """Exact quantiles of several columns: ``specs`` is ``(column, q, output name)``; the
+    result is one row, NULL for a column without values. Interpolation is numpy's (what
+    pandas uses). One pass counts the values, then ``_order_statistics`` narrows every
+    wanted rank of every column together in a few counting passes: no sort, no stacked
+    copy, nothing cached; only counts reach the driver."""
     cols = list(dict.fromkeys(c for c, _, _ in specs))
-    if method in ("percentile", "approx"):
-        aggs = []
-        for c, q, n in specs:
-            v = F.col(c).cast("double")
-            v = F.when(~F.isnan(v), v)
-            aggs.append((F.percentile(v, F.lit(q)) if method == "percentile"
-                         else F.percentile_approx(v, F.lit(q), 100000)).alias(n))
-        return df.agg(*aggs)
-    # A hash of the whole source row breaks ties between equal values, so a
-    # value held by a third of all rows still spreads over many range
-    # partitions (equal values need no particular order among themselves).
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in _tie_columns(df, cols)]).alias("_rowhash")
-    stacked = df.select(row_hash, F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_k"), F.col(f"`{c}`").cast("double").alias("_v")) for i, c in enumerate(cols)]))
-        .alias("_s"))
-    vals = stacked.select("_s._k", "_s._v", "_rowhash").filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    if method == "bracket":
-        return _bracketed_quantiles(vals, [(cols.index(c), q, n) for c, q, n in specs])
-    idx = with_global_index(vals, [F.col("_k"), F.col("_v"), F.col("_rowhash")], "_rn", tie_break=False)
-    per_col = idx.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"), F.min("_rn").alias("_first"))
-    spark = df.sparkSession
-    wanted = spark.createDataFrame([(cols.index(c), float(q), n) for c, q, n in specs], "_k int, _q double, _name string")
-    h = (F.col("_n") - 1) * F.col("_q")
-    bounds = wanted.join(per_col, "_k", "left").select(
-        "_k", "_name", h.alias("_h"),
-        (F.col("_first") + F.floor(h)).alias("_lo"), (F.col("_first") + F.ceil(h)).alias("_hi"))
-    # bounds has one row per requested quantile: a proven size bound.
-    hits = idx.join(F.broadcast(bounds), "_k").filter((F.col("_rn") == F.col("_lo")) | (F.col("_rn") == F.col("_hi")))
-    pairs = hits.groupBy("_name").agg(
-        F.max(F.when(F.col("_rn") == F.col("_lo"), F.col("_v"))).alias("_vlo"),
-        F.max(F.when(F.col("_rn") == F.col("_hi"), F.col("_v"))).alias("_vhi"),
-        F.first("_h").alias("_h"))
-    lo, hi, hh = F.col("_vlo"), F.col("_vhi"), F.col("_h")
-    t = hh - F.floor(hh)
-    # numpy's linear interpolation (what pandas' quantile uses): from the
-    # nearer end, so results are exact at the bracketing values.
-    val = F.when(t >= 0.5, hi - (hi - lo) * (F.lit(1.0) - t)).otherwise(lo + (hi - lo) * t)
-    # One row even for empty input (all NULL), like a global aggregate.
-    return pairs.agg(*[F.max(F.when(F.col("_name") == n, val)).alias(n) for _, _, n in specs])
-
-
-_ACCURACY = 10000
-
-
-def _interpolate(lo: Column, hi: Column, h: Column) -> Column:
-    """numpy's linear interpolation (what pandas' quantile uses): from the
-    nearer end, so results are exact at the bracketing values."""
-    t = h - F.floor(h)
-    return F.when(t >= 0.5, hi - (hi - lo) * (F.lit(1.0) - t)).otherwise(lo + (hi - lo) * t)
-
-
-def _bracketed_quantiles(vals: DataFrame, specs: Sequence[tuple[int, float, str]]) -> DataFrame:
-    """Exact quantiles without ranking every value.
-
-    1. One aggregate per column: the count and ``percentile_approx`` at
-       ``q -/+ 4/accuracy``. Its rank error is at most ``n/accuracy``, so for
-       ``n >= 2*accuracy`` the two probe values bracket the exact order
-       statistics ``floor/ceil((n-1)q)`` with ranks to spare; a smaller column
-       (where rounding of ranks could matter) keeps all its values.
-    2. One pass counts the values below the lower probe and keeps the values
-       inside the bracket (about ``6n/accuracy`` of them plus ties).
-    3. Only the bracket is numbered (distributed index); the two wanted ranks
-       are picked and interpolated.
-    Work is two scans and a shuffle of the bracket, not of every value.
-    """
-    eps = 4.0 / _ACCURACY
-    probes = sorted({max(0.0, q - eps) for _, q, _ in specs} | {min(1.0, q + eps) for _, q, _ in specs})
-    per_col = vals.groupBy("_k").agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_v", F.array(*[F.lit(p) for p in probes]), _ACCURACY).alias("_p"))
-    spark = vals.sparkSession
-    wanted = spark.createDataFrame(
-        [(k, float(q), n, probes.index(max(0.0, q - eps)) + 1, probes.index(min(1.0, q + eps)) + 1)
-         for k, q, n in specs], "_k int, _q double, _name string, _il int, _iu int")
-    h = (F.col("_n") - 1) * F.col("_q")
-    # One row per requested quantile: a proven size bound.
-    bounds = wanted.join(per_col, "_k", "left").select(
-        "_k", "_name", h.alias("_h"), F.floor(h).alias("_r_lo"), F.ceil(h).alias("_r_hi"),
-        F.when(F.col("_n") >= 2 * _ACCURACY, F.element_at("_p", F.col("_il"))).alias("_a"),
-        F.when(F.col("_n") >= 2 * _ACCURACY, F.element_at("_p", F.col("_iu"))).alias("_b"))
-    tagged = vals.join(F.broadcast(bounds), "_k")
-    below = tagged.groupBy("_name").agg(F.count_if(F.coalesce(F.col("_v") < F.col("_a"), F.lit(False)))
-                                        .alias("_below"))
-    band = tagged.filter(F.coalesce(F.col("_v").between(F.col("_a"), F.col("_b")), F.lit(True))).select(
-        "_name", "_v", "_rowhash")
-    idx = with_global_index(band, [F.col("_name"), F.col("_v"), F.col("_rowhash")], "_rn", tie_break=False)
-    first = idx.groupBy("_name").agg(F.min("_rn").alias("_first"))
-    ranked = (idx.join(first, "_name").join(below, "_name").join(F.broadcast(bounds.drop("_k")), "_name")
-              .withColumn("_rank", F.col("_rn") - F.col("_first") + F.col("_below")))
-    hits = ranked.filter((F.col("_rank") == F.col("_r_lo")) | (F.col("_rank") == F.col("_r_hi")))
-    pairs = hits.groupBy("_name").agg(
-        F.max(F.when(F.col("_rank") == F.col("_r_lo"), F.col("_v"))).alias("_vlo"),
-        F.max(F.when(F.col("_rank") == F.col("_r_hi"), F.col("_v"))).alias("_vhi"),
-        F.first("_h").alias("_h"))
-    val = _interpolate(F.col("_vlo"), F.col("_vhi"), F.col("_h"))
-    return pairs.agg(*[F.max(F.when(F.col("_name") == n, val)).alias(n) for _, _, n in specs])
-
-
-def quantile_flags(df: DataFrame, specs: Sequence[tuple[str, str, float, str]],
-                   method: str = "distributed", materialize: bool = True) -> DataFrame:
+    sizes = df.agg(*[F.count(_number(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    total = {c: sizes[f"n{i}"] for i, c in enumerate(cols)}
+    places = [(c, n, (total[c] - 1) * q) for c, q, n in specs]
+    ranks: dict[str, set[int]] = {}
+    for c, _, h in places:
+        if total[c]:
+            ranks.setdefault(c, set()).update({math.floor(h), math.ceil(h)})
+    at = _order_statistics(df, ranks) if ranks else {}
+    values = []
+    for c, _, h in places:
+        if not total[c]:
+            values.append(None)
+            continue
+        lo, hi, t = at[c, math.floor(h)], at[c, math.ceil(h)], h - math.floor(h)
+        # From the nearer end, so results are exact at the bracketing values.
+        values.append(hi - (hi - lo) * (1.0 - t) if t >= 0.5 else lo + (hi - lo) * t)
+    return df.sparkSession.range(1).select(*[F.lit(v).cast("double").alias(n) for v, (_, n, _) in zip(values, places, strict=True)])
+
+
+def quantile_flags(df: DataFrame, specs: Sequence[tuple[str, str, float, str]]) -> DataFrame:
     """Strict threshold flags against global quantiles.
 
-    ``specs``: ``(out_name, column, q, op)`` with op ``'>'`` or ``'<'``. All
-    thresholds come from one statistics pass; flags are never NULL.
-
-    ``materialize=True`` runs that pass now and inlines the thresholds as
-    literals (one row of numbers reaches the driver), so later consumers of the
-    result (e.g. a global maximum over the flagged rows) do not re-run the
-    quantile job. ``False`` keeps everything lazy: the one-row statistics are
-    attached with a broadcast cross join.
+    ``specs``: ``(out_name, column, q, op)`` with op ``'>'`` or ``'<'``. All thresholds
+    come from one set of counting passes and are inlined as literals; flags are never NULL.
     """
     wanted = list(dict.fromkeys((c, q) for _, c, q, _ in specs))
-    tmp = {cq: f"_q_{i}" for i, cq in enumerate(wanted)}
-    stats = exact_quantiles_many(df, [(c, q, tmp[(c, q)]) for c, q in wanted], method)
-    if materialize:
-        row = stats.first()
-        thresholds = {v: F.lit(row[v]).cast("double") for v in tmp.values()}
-        out = df
-    else:
-        thresholds = {v: F.col(v) for v in tmp.values()}
-        out = with_global_stats(df, stats, materialize=False)
-    for name, c, q, op in specs:
-        thr = thresholds[tmp[(c, q)]]
-        cond = F.col(c) > thr if op == ">" else F.col(c) < thr
-        out = out.withColumn(name, F.coalesce(cond, F.lit(False)))
-    return out if materialize else out.drop(*tmp.values())
+    row = exact_quantiles_many(df, [(c, q, f"_q_{i}") for i, (c, q) in enumerate(wanted)]).first()
+    thresholds = {cq: F.lit(row[i]).cast("double") for i, cq in enumerate(wanted)}
+    return df.withColumns({name: F.coalesce(F.col(c) > thresholds[c, q] if op == ">" else F.col(c) < thresholds[c, q], F.lit(False))
+                           for name, c, q, op in specs})
 
 
 def max_normalize(df: DataFrame, col: str, out: str, places: int = 2) -> DataFrame:

@@ -1,9 +1,8 @@
 """Per-key ordered time-series indicators (row-based rolling frames).
 
 ``rolling`` evaluates window columns over ``partitionBy(key).orderBy(order)``
-with bounded row frames. With ``skew_safe=True`` (the default ``"auto"``
-picks it for any input that could hold a key bigger than one task) a hot key
-is not one task: rows are numbered in (key, order) with the distributed global index,
+with bounded row frames. A hot key is not one task:
+rows are numbered in (key, order) with the distributed global index,
 cut into chunks of ``chunk_rows`` and every chunk gets a copy of the previous
 ``lookback`` rows as read-only context, so each window partition is bounded
 by ``chunk_rows + lookback`` rows and results are exact.
@@ -24,43 +23,16 @@ from rillet.operators.ranking import with_global_index
 Stage = Callable[[WindowSpec], dict[str, Column]]
 
 
-# Plan estimates are compressed-file sizes; rows in memory are several times larger.
-_MEMORY_FACTOR = 4
-
-
-def fits_one_task(df: DataFrame) -> bool:
-    """True when the whole input is provably smaller than one task's share
-    (plan size estimate x a memory factor <= the advisory partition size), so
-    no key can outgrow a task and a per-key window is safe."""
-    from rillet.operators.ranking import _bytes
-    conf = df.sparkSession.conf
-    target = _bytes(conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB") or "64MB")
-    try:
-        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - unknown size: assume it does not fit
-        return False
-    return est * _MEMORY_FACTOR <= target
-
-
 def rolling(df: DataFrame, key: str, order: Sequence[str], stages: Sequence[Stage],
-            lookback: int, skew_safe: bool | str = "auto", chunk_rows: int = 1 << 16) -> DataFrame:
+            lookback: int, chunk_rows: int = 1 << 16) -> DataFrame:
     """Apply window ``stages`` per key in time order.
 
     ``lookback`` must cover the deepest chain of row references of all stages
     (e.g. 19 for a 20-row mean; 14 for RSI-14 on first differences).
-    ``skew_safe="auto"`` chunks unless the whole input provably fits one task.
     """
-    if skew_safe == "auto":
-        skew_safe = not fits_one_task(df)
     # Rows tied on the order key get a fixed order (a hash of the whole row),
     # so results are repeatable and tied rows still spread over range partitions.
     df = df.withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
-    if not skew_safe:
-        w = Window.partitionBy(key).orderBy(*order, "_tie")
-        out = df
-        for st in stages:
-            out = out.withColumns(st(w))
-        return out.drop("_tie")
     if chunk_rows <= lookback:
         raise ValueError("chunk_rows must exceed lookback")
     idx = with_global_index(df, [F.col(key)] + [F.col(o) for o in order] + [F.col("_tie")], "_rn", tie_break=False)
@@ -125,10 +97,10 @@ INDICATOR_COLUMNS = ["daily_return", "ma_7", "ma_20", "volatility_7d", "rsi", "m
 
 
 def with_indicators(bars: DataFrame, key: str = "symbol", ts: str = "timestamp",
-                    skew_safe: bool | str = "auto", chunk_rows: int = 1 << 16) -> DataFrame:
+                    chunk_rows: int = 1 << 16) -> DataFrame:
     """Return, MA(7), MA(20), 7-row volatility, RSI(14) and momentum per key;
     missing values (first rows) become 0."""
     out = rolling(bars, key, [ts], [returns_and_averages(), volatility_and_rsi()],
-                  lookback=19, skew_safe=skew_safe, chunk_rows=chunk_rows)
+                  lookback=19, chunk_rows=chunk_rows)
     out = out.withColumns({"momentum": momentum(), "rsi": rsi_from_means()}).drop("_delta", "_gain", "_loss")
     return out.fillna(0.0, subset=INDICATOR_COLUMNS)

@@ -9,22 +9,24 @@ from pyspark.sql import functions as F
 from rillet.functions.columns import title_case
 from rillet.functions.rules import classify
 from rillet.operators.combine import branch_columns
-from rillet.sources.reshape import array_sizes, parse_json, positional
+from rillet.sources.reshape import array_sizes, is_corrupt, parse_json, positional
 
 ENTITY_SCHEMA = ("struct<id: bigint, name: string, height: bigint, weight: bigint, base_experience: bigint, "
                  "stats: array<struct<base_stat: bigint>>, types: array<struct<type: struct<name: string>>>, "
                  "species: struct<url: string>>")
 SPECIES_SCHEMA = "struct<url: string, is_legendary: boolean, is_mythical: boolean, generation: struct<name: string>>"
+# The base statistics in their order, and the value of a key that is absent.
 STAT_NAMES = ["hp", "attack", "defense", "special_attack", "special_defense", "speed"]
 
 
 def flatten(entities: DataFrame, text_col: str = "json") -> DataFrame:
-    """Struct paths and positional array items with defaults."""
-    e = parse_json(entities, text_col, ENTITY_SCHEMA, "e").filter(F.col("e").isNotNull())
+    """Struct paths and positional array items with defaults. Texts that are no document are
+    left out here; ``corrupt_records`` returns them."""
+    e = parse_json(entities.filter(~is_corrupt(text_col, ENTITY_SCHEMA)), text_col, ENTITY_SCHEMA, "e").filter(F.col("e").isNotNull())
     cols = {n: positional("e.stats", i, "base_stat", 0) for i, n in enumerate(STAT_NAMES)}
     return e.select(
-        F.col("e.id").alias("pokemon_id"), F.col("e.name").alias("name"), F.col("e.height").alias("height"),
-        F.col("e.weight").alias("weight"), F.col("e.base_experience").alias("base_experience"),
+        F.col("e.id").alias("pokemon_id"), F.coalesce("e.name", F.lit("unknown")).alias("name"),
+        *[F.coalesce(f"e.{n}", F.lit(0)).cast("long").alias(n) for n in ("height", "weight", "base_experience")],
         *[c.alias(n) for n, c in cols.items()],
         positional("e.types", 0, "type.name", "normal").alias("type_primary"),
         positional("e.types", 1, "type.name").alias("type_secondary"),
@@ -35,8 +37,8 @@ def flatten(entities: DataFrame, text_col: str = "json") -> DataFrame:
 def with_species(flat: DataFrame, species: DataFrame, text_col: str = "json") -> DataFrame:
     """Inner join on the species URL: an unresolved species drops the entity."""
     s = parse_json(species, text_col, SPECIES_SCHEMA, "s").select(
-        F.col("s.url").alias("species_url"), F.col("s.is_legendary").alias("is_legendary"),
-        F.col("s.is_mythical").alias("is_mythical"), F.col("s.generation.name").alias("generation"))
+        F.col("s.url").alias("species_url"), F.coalesce("s.is_legendary", F.lit(False)).alias("is_legendary"),
+        F.coalesce("s.is_mythical", F.lit(False)).alias("is_mythical"), F.coalesce("s.generation.name", F.lit("unknown")).alias("generation"))
     return flat.join(s, "species_url", "inner").drop("species_url")
 
 

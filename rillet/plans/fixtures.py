@@ -226,13 +226,46 @@ def weather_documents(spark: SparkSession, sf_dir: str, per_doc: int = 24) -> Da
     return grouped.select("doc_id", "feed", F.to_json(hourly, {"timestampNTZFormat": JSON_TS}).alias("hourly_json"))
 
 
+def regional_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events in one read, with their region (the event type) and its city."""
+    city = F.create_map(*[F.lit(x) for pair in REGION_CITY for x in pair])
+    return weather_rows(spark, sf_dir).withColumnRenamed("feed", "region").withColumn("city", F.try_element_at(city, F.col("region")))
+
+
 def regional_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """One source per region (event type); together they cover every event."""
+    """One source per known region, as separate reads for the fan-in operator."""
     rows = weather_rows(spark, sf_dir)
     return {region: rows.filter(F.col("feed") == region).drop("feed").withColumn("city", F.lit(city))
             for region, city in REGION_CITY}
 
 
+# ---------------------------------------------------------------- story pages
+
+def story_pages(spark: SparkSession, sf_dir: str, per_page: int = 30) -> DataFrame:
+    """Listing pages of up to ``per_page`` stories, one story per event: a story row and a
+    details row each, some without title, details, score, author, age or any link."""
+    ev = table(spark, sf_dir, "events")
+    i, k = F.col("event_id"), F.get_json_object("props", "$.k")
+    every = lambda n, r: F.pmod(i, F.lit(n)) == r
+    text = lambda *parts: F.concat(*[p if isinstance(p, F.Column) else F.lit(p) for p in parts])
+    n = i.cast("string")
+    link = (F.when(every(5, 0), text("item?id=", n)).when(every(5, 1), text("http://x", F.pmod(i, F.lit(9)), ".org/a?b=1"))
+            .when(every(5, 2), F.lit("https://news.ycombinator.com/newest")).when(every(5, 3), text("https://site.example:8080/p/", n))
+            .otherwise(text("https://www.host", F.pmod(i, F.lit(4)), ".com/", n, "#top")))
+    title = F.when(every(17, 3), F.lit("")).otherwise(text(
+        '<span class="titleline"><a href="', link, '" rel="nofollow"> The <i>', F.col("event_type"), "</i> &amp; &quot;", n, "&quot; </a></span>"))
+    score = F.when(every(7, 2), F.lit("")).when(every(29, 7), F.lit('<span class="score">many points</span>')).otherwise(
+        text('<span class="score" id="score_', n, '">', F.floor(F.col("value") * 3).cast("string"), " points</span> "))
+    author = F.when(every(11, 4) | every(23, 9), F.lit("")).otherwise(text('by <a href="user?id=u', F.col("user_id"), '" class="hnuser">u', F.col("user_id"), "</a> "))
+    age = F.when(every(13, 6) | every(23, 9), F.lit("")).otherwise(text('<span class="age"><a href="item?id=', n, '">', F.pmod(i, F.lit(24)), " hours ago</a></span> "))
+    answers = F.when(every(23, 9), F.lit("")).otherwise(text('| <a href="item?id=', n, '">', F.when(every(3, 0), F.lit("discuss")).when(every(3, 1), text(k, "&nbsp;comments"))
+                                                             .otherwise(F.lit("1&nbsp;comment")), "</a>"))
+    details = F.when(every(19, 5), F.lit("<td>no details</td>")).otherwise(text('<td class="subtext"><span class="subline">', score, author, age, answers, "</span></td>"))
+    story = text('<tr class="athing submission" id="', n, '"><td>', title, "</td></tr>\n<tr>", details, '</tr><tr class="spacer"></tr>\n')
+    pages = ev.groupBy(F.floor(i / per_page).alias("p")).agg(F.array_sort(F.collect_list(F.struct(i.alias("i"), story.alias("s")))).alias("rows"))  # at most per_page rows
+    return pages.select((F.col("p") + 1).alias("page_no"), text("<html><body><table>\n", F.array_join(F.transform("rows", lambda r: r["s"]), ""), "</table></body></html>").alias("html"))
+
+
 # ---------------------------------------------------------------- listings
 
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -257,12 +290,15 @@ def creature_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     t1 = F.struct(F.struct(F.lower("p_type").alias("name")).alias("type"))
     t2 = F.struct(F.struct(F.lower(F.regexp_replace("p_brand", "#", "-")).alias("name")).alias("type"))
     types = F.when(F.col("p_size") > 25, F.array(t1, t2)).otherwise(F.array(t1))
+    # Keys that are null are left out of the text; a few documents are cut off.
+    but = lambda c, n, r: F.when(F.pmod("p_partkey", F.lit(n)) != r, c)
     doc = F.struct(
-        F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), F.col("p_size").cast("long").alias("height"),
-        F.col("p_retailprice").cast("long").alias("weight"), (F.col("p_size") * 5).cast("long").alias("base_experience"),
+        F.col("p_partkey").alias("id"), but(F.col("p_name"), 37, 5).alias("name"), but(F.col("p_size").cast("long"), 41, 6).alias("height"),
+        F.col("p_retailprice").cast("long").alias("weight"), but((F.col("p_size") * 5).cast("long"), 43, 7).alias("base_experience"),
         stats.alias("stats"), types.alias("types"),
         F.struct(F.concat(F.lit("https://api.example/species/"), F.col("p_partkey")).alias("url")).alias("species"))
-    return p.select(F.to_json(doc).alias("json"))
+    whole = F.to_json(doc)
+    return p.select(F.when(F.pmod("p_partkey", F.lit(53)) == 11, F.substring(whole, 1, 20)).otherwise(whole).alias("json"))
 
 
 def species_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -271,8 +307,8 @@ def species_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = li.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n"), F.min("l_linenumber").alias("g"))
     doc = F.struct(
         F.concat(F.lit("https://api.example/species/"), F.col("l_partkey")).alias("url"),
-        (F.col("n") >= 40).alias("is_legendary"), (F.col("n") >= 45).alias("is_mythical"),
-        F.struct(F.concat(F.lit("generation-"), F.col("g")).alias("name")).alias("generation"))
+        (F.col("n") >= 40).alias("is_legendary"), F.when(F.pmod("l_partkey", F.lit(23)) != 2, F.col("n") >= 45).alias("is_mythical"),
+        F.when(F.pmod("l_partkey", F.lit(29)) != 3, F.struct(F.concat(F.lit("generation-"), F.col("g")).alias("name"))).alias("generation"))
     return g.select(F.to_json(doc).alias("json"))
 
 

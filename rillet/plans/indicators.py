@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +10,7 @@ from rillet.functions.rules import classify
 from rillet.operators.aggregate import with_group_stats
 from rillet.operators.stats import exact_quantiles, with_global_stats
 from rillet.operators.timeseries import with_indicators
+from rillet.session import materialized
 
 # Output columns and the columns rounded to 2 places.
 OUTPUT_COLUMNS = [
@@ -48,30 +48,47 @@ def day_type(pct="price_change_pct") -> F.Column:
     return classify([(p > 2, "strong_gain"), (p > 0, "gain"), (p < -2, "strong_loss")], "loss")
 
 
-def market_context(df: DataFrame, quantile_method: str = "distributed") -> DataFrame:
-    """Volume vs the key's mean, MA trend, RSI signal, volatility vs the global
-    75th percentile, open->close change and day type."""
+def clean_bars(bars: DataFrame) -> DataFrame:
+    return bars.na.drop("any").withColumn("date", F.to_date("timestamp"))
+
+
+def price_context(df: DataFrame) -> DataFrame:
+    """Row-wise part: open to close change and day type."""
+    out = df.withColumns({"price_change": F.col("close") - F.col("open"), "price_change_pct": pct_change("close", "open")})
+    return out.withColumn("day_type", day_type())
+
+
+def signals(df: DataFrame) -> DataFrame:
+    """Row-wise part of a frame with indicators: trend and RSI signal."""
+    return df.withColumns({"trend": trend(), "rsi_signal": rsi_signal()})
+
+
+def volume_context(df: DataFrame) -> DataFrame:
+    """Volume against the key's mean."""
     out = with_group_stats(df, ["symbol"], {"_avg_volume": F.avg("volume")})
-    q75 = exact_quantiles(df, "volatility_7d", [0.75], ["_vol_q75"], quantile_method)
-    out = with_global_stats(out, q75)
-    out = out.withColumns({
-        "volume_category": volume_category(),
-        "trend": trend(),
-        "rsi_signal": rsi_signal(),
-        "volatility_level": volatility_level(),
-        "price_change": F.col("close") - F.col("open"),
-        "price_change_pct": pct_change("close", "open"),
-    }).withColumn("day_type", day_type())
-    return out.drop("_avg_volume", "_vol_q75")
-
-
-def flow_indicators(bars: DataFrame, skew_safe: bool | str = "auto", chunk_rows: int = 1 << 16) -> DataFrame:
-    """Whole flow on a bars frame (symbol, timestamp, open, high, low, close, volume)."""
-    clean = bars.na.drop("any").withColumn("date", F.to_date("timestamp"))
-    # The indicator frame feeds the rows, the per-symbol means and the global
-    # quantile; keep it once instead of re-running the windows per consumer.
-    ind = with_indicators(clean, "symbol", "timestamp", skew_safe=skew_safe,
-                          chunk_rows=chunk_rows).persist(StorageLevel.MEMORY_AND_DISK)
-    ind.count()  # fill the cache once, before three stages start reading it at the same time
-    ctx = market_context(ind)
-    return with_rounded(ctx.select(*OUTPUT_COLUMNS), ROUNDED)
+    return out.withColumn("volume_category", volume_category()).drop("_avg_volume")
+
+
+def volatility_context(df: DataFrame) -> DataFrame:
+    """Volatility against the 75th percentile of all rows."""
+    q75 = exact_quantiles(df, "volatility_7d", [0.75], ["_vol_q75"])
+    return with_global_stats(df, q75).withColumn("volatility_level", volatility_level()).drop("_vol_q75")
+
+
+def market_context(df: DataFrame) -> DataFrame:
+    return price_context(signals(volatility_context(volume_context(df))))
+
+
+def rounded(df: DataFrame) -> DataFrame:
+    """The output columns that are there, in order, prices and indicators to 2 places."""
+    return with_rounded(df.select(*[c for c in OUTPUT_COLUMNS if c in df.columns]), [c for c in ROUNDED if c in df.columns])
+
+
+def flow_indicators(bars: DataFrame, chunk_rows: int = 1 << 16) -> DataFrame:
+    """Whole flow on a bars frame (symbol, timestamp, open, high, low, close, volume).
+
+    The indicator frame feeds the rows, the per-symbol means and the global quantile; it
+    is written once to the shared scratch folder instead of running the windows for each.
+    """
+    ind = materialized(with_indicators(clean_bars(bars), "symbol", "timestamp", chunk_rows=chunk_rows), "indicators")
+    return rounded(market_context(ind))

@@ -6,11 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillet.functions.columns import date_parts, masked_ratio, parse_timestamp, whole_days_between
+from rillet.functions.columns import date_parts, masked_ratio, parse_utc, whole_days_between
 from rillet.functions.rules import classify, tri_state
-from rillet.operators.aggregate import with_group_stats
 from rillet.operators.combine import branch_columns, left_join_dims
-from rillet.plans.fixtures import AS_OF, LAUNCH_TS_FORMAT
 
 # The fields whose presence makes a launch record complete.
 REQUIRED = ["success", "rocket_name", "launchpad_name", "cost_per_launch", "details"]
@@ -18,7 +16,7 @@ REQUIRED = ["success", "rocket_name", "launchpad_name", "cost_per_launch", "deta
 
 def enrich(launches: DataFrame, rockets: DataFrame, pads: DataFrame) -> DataFrame:
     out = left_join_dims(launches, [(rockets, "rocket_id"), (pads, "launchpad_id")])
-    ts = parse_timestamp("date_utc", LAUNCH_TS_FORMAT)
+    ts = parse_utc("date_utc")
     parts = date_parts("launch_date")
     return out.withColumn("launch_date", ts).withColumns({
         "launch_year": parts["year"], "launch_month": parts["month"],
@@ -47,11 +45,11 @@ def reliability() -> F.Column:
     return F.coalesce(F.col("success_rate") / 100.0 * F.col("completeness_score"), F.col("completeness_score"))
 
 
-def quality_branch(df: DataFrame, as_of: str = AS_OF, threshold: float = 0.8) -> DataFrame:
+def quality_branch(df: DataFrame, as_of: str | None = None, threshold: float = 0.8) -> DataFrame:
     """Both branches in one pass: the complete rows get the full analytics,
-    the others the basic metrics."""
+    the others the basic metrics. Days are counted to ``as_of`` (None: the query start)."""
     scored = df.withColumn("completeness_score", completeness())
-    days = whole_days_between(F.lit(as_of).cast("timestamp_ntz"), F.col("launch_date"))
+    days = whole_days_between(F.lit(as_of).cast("timestamp_ntz") if as_of else F.current_timestamp().cast("timestamp_ntz"), F.col("launch_date"))
     out = branch_columns(scored, F.col("completeness_score") >= threshold, {
         "reliability_score": (reliability(), F.col("completeness_score")),
         "mission_complexity": (complexity(), F.lit("Unknown")),
@@ -60,11 +58,18 @@ def quality_branch(df: DataFrame, as_of: str = AS_OF, threshold: float = 0.8) ->
     return out.withColumns({"mission_outcome": tri_state("success"), "days_since_launch": days})
 
 
-def group_statistics(df: DataFrame) -> DataFrame:
+def dimension_rates(launches: DataFrame, rockets: DataFrame, pads: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Success rates by rocket name and by pad name. The launches are counted by both ids
+    once, without any join; names are put to the counts."""
     s = F.col("success").cast("int")
-    out = with_group_stats(df, ["rocket_name"], {"avg_success_rate_by_rocket": F.avg(s),
-                                                 "launches_by_rocket": F.count("rocket_name")})
-    return with_group_stats(out, ["launchpad_name"], {"avg_success_rate_by_pad": F.avg(s)})
+    counts = launches.groupBy("rocket_id", "launchpad_id").agg(F.count("*").alias("_n"), F.count(s).alias("_known"), F.sum(s).alias("_won"))
+
+    def rate(dim: DataFrame, key: str, name: str, out: str, total: str | None) -> DataFrame:
+        named = counts.join(dim.select(key, name), key)
+        g = named.groupBy(name).agg(F.try_divide(F.sum("_won"), F.sum("_known")).alias(out), F.sum("_n").alias(total or "_t"))
+        return g if total else g.drop("_t")
+    return (rate(rockets, "rocket_id", "rocket_name", "avg_success_rate_by_rocket", "launches_by_rocket"),
+            rate(pads, "launchpad_id", "launchpad_name", "avg_success_rate_by_pad", None))
 
 
 OUTPUT = ["flight_number", "name", "date_utc", "launch_year", "launch_month", "launch_day_of_week",
@@ -75,5 +80,8 @@ OUTPUT = ["flight_number", "name", "date_utc", "launch_year", "launch_month", "l
           "avg_success_rate_by_pad"]
 
 
-def flow_quality_branch(launches: DataFrame, rockets: DataFrame, pads: DataFrame) -> DataFrame:
-    return group_statistics(quality_branch(enrich(launches, rockets, pads))).select(*OUTPUT)
+def flow_quality_branch(launches: DataFrame, rockets: DataFrame, pads: DataFrame, as_of: str | None = None) -> DataFrame:
+    by_rocket, by_pad = dimension_rates(launches, rockets, pads)
+    rows = quality_branch(enrich(launches, rockets, pads), as_of)
+    rows = rows.join(by_rocket, "rocket_name", "left").join(by_pad, "launchpad_name", "left")
+    return rows.select(*OUTPUT)

@@ -452,7 +452,7 @@ FROM events""",
 SELECT event_id, time, temperature_2m, relative_humidity_2m, precipitation, wind_speed_10m,
        CASE feed WHEN 'click' THEN 'Chiang Mai' WHEN 'view' THEN 'Bangkok' WHEN 'purchase' THEN 'Phuket'
                  WHEN 'signup' THEN 'Khon Kaen' WHEN 'error' THEN 'Hat Yai' END AS city, feed AS region
-FROM wrows WHERE feed IN ('click', 'view', 'purchase', 'signup', 'error')""",
+FROM wrows""",
     "numbered": """
 SELECT *, row_number() OVER (ORDER BY region, time, event_id) AS rn, count(*) OVER () AS n FROM merged""",
     "sampled": """
@@ -479,29 +479,28 @@ def weather(body: str, sample: bool = True) -> str:
 
 # ---------------------------------------------------------------- pages, listings, creatures, parents
 
-AUTHORITY = "regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)', 1)"
-
+# The pages are made of events, so the posts follow from the events without any markup.
 POSTS = {
+    "stories": """
+SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, CAST(event_id AS VARCHAR) AS n,
+       CASE event_id % 5 WHEN 0 THEN 'https://news.ycombinator.com/item?id=' || event_id WHEN 1 THEN 'http://x' || (event_id % 9) || '.org/a?b=1'
+            WHEN 2 THEN 'https://news.ycombinator.com/newest' WHEN 3 THEN 'https://site.example:8080/p/' || event_id
+            ELSE 'https://www.host' || (event_id % 4) || '.com/' || event_id || '#top' END AS url
+FROM events WHERE event_id % 17 <> 3 AND event_id % 19 <> 5 AND event_id % 23 <> 9 AND (event_id % 7 = 2 OR event_id % 29 <> 7)""",
     "posts0": """
-SELECT CAST(page_id AS VARCHAR) AS story_id, nullif(trim(regexp_extract(html, '<h1>(.*?)</h1>', 1)), '') AS title,
-       url, coalesce(nullif(trim(regexp_extract(html, '<a href="([^"]*)"', 1)), ''), '') AS link0,
-       CAST(len(regexp_extract_all(html, '<p>')) AS INTEGER) AS points,
-       coalesce(nullif(trim(regexp_extract(html, '&copy; ([^ <]+)', 1)), ''), 'unknown') AS author,
-       coalesce(nullif(trim(regexp_extract(html, '<html lang="([^"]*)"', 1)), ''), 'unknown') AS age,
-       CASE WHEN contains(ltext, 'comment')
-            THEN coalesce(TRY_CAST(nullif(regexp_extract(ltext, '^(\\d+)(\\s|\\xa0|$)', 1), '') AS INTEGER), 0)
-            ELSE 0 END AS comments
-FROM (SELECT *, trim(regexp_extract(html, '(?s).*<a href="[^"]*">([^<]*)</a>', 1)) AS ltext FROM pages) p""",
-    "posts": f"""
-SELECT story_id, title, url,
-       CASE WHEN starts_with(link0, 'item?id=') THEN 'https://news.ycombinator.com/' || link0 ELSE link0 END AS link,
-       points, author, age, comments,
-       CASE WHEN starts_with(url, 'http') THEN {AUTHORITY} ELSE 'news.ycombinator.com' END AS source,
-       points + comments AS engagement_score,
+SELECT event_id // 30 + 1 AS page_no, n AS story_id, 'The ' || event_type || ' & "' || n || '"' AS title, url,
+       CASE WHEN event_id % 7 = 2 THEN 0 ELSE CAST(floor(value * 3) AS INTEGER) END AS points,
+       CASE WHEN event_id % 11 = 4 THEN 'unknown' ELSE 'u' || user_id END AS author,
+       CASE WHEN event_id % 13 = 6 THEN 'unknown' ELSE (event_id % 24) || ' hours ago' END AS age,
+       CASE event_id % 3 WHEN 0 THEN 0 WHEN 1 THEN k ELSE 1 END AS comments,
+       CASE event_id % 5 WHEN 1 THEN 'x' || (event_id % 9) || '.org' WHEN 3 THEN 'site.example:8080'
+            WHEN 4 THEN 'www.host' || (event_id % 4) || '.com' ELSE 'news.ycombinator.com' END AS source
+FROM stories""",
+    "posts": """
+SELECT *, points + comments AS engagement_score,
        CASE WHEN points + comments >= 100 THEN 'viral' WHEN points + comments >= 50 THEN 'popular'
             WHEN points + comments >= 20 THEN 'moderate' ELSE 'new' END AS popularity,
-       NOT coalesce(regexp_matches(url, 'news.ycombinator.com'), false) AS is_external
-FROM posts0 WHERE title IS NOT NULL""",
+       NOT contains(url, 'news.ycombinator.com') AS is_external FROM posts0""",
 }
 
 LISTINGS = {
@@ -518,15 +517,16 @@ FROM lst0""",
 _STATS = ["hp", "attack", "defense", "special_attack", "special_defense", "speed"]
 
 CREATURES = {
-    "ent": "SELECT p_partkey AS pokemon_id, p_name AS name, CAST(p_size AS BIGINT) AS height, "
-           "CAST(trunc(p_retailprice) AS BIGINT) AS weight, CAST(p_size * 5 AS BIGINT) AS base_experience, "
+    "ent": "SELECT p_partkey AS pokemon_id, CASE WHEN p_partkey % 37 = 5 THEN 'unknown' ELSE p_name END AS name, "
+           "CASE WHEN p_partkey % 41 = 6 THEN 0 ELSE CAST(p_size AS BIGINT) END AS height, "
+           "CAST(trunc(p_retailprice) AS BIGINT) AS weight, CASE WHEN p_partkey % 43 = 7 THEN 0 ELSE CAST(p_size * 5 AS BIGINT) END AS base_experience, "
            + ", ".join(f"CAST((p_partkey * {i + 3} + p_size) % 120 + 20 AS BIGINT) AS {n}" for i, n in enumerate(_STATS))
            + ", lower(p_type) AS type_primary, "
            "CASE WHEN p_size > 25 THEN lower(replace(p_brand, '#', '-')) END AS type_secondary, "
-           "6 AS n_stats, CASE WHEN p_size > 25 THEN 2 ELSE 1 END AS n_types FROM part",
+           "6 AS n_stats, CASE WHEN p_size > 25 THEN 2 ELSE 1 END AS n_types FROM part WHERE p_partkey % 53 <> 11",
     "spc": """
-SELECT l_partkey AS pokemon_id, count(*) >= 40 AS is_legendary, count(*) >= 45 AS is_mythical,
-       'generation-' || CAST(min(l_linenumber) AS VARCHAR) AS generation
+SELECT l_partkey AS pokemon_id, count(*) >= 40 AS is_legendary, l_partkey % 23 <> 2 AND count(*) >= 45 AS is_mythical,
+       CASE WHEN l_partkey % 29 = 3 THEN 'unknown' ELSE 'generation-' || CAST(min(l_linenumber) AS VARCHAR) END AS generation
 FROM lineitem GROUP BY l_partkey""",
     "cr0": "SELECT e.*, s.is_legendary, s.is_mythical, s.generation, "
            + " + ".join(_STATS) + " AS total_stats FROM ent e JOIN spc s USING (pokemon_id)",

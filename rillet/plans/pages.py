@@ -8,24 +8,41 @@ from pyspark.sql import functions as F
 from rillet.functions.columns import (absolute_url, first_int, leading_count, parse_money, regex_flag, renamed,
                                       url_authority, when_columns_exist)
 from rillet.functions.rules import classify
-from rillet.sources.html import count_matches, first_match
-
-# The comment count is read from the text of the last link of a story block.
-LAST_LINK_TEXT = r'(?s).*<a href="[^"]*">([^<]*)</a>'
-
-
-def scrape_posts(pages: DataFrame) -> DataFrame:
-    """One post per page; a page without a title is skipped (required field)."""
-    posts = pages.select(
-        F.col("page_id").cast("string").alias("story_id"),
-        first_match("html", r"<h1>(.*?)</h1>").alias("title"),
-        F.col("url"),
-        absolute_url(F.coalesce(first_match("html", r'<a href="([^"]*)"'), F.lit(""))).alias("link"),
-        count_matches("html", "<p>").alias("points"),
-        first_match("html", r"&copy; ([^ <]+)", "unknown").alias("author"),
-        first_match("html", r'<html lang="([^"]*)"', "unknown").alias("age"),
-        leading_count(first_match("html", LAST_LINK_TEXT)).alias("comments"))
-    return posts.filter(F.col("title").isNotNull()).withColumn("source", url_authority("url"))
+from rillet.sources.html import capture, element_text, plain_text
+
+# The shape of a listing page; a page that looks different needs other patterns, not other code.
+# A story is a marked row; its details stand in the table row after it.
+STORY_BLOCKS = r"(?s)<tr\b[^>]*\bathing\b[^>]*>.*?(?=<tr\b[^>]*\bathing\b|\z)"
+STORY_ID = r"""^<tr\b[^>]*\bid=["']([^"']*)["']"""
+TITLE_LINK = r"""(?s)^.*?\btitleline\b[^>]*>\s*<a\b([^>]*)>(.*?)</a>"""
+NEXT_ROW = r"(?s)</tr>\s*<tr\b[^>]*>(.*?)</tr>"
+DETAILS = r"(?s)<td\b[^>]*\bsubtext\b[^>]*>(.*)</td>"
+HREF = r"""\bhref=["']([^"']*)["']"""
+LAST_LINK = r"(?s)^.*<a\b[^>]*>(.*?)</a>"
+
+
+def scrape_posts(pages: DataFrame, html: str = "html", page_no: str = "page_no") -> DataFrame:
+    """One row per story of every page. A story without a title link, without details,
+    without any link in them, or with points that are no number is skipped."""
+    blocks = pages.select(page_no, F.explode(F.regexp_extract_all(html, F.lit(STORY_BLOCKS), 0)).alias("_block"))
+    row = F.regexp_extract("_block", r"(?s)^(.*?)</tr>", 1)
+    parts = blocks.select(
+        page_no, F.regexp_extract("_block", STORY_ID, 1).alias("story_id"),
+        capture(row, TITLE_LINK, 1).alias("_attributes"), capture(row, TITLE_LINK, 2).alias("_title"),
+        capture(F.regexp_extract("_block", NEXT_ROW, 1), DETAILS, 1).alias("_details"))
+    found = parts.filter(F.col("_attributes").isNotNull() & F.col("_details").isNotNull())
+    details = found.select(
+        page_no, "story_id", plain_text("_title").alias("title"),
+        F.regexp_extract("_attributes", HREF, 1).alias("_href"),
+        element_text("_details", "score").alias("_score"),
+        F.coalesce(element_text("_details", "hnuser"), F.lit("unknown")).alias("author"),
+        F.coalesce(element_text("_details", "age"), F.lit("unknown")).alias("age"),
+        plain_text(capture("_details", LAST_LINK, 1)).alias("_last"))
+    points = F.when(F.coalesce("_score", F.lit("")) == "", 0).otherwise(F.split("_score", r"[\s\xa0]+")[0].try_cast("int"))
+    posts = details.filter(F.col("_last").isNotNull()).select(
+        page_no, "story_id", "title", absolute_url("_href").alias("url"), points.alias("points"), "author", "age",
+        leading_count("_last").alias("comments"), url_authority("_href").alias("source"))
+    return posts.filter(F.col("points").isNotNull())
 
 
 def popularity(score: str = "engagement_score") -> F.Column:

@@ -20,6 +20,7 @@ from rillet.operators import ranking
 from rillet.plans import creatures as crf
 from rillet.plans import cross_validation as cvf
 from rillet.plans import fixtures as fx
+from rillet.plans import indicators as inf
 from rillet.plans import launches as lf
 from rillet.plans import oracle as sql
 from rillet.plans import pages as pgf
@@ -28,8 +29,9 @@ from rillet.plans import retail as rt
 from rillet.plans import threat as thr
 from rillet.plans import weather as wf
 from rillet.plans.catalog import register
+from rillet.operators.timeseries import with_indicators
 from rillet.plans.indicators import flow_indicators
-from rillet.session import checkpoint_dir
+from rillet.session import checkpoint_dir, materialized
 from rillet.sources import files as fs
 from rillet.sources import html as htm
 from rillet.sources import reshape as rs
@@ -88,27 +90,32 @@ _market_view("range_enrich", ["crypto_id", "price_24h_high", "price_24h_low", "p
 # ---------------------------------------------------------------- indicator views
 
 
-def _ind_view(name, cols):
+def _ind_view(name, cols, part):
+    """A column set of the flow, from the part of the flow that makes it."""
     @register(name, lambda: sql.flow_indicators(cols))
     def q(spark, sf):
-        return flow_indicators(fx.bars(spark, sf)).select(*cols)
+        return inf.rounded(part(inf.clean_bars(fx.bars(spark, sf)))).select(*cols)
     q.__name__ = f"q_{name}"
     return q
 
 
-_ind_view("daily_return", ["symbol", "timestamp", "close", "daily_return"])
-_ind_view("moving_average", ["symbol", "timestamp", "close", "ma_7", "ma_20"])
-_ind_view("rolling_volatility", ["symbol", "timestamp", "daily_return", "volatility_7d"])
-_ind_view("rsi", ["symbol", "timestamp", "close", "rsi"])
-_ind_view("momentum", ["symbol", "timestamp", "close", "ma_7", "momentum"])
-_ind_view("volume_category", ["symbol", "timestamp", "volume", "volume_category"])
-_ind_view("trend", ["symbol", "timestamp", "close", "ma_7", "ma_20", "trend"])
-_ind_view("rsi_signal", ["symbol", "timestamp", "rsi", "rsi_signal"])
-_ind_view("volatility_level", ["symbol", "timestamp", "volatility_7d", "volatility_level"])
-_ind_view("day_type", ["symbol", "timestamp", "price_change_pct", "day_type"])
-_ind_view("pct_change_row", ["symbol", "timestamp", "open", "close", "price_change", "price_change_pct"])
-_ind_view("round_cols", ["symbol", "timestamp", "open", "high", "low", "close"])
-_ind_view("select_reorder", ["timestamp", "date", "symbol", "open", "high", "low", "close", "volume"])
+def _with_volatility(bars):
+    return inf.volatility_context(materialized(with_indicators(bars), "indicators"))
+
+
+_ind_view("daily_return", ["symbol", "timestamp", "close", "daily_return"], with_indicators)
+_ind_view("moving_average", ["symbol", "timestamp", "close", "ma_7", "ma_20"], with_indicators)
+_ind_view("rolling_volatility", ["symbol", "timestamp", "daily_return", "volatility_7d"], with_indicators)
+_ind_view("rsi", ["symbol", "timestamp", "close", "rsi"], with_indicators)
+_ind_view("momentum", ["symbol", "timestamp", "close", "ma_7", "momentum"], with_indicators)
+_ind_view("volume_category", ["symbol", "timestamp", "volume", "volume_category"], inf.volume_context)
+_ind_view("trend", ["symbol", "timestamp", "close", "ma_7", "ma_20", "trend"], lambda b: inf.signals(with_indicators(b)))
+_ind_view("rsi_signal", ["symbol", "timestamp", "rsi", "rsi_signal"], lambda b: inf.signals(with_indicators(b)))
+_ind_view("volatility_level", ["symbol", "timestamp", "volatility_7d", "volatility_level"], _with_volatility)
+_ind_view("day_type", ["symbol", "timestamp", "price_change_pct", "day_type"], inf.price_context)
+_ind_view("pct_change_row", ["symbol", "timestamp", "open", "close", "price_change", "price_change_pct"], inf.price_context)
+_ind_view("round_cols", ["symbol", "timestamp", "open", "high", "low", "close"], lambda b: b)
+_ind_view("select_reorder", ["timestamp", "date", "symbol", "open", "high", "low", "close", "volume"], lambda b: b)
 
 
 @register("tail_per_key", sql.tail_per_key)
@@ -138,25 +145,30 @@ def q_flow_threat(spark, sf):
     return thr.flow_threat(fx.packets(spark, sf))
 
 
-def _threat_view(name, cols):
+def _threat_view(name, cols, part):
+    """A column set of the flow, from the part of the flow that makes it."""
     @register(name, lambda: sql.threat(cols))
     def q(spark, sf):
-        return thr.flow_threat(fx.packets(spark, sf)).select(*[f"`{c}`" for c in cols])
+        return part(fx.packets(spark, sf)).select(*[f"`{c}`" for c in cols])
     q.__name__ = f"q_{name}"
     return q
 
 
-_threat_view("packet_category", ["flow_id", "packet_size", "packet_category"])
-_threat_view("threat_level", ["flow_id", "risk_score", "threat_level", "requires_investigation"])
+def _scored(packets):
+    return thr.risk_points(thr.analyze(packets))
+
+
+_threat_view("packet_category", ["flow_id", "packet_size", "packet_category"], thr.describe)
+_threat_view("threat_level", ["flow_id", "risk_score", "threat_level", "requires_investigation"], _scored)
 _threat_view("onehot_decode", ["flow_id", "protocol_type_tcp", "protocol_type_udp", "protocol_type_icmp",
-                               "primary_protocol"])
+                               "primary_protocol"], thr.describe)
 _threat_view("risk_score", ["flow_id", "labeled_threat", "uses_suspicious_port", "high_volume_traffic",
-                            "low_entropy_traffic", "potential_syn_flood", "packet_size", "risk_score"])
-_threat_view("max_normalize", ["flow_id", "risk_score", "anomaly_confidence"])
-_threat_view("isin_flag", ["flow_id", "src_port", "dst_port", "uses_suspicious_port"])
+                            "low_entropy_traffic", "potential_syn_flood", "packet_size", "risk_score"], _scored)
+_threat_view("max_normalize", ["flow_id", "risk_score", "anomaly_confidence"], thr.flow_threat)
+_threat_view("isin_flag", ["flow_id", "src_port", "dst_port", "uses_suspicious_port"], thr.describe)
 _threat_view("quantile_flag", ["flow_id", "packet_count_5s", "high_volume_traffic", "spectral_entropy",
-                               "low_entropy_traffic"])
-_threat_view("pattern_flag", ["flow_id", "tcp_flags_SYN", "tcp_flags_SYN-ACK", "potential_syn_flood"])
+                               "low_entropy_traffic"], thr.volume_flags)
+_threat_view("pattern_flag", ["flow_id", "tcp_flags_SYN", "tcp_flags_SYN-ACK", "potential_syn_flood"], thr.describe)
 
 
 @register("quantiles", lambda: sql.with_ctes({"packets": sql.PACKETS}, "SELECT " + ", ".join(
@@ -191,7 +203,7 @@ def q_ip_private(spark, sf):
 
 
 def _launch_flow(spark, sf):
-    out = lf.flow_quality_branch(fx.launches(spark, sf), fx.rockets(spark, sf), fx.pads(spark, sf))
+    out = lf.flow_quality_branch(fx.launches(spark, sf), fx.rockets(spark, sf), fx.pads(spark, sf), fx.AS_OF)
     return fc.with_rounded(out, sql.LAUNCH_ROUND4, 4)
 
 
@@ -362,16 +374,14 @@ WEATHER_COLS = ["event_id", "region", "city", "time", "date", "hour", "temperatu
                 "precipitation", "wind_speed_10m", "weather_type", "comfort_index", "wind_category"]
 
 
-@register("flow_weather", lambda: sql.weather(f"SELECT {', '.join(WEATHER_COLS)} FROM final"))
+@register("flow_weather", lambda: sql.weather(f"SELECT {', '.join(WEATHER_COLS)} FROM final", sample=False))
 def q_flow_weather(spark, sf):
-    return wf.flow_weather(fx.regional_feeds(spark, sf)).select(*WEATHER_COLS)
+    return wf.flow_weather(fx.regional_rows(spark, sf)).select(*WEATHER_COLS)
 
 
 @register("systematic_sample", lambda: sql.weather("SELECT event_id, region FROM sampled"))
 def q_systematic_sample(spark, sf):
-    from rillet.sources.files import fan_in
-    merged = fan_in(fx.regional_feeds(spark, sf), "region")
-    return ranking.systematic_sample(merged, [F.col("region"), F.col("time"), F.col("event_id")], 200).select(
+    return ranking.systematic_sample(fx.regional_rows(spark, sf), [F.col("region"), F.col("time"), F.col("event_id")], 200).select(
         "event_id", "region")
 
 
@@ -384,8 +394,7 @@ def q_fan_in_union(spark, sf):
 def _weather_view(name, cols):
     @register(name, lambda: sql.weather(f"SELECT {', '.join(cols)} FROM final", sample=False))
     def q(spark, sf):
-        from rillet.sources.files import fan_in
-        return wf.transform(fan_in(fx.regional_feeds(spark, sf), "region")).select(*cols)
+        return wf.flow_weather(fx.regional_rows(spark, sf)).select(*cols)
     q.__name__ = f"q_{name}"
 
 
@@ -408,12 +417,12 @@ def q_json_arrays_to_rows(spark, sf):
 
 # ---------------------------------------------------------------- pages, listings, creatures, parents
 
-POST_COLS = ["story_id", "title", "url", "link", "points", "author", "age", "comments", "source",
+POST_COLS = ["page_no", "story_id", "title", "url", "points", "author", "age", "comments", "source",
              "engagement_score", "popularity", "is_external"]
 
 
 def _posts(spark, sf):
-    return pgf.flow_posts(fx.table(spark, sf, "pages"))
+    return pgf.flow_posts(fx.story_pages(spark, sf))
 
 
 @register("flow_posts", lambda: sql.with_ctes(sql.POSTS, f"SELECT {', '.join(POST_COLS)} FROM posts"))
@@ -428,7 +437,7 @@ def _post_view(name, cols):
     q.__name__ = f"q_{name}"
 
 
-_post_view("clean_url", ["story_id", "link"])
+_post_view("clean_url", ["story_id", "url"])
 _post_view("url_host", ["story_id", "url", "source"])
 _post_view("popularity", ["story_id", "points", "comments", "engagement_score", "popularity"])
 _post_view("regex_flag", ["story_id", "url", "is_external"])
@@ -513,6 +522,41 @@ def q_json_array_sizes(spark, sf):
     return crf.flatten(fx.creature_documents(spark, sf)).select("pokemon_id", "n_stats", "n_types")
 
 
+@register("json_corrupt_records", "SELECT 20 AS length, count(*) AS n FROM part WHERE p_partkey % 53 = 11")
+def q_json_corrupt_records(spark, sf):
+    bad = rs.corrupt_records(fx.creature_documents(spark, sf), "json", crf.ENTITY_SCHEMA)
+    return bad.groupBy(F.length("_corrupt_record").alias("length")).agg(F.count("*").alias("n"))
+
+
+@register("json_array_text", """
+SELECT p_partkey AS pokemon_id, CASE WHEN p_size > 25 THEN '["' || lower(p_type) || '","' || lower(replace(p_brand, '#', '-')) || '"]'
+       ELSE '["' || lower(p_type) || '"]' END AS types FROM part WHERE p_partkey % 53 <> 11""")
+def q_json_array_text(spark, sf):
+    docs = fx.creature_documents(spark, sf).filter(~rs.is_corrupt("json", crf.ENTITY_SCHEMA))
+    e = rs.parse_json(docs, "json", crf.ENTITY_SCHEMA, "e").select("e.id", F.col("e.types.type.name").alias("names"))
+    return e.select(F.col("id").alias("pokemon_id"), rs.arrays_as_text({"types": "names"})["types"].alias("types"))
+
+
+@register("json_children_of", """
+SELECT 'p-2' AS pipeline_id, event_id AS stage_id, event_type AS stage_type,
+       CAST(row_number() OVER (ORDER BY event_id) AS INTEGER) AS stage_number
+FROM events WHERE event_id // 24 = 2""")
+def q_json_children_of(spark, sf):
+    schema = ("struct<pipeline_id: string, stages: array<struct<stage_id: bigint, stage_type: string, "
+              "stage_number: int>>>")
+    docs = rs.parse_json(fx.catalogue_documents(spark, sf), "json", schema, "d").select("d.*")
+    return rs.child_rows(docs, "pipeline_id", "stages", parent_id="p-2")
+
+
+@register("named_csv", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def q_named_csv(spark, sf):
+    """One named file of a folder with several, types inferred."""
+    path = _landed(spark, "nation_csv")
+    sinks.replace_files(fx.table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey").coalesce(1), path, fmt="csv")
+    named = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path").first()["path"]
+    return fs.read_csv(spark, named)
+
+
 def _parents(spark, sf):
     o = fx.table(spark, sf, "orders").select(F.col("o_orderkey").alias("parent_id"), "o_orderpriority")
     return prf.profiles(o, fx.children(spark, sf))
@@ -603,6 +647,14 @@ def q_json_map_to_rows(spark, sf):
     return rs.keyed_object_to_rows(fx.spot_documents(spark, sf), "json", schema)
 
 
+@register("json_map_wanted", """
+SELECT CAST(p_partkey AS VARCHAR) AS id, p_retailprice AS usd, CAST(p_size AS DOUBLE) AS usd_24h_vol FROM part
+WHERE p_partkey IN (3, 7, 21)""")
+def q_json_map_wanted(spark, sf):
+    schema = T.StructType([T.StructField("usd", T.DoubleType()), T.StructField("usd_24h_vol", T.DoubleType())])
+    return rs.keyed_object_to_rows(fx.spot_documents(spark, sf), "json", schema, wanted=["3", "7", "21"])
+
+
 @register("json_parent_child", """
 SELECT 'p-' || CAST(event_id // 24 AS VARCHAR) AS pipeline_id, event_id AS stage_id, event_type AS stage_type,
        CAST(row_number() OVER (PARTITION BY event_id // 24 ORDER BY event_id) AS INTEGER) AS stage_number
@@ -648,12 +700,12 @@ def q_time_range_scan(spark, sf):
 @register("export_json_types", """
 SELECT o_orderkey, o_custkey, o_orderstatus, CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS DOUBLE) AS o_totalprice,
        strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS o_orderdate
-FROM orders ORDER BY o_orderkey LIMIT 200""")
+FROM orders""")
 def q_export_json_types(spark, sf):
     o = fx.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
                                             F.col("o_totalprice").cast("decimal(12,2)").alias("o_totalprice"),
                                             "o_orderdate")
-    return sinks.export_shape(o, ["o_orderkey"], 200)
+    return sinks.export_shape(o, ["o_orderkey"])
 
 
 @register("limit_k", """
@@ -682,7 +734,7 @@ def q_fill_null(spark, sf):
 SELECT round_even(avg(risk_score) * 10000, 0) / 10000 AS mean_risk, max(risk_score) AS max_risk,
        min(risk_score) AS min_risk, CAST(count_if(requires_investigation) AS BIGINT) AS n_investigate FROM threat"""))
 def q_global_agg(spark, sf):
-    t = thr.flow_threat(fx.packets(spark, sf))
+    t = _scored(fx.packets(spark, sf))
     return t.agg(fc.round_half_even(F.avg("risk_score"), 4).alias("mean_risk"), F.max("risk_score").alias("max_risk"),
                  F.min("risk_score").alias("min_risk"), F.count_if("requires_investigation").alias("n_investigate"))
 
@@ -690,7 +742,7 @@ def q_global_agg(spark, sf):
 @register("value_counts", lambda: sql.threat(None).replace("SELECT * FROM threat", """
 SELECT threat_level, count(*) AS count FROM threat WHERE threat_level IS NOT NULL GROUP BY threat_level"""))
 def q_value_counts(spark, sf):
-    return agg.value_counts(thr.flow_threat(fx.packets(spark, sf)), "threat_level")
+    return agg.value_counts(_scored(fx.packets(spark, sf)), "threat_level")
 
 
 _PROFILE_COLS = ["flight_number", "success", "details", "rocket_id", "payloads"]
@@ -737,22 +789,22 @@ def q_json_optional_fields(spark, sf):
 @register("export_read_back", """
 SELECT o_orderkey, o_custkey, o_orderstatus, CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS DOUBLE) AS o_totalprice,
        strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS o_orderdate
-FROM orders ORDER BY o_orderkey LIMIT 200""")
+FROM orders""")
 def q_export_read_back(spark, sf):
     o = fx.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
                                             F.col("o_totalprice").cast("decimal(12,2)").alias("o_totalprice"),
                                             "o_orderdate")
     path = _landed(spark, "orders_export")
-    sinks.export_json(o, path, ["o_orderkey"], 200)
+    written = sinks.export_json(o, path, ["o_orderkey"])
     df, n = fs.read_exported_json(spark, {"orders": path}, "orders")
-    if n != 200 and n != o.count():
+    if n != written:
         raise RuntimeError("export read-back count differs")
     return df.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
 
 
-@register("paged_source", "SELECT page_id, url FROM pages")
+@register("paged_source", "SELECT page_id, url, page_id % 7 + 1 AS page_no FROM pages")
 def q_paged_source(spark, sf):
     path = _landed(spark, "pages_paged")
-    pages = fx.table(spark, sf, "pages").select("page_id", "url")
-    sinks.replace_files(pages.repartitionByRange(7, "page_id"), path)
-    return fs.read_pages(spark, path).select("page_id", "url")
+    pages = fx.table(spark, sf, "pages").select("page_id", "url", F.pmod("page_id", F.lit(7)).alias("batch"))
+    sinks.replace_files(pages.repartition("batch"), path, partition_by=["batch"])  # one file for each batch
+    return fs.read_pages(spark, path).select("page_id", "url", "page_no")

@@ -24,15 +24,13 @@ def threat_edges(strict: bool = False) -> list[float]:
     return [-1, 10, 30, 60, 100 if strict else float("inf")]
 
 
-def analyze(df: DataFrame, quantile_method: str = "distributed") -> DataFrame:
-    """Each derived column only when its source columns exist."""
+def describe(df: DataFrame) -> DataFrame:
+    """Row-wise part: each derived column only when its source columns exist. Needs no statistic."""
     cols = set(df.columns)
-    out = df
+    derived = {}
     proto_cols = [c for c in df.columns if c.startswith("protocol_type_")]
     if proto_cols:
-        out = out.withColumn("primary_protocol", onehot_decode(
-            proto_cols, [c.replace("protocol_type_", "").lower() for c in proto_cols]))
-    derived = {}
+        derived["primary_protocol"] = onehot_decode(proto_cols, [c.replace("protocol_type_", "").lower() for c in proto_cols])
     if "packet_size" in cols:
         derived["packet_category"] = bucketize("packet_size", PACKET_EDGES, PACKET_LABELS)
     if {"src_port", "dst_port"} <= cols:
@@ -42,7 +40,12 @@ def analyze(df: DataFrame, quantile_method: str = "distributed") -> DataFrame:
         derived["potential_syn_flood"] = flag((F.col("tcp_flags_SYN") == 1) & (F.col("`tcp_flags_SYN-ACK`") == 0))
     if "label" in cols:
         derived["labeled_threat"] = F.when(F.col("label") == 1, "malicious").otherwise("benign")
-    out = out.withColumns(derived)
+    return df.withColumns(derived)
+
+
+def volume_flags(df: DataFrame) -> DataFrame:
+    """Statistics part: flags against quantiles over all rows, all thresholds from one set of passes."""
+    cols = set(df.columns)
     specs = []
     if "packet_count_5s" in cols:
         specs.append(("high_volume_traffic", "packet_count_5s", 0.85, ">"))
@@ -50,31 +53,41 @@ def analyze(df: DataFrame, quantile_method: str = "distributed") -> DataFrame:
         specs.append(("low_entropy_traffic", "spectral_entropy", 0.25, "<"))
     if {"spectral_entropy", "frequency_band_energy"} <= cols:
         specs += [("_entropy_low", "spectral_entropy", 0.15, "<"), ("_energy_high", "frequency_band_energy", 0.85, ">")]
-    # All thresholds in one statistics pass.
-    return quantile_flags(out, specs, quantile_method) if specs else out
+    return quantile_flags(df, specs) if specs else df
 
 
-def risk(df: DataFrame, strict: bool = False) -> DataFrame:
-    """Additive risk from whichever factors are present, threat level,
-    confidence relative to the maximum, investigation flag."""
+def analyze(df: DataFrame) -> DataFrame:
+    return volume_flags(describe(df))
+
+
+# Points of each risk factor.
+LABEL_POINTS, ODD_SIGNAL_POINTS, TINY_POINTS, LARGE_POINTS = 50, 10, 8, 6
+FLAG_POINTS = {"uses_suspicious_port": 20, "high_volume_traffic": 15, "low_entropy_traffic": 10, "potential_syn_flood": 15}
+
+
+def risk_points(df: DataFrame, strict: bool = False) -> DataFrame:
+    """Additive risk from whichever factors are present, threat level, investigation flag."""
     c = F.col
     cols = set(df.columns)
     terms = []
     if "labeled_threat" in cols:
-        terms.append((c("labeled_threat") == "malicious", 50))
-    for name, pts in [("uses_suspicious_port", 20), ("high_volume_traffic", 15), ("low_entropy_traffic", 10),
-                      ("potential_syn_flood", 15)]:
+        terms.append((c("labeled_threat") == "malicious", LABEL_POINTS))
+    for name, pts in FLAG_POINTS.items():
         if name in cols:
             terms.append((c(name), pts))
     if {"_entropy_low", "_energy_high"} <= cols:
-        terms.append((c("_entropy_low") & c("_energy_high"), 10))
+        terms.append((c("_entropy_low") & c("_energy_high"), ODD_SIGNAL_POINTS))
     if "packet_size" in cols:
-        terms += [(c("packet_size") < 50, 8), (c("packet_size") > 1400, 6)]
+        terms += [(c("packet_size") < 50, TINY_POINTS), (c("packet_size") > 1400, LARGE_POINTS)]
     out = df.withColumn("risk_score", score(terms)).drop("_entropy_low", "_energy_high")
     out = out.withColumn("threat_level", bucketize("risk_score", threat_edges(strict), THREAT_LABELS))
-    out = max_normalize(out, "risk_score", "anomaly_confidence")
     return out.withColumn("requires_investigation", flag(c("threat_level").isin("high", "critical")))
 
 
+def risk(df: DataFrame, strict: bool = False) -> DataFrame:
+    """Risk points, and confidence relative to the largest score."""
+    return max_normalize(risk_points(df, strict), "risk_score", "anomaly_confidence")
+
+
 def flow_threat(packets: DataFrame, strict: bool = False) -> DataFrame:
     return risk(analyze(packets), strict)

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from rillet.functions.columns import comfort_index
 from rillet.functions.rules import bucketize, classify
 from rillet.operators.ranking import systematic_sample
-from rillet.sources.files import fan_in
 
 # Wind bins of the source (pd.cut, right-closed).
 WIND_EDGES = [0, 5, 10, 20, 100]
@@ -29,8 +28,9 @@ def transform(df: DataFrame) -> DataFrame:
     })
 
 
-def flow_weather(feeds: dict[str, DataFrame], sample_rows: int = 200) -> DataFrame:
-    merged = fan_in(feeds, "region")
-    # Deterministic order (region, time, id) instead of fetch completion order.
-    sampled = systematic_sample(merged, [F.col("region"), F.col("time"), F.col("event_id")], sample_rows)
-    return transform(sampled.drop("_rn"))
+def flow_weather(merged: DataFrame, sample_rows: int | None = None) -> DataFrame:
+    """Classify the regions' rows; with ``sample_rows`` only every k-th row of them in
+    (region, time, id) order, so many in all."""
+    if sample_rows:
+        merged = systematic_sample(merged, [F.col("region"), F.col("time"), F.col("event_id")], sample_rows).drop("_rn")
+    return transform(merged)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators assume; all of them are plain Spark configuration.
 DEFAULT_CONF = {
@@ -19,16 +20,20 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "rillet", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with UTC time, AQE and skew-join handling on.
 
-    ANSI mode stays at the Spark 4 default (on); operators use ``try_*``
-    functions wherever the source allows bad values.
+    The master and the number of shuffle partitions are set only when asked for, so
+    spark-submit's and the cluster's values hold. ANSI mode stays at the Spark 4 default
+    (on); operators use ``try_*`` functions wherever the source allows bad values.
     """
-    b = SparkSession.builder.master(master).appName(app_name)
+    b = SparkSession.builder.appName(app_name)
+    if master:
+        b = b.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -38,26 +43,28 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder the cluster names; set a local one only if unset.
+    """Return the shared folder that ``spark.checkpoint.dir`` names.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is used
-    as given. Only an unset value (tests, local runs) gets a fresh scratch folder.
+    Where it is unset, a session on this one machine (tests) gets a fresh local folder;
+    on a cluster that would be a different disk for every executor, so it is an error.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not current:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="rillet-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
     return current
 
 
-def release_cached(spark: SparkSession) -> None:
-    """Drop every cached frame of the session (the distributed numbering and
-    some flows persist intermediate frames; call this between independent jobs
-    in a long-lived session)."""
-    spark.catalog.clearCache()
+def materialized(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame once under the shared folder and read it back: several consumers
+    share it, lineage ends here, and no executor memory or disk holds it."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/rillet/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def cluster_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:

@@ -3,12 +3,15 @@ check, JSON export with type coercion, and multi-sink jobs."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rillet.session import materialized
+
 
 class RowCountMismatch(RuntimeError):
     pass
@@ -19,32 +22,51 @@ def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+def _swap(spark, new: str, path: str) -> None:
+    """Move a finished folder into place; the old one goes only after the new one stands."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    src, dst, old = (jvm.org.apache.hadoop.fs.Path(p) for p in (new, path, f"{new}-old"))
+    fs = dst.getFileSystem(conf)
+    had = fs.exists(dst)
+    if had and not fs.rename(dst, old):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(src, dst):
+        if had:
+            fs.rename(old, dst)
+        raise OSError(f"cannot move {new} to {path}")
+    if had:
+        fs.delete(old, True)
+
+
 def replace_files(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = (),
                   sort_within: Sequence[str] = (), verify: bool = True) -> int:
-    """Overwrite a folder; the row count is observed during the write (no extra
-    pass) and compared with a read-back count. Returns the row count.
+    """Replace a folder: write beside it, compare the observed row count with a read-back
+    count, then swap, so a failed write leaves the old data. Returns the row count.
 
     ``partition_by`` + ``sort_within`` lay out time-series output so readers
     prune partitions and Parquet row groups (min/max statistics) instead of
     relying on indexes.
     """
-    out, obs = _observed(df, f"write_{abs(hash(path))}")
+    path = path.rstrip("/")
+    new = f"{path}-new-{uuid.uuid4().hex}"
+    out, obs = _observed(df, f"write_{uuid.uuid4().hex}")
     if sort_within:
         out = out.sortWithinPartitions(*partition_by, *sort_within)
-    w = out.write.mode("overwrite").format(fmt)
+    # A quote inside a value is doubled, as CSV readers expect.
+    options = {"header": True, "escape": '"'} if fmt == "csv" else {}
+    w = out.write.format(fmt).options(**options)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    if fmt == "csv":
-        w = w.option("header", True)
-    w.save(path)
+    w.save(new)
     written = int(obs.get["rows"])
     if verify:
-        reader = df.sparkSession.read.format(fmt)
         if fmt == "csv":
-            reader = reader.option("header", True)
-        back = reader.load(path).count()
+            options["multiLine"] = True
+        back = df.sparkSession.read.format(fmt).options(**options).load(new).count()
         if back != written:
             raise RowCountMismatch(f"{path}: wrote {written} rows, read back {back}")
+    _swap(df.sparkSession, new, path)
     return written
 
 
@@ -61,9 +83,11 @@ def replace_table(df: DataFrame, table: str, verify: bool = True) -> int:
 
 
 def replace_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str] | None = None,
-                 batch_size: int = 1000, verify: bool = True) -> int:
-    """Overwrite a JDBC table in batches of ``batch_size`` rows per statement."""
-    out, obs = _observed(df, f"jdbc_{table}")
+                 batch_size: int = 1000, connections: int = 16, verify: bool = True) -> int:
+    """Overwrite a JDBC table in batches of ``batch_size`` rows per statement, over at most
+    ``connections`` connections."""
+    # Dealt out before the write, so upstream tasks stay as many as they are.
+    out, obs = _observed(df.repartition(connections), f"jdbc_{table}")
     props = dict(properties or {})
     (out.write.format("jdbc").mode("overwrite").option("url", url).option("dbtable", table)
      .option("batchsize", batch_size).options(**props).save())
@@ -76,9 +100,9 @@ def replace_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, s
     return written
 
 
-def export_shape(df: DataFrame, order: Sequence[str], limit: int | None = 200) -> DataFrame:
+def export_shape(df: DataFrame, order: Sequence[str], limit: int | None = None) -> DataFrame:
     """Rows as the JSON export writes them: timestamps and dates as ISO text,
-    decimals as doubles; the export cap (a feature of the export) is optional."""
+    decimals as doubles; an export cap only where the caller asks for one."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
@@ -93,7 +117,7 @@ def export_shape(df: DataFrame, order: Sequence[str], limit: int | None = 200) -
     return out.limit(limit) if limit else out
 
 
-def export_json(df: DataFrame, path: str, order: Sequence[str], limit: int | None = 200) -> int:
+def export_json(df: DataFrame, path: str, order: Sequence[str], limit: int | None = None) -> int:
     return replace_files(export_shape(df, order, limit), path, fmt="json")
 
 
@@ -103,9 +127,10 @@ def write_many(frames: Mapping[str, DataFrame], writer) -> dict[str, int]:
     done, failed = {}, {}
     for name, df in frames.items():
         try:
-            if df.isEmpty():
+            rows = materialized(df, f"sink-{name}")  # evaluated once, for the test and the write
+            if rows.isEmpty():
                 continue
-            done[name] = writer(name, df)
+            done[name] = writer(name, rows)
         except Exception as e:  # noqa: BLE001 - collected and re-raised below
             failed[name] = e
     if failed:

@@ -13,28 +13,61 @@ PANDAS_NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN"
                     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
 
+def _found(spark: SparkSession, paths: Sequence[str], glob: str | None) -> list[str]:
+    """Files or folders to read: a named file as it is, a folder's files by the pattern."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hp.getFileSystem(conf)
+        if glob and fs.exists(hp) and fs.getFileStatus(hp).isDirectory():
+            hp = jvm.org.apache.hadoop.fs.Path(hp, glob)
+        hits = fs.globStatus(hp)
+        if not hits:
+            raise FileNotFoundError(f"no file matches {hp.toString()}")
+        out.append(hp.toString())
+    return out
+
+
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str | None = None,
              glob: str | None = "*.csv", na_tokens: Sequence[str] = PANDAS_NA_TOKENS) -> DataFrame:
-    """Header CSV scan; every pandas NA token becomes NULL. With a schema the
-    read is typed (tokens are handled by reading strings first); without one,
-    types are inferred."""
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
+    """Header CSV scan: doubled quotes and line breaks inside quotes are part of the value,
+    every pandas NA token becomes NULL, blanks are kept. A folder is read by ``glob``, a
+    named file whatever its ending; no match is an error.
+
+    With a schema the read is typed. Without one, a column is boolean, long or double if
+    all its values that are not NA tokens are, else text.
+    """
+    paths = _found(spark, [path] if isinstance(path, str) else list(path), glob)
+    reader = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("multiLine", True).option("escape", '"')
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if schema is None:
-        df = reader.option("inferSchema", True).csv(path)
-        return nulls_for_tokens(df, na_tokens)
-    st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
-    raw = reader.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in st.fields])).csv(path)
-    raw = nulls_for_tokens(raw, na_tokens)
-    return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) if f.dataType != T.StringType()
-                        else F.col(f.name) for f in st.fields])
+        raw = nulls_for_tokens(reader.option("inferSchema", False).csv(paths), na_tokens)
+        fields = inferred_types(raw)
+    else:
+        st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+        fields = {f.name: f.dataType for f in st.fields}
+        raw = nulls_for_tokens(reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in fields])).csv(paths), na_tokens)
+    return raw.select(*[F.col(f"`{n}`") if t == T.StringType() else F.trim(F.col(f"`{n}`")).try_cast(t).alias(n) for n, t in fields.items()])
+
+
+def inferred_types(df: DataFrame) -> dict[str, T.DataType]:
+    """The narrowest of boolean, long and double that holds all values of a text column, else text. One pass."""
+    kinds = (T.BooleanType(), T.LongType(), T.DoubleType())
+    checks, cols = [F.lit(1).alias("_one")], df.columns
+    for i, c in enumerate(cols):
+        v = F.trim(F.col(f"`{c}`"))
+        fits = (F.lower(v).isin("true", "false"), v.rlike(r"^[+-]?\d+$") & v.try_cast("long").isNotNull(), v.try_cast("double").isNotNull())
+        checks += [F.count(v).alias(f"n{i}")] + [F.count_if(F.col(f"`{c}`").isNull() | ok).alias(f"k{i}_{j}") for j, ok in enumerate(fits)]
+    row = df.agg(F.count("*").alias("rows"), *checks[1:]).first()
+    return {c: next((t for j, t in enumerate(kinds) if row[f"n{i}"] and row[f"k{i}_{j}"] == row["rows"]), T.StringType()) for i, c in enumerate(cols)}
 
 
 def nulls_for_tokens(df: DataFrame, tokens: Sequence[str]) -> DataFrame:
+    """Text that is exactly a token becomes NULL."""
     strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    return df.withColumns({c: F.when(F.trim(F.col(c)).isin(list(tokens)), F.lit(None)).otherwise(F.col(c))
-                           for c in strings})
+    return df.withColumns({c: F.when(~F.col(f"`{c}`").isin(list(tokens)), F.col(f"`{c}`")) for c in strings})
 
 
 def read_json_documents(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str,
@@ -81,22 +114,12 @@ def sql_query(spark: SparkSession, text: str) -> DataFrame:
     return spark.sql(text)
 
 
-MAX_BROADCAST_FILES = 100_000
-
-
 def read_pages(spark: SparkSession, path: str | Sequence[str], fmt: str = "parquet") -> DataFrame:
-    """Paged source: every file is one page; the page number is the rank of the
-    file name. The file list is known when the read is planned; up to
-    ``MAX_BROADCAST_FILES`` files it is numbered as a small literal table and
-    broadcast, beyond that the page number comes from a distributed numbering."""
-    df = spark.read.format(fmt).load(path)
-    files = sorted(df.inputFiles())
-    tagged = df.withColumn("_file", F.input_file_name())
-    if len(files) <= MAX_BROADCAST_FILES:
-        numbered = spark.createDataFrame([(f, i + 1) for i, f in enumerate(files)], "_file string, page_no long")
-        return tagged.join(F.broadcast(numbered), "_file").drop("_file")
+    """Paged source: every file that has rows is one page; ``page_no`` is the rank of its
+    name, counted by the distributed numbering, so no file list reaches the driver."""
     from rillet.operators.ranking import with_global_index
-    numbered = with_global_index(tagged.select("_file").distinct(), [F.col("_file")], "page_no")
+    tagged = spark.read.format(fmt).load(path).withColumn("_file", F.input_file_name())
+    numbered = with_global_index(tagged.select("_file").distinct(), [F.col("_file")], "page_no", tie_break=False)
     return tagged.join(numbered, "_file").drop("_file")
 
 

@@ -21,13 +21,24 @@ def extract_blocks(df: DataFrame, html: str, pattern: str, fields: dict[str, int
     return df.select(*keep, F.posexplode(zipped).alias("pos", "_b")).select(*keep, "pos", "_b.*")
 
 
-def first_match(html: Column | str, pattern: str, default: str | None = None, group: int = 1) -> Column:
-    """First capture of ``pattern``, trimmed; ``default`` (or NULL) when absent."""
+def capture(html: Column | str, pattern: str, group: int = 1) -> Column:
+    """One group of the first match of ``pattern``; NULL where nothing matches."""
     h = F.col(html) if isinstance(html, str) else html
-    v = F.nullif(F.trim(F.regexp_extract(h, pattern, group)), F.lit(""))
-    return v if default is None else F.coalesce(v, F.lit(default))
+    return F.when(h.rlike(pattern), F.regexp_extract(h, pattern, group))
 
 
-def count_matches(html: Column | str, pattern: str) -> Column:
-    h = F.col(html) if isinstance(html, str) else html
-    return F.size(F.regexp_extract_all(h, F.lit(pattern), 0))
+# The character references of markup and of quotes and blanks in text.
+ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#x27;": "'", "&#39;": "'", "&nbsp;": "\u00a0", "&amp;": "&"}
+
+
+def plain_text(html: Column | str) -> Column:
+    """Text of a piece of markup: tags dropped, character references resolved, trimmed."""
+    t = F.regexp_replace(html, "<[^>]*>", "")
+    for name, char in ENTITIES.items():
+        t = F.replace(t, F.lit(name), F.lit(char))
+    return F.regexp_replace(t, r"^[\s\xa0]+|[\s\xa0]+$", "")
+
+
+def element_text(html: Column | str, css_class: str) -> Column:
+    """Text of the first element of a class; NULL where there is none."""
+    return plain_text(capture(html, rf"""(?s)<(\w+)\b[^>]*\bclass=["'][^"']*\b{css_class}\b[^"']*["'][^>]*>(.*?)</\1>""", 2))

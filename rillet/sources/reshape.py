@@ -16,6 +16,23 @@ def parse_json(df: DataFrame, text_col: str, schema: T.DataType | str, out: str
     return df.select(*keep, F.from_json(F.col(text_col), schema, opts).alias(out))
 
 
+def is_corrupt(text_col: str, schema: str) -> Column:
+    """Whether a text is there but is no document of the ``struct<...>`` schema."""
+    body = schema.strip().removeprefix("struct<").removesuffix(">")
+    read = F.from_json(F.col(text_col), f"struct<{body}, _corrupt_record: string>", {"columnNameOfCorruptRecord": "_corrupt_record"})
+    return F.coalesce(read["_corrupt_record"].isNotNull(), F.lit(False))
+
+
+def corrupt_records(df: DataFrame, text_col: str, schema: str, keep: Sequence[str] = ()) -> DataFrame:
+    """The rows whose text cannot be read, with the text as ``_corrupt_record``."""
+    return df.filter(is_corrupt(text_col, schema)).select(*keep, F.col(text_col).alias("_corrupt_record"))
+
+
+def arrays_as_text(cols: Mapping[str, str]) -> dict[str, Column]:
+    """Arrays kept as JSON text, ``[]`` for a missing one."""
+    return {out: F.coalesce(F.to_json(F.col(src)), F.lit("[]")) for out, src in cols.items()}
+
+
 def arrays_to_rows(df: DataFrame, struct_col: str, arrays: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Dict of parallel arrays -> one row per position (``inline(arrays_zip)``).
 

@@ -15,6 +15,7 @@ from rillet.session import checkpoint_dir
 SF = "/root/testdata/sf0.001"
 
 # Golden rows: stats and the derived values of five creatures, as exported by the reference.
+# Rows that the rules must give.
 GOLDEN = [
     # id, name, base_experience, hp, attack, defense, sp_attack, sp_defense, speed, total, rarity, power, role
     (1, "bulbasaur", 64, 45, 49, 49, 65, 65, 45, 318, "common", 350.0, "balanced"),
@@ -403,6 +404,7 @@ def test_weather_flow_against_pandas(spark):
     import numpy as np
     import pandas as pd
     from rillet.plans import weather as wf
+    from rillet.sources.files import fan_in
     feeds = fx.regional_feeds(spark, SF)
     merged = pd.concat([f.toPandas().assign(region=name) for name, f in feeds.items()], ignore_index=True)
     merged = merged.sort_values(["region", "time", "event_id"]).reset_index(drop=True)
@@ -414,7 +416,7 @@ def test_weather_flow_against_pandas(spark):
     merged["comfort_index"] = 100 - (merged["temperature_2m"] - 22).abs() * 2 - merged["relative_humidity_2m"] * 0.3
     merged["wind_category"] = pd.cut(merged["wind_speed_10m"], bins=[0, 5, 10, 20, 100],
                                      labels=["calm", "light", "moderate", "strong"]).astype(object)
-    got = wf.flow_weather(feeds).toPandas().set_index("event_id").sort_index()
+    got = wf.flow_weather(fan_in(feeds, "region"), 200).toPandas().set_index("event_id").sort_index()
     ref = merged.set_index("event_id").sort_index()
     assert list(got.index) == list(ref.index)
     assert (got["weather_type"] == ref["weather_type"]).all()
@@ -524,12 +526,8 @@ def test_market_flow_against_pandas(spark):
         assert r["confidence_score"] == conf, cid
 
 
-def test_listing_and_post_flows_against_python(spark):
-    """Listing parse (pandas string steps) and page scrape (Python regex and
-    urllib) on sf0.001 against the Spark flows."""
-    import re
-    from urllib.parse import urlparse
-
+def test_listing_flow_against_python(spark):
+    """Listing parse (pandas string steps) on sf0.001 against the Spark flow."""
     import numpy as np
     import pandas as pd
     from rillet.plans import pages as pgf
@@ -542,19 +540,3 @@ def test_listing_and_post_flows_against_python(spark):
     ref = pdf.assign(price_usd=price, review_count=reviews).set_index("listing_id").sort_index()
     assert np.allclose(got["price_usd"], ref["price_usd"], equal_nan=True)
     assert np.allclose(got["review_count"].astype(float), ref["review_count"], equal_nan=True)
-
-    pages = fx.table(spark, SF, "pages")
-    posts = {r["story_id"]: r for r in pgf.flow_posts(pages).collect()}
-    for r in pages.collect():
-        m = re.search(r"<h1>(.*?)</h1>", r["html"])
-        title = m.group(1).strip() if m else ""
-        if not title:
-            assert str(r["page_id"]) not in posts
-            continue
-        p = posts[str(r["page_id"])]
-        points = len(re.findall(r"<p>", r["html"]))
-        source = urlparse(r["url"]).netloc if r["url"].startswith("http") else "news.ycombinator.com"
-        score = points + p["comments"]
-        pop = "viral" if score >= 100 else "popular" if score >= 50 else "moderate" if score >= 20 else "new"
-        assert (p["title"], p["points"], p["source"], p["popularity"]) == (title, points, source, pop)
-        assert p["is_external"] == (re.search("news.ycombinator.com", r["url"]) is None)

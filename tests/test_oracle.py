@@ -50,7 +50,7 @@ def test_chunked_indicators_match_oracle(spark, con):
     the plain SQL windows, with chunks far smaller than a symbol's series."""
     from rillet.plans import fixtures as fx
     from rillet.plans.indicators import flow_indicators
-    df = flow_indicators(fx.bars(spark, SF), skew_safe=True, chunk_rows=97)
+    df = flow_indicators(fx.bars(spark, SF), chunk_rows=97)
     cur = con.execute(E.oracle_sql()["flow_indicators"])
     dcols = [d[0] for d in cur.description]
     assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(dcols, cur.fetchall())

@@ -27,6 +27,31 @@ def test_csv_na_tokens_and_glob(spark, tmp_path):
     assert sorted((r["name"], r["price"]) for r in df.collect()) == [("x", 1.5), ("y", None), ("z", None)]
 
 
+def test_csv_quotes_newlines_blanks_and_types(spark, tmp_path):
+    p = tmp_path / "in"
+    p.mkdir()
+    (p / "a.csv").write_text('n,text,note,flag,big\n1,"x ""q"", y",u,true,9999999999\nN/A,"two\nlines", ,False,NA\n-3,NULL,"",,1\n')
+    (p / "one.txt").write_text("n\n5\n")
+    df = fs.read_csv(spark, str(p))
+    assert dict(df.dtypes) == {"n": "bigint", "text": "string", "note": "string", "flag": "boolean", "big": "bigint"}
+    assert sorted((tuple(r) for r in df.collect()), key=str) == sorted(
+        [(1, 'x "q", y', "u", True, 9999999999), (None, "two\nlines", " ", False, None), (-3, None, None, None, 1)], key=str)
+    typed = fs.read_csv(spark, str(p), "n double, text string, note string, flag boolean, big string").collect()
+    assert {r["n"] for r in typed} == {1.0, None, -3.0}
+    assert [tuple(r) for r in fs.read_csv(spark, str(p / "one.txt")).collect()] == [(5,)]
+    (tmp_path / "empty").mkdir()
+    for missing in (p / "gone.csv", tmp_path / "empty"):
+        with pytest.raises(FileNotFoundError):
+            fs.read_csv(spark, str(missing))
+
+
+def test_corrupt_records_are_returned(spark):
+    df = spark.createDataFrame([(1, '{"a": 1}'), (2, "{broken"), (3, None)], "id int, j string")
+    assert [tuple(r) for r in rs.corrupt_records(df, "j", "struct<a: int>", ["id"]).collect()] == [(2, "{broken")]
+    arrays = spark.createDataFrame([(["x", "y"],), (None,)], "a array<string>")
+    assert [r[0] for r in arrays.select(rs.arrays_as_text({"t": "a"})["t"]).collect()] == ['["x","y"]', "[]"]
+
+
 def test_zip_with_default_follows_main_list(spark):
     df = spark.createDataFrame([(1, [[1.0, 10.0], [2.0, 20.0], [3.0, 30.0]], [[1.0, 5.0]]),
                                 (2, [[1.0, 1.0]], [[1.0, 7.0], [2.0, 8.0]])],
@@ -53,8 +78,42 @@ def test_html_blocks(spark):
     df = spark.createDataFrame([(1, html), (2, "<p>none</p>")], "page_id long, html string")
     out = htm.extract_blocks(df, "html", htm.LINK_BLOCK, {"href": 1, "text": 2}, ["page_id"]).collect()
     assert [(r["page_id"], r["pos"], r["href"], r["text"]) for r in out] == [(1, 0, "/a", "A"), (1, 1, "item?id=2", "B")]
-    t = df.select(htm.first_match("html", r"<h1>(.*?)</h1>", "untitled").alias("t")).collect()
-    assert [r["t"] for r in t] == ["T", "untitled"]
+    t = df.select(htm.plain_text(htm.capture("html", r"<h1>(.*?)</h1>")).alias("t")).collect()
+    assert [r["t"] for r in t] == ["T", None]
+
+
+STORIES = """<html><table>
+<tr class='athing submission' id='11'><td><span class="titleline"><a href="http://x.org/a?b=1">A <b>bold</b> &amp; &quot;q&quot;</a></span></td></tr>
+<tr><td class="subtext"><span class="score">153 points</span> by <a class="hnuser" href="user?id=u">u</a>
+ <span class="age"><a href="item?id=11">3 hours ago</a></span> | <a href="item?id=11">12&nbsp;comments</a></td></tr>
+<tr class="spacer"></tr>
+<tr class="athing" id="12"><td><span class="titleline"><a href="item?id=12">Ask</a></span></td></tr>
+<tr><td class="subtext"><a href="item?id=12">discuss</a></td></tr>
+<tr class="athing" id="13"><td><span class="titleline">no link</span></td></tr>
+<tr><td class="subtext"><a href="x">1 comment</a></td></tr>
+<tr class="athing" id="14"><td><span class="titleline"><a href="https://h:8080/p">No details</a></span></td></tr>
+<tr><td>nothing</td></tr>
+<tr class="athing" id="15"><td><span class="titleline"><a href="https://news.ycombinator.com/newest">No links</a></span></td></tr>
+<tr><td class="subtext"><span class="score">7 points</span></td></tr>
+<tr class="athing" id="16"><td><span class="titleline"><a>Bare</a></span></td></tr>
+<tr><td class="subtext"><span class="score">many points</span><a href="x">hide</a></td></tr>
+<tr class="athing" id="17"><td><span class="titleline"><a href="https://h:8080/p">Port</a></span></td></tr>
+<tr><td class="subtext"><span class="score"></span><a href="x">many comments</a></td></tr>
+</table></html>"""
+
+
+def test_every_story_of_a_page(spark):
+    from rillet.plans.pages import flow_posts
+    pages = spark.createDataFrame([(3, STORIES), (4, "<p>no stories</p>"), (5, None)], "page_no long, html string")
+    got = {r["story_id"]: r for r in flow_posts(pages).collect()}
+    assert set(got) == {"11", "12", "17"}
+    a, b, c = got["11"], got["12"], got["17"]
+    assert (a["page_no"], a["title"], a["url"], a["points"], a["author"], a["age"], a["comments"]) == (
+        3, 'A bold & "q"', "http://x.org/a?b=1", 153, "u", "3 hours ago", 12)
+    assert (a["source"], a["is_external"], a["popularity"]) == ("x.org", True, "viral")
+    assert (b["url"], b["points"], b["author"], b["age"], b["comments"], b["source"], b["is_external"], b["popularity"]) == (
+        "https://news.ycombinator.com/item?id=12", 0, "unknown", "unknown", 0, "news.ycombinator.com", False, "new")
+    assert (c["source"], c["points"], c["comments"], c["is_external"]) == ("h:8080", 0, 0, True)
 
 
 def test_replace_files_checks_and_replaces(spark):
