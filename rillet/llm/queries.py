@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rillet.llm import bpe, fingerprints, langid, licenses, line_dedup, near_dedup, packing, quality, sharding, toxicity
 from rillet.llm.common import learning_rows
+from rillet.llm.oracle import ORACLES  # noqa: F401
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -69,5 +70,3 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Builder] = {f.__name__: f for f in (
     op1_sharding, op2_fingerprints, op3_line_dedup, op4_license_scans, op5_toxicity, op6_packing, op7_language_id, op8_near_dedup,
     op9_quality_rules, op10_byte_bpe)}
-
-ORACLES: dict[str, str] = {}
