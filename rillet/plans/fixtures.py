@@ -48,13 +48,21 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 AS_OF_HOURLY = "2001-01-01 00:00:00"
 
 
+def traded_price(part: str) -> F.Column:
+    """Unit price; every 50th part always trades at one price."""
+    return F.when(F.pmod(part, F.lit(50)) == 7, F.pmod(part, F.lit(100)) + 900.0).otherwise(unit_price())
+
+
 def spot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spot snapshot per part: list price and total traded quantity."""
+    """Spot snapshot per part: list price (every 4th part far above its trades, every 50th
+    at its one price) and traded quantity (every 3rd part: of a mean day)."""
     part = table(spark, sf_dir, "part")
     vol = (table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("crypto_id"))
-           .agg(F.sum("l_quantity").alias("volume_24h")))
-    return (part.select(F.col("p_partkey").alias("crypto_id"), F.col("p_brand").alias("symbol"),
-                        F.col("p_retailprice").alias("spot_price_usd"))
+           .agg(F.when(F.pmod("l_partkey", F.lit(3)) == 0, F.avg("l_quantity")).otherwise(F.sum("l_quantity")).alias("volume_24h")))
+    key = F.col("p_partkey")
+    price = (F.when(F.pmod(key, F.lit(50)) == 7, F.pmod(key, F.lit(100)) + 900.0).when(F.pmod(key, F.lit(4)) == 1, F.col("p_retailprice") * 40)
+             .otherwise(F.col("p_retailprice")))
+    return (part.select(key.alias("crypto_id"), F.col("p_brand").alias("symbol"), price.alias("spot_price_usd"))
             .join(vol, "crypto_id", "left").fillna(0.0, subset=["volume_24h"]))
 
 
@@ -63,14 +71,14 @@ def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return (li.filter(F.col("l_shipdate") >= F.lit(AS_OF_HOURLY).cast("timestamp_ntz"))
             .select(F.col("l_partkey").alias("crypto_id"), F.col("l_shipdate").alias("timestamp"),
-                    unit_price().alias("price_usd"), F.col("l_quantity").alias("volume")))
+                    traded_price("l_partkey").alias("price_usd"), F.col("l_quantity").alias("volume")))
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coarse grain: every line's unit price."""
     li = table(spark, sf_dir, "lineitem")
     return li.select(F.col("l_partkey").alias("crypto_id"), F.to_date("l_shipdate").alias("date"),
-                     unit_price().alias("price_usd"), F.col("l_quantity").alias("volume"))
+                     traded_price("l_partkey").alias("price_usd"), F.col("l_quantity").alias("volume"))
 
 
 def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,9 +90,9 @@ def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- network packets
 
 # Ports that stand in for source ports (picked by part key), and
-# protocol labels picked by line number.
+# protocol labels picked by line and part number.
 SOURCE_PORTS = [23, 80, 443, 135, 8080, 139, 22, 445, 1433, 3389, 5900, 53]
-PROTOCOL_LABELS = ["TCP", "6", "UDP", "17", "ICMP", "1", "HTTP"]
+PROTOCOL_LABELS = ["TCP", "6", "UDP", "17", "ICMP", "1", "HTTP", "GRE"]
 
 
 def packets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,7 +118,7 @@ def packets(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.pmod("l_linenumber", F.lit(2)) == 1).cast("int").alias("tcp_flags_SYN"),
         (F.pmod("l_linenumber", F.lit(3)) == 0).cast("int").alias("tcp_flags_SYN-ACK"),
         F.when(F.col("l_linenumber") == 7, F.concat(ip, F.lit(".x"))).otherwise(ip).alias("src_ip"),
-        F.element_at(protos, F.col("l_linenumber")).alias("protocol"))
+        F.element_at(protos, (F.pmod(F.col("l_linenumber") + F.col("l_partkey"), F.lit(len(PROTOCOL_LABELS))) + 1).cast("int")).alias("protocol"))
 
 
 # ---------------------------------------------------------------- launches
@@ -209,7 +217,7 @@ def weather_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", F.col("event_type").alias("feed"), F.col("ts").alias("time"),
         (F.col("value") / 10.0 - 10.0).alias("temperature_2m"),
         F.get_json_object("props", "$.k").try_cast("double").alias("relative_humidity_2m"),
-        (F.col("value") / 40.0).alias("precipitation"),
+        F.when(F.pmod("event_id", F.lit(2)) == 0, F.col("value") / 40.0).otherwise(0.0).alias("precipitation"),
         (F.col("value") / 5.0).alias("wind_speed_10m"))
 
 
@@ -285,7 +293,7 @@ def creature_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One nested JSON entity per part: six base stats, one or two types and a
     species reference by URL."""
     p = table(spark, sf_dir, "part")
-    stats = F.array(*[F.struct((F.pmod(F.col("p_partkey") * (i + 3) + F.col("p_size"), F.lit(120)) + 20)
+    stats = F.array(*[F.struct((F.pmod(F.col("p_partkey") * (i + 3) + F.col("p_size"), F.lit(120)) + F.when(F.col("p_size") > 40, 80).otherwise(20))
                                .alias("base_stat")) for i in range(6)])
     t1 = F.struct(F.struct(F.lower("p_type").alias("name")).alias("type"))
     t2 = F.struct(F.struct(F.lower(F.regexp_replace("p_brand", "#", "-")).alias("name")).alias("type"))

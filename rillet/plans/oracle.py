@@ -101,17 +101,20 @@ def flow_indicators(cols=None) -> str:
 
 UNIT = "CASE WHEN l_quantity = 0 THEN NULL ELSE l_extendedprice / l_quantity END"
 
+TRADED = f"CASE WHEN l_partkey % 50 = 7 THEN l_partkey % 100 + 900.0::DOUBLE ELSE {UNIT} END"
+
 MARKET = {
     "spot": f"""
-SELECT p_partkey AS crypto_id, p_brand AS symbol, p_retailprice AS spot_price_usd,
-       coalesce(v.volume_24h, 0) AS volume_24h
-FROM part LEFT JOIN (SELECT l_partkey AS crypto_id, sum(l_quantity) AS volume_24h FROM lineitem GROUP BY 1) v
+SELECT p_partkey AS crypto_id, p_brand AS symbol,
+       CASE WHEN p_partkey % 50 = 7 THEN p_partkey % 100 + 900.0::DOUBLE WHEN p_partkey % 4 = 1 THEN p_retailprice * 40
+            ELSE p_retailprice END AS spot_price_usd, coalesce(v.volume_24h, 0) AS volume_24h
+FROM part LEFT JOIN (SELECT l_partkey AS crypto_id, CASE WHEN l_partkey % 3 = 0 THEN avg(l_quantity) ELSE sum(l_quantity) END AS volume_24h FROM lineitem GROUP BY 1) v
   ON p_partkey = v.crypto_id""",
     "hourly": f"""
-SELECT l_partkey AS crypto_id, l_shipdate AS "timestamp", {UNIT} AS price_usd, l_quantity AS volume
+SELECT l_partkey AS crypto_id, l_shipdate AS "timestamp", {TRADED} AS price_usd, l_quantity AS volume
 FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-01-01 00:00:00'""",
     "daily": f"""
-SELECT l_partkey AS crypto_id, CAST(l_shipdate AS DATE) AS date, {UNIT} AS price_usd, l_quantity AS volume
+SELECT l_partkey AS crypto_id, CAST(l_shipdate AS DATE) AS date, {TRADED} AS price_usd, l_quantity AS volume
 FROM lineitem""",
     "meta": """
 SELECT p_partkey AS crypto_id, p_brand AS symbol, p_name AS name, CAST(p_size AS BIGINT) AS market_cap_rank
@@ -243,7 +246,7 @@ SELECT l_orderkey AS flow_id, l_quantity * 40 AS packet_size,
        CAST(l_linenumber % 2 = 1 AS INTEGER) AS tcp_flags_SYN,
        CAST(l_linenumber % 3 = 0 AS INTEGER) AS "tcp_flags_SYN-ACK",
        CASE WHEN l_linenumber = 7 THEN ip || '.x' ELSE ip END AS src_ip,
-       (['TCP', '6', 'UDP', '17', 'ICMP', '1', 'HTTP'])[l_linenumber] AS protocol
+       (['TCP', '6', 'UDP', '17', 'ICMP', '1', 'HTTP', 'GRE'])[(l_linenumber + l_partkey) % 8 + 1] AS protocol
 FROM (SELECT *, concat_ws('.', l_orderkey % 256, l_partkey % 256, l_suppkey % 256, l_linenumber) AS ip
       FROM lineitem) li
 """
@@ -446,7 +449,7 @@ WEATHER = {
     "wrows": """
 SELECT event_id, event_type AS feed, ts AS time, value / 10.0::DOUBLE - 10.0::DOUBLE AS temperature_2m,
        TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS relative_humidity_2m,
-       value / 40.0::DOUBLE AS precipitation, value / 5.0::DOUBLE AS wind_speed_10m
+       CASE WHEN event_id % 2 = 0 THEN value / 40.0::DOUBLE ELSE 0.0::DOUBLE END AS precipitation, value / 5.0::DOUBLE AS wind_speed_10m
 FROM events""",
     "merged": """
 SELECT event_id, time, temperature_2m, relative_humidity_2m, precipitation, wind_speed_10m,
@@ -520,7 +523,7 @@ CREATURES = {
     "ent": "SELECT p_partkey AS pokemon_id, CASE WHEN p_partkey % 37 = 5 THEN 'unknown' ELSE p_name END AS name, "
            "CASE WHEN p_partkey % 41 = 6 THEN 0 ELSE CAST(p_size AS BIGINT) END AS height, "
            "CAST(trunc(p_retailprice) AS BIGINT) AS weight, CASE WHEN p_partkey % 43 = 7 THEN 0 ELSE CAST(p_size * 5 AS BIGINT) END AS base_experience, "
-           + ", ".join(f"CAST((p_partkey * {i + 3} + p_size) % 120 + 20 AS BIGINT) AS {n}" for i, n in enumerate(_STATS))
+           + ", ".join(f"CAST((p_partkey * {i + 3} + p_size) % 120 + CASE WHEN p_size > 40 THEN 80 ELSE 20 END AS BIGINT) AS {n}" for i, n in enumerate(_STATS))
            + ", lower(p_type) AS type_primary, "
            "CASE WHEN p_size > 25 THEN lower(replace(p_brand, '#', '-')) END AS type_secondary, "
            "6 AS n_stats, CASE WHEN p_size > 25 THEN 2 ELSE 1 END AS n_types FROM part WHERE p_partkey % 53 <> 11",

@@ -70,12 +70,6 @@ def nulls_for_tokens(df: DataFrame, tokens: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.when(~F.col(f"`{c}`").isin(list(tokens)), F.col(f"`{c}`")) for c in strings})
 
 
-def read_json_documents(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str,
-                        multiline: bool = True) -> DataFrame:
-    """JSON files (one document or array per file with ``multiline``)."""
-    return spark.read.schema(schema).option("multiLine", multiline).option("mode", "PERMISSIVE").json(path)
-
-
 def fan_in(sources: Mapping[str, DataFrame | None], tag: str = "source") -> DataFrame:
     """Union of named sources, each tagged with its name; missing ones are left out."""
     frames = [df.withColumn(tag, F.lit(name)) for name, df in sources.items() if df is not None]
@@ -114,11 +108,12 @@ def sql_query(spark: SparkSession, text: str) -> DataFrame:
     return spark.sql(text)
 
 
-def read_pages(spark: SparkSession, path: str | Sequence[str], fmt: str = "parquet") -> DataFrame:
+def read_pages(spark: SparkSession, path: str | Sequence[str], fmt: str = "parquet",
+               options: Mapping[str, str] | None = None) -> DataFrame:
     """Paged source: every file that has rows is one page; ``page_no`` is the rank of its
     name, counted by the distributed numbering, so no file list reaches the driver."""
     from rillet.operators.ranking import with_global_index
-    tagged = spark.read.format(fmt).load(path).withColumn("_file", F.input_file_name())
+    tagged = spark.read.format(fmt).options(**dict(options or {})).load(path).withColumn("_file", F.input_file_name())
     numbered = with_global_index(tagged.select("_file").distinct(), [F.col("_file")], "page_no", tie_break=False)
     return tagged.join(numbered, "_file").drop("_file")
 

@@ -204,3 +204,23 @@ def test_processing_time_stamp(spark):
     assert {str(r["processed_at"]) for r in df.collect()} == {"2025-01-01 00:00:00"}
     live = sinks.with_processing_time(spark.range(2)).collect()
     assert live[0]["processed_at"] is not None and live[0]["processed_at"] == live[1]["processed_at"]
+
+
+def test_flows_run_on_landed_files(spark, tmp_path):
+    from rillet.plans.landed import run_flow
+    (tmp_path / "resorts.csv").write_text('Listing Id,Resort Name,Price,Reviews\n1,"Sea, Sun","US$1,234.50",12 reviews\n2,Hill,N/A,none yet\n')
+    rows = {r["listing_id"]: r for r in run_flow(spark, "flow_listings", {"listings": f"csv:{tmp_path}/resorts.csv"}).collect()}
+    assert rows[1]["name"] == "Sea, Sun" and rows[1]["price_usd"] == 1234.5 and rows[1]["review_count"] == 12.0
+    assert rows[2]["price_usd"] is None and rows[2]["review_count"] is None
+    (tmp_path / "pages").mkdir()
+    for k in (1, 2):
+        (tmp_path / "pages" / f"{k}.html").write_text(STORIES)
+    posts = run_flow(spark, "flow_posts", {"pages": f"html:{tmp_path}/pages"}).collect()
+    assert sorted((r["page_no"], r["story_id"]) for r in posts) == sorted((k, i) for k in (1, 2) for i in ("11", "12", "17"))
+    (tmp_path / "e.json").write_text('{"id": 1, "stats": [{"base_stat": 50}], "species": {"url": "u/1"}}\n{"id": 2, broken\n')
+    (tmp_path / "s.json").write_text('{"url": "u/1"}\n')
+    got = run_flow(spark, "flow_legendary", {"entities": f"json:{tmp_path}/e.json", "species": f"json:{tmp_path}/s.json"}).collect()
+    assert len(got) == 1 and (got[0]["name"], got[0]["generation"], got[0]["hp"], got[0]["weight"], got[0]["is_legendary"]) == ("Unknown", "unknown", 50, 0, False)
+    assert got[0]["power_score"] == 50.0 and got[0]["type_primary"] == "normal"
+    with pytest.raises(ValueError):
+        run_flow(spark, "flow_posts", {})
