@@ -2,7 +2,7 @@
 
 Folding lower-cases, maps look-alike letters of other scripts to Latin ones, and digits
 and signs inside words to the letters they stand for. The lexicon (words and word
-beginnings, weighted by a cautious log-odds) and the exception phrases (word pairs in
+beginnings, weighted by log-odds) and the exception phrases (word pairs in
 which a lexicon word is harmless) are learned from a bounded sample of labelled rows;
 so is the logistic curve from weight and density to the score.
 """
@@ -107,8 +107,12 @@ class Lexicon:
         return at
 
     def features(self, words: list[str]) -> tuple[float, float]:
-        weight = sum(self.hits(words).values())
-        return math.log1p(weight), math.log1p(100 * weight / len(words)) if words else 0.0
+        """Logarithms of the weight of the distinct words that hit, and of its share of all distinct words."""
+        text, best = f" {' '.join(words)} ", {}
+        for at, w in self.hits(words).items():
+            best[text[at:text.find(" ", at + 1)]] = w
+        weight = sum(best.values())
+        return math.log1p(weight), math.log1p(100 * weight / len(set(words))) if words else 0.0
 
     def score(self, text: str) -> float:
         x, y = self.features(fold(text))
@@ -180,10 +184,10 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PE
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     counted = (sample.mapInArrow(_count_terms, "term string, toxic long, clean long")
                .groupBy("term").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")))
-    # The lower end of the log-odds, two standard errors down.
-    weight = (F.log((F.col("t") + 0.5) / (n_toxic + 1)) - F.log((F.col("c") + 0.5) / (n_clean + 1))
-              - 2 * F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5)))
-    top = (counted.filter("t >= 3").withColumn("w", weight).filter("w > 0.8")
+    # A term is taken by the lower end of its log-odds, two standard errors down, and weighs the log-odds.
+    odds = F.log((F.col("t") + 0.5) / (n_toxic + 1)) - F.log((F.col("c") + 0.5) / (n_clean + 1))
+    doubt = 2 * F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5))
+    top = (counted.filter("t >= 4").withColumn("w", odds).filter(F.col("w") - doubt > 1.2)
            .orderBy(F.desc("w"), "term").limit(TERMS).select("term", "w").collect())
     terms = {r["term"]: float(r["w"]) for r in top}
     around = (sample.mapInArrow(partial(_pairs, terms=terms), "term string, toxic long, clean long")

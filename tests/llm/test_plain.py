@@ -71,8 +71,10 @@ def test_fingerprints_estimate_resemblance(spark, small_docs):
         assert r["doc_id"] == i and r["n_chars"] == len(t) and r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
         for other, key in ((edited, "near_edited"), (after, "near_next")):
             a, b = shingles(t), shingles(other)
-            errors.append(r[key] - len(a & b) / max(1, len(a | b)))
-    assert abs(np.mean(errors)) < 0.01 and np.std(errors) < 0.05
+            errors.append((len(a), r[key] - len(a & b) / max(1, len(a | b))))
+    # Sets smaller than the bins carry no more than their own sampling error.
+    many = [e for n, e in errors if n >= 100]
+    assert len(many) > 200 and abs(np.mean(many)) < 0.01 and np.std(many) < 0.035 and np.std([e for _, e in errors]) < 0.08
 
 
 def test_fingerprint_edges(spark, make_docs):

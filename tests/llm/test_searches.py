@@ -52,8 +52,8 @@ def test_near_duplicates_equal_all_pairs(small_docs, width):
 
 
 def test_near_duplicate_chains_and_crowds(make_docs, monkeypatch):
-    """Chains of links, several groups around one passage, equal sets, short and empty texts; crowds split early."""
-    monkeypatch.setattr(near_dedup, "CROWD", 3)
+    """Chains of links, several groups around one passage, equal sets, short and empty texts, in small blocks."""
+    monkeypatch.setattr(near_dedup, "BLOCK", 3)
     r = random.Random(1)
     passage = text_of(99, 80)
     docs = [None, "", "  ", "one", "ONE", "one two", "two one"]
@@ -91,7 +91,7 @@ def test_registers_estimate_and_merge():
             assert (np.maximum(x, y) == near_dedup.registers(np.union1d(a, b))).all()
             j = both / (2000 - both)
             errors.append(near_dedup.estimate(x[None], y[None], np.array([1000.0]), np.array([1000.0]))[0] - j)
-        assert abs(np.mean(errors)) < 0.03 and np.std(errors) < 0.06
+        assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.035
 
 
 def lines_to_drop(docs):
@@ -185,7 +185,8 @@ def test_toxicity_held_out(spark, small_docs):
     scored = toxicity.score_toxicity(docs, toxicity.learn_lexicon(docs, labels)).join(labels, "doc_id").filter("crc32(cast(cast(doc_id AS string) AS binary)) % 3 = 1")
     r = scored.agg(F.avg(F.when(F.col("toxic") == 1, (F.col("score") >= 0.7).cast("int"))).alias("caught"),
                    F.avg(F.when(F.col("toxic") == 0, (F.col("score") >= 0.7).cast("int"))).alias("wrong")).first()
-    assert r["caught"] >= 0.95 and r["wrong"] <= 0.01
+    # Some rows labelled toxic hold no toxic word; about seven in a hundred.
+    assert r["caught"] >= 0.9 and r["wrong"] <= 0.005
 
 
 def test_languages(spark, make_docs):
