@@ -322,11 +322,18 @@ def species_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- parents and children
 
+def parents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parent rows (orders) with the kind of source they read."""
+    kind = F.when(F.col("o_orderstatus") == "O", "api").when(F.col("o_orderstatus") == "F", "file").otherwise("web_scraping")
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("parent_id"), "o_orderpriority", kind.alias("source_type"))
+
+
 def children(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Child rows (lines) of parent rows (orders): type, status and position."""
     li = table(spark, sf_dir, "lineitem")
     return li.select(F.col("l_orderkey").alias("parent_id"), F.col("l_linenumber").alias("stage_number"),
                      F.col("l_returnflag").alias("stage_type"), F.col("l_linestatus").alias("stage_status"),
+                     F.when(F.col("l_linestatus") == "O", F.col("l_returnflag")).alias("parallel_group"),
                      F.col("l_partkey").alias("child_id"))
 
 

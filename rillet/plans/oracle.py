@@ -556,7 +556,9 @@ SELECT l_orderkey AS parent_id, coalesce(bool_or(l_returnflag = 'R'), false) AS
        bool_or(l_linestatus = 'O') AS has_open, bool_or(l_linestatus = 'F') AS has_filled
 FROM lineitem GROUP BY l_orderkey""",
     "par": """
-SELECT o_orderkey AS parent_id, o_orderpriority, coalesce(has_special, false) AS has_special,
+SELECT o_orderkey AS parent_id, o_orderpriority,
+       CASE o_orderstatus WHEN 'O' THEN 'api' WHEN 'F' THEN 'file' ELSE 'web_scraping' END AS source_type,
+       coalesce(has_special, false) AS has_special,
        coalesce(n_children, 0) AS n_children, coalesce(n_types, 0) AS n_types,
        coalesce(has_open, false) AS has_open, coalesce(has_filled, false) AS has_filled,
        CASE WHEN coalesce(has_special, false) OR coalesce(n_children, 0) >= 7 THEN 'advanced'

@@ -27,8 +27,13 @@ def profiles(parents: DataFrame, children: DataFrame, special: str = "R") -> Dat
         [(F.col("has_special") | (n >= 7), "advanced"), (n >= 4, "intermediate")], "beginner"))
 
 
+# Tags by the kind of source a parent reads.
+SOURCE_TAGS = {"api": "API", "file": "CSV", "web_scraping": "Web Scraping"}
+
+
 def with_tags(df: DataFrame) -> DataFrame:
-    return df.withColumn("tags", tag_array([(F.col("has_special"), "Branching"),
+    rules = [(F.col("source_type") == k, tag) for k, tag in SOURCE_TAGS.items()] if "source_type" in df.columns else []
+    return df.withColumn("tags", tag_array([*rules, (F.col("has_special"), "Branching"),
                                             (F.col("has_open"), "Transform"),
                                             (F.col("has_filled"), "Database")]))
 
@@ -42,12 +47,18 @@ def complexity_page(df: DataFrame, offset: int, size: int = 10) -> DataFrame:
                 [F.col("complexity_rank"), F.col("parent_id")], offset, size)
 
 
-def group_colours(children: DataFrame, palette: int = 6) -> DataFrame:
+def colour_key() -> F.Column:
+    """Children that run in parallel share their group's key; the others go by their number."""
+    return F.coalesce(F.col("parallel_group").cast("string"), F.col("stage_number").cast("string"))
+
+
+def group_colours(children: DataFrame, palette: int = 6, key: F.Column | None = None) -> DataFrame:
     """Per parent, each child's colour slot: the rank of its group key by first
     appearance (lowest stage number), modulo the palette. The ranking window
     runs over (parent, key) pairs, at most the key domain per parent."""
-    firsts = children.groupBy("parent_id", "stage_type").agg(F.min("stage_number").alias("_first"))
-    w = Window.partitionBy("parent_id").orderBy("_first", "stage_type")
-    idx = firsts.select("parent_id", "stage_type",
+    keyed = children.withColumn("_key", colour_key() if key is None else key)
+    firsts = keyed.groupBy("parent_id", "_key").agg(F.min("stage_number").alias("_first"))
+    w = Window.partitionBy("parent_id").orderBy("_first", "_key")
+    idx = firsts.select("parent_id", "_key",
                         F.pmod(F.row_number().over(w) - 1, F.lit(palette)).cast("int").alias("colour_index"))
-    return children.join(idx, ["parent_id", "stage_type"], "left")
+    return keyed.join(idx, ["parent_id", "_key"], "left").drop("_key")

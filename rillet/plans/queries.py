@@ -548,7 +548,7 @@ def q_json_children_of(spark, sf):
     return rs.child_rows(docs, "pipeline_id", "stages", parent_id="p-2")
 
 
-@register("named_csv", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@register("named_csv", "SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, CAST(n_regionkey AS BIGINT) AS n_regionkey FROM nation")
 def q_named_csv(spark, sf):
     """One named file of a folder with several, types inferred."""
     path = _landed(spark, "nation_csv")
@@ -558,8 +558,7 @@ def q_named_csv(spark, sf):
 
 
 def _parents(spark, sf):
-    o = fx.table(spark, sf, "orders").select(F.col("o_orderkey").alias("parent_id"), "o_orderpriority")
-    return prf.profiles(o, fx.children(spark, sf))
+    return prf.profiles(fx.parents(spark, sf), fx.children(spark, sf))
 
 
 PARENT_COLS = ["parent_id", "has_special", "n_children", "n_types", "complexity"]
@@ -576,6 +575,12 @@ def q_tags_contain_all(spark, sf):
     return prf.filter_tags(_parents(spark, sf), ["Branching", "Transform"]).select("parent_id", "complexity")
 
 
+@register("tags_by_source", lambda: sql.with_ctes(sql.PARENTS,
+          "SELECT parent_id, source_type FROM par WHERE source_type = 'web_scraping' AND has_open"))
+def q_tags_by_source(spark, sf):
+    return prf.filter_tags(_parents(spark, sf), ["Web Scraping", "Transform"]).select("parent_id", "source_type")
+
+
 @register("ordinal_sort", lambda: sql.with_ctes(sql.PARENTS, """
 SELECT parent_id, complexity, CASE complexity WHEN 'beginner' THEN 0 WHEN 'intermediate' THEN 1
   WHEN 'advanced' THEN 2 ELSE 3 END AS complexity_rank FROM par ORDER BY complexity_rank, parent_id"""))
@@ -593,8 +598,9 @@ def q_page(spark, sf):
 
 @register("group_index", """
 SELECT l_orderkey AS parent_id, l_linenumber AS stage_number, l_returnflag AS stage_type,
-       CAST((dense_rank() OVER (PARTITION BY l_orderkey ORDER BY f, l_returnflag) - 1) % 6 AS INTEGER) AS colour_index
-FROM (SELECT *, min(l_linenumber) OVER (PARTITION BY l_orderkey, l_returnflag) AS f FROM lineitem) t""")
+       CAST((dense_rank() OVER (PARTITION BY l_orderkey ORDER BY f, k) - 1) % 6 AS INTEGER) AS colour_index
+FROM (SELECT *, min(l_linenumber) OVER (PARTITION BY l_orderkey, k) AS f
+      FROM (SELECT *, CASE WHEN l_linestatus = 'O' THEN l_returnflag ELSE CAST(l_linenumber AS VARCHAR) END AS k FROM lineitem) u) t""")
 def q_group_index(spark, sf):
     return prf.group_colours(fx.children(spark, sf)).select("parent_id", "stage_number", "stage_type", "colour_index")
 

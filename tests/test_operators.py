@@ -195,7 +195,7 @@ def test_group_index_first_seen(spark):
     df = spark.createDataFrame([(1, 1, "x"), (1, 2, "y"), (1, 3, "x"), (1, 4, "z"), (2, 1, "z")],
                                "parent_id long, stage_number int, stage_type string")
     from rillet.plans.parents import group_colours
-    out = {(r["parent_id"], r["stage_number"]): r["colour_index"] for r in group_colours(df, palette=2).collect()}
+    out = {(r["parent_id"], r["stage_number"]): r["colour_index"] for r in group_colours(df, palette=2, key=F.col("stage_type")).collect()}
     assert out == {(1, 1): 0, (1, 2): 1, (1, 3): 0, (1, 4): 0, (2, 1): 0}
 
 
