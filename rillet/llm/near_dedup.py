@@ -1,16 +1,20 @@
 """Near-duplicate classes by SetSketch registers, banded joins, likelihood estimates and exact verification.
 
 A document's set holds the hashes of its distinct word shingles. A register is the
-truncated logarithm (base 1.02) of the smallest of the set's exponential hash values,
-so registers merge by maximum and two registers agree with a probability that follows
-the resemblance of the sets. 130 registers make 26 bands of 5: a pair with resemblance
-0.8 meets in no band with probability 0.00003.
+truncated logarithm (base 1.2) of the smallest of the set's exponential hash values, so
+registers merge by maximum, fit in a byte, and two registers agree with a probability
+that follows the resemblance of the sets. Of 512 registers 130 make 26 bands of 5: a
+pair with resemblance 0.8 meets in no band with probability 0.00001. All 512 estimate
+the resemblance of pairs that meet, to a standard error of 0.018; pairs 3.5 such errors
+under the asked resemblance are not verified.
 
 Equal sets are one set from the start. In a bucket (equal band values) every set is
-compared with the bucket's first one; linked sets form components; then, in buckets
-that still hold several components, sets of different components are compared with
-each other. So no bucket is expanded into all its pairs, and every two sets that share
-a bucket end in one component or have been compared.
+compared with the bucket's first one; linked sets form components. In buckets that
+still hold several components, the sets outside the first one's component are compared
+with all others by their registers, in blocks of bounded size inside the tasks; only
+pairs that are likely links leave a task, each from its first common band. So no bucket
+is expanded into pairs, none is gathered in a task, and every two sets that share a
+bucket end in one component or have been compared.
 """
 
 from __future__ import annotations
@@ -26,16 +30,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from rillet.llm.common import landed
+from rillet.llm.common import bit_table, landed, marked
 
-BANDS, ROWS = 26, 5
-REGISTERS = BANDS * ROWS
+BANDS, ROWS, REGISTERS = 26, 5, 512
 #: SetSketch parameters: registers are floor(1 - log_BASE(x)) within 0 .. TOP, of x with rate RATE.
-BASE, RATE, TOP = 1.02, 20.0, 4094
-#: Pairs whose estimate lies this far under the asked resemblance are not verified: over 5 standard errors.
-SLACK = 0.2
-#: Sets that a bucket may hold outside its first component before it is split by a second band.
-CROWD = 32
+BASE, RATE, TOP = 1.2, 20.0, 255
+#: Standard errors that an estimate may fall short of the asked resemblance.
+ERRORS = 3.5
+#: Sets of one side of a block of comparisons.
+BLOCK = 1024
 
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -72,18 +75,18 @@ def _multipliers() -> np.ndarray:
 
 
 def registers(hashes: np.ndarray) -> np.ndarray:
-    """The set's registers (int16). Registers of a union are the maxima of the registers."""
+    """The set's registers (a byte each). Registers of a union are the maxima of the registers."""
     a = _multipliers()[None, :]
     least = np.full(REGISTERS, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), 512):
-        np.minimum(least, (hashes[at:at + 512, None] * a).min(0), out=least)
+    for at in range(0, len(hashes), 128):
+        np.minimum(least, (hashes[at:at + 128, None] * a).min(0), out=least)
     x = -np.log1p(-np.minimum((least.astype(float) + 1) / 2.0**64, 1 - 2.0**-53)) / RATE
-    return np.clip(np.floor(1 - np.log(x) / math.log(BASE)), 0, TOP).astype(np.int16)
+    return np.clip(np.floor(1 - np.log(x) / math.log(BASE)), 0, TOP).astype(np.uint8)
 
 
 def band_keys(reg: np.ndarray) -> np.ndarray:
     """One 64-bit key per band of each register row, of the band's number and register values."""
-    bands = reg.reshape(-1, BANDS, ROWS).astype(np.uint64)
+    bands = reg.reshape(-1, REGISTERS)[:, :BANDS * ROWS].reshape(-1, BANDS, ROWS).astype(np.uint64)
     key = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64) * _M1, bands.shape[:2])
     for k in range(ROWS):
         key = _mix(key * _M1 + bands[:, :, k])
@@ -116,35 +119,67 @@ def _sketch(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Record
             s = shingle_set(t.as_py(), width)
             n.append(len(s))
             digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-            r = registers(s) if len(s) else np.zeros(REGISTERS, np.int16)
+            r = registers(s) if len(s) else np.zeros(REGISTERS, np.uint8)
             sketch.append(r.tobytes())
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sketch, pa.binary())],
                                          ["doc_id", "n", "digest", "sketch"])
 
 
 def sketches(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n (set size), digest of the set, sketch (registers as little-endian 16-bit integers)."""
+    """doc_id, n (set size), digest of the set, sketch (a byte per register)."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(partial(_sketch, width=width), "doc_id long, n long, digest binary, sketch binary")
 
 
+def _rows(sketches: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(s.as_py() for s in sketches), np.uint8).reshape(-1, REGISTERS)
+
+
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        keys = band_keys(np.frombuffer(b"".join(s.as_py() for s in b.column(2)), np.int16))
+        keys = band_keys(_rows(b.column(2)))
         ends = pa.array(np.arange(0, keys.size + 1, BANDS, dtype=np.int32))
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.ListArray.from_arrays(ends, pa.array(keys.ravel()))], ["id", "n", "keys"])
 
 
-def _likely(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.RecordBatch]:
+def _least(percent: int) -> float:
+    """Smallest estimate that is verified."""
+    p = percent / 100
+    return p - ERRORS * math.sqrt(p * (1 - p) / REGISTERS)
+
+
+def _likely(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
         keep = np.zeros(b.num_rows, bool)
-        for at in range(0, b.num_rows, 2048):
-            part = b.slice(at, 2048)
-            rows = [np.frombuffer(b"".join(x.as_py() for x in part.column(k)), np.int16).reshape(-1, REGISTERS) for k in (4, 5)]
-            keep[at:at + 2048] = estimate(*rows, *(part.column(k).to_numpy().astype(float) for k in (2, 3))) >= least
+        for at in range(0, b.num_rows, 1024):
+            part = b.slice(at, 1024)
+            sizes = (part.column(k).to_numpy().astype(float) for k in (2, 3))
+            keep[at:at + 1024] = estimate(_rows(part.column(4)), _rows(part.column(5)), *sizes) >= _least(percent)
         yield b.select(["a", "b"]).filter(pa.array(keep))
 
 
+def _block_pairs(block: pa.Table, percent: int) -> pa.Table:
+    """Likely links between the outsiders and the members of one block: of different
+    components, of sizes that allow it, from the first band that both share."""
+    block = block.combine_chunks()
+    outside = block.column("outside").to_numpy(zero_copy_only=False)
+    ids, n, component = (block.column(c).to_numpy() for c in ("id", "n", "component"))
+    reg = _rows(block.column("sketch").combine_chunks())
+    bands = band_keys(reg)
+    band = int(np.flatnonzero(bands[0] == block.column("key")[0].as_py())[0])
+    rest = np.flatnonzero(~outside)
+    found: list[tuple[int, int]] = []
+    for k in np.flatnonzero(outside):
+        fits = rest[(component[rest] != component[k]) & (100 * np.minimum(n[rest], n[k]) >= percent * np.maximum(n[rest], n[k]))]
+        if band:
+            fits = fits[~(bands[fits, :band] == bands[k, :band]).any(1)]
+        if len(fits):
+            near = estimate(np.broadcast_to(reg[k], (len(fits), REGISTERS)), reg[fits], np.full(len(fits), float(n[k])), n[fits].astype(float))
+            found += [(min(ids[k], ids[x]), max(ids[k], ids[x])) for x in fits[near >= _least(percent)]]
+    pairs = np.array(sorted(set(found)), np.int64).reshape(-1, 2)
+    return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+
 def _alike(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
     last, first = None, None
     for b in batches:
@@ -207,47 +242,46 @@ def near_duplicate_classes(docs: DataFrame, width: int = 5, percent: int = 80, i
                      .filter("first != last"), "buckets")
     members = landed(rows.join(buckets, "key"), "members")
 
-    def compared(pairs: DataFrame, name: str) -> DataFrame:
-        """The linked ones of distinct pairs (a, b): by size, by likelihood, then on the full sets."""
-        left, right = (sets.select(F.col("id").alias(x), F.col("n").alias("n" + x), F.col("sketch").alias("s" + x)) for x in "ab")
-        likely = (pairs.join(right, "b").join(left, "a").select("a", "b", "na", "nb", "sa", "sb")
-                  .filter("100 * least(na, nb) >= %d * greatest(na, nb)" % percent)
-                  .mapInArrow(partial(_likely, least=percent / 100 - SLACK), "a long, b long"))
-        likely = landed(likely, name + "-likely")
-        wanted = likely.select(F.col("a").alias("id")).unionByName(likely.select(F.col("b").alias("id"))).distinct()
-        texts = landed(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).join(wanted, "id"), name + "-texts")
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        """The pairs (a, b) that are linked, counted on the full sets."""
+        wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+        # The bit table keeps most other texts out of the shuffle; the join is exact.
+        table = bit_table(wanted.select(F.xxhash64("id").alias("key")))
+        texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+        texts = landed(texts.filter(marked(table.scalar(), F.xxhash64("id"))).join(wanted, "id"), name + "-texts")
         a, b = (texts.select(F.col("id").alias(x), F.col("text").alias("t" + x)) for x in "ab")
-        full = likely.join(b, "b").join(a, "a").select("a", "b", "ta", "tb")
+        full = pairs.join(b, "b").join(a, "a").select("a", "b", "ta", "tb")
         return landed(full.mapInArrow(partial(_alike, width=width, percent=percent), "a long, b long"), name + "-links")
 
-    stars = landed(members.filter("id != first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), "stars")
-    links = compared(stars, "stars")
+    stars = members.filter("id != first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
+    left, right = (sets.select(F.col("id").alias(x), F.col("n").alias("n" + x), F.col("sketch").alias("s" + x)) for x in "ab")
+    stars = (stars.join(right, "b").join(left, "a").select("a", "b", "na", "nb", "sa", "sb")
+             .filter("100 * least(na, nb) >= %d * greatest(na, nb)" % percent)
+             .mapInArrow(partial(_likely, percent=percent), "a long, b long"))
+    links = verified(landed(stars, "stars"), "stars")
     found = landed(components(links), "components")
     joined = members.filter("size > 2").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     firsts = found.select(F.col("id").alias("first"), F.col("component").alias("_c"))
-    joined = joined.join(firsts, "first", "left").withColumn("own", F.col("component") == F.coalesce("_c", "first"))
+    joined = joined.join(firsts, "first", "left").withColumn("outside", F.col("component") != F.coalesce("_c", "first"))
     # Members besides the first one, in buckets that hold several components.
-    rest = landed(joined.filter("id != first").select("key", "id", "n", "component", "own"), "rest")
-    outside = rest.filter("NOT own")
-    crowds = outside.groupBy("key").agg(F.count("*").alias("outside"))
-    open_rest = rest.join(crowds, "key")
-    few = open_rest.filter(F.col("outside") <= CROWD).withColumn("second", F.lit(0).cast("long"))
-    # A crowd is split by the other bands of its members: a pair meets again in one of 25.
-    many = open_rest.filter(F.col("outside") > CROWD)
-    many = many.join(members.select("id", F.col("key").alias("second")), "id").filter("second != key")
-    met = few.unionByName(many.select(few.columns))
-    x = met.filter("NOT own").select("key", "second", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("component").alias("cx"))
-    y = met.select("key", "second", F.col("id").alias("y"), F.col("n").alias("ny"), F.col("component").alias("cy"))
-    pairs = (x.join(y, ["key", "second"]).filter("cx != cy").filter("100 * least(nx, ny) >= %d * greatest(nx, ny)" % percent)
-             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(stars, ["a", "b"], "left_anti"))
-    more = compared(landed(pairs, "crossing"), "crossing")
+    rest = landed(joined.filter("id != first").select("key", "id", "n", "component", "outside"), "rest")
+    crowds = rest.groupBy("key").agg(F.count_if("outside").alias("_o"), F.count("*").alias("_m")).filter("_o > 0 AND _m > 1")
+    # A bucket becomes blocks of at most about BLOCK outsiders and BLOCK members.
+    rest = rest.join(crowds, "key").withColumns({"_o": F.ceil(F.col("_o") / BLOCK).cast("int"), "_m": F.ceil(F.col("_m") / BLOCK).cast("int")})
+    own = F.xxhash64(F.lit(3), "id")
+    as_member = rest.withColumn("outside", F.lit(False)).withColumn("_y", F.pmod(own, "_m").cast("int")).withColumn("_x", F.explode(F.sequence(F.lit(0), F.col("_o") - 1)))
+    as_outsider = rest.filter("outside").withColumn("_x", F.pmod(own, "_o").cast("int")).withColumn("_y", F.explode(F.sequence(F.lit(0), F.col("_m") - 1)))
+    blocks = as_member.unionByName(as_outsider.select(as_member.columns)).join(sets.select("id", "sketch"), "id")
+    pairs = blocks.select("key", "_x", "_y", "id", "n", "component", "outside", "sketch").groupBy("key", "_x", "_y") \
+        .applyInArrow(lambda block: _block_pairs(block, percent), "a long, b long")
+    more = verified(landed(pairs.distinct(), "crossing"), "crossing")
     # Ids that occur with several sets join those.
     several = known.groupBy("doc_id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).filter("x != y").select("doc_id")
     same_id = known.join(several, "doc_id").join(sets.select("digest", "n", "id"), ["digest", "n"]).select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
     final = landed(components(links.unionByName(more).unionByName(same_id)), "components")
     # Rows of equal sets follow their set's first row.
     by_set = sets.join(final, "id", "left").select("digest", "n", F.coalesce("component", "id").alias("component"))
-    rows = seen.join(by_set, ["digest", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    rows = seen.join(by_set, ["digest", "n"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
     return rows.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
