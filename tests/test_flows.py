@@ -246,7 +246,7 @@ def test_launch_branches_edge_rows(spark):
                                     "rocket_id long, rocket_name string, cost_per_launch double, success_rate double")
     pads = spark.createDataFrame([(1, "P1", "north"), (2, "P2", "south")],
                                  "launchpad_id int, launchpad_name string, region string")
-    out = {r["flight_number"]: r for r in lf.flow_quality_branch(launches, rockets, pads).collect()}
+    out = {r["flight_number"]: r for r in lf.flow_quality_branch(launches, rockets, pads, fx.AS_OF).collect()}
     assert (out[1]["completeness_score"], out[1]["mission_complexity"], out[1]["processing_tier"]) == \
         (1.0, "High", "complete_analytics")
     assert abs(out[1]["reliability_score"] - 0.8) < 1e-12 and out[1]["cost_per_payload"] == 250.0
@@ -461,7 +461,12 @@ def test_creature_flow_against_python(spark):
     against the same steps on the parsed documents in Python."""
     import json
     from rillet.plans import creatures as crf
-    ents = [json.loads(r["json"]) for r in fx.creature_documents(spark, SF).collect()]
+    def document(text):
+        try:
+            return json.loads(text)
+        except ValueError:  # cut off: not a document
+            return None
+    ents = [e for e in (document(r["json"]) for r in fx.creature_documents(spark, SF).collect()) if e]
     spec = {d["url"]: d for d in (json.loads(r["json"]) for r in fx.species_documents(spark, SF).collect())}
     got = {r["pokemon_id"]: r for r in crf.flow_legendary(fx.creature_documents(spark, SF),
                                                           fx.species_documents(spark, SF)).collect()}
@@ -475,21 +480,22 @@ def test_creature_flow_against_python(spark):
         seen += 1
         st = {n: (e["stats"][i]["base_stat"] if i < len(e["stats"]) else 0) for i, n in enumerate(names)}
         total = sum(st.values())
-        leg, myth = sp["is_legendary"], sp["is_mythical"]
+        leg, myth = sp.get("is_legendary", False), sp.get("is_mythical", False)
+        experience = e.get("base_experience", 0)
         rarity = ("mythical" if myth else "legendary" if leg else "rare" if total >= 500
                   else "uncommon" if total >= 400 else "common")
         r = got[e["id"]]
-        assert (r["total_stats"], r["rarity"], r["name"]) == (total, rarity, e["name"].title())
+        assert (r["total_stats"], r["rarity"], r["name"]) == (total, rarity, e.get("name", "unknown").title())
         assert r["type_primary"] == (e["types"][0]["type"]["name"] if e["types"] else "normal")
         if leg or myth:
             tier = "mythical" if myth else "box_legendary" if total >= 680 else "sub_legendary"
             assert (r["legendary_tier"], r["power_score"], r["combat_role"]) == \
-                (tier, total * 1.5 + e["base_experience"], None)
+                (tier, total * 1.5 + experience, None)
         else:
             a, d = st["attack"], st["defense"]
             role = ("sweeper" if a > d and st["speed"] >= 80 else "tank" if d > a and st["hp"] >= 80 else "balanced")
             assert (r["legendary_tier"], r["power_score"], r["combat_role"]) == \
-                (None, total + e["base_experience"] * 0.5, role)
+                (None, total + experience * 0.5, role)
     assert seen == len(got)
 
 
