@@ -119,13 +119,13 @@ def with_next(docs: DataFrame, columns: list[str], id_col: str = "doc_id", tie_c
     n = len(bounds)
     at = docs.withColumn("_key", key).withColumn("_piece", _piece(F.col("_key"), bounds))
     opens = F.get(F.array(*[F.lit(b).cast("long") for b in bounds]), F.col("_piece") - 1) == F.col("_key")
-    own = F.struct(F.col("_piece").alias("p"), F.lit(0).alias("marker"))
-    copy = F.struct(F.when(F.col("_piece") == 1, n).otherwise(F.col("_piece") - 1).alias("p"), F.lit(1).alias("marker"))
-    at = at.withColumn("_to", F.explode(F.when(opens, F.array(own, copy)).otherwise(F.array(own))))
-    order = Window.partitionBy("_to.p").orderBy("_to.marker", "_key", tie_col)
-    for c in columns:
-        at = at.withColumn(f"next_{c}", F.lead(c).over(order))
-    return at.filter("_to.marker = 0").drop("_key", "_piece", "_to")
+    own = F.struct(F.col("_piece").alias("_to"), F.lit(0).alias("_marker"))
+    copy = F.struct(F.when(F.col("_piece") == 1, n).otherwise(F.col("_piece") - 1).alias("_to"), F.lit(1).alias("_marker"))
+    # Plain columns and one select: both windows then share one exchange and one sort.
+    at = at.select("*", F.inline(F.when(opens, F.array(own, copy)).otherwise(F.array(own))))
+    order = Window.partitionBy("_to").orderBy("_marker", "_key", tie_col)
+    at = at.select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in columns])
+    return at.filter("_marker = 0").drop("_key", "_piece", "_to", "_marker")
 
 
 def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
