@@ -27,7 +27,7 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Line dedup (3): repeated lines go, and documents of which little is left."""
+    """Line dedup (3): repeated lines go, and documents of which only blank lines are left."""
     return line_dedup.without_repeats(docs)
 
 

@@ -146,6 +146,14 @@ def test_line_dedup_stage_keeps_columns_and_drops_copies(make_docs):
     assert got == {0: a, 2: b, None: a, 7: None, 8: ""} and line_dedup.without_repeats(df).columns == df.columns
 
 
+def test_line_dedup_stage_keeps_documents_with_lines_left(make_docs):
+    """Little is left of document 1, but one line of it is new and document 2 lost its copy of that line to it."""
+    long, new = text_of(1, 200), text_of(2, 9)
+    df = make_docs([long, long + "\n" + new, new + "\n" + text_of(3, 40), long + "\n \n", long + "\n" + text_of(4, 9)])
+    got = {r["doc_id"]: r["text"] for r in line_dedup.without_repeats(df).collect()}
+    assert got == {0: long, 1: new, 2: text_of(3, 40), 4: text_of(4, 9)}
+
+
 def test_folding():
     assert toxicity.fold("1diot ідіот W0rthless l0s3r 123 sc​um ｍｏｒｏｎ") == ["idiot", "iдiot", "worthless", "loser", "123", "scum", "moron"]
 
