@@ -23,7 +23,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID (7): documents without letters, or in none of the learned languages, go."""
-    return langid.keep_identified(docs, langid.learn_filters(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+    source = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = langid.learn_filters(source)
+    return langid.keep_identified(docs, model, langid.learn_floors(source, model))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,11 +3,13 @@
 One Bloom filter holds the frequent letter trigrams of all languages: a slot is a bit
 mask of languages, so one AND over the slots of a trigram returns every language that
 contains it. A text's hits are counted per language, the hits expected by chance from
-each language's fill are taken off, and the largest share decides.
+each language's fill are taken off, and the largest share decides. Whether a text is in
+that language at all is decided by how much of it the language covers.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache, partial
 
@@ -76,6 +78,14 @@ class Filters:
         got = np.array([np.count_nonzero(found & np.uint64(1 << k)) for k in range(len(self.languages))], float)
         return np.maximum(0.0, (got - len(hashes) * self.chance) / (1 - self.chance))
 
+    def covered(self, text: str | None) -> tuple[int, float, int]:
+        """Number of the language with the most hits, its hits among the text's trigrams, their number."""
+        hashes = trigram_hashes(text or "")
+        if not len(hashes) or not self.languages:
+            return 0, 0.0, 0
+        hits = self.hits(hashes)
+        return int(hits.argmax()), float(hits.max() / len(hashes)), len(hashes)
+
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and share of its hits among all hits; equal hits go to the first language by name."""
         hashes = trigram_hashes(text or "")
@@ -97,12 +107,8 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              ["lang", "gram", "n"])
 
 
-def learn_filters(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple:
-    """(languages, grams) from the rows that may be learned from and have a language.
-
-    Of each language a stable pseudo-random share of about ``per_language`` rows is
-    taken. Without such rows no language is known. More than 64 languages are an error.
-    """
+def _sample(docs: DataFrame, per_language: int, id_col: str, text_col: str, lang_col: str) -> tuple[tuple, DataFrame | None]:
+    """Languages, and a stable pseudo-random share of about ``per_language`` rows of each: lang (its number), text."""
     known = (docs.select(F.col(id_col).alias("_id"), F.col(lang_col).cast("string").alias("_lang"), F.col(text_col).cast("string").alias("text"))
              .filter(F.col("_lang").isNotNull()).filter(learning_rows("_id")))
     totals = {r["_lang"]: r["n"] for r in known.groupBy("_lang").agg(F.count("*").alias("n")).limit(LANGUAGES + 1).collect()}
@@ -110,12 +116,23 @@ def learn_filters(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, id_c
         raise ValueError(f"more than {LANGUAGES} languages")
     languages = tuple(sorted(totals))
     if not languages:
-        return (), []
+        return (), None
     share, number = F.lit(0.0), F.lit(0)
     for k, lang in enumerate(languages):
         share = F.when(F.col("_lang") == lang, min(1.0, per_language / totals[lang])).otherwise(share)
         number = F.when(F.col("_lang") == lang, k).otherwise(number)
-    sample = known.filter(stable_share("_id", 7) < share).select(number.alias("lang"), "text")
+    return languages, known.filter(stable_share("_id", 7) < share).select(number.alias("lang"), "text")
+
+
+def learn_filters(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple:
+    """(languages, grams) from the rows that may be learned from and have a language.
+
+    Of each language a stable pseudo-random share of about ``per_language`` rows is
+    taken. Without such rows no language is known. More than 64 languages are an error.
+    """
+    languages, sample = _sample(docs, per_language, id_col, text_col, lang_col)
+    if sample is None:
+        return (), []
     counts = landed(sample.mapInArrow(_count_grams, "lang int, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "trigrams")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     # At most 1 / SHARE trigrams of each language.
@@ -144,15 +161,64 @@ def identify_languages(docs: DataFrame, model: tuple, id_col: str = "doc_id", te
     return rows.mapInArrow(partial(_predict, languages=languages, grams=np.array(grams, np.int64).tobytes()), "doc_id long, lang_pred string, score double")
 
 
-def _keep(batches: Iterator[pa.RecordBatch], at: int, languages: tuple, grams: bytes, least: float) -> Iterator[pa.RecordBatch]:
+def _coverages(batches: Iterator[pa.RecordBatch], languages: tuple, grams: bytes) -> Iterator[pa.RecordBatch]:
+    """Of each text the share of trigrams that every language contains."""
+    filters = _filters(languages, grams)
+    for b in batches:
+        rows = []
+        for lang, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            hashes = trigram_hashes(t or "")
+            if len(hashes):
+                rows += [(k, k == lang, float(x)) for k, x in enumerate(filters.hits(hashes) / len(hashes))]
+        columns = list(zip(*rows, strict=True)) or [[], [], []]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.bool_(), pa.float64()), strict=True)], ["lang", "own", "share"])
+
+
+def learn_floors(docs: DataFrame, model: tuple, per_language: int = SAMPLE_PER_LANGUAGE, id_col: str = "doc_id", text_col: str = "text",
+                 lang_col: str = "lang") -> tuple[float, ...]:
+    """Least coverage of a text in each language of the model, from the rows that the model was learned from.
+
+    It lies at the geometric mean of what the language covers of its own texts (the lowest
+    hundredth left aside) and of texts in the other languages (the highest left aside); a
+    lone language asks for half of the former. So it does not depend on the number of languages.
+    """
+    languages, grams = model
+    found, sample = _sample(docs, per_language, id_col, text_col, lang_col)
+    if sample is None or not languages:
+        return (0.0,) * len(languages)
+    if found != languages:
+        raise ValueError("the model was learned from other languages")
+    shares = sample.mapInArrow(partial(_coverages, languages=languages, grams=np.array(grams, np.int64).tobytes()), "lang int, own boolean, share double")
+    got = {r["lang"]: r for r in shares.groupBy("lang").agg(
+        F.percentile_approx(F.when(F.col("own"), F.col("share")), 0.01).alias("own"),
+        F.percentile_approx(F.when(~F.col("own"), F.col("share")), 0.99).alias("other")).collect()}
+
+    def floor(r) -> float:
+        if r is None or r["own"] is None:
+            return 0.0
+        return r["own"] / 2 if r["other"] is None else math.sqrt(r["own"] * min(r["own"], r["other"]))
+    return tuple(floor(got.get(k)) for k in range(len(languages)))
+
+
+def _is_in(covered: tuple[int, float, int], floors: tuple[float, ...]) -> bool:
+    """Whether a text's coverage is at its language's floor, or within two standard errors of so few trigrams."""
+    lang, share, n = covered
+    if share <= 0:
+        return False
+    floor = floors[lang]
+    return share >= floor - 2 * math.sqrt(floor * (1 - floor) / n)
+
+
+def _keep(batches: Iterator[pa.RecordBatch], at: int, languages: tuple, grams: bytes, floors: tuple[float, ...]) -> Iterator[pa.RecordBatch]:
     filters = _filters(languages, grams)
     for b in batches:
-        got = [filters.predict(t.as_py()) for t in b.column(at)]
-        yield b.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in got], pa.bool_()))
+        yield b.filter(pa.array([_is_in(filters.covered(t.as_py()), floors) for t in b.column(at)], pa.bool_()))
 
 
-def keep_identified(docs: DataFrame, model: tuple, text_col: str = "text", least: float = 0.3) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text is in a learned language with a score of ``least`` or more."""
+def keep_identified(docs: DataFrame, model: tuple, floors: tuple[float, ...] | None = None, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text is in a learned language: the language with the most hits covers
+    at least its floor of the text's trigrams (``learn_floors``; without floors one hit is enough)."""
     languages, grams = model
-    keep = partial(_keep, at=docs.columns.index(text_col), languages=languages, grams=np.array(grams, np.int64).tobytes(), least=least)
+    keep = partial(_keep, at=docs.columns.index(text_col), languages=languages, grams=np.array(grams, np.int64).tobytes(),
+                   floors=(0.0,) * len(languages) if floors is None else floors)
     return docs.mapInArrow(keep, docs.schema)

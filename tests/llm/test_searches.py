@@ -209,6 +209,32 @@ def test_languages(spark, make_docs):
     assert langid.learn_filters(docs.limit(0)) == ((), [])
 
 
+UNLEARNED = [
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni "
+    "postępować wobec innych w duchu braterstwa. Każdy człowiek posiada wszystkie prawa i wolności zawarte w niniejszej deklaracji.",
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on "
+    "toimittava toisiaan kohtaan veljeyden hengessä. Jokainen on oikeutettu kaikkiin tässä julistuksessa esitettyihin oikeuksiin.",
+    "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı kardeşlik "
+    "zihniyeti ile hareket etmelidirler. Herkes bu beyannamede ilan olunan tekmil haklardan ve bütün hürriyetlerden istifade edebilir.",
+    "Alle mensen worden vrij en gelijk in waardigheid en rechten geboren. Zij zijn begiftigd met verstand en geweten, en behoren zich "
+    "jegens elkander in een geest van broederschap te gedragen. Een ieder heeft aanspraak op alle rechten en vrijheden.",
+    " ".join(f"{random.Random(k).getrandbits(32):08x}" for k in range(80))]
+
+
+def test_unlearned_languages_go_and_clean_texts_stay(spark, make_docs):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.learn_filters(docs)
+    floors = langid.learn_floors(docs, model)
+    assert langid.keep_identified(make_docs(UNLEARNED), model, floors).count() == 0
+    held = docs.filter("crc32(cast(cast(doc_id AS string) AS binary)) % 3 = 1")
+    assert langid.keep_identified(held, model, floors).count() >= 0.99 * held.count()
+    # The same language under many labels: shares of all hits fall, clean texts stay.
+    split = docs.filter("lang = 'en'").withColumn("lang", F.concat(F.lit("en"), F.pmod(F.xxhash64("doc_id"), F.lit(6)).cast("string")))
+    model = langid.learn_filters(split)
+    assert langid.keep_identified(split, model, langid.learn_floors(split, model)).count() >= 0.98 * split.count()
+    assert langid.learn_floors(docs.limit(0), ((), [])) == ()
+
+
 def test_filters_hold_every_learned_gram():
     rng = np.random.default_rng(0)
     grams = [(int(k), int(g)) for k, g in zip(rng.integers(0, 5, 4000), rng.integers(-2**63, 2**63 - 1, 4000), strict=True)]
