@@ -154,6 +154,15 @@ def test_line_dedup_stage_keeps_documents_with_lines_left(make_docs):
     assert got == {0: long, 1: new, 2: text_of(3, 40), 4: text_of(4, 9)}
 
 
+def test_line_dedup_stage_compares_short_lines_and_scripts_without_blanks(make_docs):
+    passage = "人人生而自由在尊严和权利上一律平等他们赋有理性和良心"
+    thai = "มนุษย์ทั้งหลายเกิดมามีอิสระและเสมอภาคกัน"
+    df = make_docs(["one\nRead more\ntail a", "Read  more\n\nOne\ntail b", passage + "\n" + thai, "x\n" + passage,
+                    passage.replace("自", "白") + "\nnew", "短い行\n" + thai[:-1], "短い文", "短い行"])
+    got = {r["doc_id"]: r["text"] for r in line_dedup.without_repeats(df).collect()}
+    assert got == {0: "one\nRead more\ntail a", 1: "\nOne\ntail b", 2: passage + "\n" + thai, 3: "x", 4: "new", 5: "短い行", 6: "短い文"}
+
+
 def test_folding():
     assert toxicity.fold("1diot ідіот W0rthless l0s3r 123 sc​um ｍｏｒｏｎ") == ["idiot", "iдiot", "worthless", "loser", "123", "scum", "moron"]
 
