@@ -94,6 +94,16 @@ def test_registers_estimate_and_merge():
         assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.035
 
 
+def test_borderline_pairs_reach_the_exact_check():
+    """Pairs of resemblance 0.8: the cut lies five measured deviations under it."""
+    rng, got = np.random.default_rng(6), []
+    for _ in range(400):
+        h = rng.integers(0, 2**63, 500).astype(np.uint64)
+        a, b = h[:450], np.concatenate([h[:400], h[450:]])
+        got.append(near_dedup.estimate(near_dedup.registers(a)[None], near_dedup.registers(b)[None], np.array([450.0]), np.array([450.0]))[0])
+    assert near_dedup._least(80) <= 0.8 - 4.5 * np.std(got)
+
+
 def lines_to_drop(docs):
     """(equal, near) line numbers by id, by comparing all lines that share a variant."""
     order, first = [], {}
