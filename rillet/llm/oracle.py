@@ -80,9 +80,9 @@ def _mixing() -> str:
         fits = "NOT taken AND rank IS NOT NULL" + (" AND size * 8 <= rest" if k else "")
         cuts.append(f"""
 run{k} AS (SELECT *, CASE WHEN {fits} THEN sum(CASE WHEN {fits} THEN size ELSE 0 END) OVER (
-             PARTITION BY source ORDER BY rank, id, size, row ROWS UNBOUNDED PRECEDING) END AS upto FROM {state}),
-cut{k} AS (SELECT * REPLACE (taken OR coalesce(upto <= rest, false) AS taken,
-                             rest - coalesce(max(upto) FILTER (upto <= rest) OVER (PARTITION BY source), 0) AS rest) FROM run{k}),""")
+             PARTITION BY source ORDER BY rank, id, size, row ROWS UNBOUNDED PRECEDING) END AS upto{k} FROM {state}),
+cut{k} AS (SELECT * REPLACE (taken OR coalesce(upto{k} <= rest, false) AS taken,
+                             rest - coalesce(max(upto{k}) FILTER (upto{k} <= rest) OVER (PARTITION BY source), 0) AS rest) FROM run{k}),""")
         state = f"cut{k}"
     return rf"""
 WITH sizes AS (SELECT doc_id, source, coalesce(len(list_filter(regexp_split_to_array(text, '{_BLANKS}'), lambda x: x <> '')), 0) AS size,
