@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,9 +18,13 @@ SPACE = r"[ \t\n\x0B\f\r]"
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a local one only where that is unset (tests)."""
+    """The shared folder named by ``spark.checkpoint.dir``; a local one only where that is unset
+    and all work is done on this machine (tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="llm-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path
@@ -29,6 +38,41 @@ def landed(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_held: dict[Any, Any] = {}
+
+
+def give_back() -> None:
+    """Return the memory that this worker has freed: Arrow's pool, and the C library's heap where it has a call for that."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def held(key: Any, build: Callable[[], Any]) -> Any:
+    """What ``build`` makes, kept for the next task of this worker with the same key. A worker
+    holds one such thing at a time, so models of earlier stages do not pile up in it."""
+    if key not in _held:
+        _held.clear()
+        give_back()
+        _held[key] = build()
+    return _held[key]
+
+
+def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same batches; when they end, the worker gives back what they took."""
+    try:
+        yield from batches
+    finally:
+        give_back()
+
+
+def tidied(make: Callable[..., Iterator[pa.RecordBatch]], *args: Any, **kwargs: Any) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``make(batches, ...)`` for mapInArrow, giving memory back at the end of each task."""
+    return lambda batches: tidy(make(batches, *args, **kwargs))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
