@@ -115,15 +115,16 @@ def free_of(label: str) -> float:
 def scan_text(text: str | None) -> tuple:
     """n_words, n_base, first_word, last_word, base_labels, labels, score, expressions, spans of one text.
 
-    ``score`` is the freedom of the strictest licence found (0 reserved to 1 permissive),
-    1 where none is found. ``spans`` lists (first word, phrase) of every notice.
+    ``score`` is the freedom of the strictest licence found (0 reserved to 1 permissive), 1
+    where none is found: the least of all notices, base phrases and expressions, of which
+    each counts as a whole (``or`` leaves the choice). ``spans`` lists (first word, phrase) of every notice.
     """
     text = text or ""
     found = WORD.findall(text.translate(_LOWER))
     if not found:
         return 0, 0, None, None, "", "", 1.0, [], []
     joined = " " + " ".join(found) + " "
-    base, labels, spans, score, at, seen = set(), set(), [], 1.0, 0, 0
+    base, noticed, labels, spans, score, at, seen = set(), set(), set(), [], 1.0, 0, 0
     starts, n_base, tagged = [], 0, False
     for end, phrase in _automaton().iter(joined):
         start = end - len(phrase) - 1  # the blank before the first word
@@ -141,7 +142,7 @@ def scan_text(text: str | None) -> tuple:
         elif phrase == TAG:
             tagged = True
         else:
-            labels.add(NOTICES[phrase])
+            noticed.add(NOTICES[phrase])
     expressions = []
     for m in _EXPRESSION.finditer(text) if tagged else ():
         try:
@@ -151,7 +152,8 @@ def scan_text(text: str | None) -> tuple:
         expressions.append(m[1].strip())
         labels |= named
         score = min(score, free)
-    score = min([score, *map(free_of, base | {x for x in labels if x in RESTRICTED and not expressions})])
+    labels |= noticed
+    score = min([score, *map(free_of, base | noticed)])
     return (len(found), n_base, min(starts, default=None), max(starts, default=None), ",".join(sorted(base)),
             ",".join(sorted(base | labels)), float(score), expressions, placed)
 

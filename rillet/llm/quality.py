@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from rillet.llm.common import landed, let, sliding, words
 
 WINDOW = 8
+#: Words of a stretch whose distinct words are counted.
+STRETCH = 200
 SYMBOLS = "#*$%&|<>"
 _MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _BLANKS = " \t\n\x0b\f\r"
@@ -41,6 +43,15 @@ def _repeat_words(w: Column) -> Column:
     return F.when(F.size(w) > WINDOW, let(windows, covered)).otherwise(F.lit(0).cast("long"))
 
 
+def _variety(w: Column) -> Column:
+    """Share of distinct words, the mean over whole stretches of ``STRETCH`` words, so that a long text's is no
+    smaller for its length; of all words where there is no whole stretch."""
+    starts = F.sequence(F.lit(0), F.greatest(F.floor(F.size(w) / STRETCH).cast("int") - 1, F.lit(0)))
+    of_each = F.transform(starts, lambda k: F.size(F.array_distinct(F.slice(w, k * STRETCH + 1, F.lit(STRETCH)))))
+    distinct = F.aggregate(of_each, F.lit(0).cast("long"), lambda a, x: a + x)
+    return F.try_divide(distinct, F.least(F.size(w), F.size(of_each) * STRETCH))
+
+
 def _removed(text: Column, chars: str) -> Column:
     """Code points of ``chars`` in the text."""
     return (F.char_length(text) - F.char_length(F.translate(text, chars, ""))).cast("long")
@@ -55,7 +66,7 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     def of_words(w):
         return F.struct(F.size(w).cast("long").alias("n_words"), _repeat_words(w).alias("n_repeat_words"),
-                        F.size(F.array_distinct(w)).cast("long").alias("n_distinct"))
+                        _variety(w).alias("variety"))
 
     def of_lines(s):
         return F.struct(F.size(s).cast("long").alias("n_lines"), (F.size(s) - F.size(F.array_distinct(s))).cast("long").alias("n_dup_lines"),
@@ -84,7 +95,7 @@ def votes() -> dict[str, Column]:
     digits = F.try_divide(F.col("n_digits"), F.col("word_chars"))
     marks = F.try_divide(F.col("n_marks"), F.col("word_chars"))
     ended = F.when(F.col("n_lines") >= 3, F.try_divide(F.col("n_ended"), F.col("n_lines")))
-    variety = F.when(enough & (n <= 2000), per_word("n_distinct"))
+    variety = F.when(enough, F.col("variety"))
     return {
         "words": _vote(n, n >= 20, n < 10),
         "word_length": _vote(length, length.between(3.0, 10.0), (length < 2.0) | (length > 16.0)),

@@ -1,6 +1,7 @@
 """Sharding, fingerprints, quality rules, licences, byte-level BPE against plain Python."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
@@ -131,6 +132,21 @@ def test_rules_are_weighed_by_agreement():
     assert quality.fit_votes([]) == (0.0, [])
 
 
+def test_variety_votes_alike_at_every_length(make_docs):
+    """Ten words in changing order: no window repeats, and neither a short nor a long text passes for good."""
+    r = random.Random(4)
+
+    def shuffled(n):
+        return " ".join(" ".join(r.sample([f"word{k}" for k in range(10)], 10)) for _ in range(n // 10)) + "."
+    rich = [" ".join(f"w{r.randrange(10**6)}" for _ in range(n)) + "." for n in (1500, 4000)]
+    docs = make_docs([shuffled(n) for n in (20, 190, 400, 1500, 2000, 2500, 4000, 30000)] + rich + ["plain text of its own number %d, with some more words in it, quite ordinary ones." % k * 2 for k in range(200)])
+    seen = {x["doc_id"]: x for x in quality.measures(docs).select("doc_id", "variety", *[c.alias("vote") for c in [quality.votes()["variety"]]]).collect()}
+    assert all(seen[k]["vote"] == 0 and seen[k]["variety"] <= 0.5 for k in range(1, 8)) and seen[8]["vote"] == seen[9]["vote"] == 1
+    assert all(0.05 <= seen[k]["variety"] < 0.053 for k in range(2, 8))  # ten words in each stretch, one of them once with a full stop
+    judged = {x["doc_id"]: x["quality"] for x in quality.judge_quality(docs).collect()}
+    assert max(judged[k] for k in range(2, 8)) - min(judged[k] for k in range(2, 8)) < 0.2
+
+
 @pytest.mark.parametrize(("text", "postfix"), [
     ("MIT", ["MIT"]), ("MIT OR Apache-2.0 AND BSD-3-Clause", ["MIT", "Apache-2.0", "BSD-3-Clause", "and", "or"]),
     ("(MIT OR Apache-2.0) AND GPL-2.0-only WITH Classpath-exception-2.0", ["MIT", "Apache-2.0", "or", "GPL-2.0-only", "Classpath-exception-2.0", "with", "and"]),
@@ -151,6 +167,15 @@ def test_expression_freedom():
     assert value("GPL-2.0 WITH Classpath-exception-2.0") == ({"gpl"}, 0.4) and value("LGPL-2.1-only")[0] == {"lgpl"}
 
 
+@pytest.mark.parametrize(("text", "labels", "score"), [
+    ("SPDX-License-Identifier: MIT\nAll rights reserved. GNU Affero General Public License", {"agpl", "mit", "reserved"}, 0.0),
+    ("SPDX-License-Identifier: MIT OR AGPL-3.0", {"agpl", "mit"}, 1.0), ("All rights reserved.", {"reserved"}, 0.0), ("MIT license", {"mit"}, 1.0),
+    ("SPDX-License-Identifier: Apache-2.0 and the GNU General Public License", {"apache", "gpl"}, 0.4), ("no notice", set(), 1.0)])
+def test_the_strictest_licence_gives_the_score(text, labels, score):
+    found = licenses.scan_text(text)
+    assert labels <= set(filter(None, found[5].split(","))) and found[6] == score
+
+
 def base_licences(t):
     w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
     at = [(k, label) for p, label in licenses.BASE.items() for k in range(len(w)) if w[k:k + len(p.split())] == p.split()]
