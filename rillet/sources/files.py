@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rillet.sources.json_array import holds_arrays, read_json_array
+
 # Text that pandas reads as missing by default.
 PANDAS_NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
                     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
@@ -31,16 +33,21 @@ def _found(spark: SparkSession, paths: Sequence[str], glob: str | None) -> list[
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str | None = None,
-             glob: str | None = "*.csv", na_tokens: Sequence[str] = PANDAS_NA_TOKENS) -> DataFrame:
+             glob: str | None = "*.csv", na_tokens: Sequence[str] = PANDAS_NA_TOKENS, multi_line: bool = True) -> DataFrame:
     """Header CSV scan: doubled quotes and line breaks inside quotes are part of the value,
     every pandas NA token becomes NULL, blanks are kept. A folder is read by ``glob``, a
     named file whatever its ending; no match is an error.
 
+    With ``multi_line`` a file is read by one task, since a line break inside quotes cannot
+    be told from the end of a record anywhere in a file. Files whose values hold no line
+    breaks should be read with ``multi_line=False``: Spark then splits a file between tasks.
+    (There, a value with a line break would end its record.)
+
     With a schema the read is typed. Without one, a column is boolean, long or double if
     all its values that are not NA tokens are, else text.
     """
     paths = _found(spark, [path] if isinstance(path, str) else list(path), glob)
-    reader = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("multiLine", True).option("escape", '"')
+    reader = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("multiLine", multi_line).option("escape", '"')
               .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if schema is None:
         raw = nulls_for_tokens(reader.option("inferSchema", False).csv(paths), na_tokens)
@@ -95,11 +102,15 @@ def read_paths_tagged(spark: SparkSession, paths: Mapping[str, str], fmt: str =
 
 
 def read_exported_json(spark: SparkSession, exports: Mapping[str, str], dataset: str) -> tuple[DataFrame, int]:
-    """Read back one exported dataset by name with its row count; an unknown
-    name is an error."""
+    """Read back one exported dataset by name with its row count; an unknown name is an error.
+
+    An export is a file or folder of JSON arrays, indented or not (``json_array``), or of
+    JSON lines. Text that is neither raises.
+    """
     if dataset not in exports:
         raise KeyError(f"unknown dataset {dataset!r}")
-    df = spark.read.json(exports[dataset])
+    path = exports[dataset]
+    df = read_json_array(spark, path) if holds_arrays(spark, path) else spark.read.option("mode", "FAILFAST").json(path)
     return df, df.count()
 
 
