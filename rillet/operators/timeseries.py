@@ -1,11 +1,12 @@
 """Per-key ordered time-series indicators (row-based rolling frames).
 
-``rolling`` evaluates window columns over ``partitionBy(key).orderBy(order)``
-with bounded row frames. A hot key is not one task:
-rows are numbered in (key, order) with the distributed global index,
-cut into chunks of ``chunk_rows`` and every chunk gets a copy of the previous
-``lookback`` rows as read-only context, so each window partition is bounded
-by ``chunk_rows + lookback`` rows and results are exact.
+``rolling`` evaluates window columns over ``partitionBy(key).orderBy(order)`` with bounded
+row frames. A hot key is not one task: its rows are cut into ranges of the order column by
+quantiles of that column, and rows are shuffled once, by key and range. Every range is
+evaluated for itself; its first ``lookback`` rows, which lack the rows before them, are
+evaluated once more among the edges of the key's ranges (a halo exchange: only the first
+and the last rows of each range move, whole ranges where these are shorter). Results are
+exact, and building the frame runs no job.
 """
 
 from __future__ import annotations
@@ -14,39 +15,88 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rillet.functions.columns import float_div
-from rillet.operators.ranking import with_global_index
 
 # A stage maps (window spec) -> {column name: expression}; stages run in order,
 # so a later stage may use the columns of an earlier one.
 Stage = Callable[[WindowSpec], dict[str, Column]]
 
+#: Ranges of all keys together are at most about so many, whatever the input, and so many of one key.
+MOST_RANGES, MOST_OF_KEY = 1 << 16, 1 << 12
+
+
+def _place(df: DataFrame, column: str) -> Column:
+    """The order column as a number."""
+    kind, c = df.schema[column].dataType, F.col(f"`{column}`")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(kind, T.NumericType):
+        return c.cast("double")
+    raise TypeError(f"rows are cut into ranges of a number or a time, not of {column}: {kind.simpleString()}")
+
+
+def _at_most(bounds: Column, x: Column) -> Column:
+    """How many of the sorted ``bounds`` are at most x, by bisection."""
+    def step(s: Column, _: Column) -> Column:
+        middle = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        above = F.coalesce(F.get(bounds, middle) <= x, F.lit(False))
+        going = s["lo"] < s["hi"]
+        return F.struct(F.when(going & above, middle + 1).otherwise(s["lo"]).alias("lo"), F.when(going & ~above, middle).otherwise(s["hi"]).alias("hi"))
+    steps = F.sequence(F.lit(1), F.lit(MOST_OF_KEY.bit_length()))
+    return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi")), step, lambda s: s["lo"])
+
+
+def with_ranges(df: DataFrame, key: str, order: str, rows: int, name: str = "_range") -> DataFrame:
+    """Add the number of the row's range of ``order`` within its key, 0 for keys of at most ``rows`` rows,
+    and whether the key was cut (``_cut``).
+
+    A larger key is cut at quantiles of its order column into ranges of about ``rows`` rows
+    (of a ``MOST_RANGES``-th of all rows if that is more). So the bounds that go to every task
+    are at most ``MOST_RANGES`` numbers. Rows of one key and order value share a range.
+    """
+    counts = df.groupBy(F.col(f"`{key}`").alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    each = F.greatest(F.lit(rows), F.ceil(counts.agg(F.sum("_n")).scalar() / MOST_RANGES))
+    hot = counts.withColumn("_parts", F.least(F.ceil(F.col("_n") / each), F.lit(MOST_OF_KEY)).cast("int")).filter("_parts > 1")
+    # At most MOST_RANGES keys have more rows than a MOST_RANGES-th of all.
+    mine = df.select(F.col(f"`{key}`").alias("_k"), _place(df, order).alias("_x")).join(F.broadcast(hot), F.col("_k").eqNullSafe(F.col("_key")))
+    shares = [k / MOST_OF_KEY for k in range(1, MOST_OF_KEY)]
+    cuts = mine.groupBy("_key").agg(F.percentile_approx("_x", shares).alias("_q"), F.first("_parts").alias("_parts"))
+    # Every so many-th quantile, so that a key gets its number of ranges.
+    wanted = F.transform(F.sequence(F.lit(1), F.col("_parts") - 1), lambda k: F.get("_q", F.floor(k * MOST_OF_KEY / F.col("_parts")).cast("int") - 1))
+    bounds = F.broadcast(cuts.select("_key", F.array_distinct(wanted).alias("_bounds")))
+    joined = df.join(bounds, F.col(f"`{key}`").eqNullSafe(F.col("_key")), "left").withColumn("_cut", F.col("_bounds").isNotNull())
+    return joined.withColumn(name, F.when(F.col("_cut"), _at_most(F.col("_bounds"), _place(df, order))).otherwise(0)).drop("_key", "_bounds")
+
 
 def rolling(df: DataFrame, key: str, order: Sequence[str], stages: Sequence[Stage],
             lookback: int, chunk_rows: int = 1 << 16) -> DataFrame:
     """Apply window ``stages`` per key in time order.
 
     ``lookback`` must cover the deepest chain of row references of all stages
-    (e.g. 19 for a 20-row mean; 14 for RSI-14 on first differences).
+    (e.g. 19 for a 20-row mean; 14 for RSI-14 on first differences). ``chunk_rows`` is the
+    number of rows from which a key is cut into ranges of its first order column.
     """
-    # Rows tied on the order key get a fixed order (a hash of the whole row),
-    # so results are repeatable and tied rows still spread over range partitions.
-    df = df.withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
-    if chunk_rows <= lookback:
-        raise ValueError("chunk_rows must exceed lookback")
-    idx = with_global_index(df, [F.col(key)] + [F.col(o) for o in order] + [F.col("_tie")], "_rn", tie_break=False)
-    pos = F.col("_rn") - 1
-    chunk = F.floor(pos / F.lit(chunk_rows))
-    in_tail = F.pmod(pos, F.lit(chunk_rows)) >= F.lit(chunk_rows - lookback)
-    shifts = F.when(in_tail, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    spread = (idx.withColumn("_shift", F.explode(shifts))
-              .withColumn("_chunk", chunk + F.col("_shift")))
-    w = Window.partitionBy(key, "_chunk").orderBy("_rn")
-    out = spread
-    for st in stages:
-        out = out.withColumns(st(w))
-    return out.filter(F.col("_shift") == 0).drop("_shift", "_chunk", "_rn", "_tie")
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    # Rows tied on the order key get a fixed order (a hash of the whole row), so results are repeatable.
+    base = with_ranges(df.withColumn("_tie", F.xxhash64(*columns)), key, order[0], chunk_rows)
+    within = Window.partitionBy(key, "_range").orderBy(*order, "_tie")
+    along = Window.partitionBy(key).orderBy(*order, "_tie")
+
+    def staged(rows: DataFrame, w: WindowSpec) -> DataFrame:
+        for st in stages:
+            rows = rows.withColumns(st(w))
+        return rows
+    # Rows of a range that have all the rows before them that they need.
+    placed = base.withColumn("_at", F.row_number().over(within))
+    inner = staged(placed, within).filter((F.col("_range") == 0) | (F.col("_at") > lookback))
+    edges = placed.withColumn("_end", F.lead(F.lit(True), max(lookback, 1)).over(within).isNull())
+    edges = edges.filter((F.col("_at") <= lookback) & (F.col("_range") > 0) | F.col("_end") & F.col("_cut"))
+    outer = staged(edges.drop("_end"), along).filter((F.col("_range") > 0) & (F.col("_at") <= lookback))
+    return inner.unionByName(outer).drop("_tie", "_range", "_at", "_cut")
 
 
 # ---------------------------------------------------------------- indicators

@@ -1,15 +1,18 @@
 """Distributed numbering, windows, quantiles, aggregates, joins and unions."""
 
 import random
+import uuid
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from rillet.operators import aggregate as agg
 from rillet.operators import combine as cmb
-from rillet.operators import ranking
+from rillet.operators import lookup, ranking
 from rillet.operators.stats import exact_quantiles
-from rillet.operators.timeseries import with_indicators
+from rillet.operators.timeseries import with_indicators, with_ranges
+from rillet.session import checkpoint_dir
 
 
 def test_global_index_is_a_dense_ordered_numbering(spark):
@@ -227,3 +230,155 @@ def test_global_index_balances_a_repeated_key(spark):
     assert sorted(r["rn"] for r in out.select("rn").collect()) == list(range(1, 4001))
     sizes = [r["c"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("c")).collect()]
     assert max(sizes) < 3000  # the repeated key is split over several partitions
+
+
+def _jobs_of(spark, work):
+    """What ``work`` returns, and the number of Spark jobs it ran."""
+    group = f"jobs-{random.random()}"
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        out = work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_ranges_of_few_rows_equal_whole_windows(spark):
+    """Ranges shorter than the lookback, hot keys beside short ones, ties in time, null times and keys."""
+    rng = random.Random(21)
+    rows = [(k, t, 50 + rng.uniform(-5, 5), rng.randint(1, 99)) for k, n in [("A", 1), ("B", 400), ("C", 7), (None, 90), ("D", 60)] for t in range(n)]
+    rows += [("B", None, 50.0, 5), ("B", 17, 51.0, 6), ("B", 17, 52.0, 7)]
+    df = spark.createDataFrame(rows, "symbol string, t long, close double, volume long").repartition(5)
+    whole = with_indicators(df, "symbol", "t").collect()
+    for chunk in (1, 5, 21, 64):
+        got = with_indicators(df, "symbol", "t", chunk_rows=chunk).collect()
+        assert sorted(map(repr, got)) == sorted(map(repr, whole)), chunk
+        assert len({r["n"] for r in with_ranges(df, "symbol", "t", chunk).select(F.col("_range").alias("n")).distinct().collect()}) > 2
+
+
+def test_ranges_of_times_and_dates(spark):
+    df = spark.range(300).selectExpr("'k' AS key", "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0,0,0,0,CAST(id AS INT)) AS ts",
+                                     "date_add(date'2024-01-01', CAST(id AS INT)) AS day", "CAST(id AS DECIMAL(9,1)) AS amount")
+    for column in ("ts", "day", "amount"):
+        sizes = [r["count"] for r in with_ranges(df, "key", column, 30).groupBy("_range").count().collect()]
+        assert len(sizes) == 10 and max(sizes) <= 60
+        order = with_ranges(df, "key", column, 30).groupBy("_range").agg(F.min(column).alias("a"), F.max(column).alias("b")).orderBy("_range").collect()
+        assert all(x["b"] < y["a"] for x, y in zip(order, order[1:]))
+    with pytest.raises(TypeError):
+        with_ranges(df, "key", "key", 30)
+
+
+def test_whole_rows_are_shuffled_once(spark):
+    """Both branches read one exchange of whole rows, and nothing is run or written while the frame is built."""
+    df = spark.createDataFrame([("A", t, float(t % 7), t) for t in range(300)], "symbol string, t long, close double, volume long")
+    out, jobs = _jobs_of(spark, lambda: with_indicators(df, "symbol", "t", chunk_rows=25))
+    assert jobs == 0
+    out.write.format("noop").mode("overwrite").save()
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    whole = [line for line in final.splitlines() if "Exchange hashpartitioning(symbol" in line and "_range" in line and "Reused" not in line]
+    assert len(whole) == 1 and "ReusedExchange" in final
+
+
+def test_global_statistics_build_without_a_job(spark):
+    from rillet.operators.stats import max_normalize, with_global_stats
+    df = spark.createDataFrame([(1, 2.0), (2, 8.0), (3, None)], "i int, x double")
+    out, jobs = _jobs_of(spark, lambda: max_normalize(df, "x", "share"))
+    assert jobs == 0 and sorted(map(tuple, out.select("i", "share").collect())) == [(1, 25.0), (2, 100.0), (3, 0.0)]
+    two = with_global_stats(df, {"lo": F.min("x"), "n": F.count("*")}).select("i", "lo", "n").collect()
+    assert sorted(map(tuple, two)) == [(1, 2.0, 3), (2, 2.0, 3), (3, 2.0, 3)]
+    assert "NestedLoop" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_quantiles_take_two_passes(spark):
+    """One action for the sketches and one for the exact counts, whatever the ties; brackets of many rows add rounds only."""
+    from rillet.operators import stats
+    rng = np.random.default_rng(4)
+    x = np.where(rng.uniform(size=20000) < 0.4, 3.0, rng.normal(size=20000))
+    path = f"{checkpoint_dir(spark)}/quantiles-{uuid.uuid4().hex}"
+    spark.createDataFrame([(float(v),) for v in x], "x double").repartition(4).write.parquet(path)
+    df, qs = spark.read.parquet(path), [0.0, 0.1, 0.5, 0.75, 0.999, 1.0]
+    frame, jobs = _jobs_of(spark, lambda: exact_quantiles(df, "x", qs, list("abcdef")))
+    got = list(frame.first())
+    # An action is a job for its map side and one for its result.
+    assert got == list(np.quantile(x, qs)) and jobs <= 4
+    for size in (4, 64):
+        old, stats.BRACKET = stats.BRACKET, size
+        try:
+            assert list(exact_quantiles(df, "x", qs, list("abcdef")).first()) == got
+        finally:
+            stats.BRACKET = old
+
+
+def _rows_read(df):
+    """Rows that the scans of an executed frame gave out."""
+    df.collect()
+    found, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+            continue
+        if node.nodeName().endswith("QueryStage"):
+            todo.append(node.plan())
+            continue
+        if node.nodeName().startswith("Scan"):
+            found += node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        todo += [children.apply(k) for k in range(children.size())]
+    return found
+
+
+def test_tag_index_equals_the_scan(spark, tmp_path):
+    rng = random.Random(12)
+    rows = [(rng.randrange(-70000, 200000) if k % 9 else None, [t for t in ("a", "b", "c", None) if rng.random() < 0.5]) for k in range(3000)]
+    rows += [(i, ["a", "b", "a"]) for i in (0, 1, -1, 32767, 32768, 32769, 65536, 65537, -32768, 1 << 40)] + [(5, None), (6, [])]
+    df = spark.createDataFrame(rows, "id long, tags array<string>").repartition(4)
+    path = str(tmp_path / "index")
+    lookup.write_tag_index(df, path, "id", "tags")
+    index = spark.read.parquet(path)
+    assert index.count() == index.select("tag", "bucket").distinct().count()
+    by_id = {}
+    for i, t in rows:
+        by_id.setdefault(i, set()).update(t or [])
+    by_id.pop(None)
+    for wanted in (["a"], ["a", "b"], ["b", "b", "c"], ["a", "b", "c"], ["a", "zz"]):
+        got = [r["id"] for r in lookup.ids_with_all(index, wanted).collect()]
+        # An id on several rows has the tags of all of them.
+        assert sorted(got) == sorted(i for i, t in by_id.items() if set(wanted) <= t)
+    sets = lookup.ids_by_set(index, {"x": ["a"], "y": ["b", "c"]}).groupBy("name").count().collect()
+    assert {r["name"]: r["count"] for r in sets} == {"x": sum("a" in t for t in by_id.values()), "y": sum({"b", "c"} <= t for t in by_id.values())}
+    with pytest.raises(ValueError):
+        lookup.ids_with_all(index, [])
+
+
+def test_a_late_page_reads_few_rows(spark, tmp_path):
+    rng = random.Random(3)
+    vals = [rng.randrange(500) for _ in range(60000)]  # many ties
+    df = spark.createDataFrame([(v, k) for k, v in enumerate(vals)], "v int, k int").repartition(6)
+    path = str(tmp_path / "pages")
+    lookup.write_pages(df, path, ["v"])
+    order = sorted(vals)
+    seen = set()
+    for offset in (0, 20, 41230, 59995):
+        page = lookup.read_page(spark, path, offset, 20)
+        got = page.collect()
+        assert [r["v"] for r in got] == order[offset:offset + 20] and [r["row_no"] for r in got] == list(range(offset + 1, min(60000, offset + 20) + 1))
+        assert not seen & {r["k"] for r in got}
+        seen |= {r["k"] for r in got}
+        assert _rows_read(page) <= 4 * lookup.PAGE_ROWS
+    assert lookup.read_page(spark, path, 60000, 20).count() == 0
+
+
+def test_a_lookup_by_key_and_time_skips_row_groups(spark, tmp_path):
+    df = spark.range(40000).selectExpr("concat('s', id % 400 * 7) AS symbol", "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0,0,0,0,0,CAST(id AS INT)) AS ts", "id AS v")
+    path = str(tmp_path / "series")
+    lookup.write_series(df, path, "symbol", "ts", files=8)
+    table = spark.read.parquet(path)
+    one = table.filter((F.col("symbol") == "s1400") & F.col("ts").between(F.lit("2024-01-05").cast("timestamp_ntz"), F.lit("2024-01-09").cast("timestamp_ntz")))
+    assert one.count() == df.filter("symbol = 's1400' AND ts BETWEEN timestamp_ntz'2024-01-05' AND timestamp_ntz'2024-01-09'").count()
+    assert _rows_read(one) <= 8 * lookup.PAGE_ROWS
+    # 's1' lies between the smallest and the largest symbol of every row group; only the Bloom filters rule it out.
+    assert _rows_read(table.filter(F.col("symbol") == "s1")) == 0
+    assert _rows_read(table.filter(F.col("symbol") == "s7")) > 0
