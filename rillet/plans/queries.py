@@ -16,6 +16,7 @@ from rillet import sinks
 from rillet.functions import columns as fc
 from rillet.operators import aggregate as agg
 from rillet.operators import combine as cmb
+from rillet.operators import lookup
 from rillet.operators import ranking
 from rillet.plans import creatures as crf
 from rillet.plans import cross_validation as cvf
@@ -34,6 +35,7 @@ from rillet.plans.indicators import flow_indicators
 from rillet.session import checkpoint_dir, materialized
 from rillet.sources import files as fs
 from rillet.sources import html as htm
+from rillet.sources import json_array as ja
 from rillet.sources import reshape as rs
 
 
@@ -548,13 +550,51 @@ def q_json_children_of(spark, sf):
     return rs.child_rows(docs, "pipeline_id", "stages", parent_id="p-2")
 
 
-@register("named_csv", "SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, CAST(n_regionkey AS BIGINT) AS n_regionkey FROM nation")
+@register("named_csv", """
+SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders WHERE o_orderstatus = 'F'""")
 def q_named_csv(spark, sf):
-    """One named file of a folder with several, types inferred."""
-    path = _landed(spark, "nation_csv")
-    sinks.replace_files(fx.table(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey").coalesce(1), path, fmt="csv")
-    named = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path).select("path").first()["path"]
-    return fs.read_csv(spark, named)
+    """One data set, by name, of a folder with a CSV data set for each order status; types inferred."""
+    path = _landed(spark, "orders_by_status")
+    orders = fx.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "o_orderstatus")
+    sinks.replace_files(orders, path, fmt="csv", partition_by=["o_orderstatus"])
+    return fs.read_csv(spark, f"{path}/o_orderstatus=F")
+
+
+@register("scan_csv_split", "SELECT l_orderkey, l_partkey, l_linenumber, l_quantity, l_returnflag, l_shipdate FROM lineitem")
+def q_scan_csv_split(spark, sf):
+    """CSV files without line breaks in values, each of them split between tasks."""
+    path = _landed(spark, "lineitem_csv")
+    lines = fx.table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate")
+    sinks.replace_files(lines, path, fmt="csv")
+    return fs.read_csv(spark, path, lines.schema, multi_line=False)
+
+
+@register("several_sinks", """
+SELECT o_orderstatus AS dataset, o_orderkey, o_custkey, o_orderpriority, TIMESTAMP '2025-01-01 00:00:00' AS processed_at FROM orders""")
+def q_several_sinks(spark, sf):
+    """One stamped export per order status; a status without orders has no export, and an export that
+    fails does not stop the others. The exports that were made are read back under their names."""
+    path, orders = _landed(spark, "orders_exports"), fx.table(spark, sf, "orders")
+    stamped = sinks.with_processing_time(orders.select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus"), as_of=fx.AS_OF)
+    frames = {k: stamped.filter(F.col("o_orderstatus") == k).drop("o_orderstatus") for k in ("F", "O", "P", "none")}
+    frames["broken"] = stamped.select("o_orderkey", F.raise_error(F.lit("no such rate")).alias("rate"))
+    try:
+        sinks.write_many(frames, lambda name, df: sinks.replace_files(df, f"{path}/{name}"))
+        raise RuntimeError("a broken export went through")
+    except sinks.SinksFailed as e:
+        if set(e.failed) != {"broken"}:
+            raise
+        return fs.read_paths_tagged(spark, {name: f"{path}/{name}" for name in e.done}, tag="dataset")
+
+
+@register("replaced_table", """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal + 1000 AS c_acctbal FROM customer WHERE c_acctbal + 1000 > 0""")
+def q_replaced_table(spark, sf):
+    """A catalog table replaced by rows made from itself: written beside it, compared by content, then renamed."""
+    name = f"rillet_customers_{uuid.uuid4().hex[:8]}"
+    sinks.replace_table(fx.table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal"), name)
+    sinks.replace_table(spark.table(name).withColumn("c_acctbal", F.col("c_acctbal") + 1000).filter("c_acctbal > 0"), name)
+    return spark.table(name)
 
 
 def _parents(spark, sf):
@@ -581,6 +621,49 @@ def q_tags_by_source(spark, sf):
     return prf.filter_tags(_parents(spark, sf), ["Web Scraping", "Transform"]).select("parent_id", "source_type")
 
 
+TAG_SETS = {"open branches": ["Branching", "Transform"], "scraped": ["Web Scraping"], "all of it": ["API", "Branching", "Transform", "Database"]}
+
+
+@register("tags_by_index", lambda: sql.with_ctes(sql.PARENTS, """
+SELECT 'open branches' AS name, parent_id FROM par WHERE has_special AND has_open
+UNION ALL SELECT 'scraped', parent_id FROM par WHERE source_type = 'web_scraping'
+UNION ALL SELECT 'all of it', parent_id FROM par WHERE source_type = 'api' AND has_special AND has_open AND has_filled"""))
+def q_tags_by_index(spark, sf):
+    """Several tag sets answered by one index of tag bitmaps."""
+    path = _landed(spark, "tag_index")
+    lookup.write_tag_index(prf.with_tags(_parents(spark, sf)), path, "parent_id", "tags")
+    return lookup.ids_by_set(spark.read.parquet(path), TAG_SETS).withColumnRenamed("id", "parent_id")
+
+
+_LINE_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+
+
+@register("page_by_directory", f"""
+SELECT row_no, l_shipdate, l_orderkey, l_linenumber, l_extendedprice FROM (
+  SELECT *, row_number() OVER (ORDER BY {', '.join(_LINE_ORDER)}) AS row_no FROM lineitem) t
+WHERE row_no BETWEEN 2001 AND 2025 OR row_no > (SELECT count(*) FROM lineitem) - 25""")
+def q_page_by_directory(spark, sf):
+    """An early and the last page of 25 rows of one ordered listing of all lines, from one written directory."""
+    path = _landed(spark, "line_pages")
+    lines = fx.table(spark, sf, "lineitem")
+    lookup.write_pages(lines, path, _LINE_ORDER)
+    total = lines.count()
+    pages = lookup.read_page(spark, path, 2000, 25).unionByName(lookup.read_page(spark, path, total - 25, 25))
+    return pages.select(F.col("row_no"), "l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice")
+
+
+@register("series_lookup", """
+SELECT l_suppkey AS symbol, l_shipdate AS timestamp, CAST(sum(l_quantity) AS BIGINT) AS volume FROM lineitem
+WHERE l_suppkey % 10 = 3 AND l_shipdate BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1998-12-31' GROUP BY ALL""")
+def q_series_lookup(spark, sf):
+    """Daily bars of some symbols in a range of days, from a table laid out for such lookups."""
+    path = _landed(spark, "bars_series")
+    lookup.write_series(fx.bars(spark, sf).withColumn("year", F.year("timestamp")), path, "symbol", "timestamp", ["year"])
+    days = [F.lit(d).cast("timestamp_ntz") for d in ("1996-01-01", "1998-12-31")]
+    wanted = spark.read.parquet(path).filter(F.col("year").between(1996, 1998) & F.col("timestamp").between(*days))
+    return wanted.filter(F.pmod("symbol", F.lit(10)) == 3).select("symbol", "timestamp", "volume")
+
+
 @register("ordinal_sort", lambda: sql.with_ctes(sql.PARENTS, """
 SELECT parent_id, complexity, CASE complexity WHEN 'beginner' THEN 0 WHEN 'intermediate' THEN 1
   WHEN 'advanced' THEN 2 ELSE 3 END AS complexity_rank FROM par ORDER BY complexity_rank, parent_id"""))
@@ -808,6 +891,31 @@ def q_export_read_back(spark, sf):
     return df.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
 
 
+@register("export_array_read_back", """
+SELECT o_orderkey, o_custkey, o_orderstatus, CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS DOUBLE) AS o_totalprice,
+       strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS o_orderdate
+FROM orders""")
+def q_export_array_read_back(spark, sf):
+    """Indented JSON arrays whose objects hold an object each, written, read back and flattened."""
+    o = fx.table(spark, sf, "orders").select("o_orderkey", F.struct("o_custkey", "o_orderstatus").alias("customer"),
+                                            F.col("o_totalprice").cast("decimal(12,2)").alias("o_totalprice"), "o_orderdate")
+    path = _landed(spark, "orders_array")
+    written = ja.write_json_array(sinks.export_shape(o, ["o_orderkey"]), path, ["o_orderkey"], rows_per_file=1 << 13)
+    df, n = fs.read_exported_json(spark, {"orders": path}, "orders")
+    if n != written:
+        raise RuntimeError("export read-back count differs")
+    return df.select("o_orderkey", "customer.o_custkey", "customer.o_orderstatus", "o_totalprice", "o_orderdate")
+
+
+@register("export_array_one_line", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def q_export_array_one_line(spark, sf):
+    """JSON arrays without line breaks, of whole texts with quotes, braces and escapes, written and read back."""
+    path = _landed(spark, "documents_array")
+    docs = fx.table(spark, sf, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    ja.write_json_array(docs, path, ["doc_id"], pretty=False, rows_per_file=1 << 12)
+    return ja.read_json_array(spark, path, docs.schema)
+
+
 @register("paged_source", "SELECT page_id, url, page_id % 7 + 1 AS page_no FROM pages")
 def q_paged_source(spark, sf):
     path = _landed(spark, "pages_paged")

@@ -224,3 +224,91 @@ def test_flows_run_on_landed_files(spark, tmp_path):
     assert got[0]["power_score"] == 50.0 and got[0]["type_primary"] == "normal"
     with pytest.raises(ValueError):
         run_flow(spark, "flow_posts", {})
+
+
+def test_content_of_rows_ignores_order_and_sees_every_value(spark):
+    rows = [(1, "a", 1.5, {"k": 1}), (1, "a", 1.5, {"k": 1}), (2, None, None, None), (3, "", 0.0, {})]
+    schema = "i long, s string, d double, m map<string,int>"
+
+    def of(data):
+        df = spark.createDataFrame(data, schema)
+        return tuple(df.repartition(3).agg(*sinks.content(df.schema)).first())
+    base = of(rows)
+    assert base == of(rows[::-1])
+    for k, changed in ((0, (1, "b", 1.5, {"k": 1})), (0, (1, "a", 1.5, {"k": 2})), (2, (2, "", None, None)), (3, (3, None, 0.0, {})), (2, (2, None, 0.0, None))):
+        other = list(rows)
+        other[k] = changed
+        assert of(other) != base
+    assert of([]) == (0, 0) and of(rows[1:]) != base
+
+
+def test_a_swapped_value_is_caught_and_the_old_data_stay(spark, tmp_path, monkeypatch):
+    """Same count, one value exchanged between two rows behind the writer's back."""
+    path = str(tmp_path / "t")
+    sinks.replace_files(spark.range(3).selectExpr("id", "id * 2 AS v"), path)
+    plain = sinks._verify
+
+    def tampered(target, obs, schema, back, *rest):
+        plain(target, obs, schema, back.withColumn("v", F.when(F.col("id") == 1, 40).when(F.col("id") == 2, 20).otherwise(F.col("v"))))
+    monkeypatch.setattr(sinks, "_verify", tampered)
+    with pytest.raises(sinks.ContentMismatch):
+        sinks.replace_files(spark.range(3).selectExpr("id", "id * 20 AS v"), path)
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(0, 0), (1, 2), (2, 4)]
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "csv", "json"])
+def test_every_format_gives_back_what_it_was_given(spark, tmp_path, fmt):
+    df = spark.sql("""SELECT * FROM VALUES
+        (1L, ' a, "b" ', 0.1D, TIMESTAMP_NTZ '2024-01-01 00:00:00.123456', DATE '2024-02-29', 1.10BD, true),
+        (2L, 'line\\nbreak', 1e300D, TIMESTAMP_NTZ '1969-12-31 23:59:59', NULL, NULL, false),
+        (3L, NULL, NULL, NULL, DATE '1900-01-01', -0.01BD, NULL), (3L, '', -0.0D, NULL, NULL, 5BD, true) AS t(i, s, d, ts, day, amount, ok)""")
+    assert sinks.replace_files(df, str(tmp_path / "t"), fmt=fmt) == 4
+    assert sinks.replace_files(df, str(tmp_path / "p"), fmt=fmt, partition_by=["i"], sort_within=["s"]) == 4
+
+
+def test_a_failing_write_leaves_the_old_table(spark):
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    try:
+        assert sinks.replace_table(spark.range(5), name) == 5
+        with pytest.raises(Exception, match="no such rate"):
+            sinks.replace_table(spark.range(9).select(F.when(F.col("id") < 8, F.col("id")).otherwise(F.raise_error(F.lit("no such rate"))).alias("id")), name)
+        assert spark.table(name).count() == 5
+        assert sinks.replace_table(spark.table(name).selectExpr("id + 1 AS id", "'x' AS more"), name) == 5
+        assert sorted(r["id"] for r in spark.table(name).collect()) == [1, 2, 3, 4, 5]
+        left = [t.name for t in spark.catalog.listTables() if t.name.startswith(name)]
+        assert left == [name]
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_a_failing_rename_gives_the_old_table_its_name_back(spark, monkeypatch):
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    plain = type(spark).sql
+    try:
+        sinks.replace_table(spark.range(5), name)
+
+        def failing(self, text, *args, **kwargs):
+            if text.startswith(f"ALTER TABLE {name}_new"):
+                raise RuntimeError("rename failed")
+            return plain(self, text, *args, **kwargs)
+        monkeypatch.setattr(type(spark), "sql", failing)
+        with pytest.raises(RuntimeError, match="rename failed"):
+            sinks.replace_table(spark.range(7), name)
+        assert spark.table(name).count() == 5 and [t.name for t in spark.catalog.listTables() if t.name.startswith(name)] == [name]
+    finally:
+        monkeypatch.undo()
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_csv_without_line_breaks_is_split_between_tasks(spark, tmp_path):
+    path = tmp_path / "a.csv"
+    path.write_text("id,t\n" + "".join(f'{i},"x, ""{i}"""\n' for i in range(3000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        one, many = (fs.read_csv(spark, str(path), "id long, t string", multi_line=m) for m in (True, False))
+        assert one.select(F.spark_partition_id()).distinct().count() == 1 and many.select(F.spark_partition_id()).distinct().count() > 3
+        assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect())) == [(i, f'x, "{i}"') for i in range(3000)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
