@@ -24,7 +24,7 @@ from rillet.functions.columns import float_div
 Stage = Callable[[WindowSpec], dict[str, Column]]
 
 #: Ranges of all keys together are at most about so many, whatever the input, and so many of one key.
-MOST_RANGES, MOST_OF_KEY = 1 << 16, 1 << 12
+MOST_RANGES, MOST_OF_KEY = 1 << 16, 1 << 10
 
 
 def _place(df: DataFrame, column: str) -> Column:
@@ -63,8 +63,8 @@ def with_ranges(df: DataFrame, key: str, order: str, rows: int, name: str = "_ra
     hot = counts.withColumn("_parts", F.least(F.ceil(F.col("_n") / each), F.lit(MOST_OF_KEY)).cast("int")).filter("_parts > 1")
     # At most MOST_RANGES keys have more rows than a MOST_RANGES-th of all.
     mine = df.select(F.col(f"`{key}`").alias("_k"), _place(df, order).alias("_x")).join(F.broadcast(hot), F.col("_k").eqNullSafe(F.col("_key")))
-    shares = [k / MOST_OF_KEY for k in range(1, MOST_OF_KEY)]
-    cuts = mine.groupBy("_key").agg(F.percentile_approx("_x", shares).alias("_q"), F.first("_parts").alias("_parts"))
+    shares = ", ".join(f"{k / MOST_OF_KEY}D" for k in range(1, MOST_OF_KEY))
+    cuts = mine.groupBy("_key").agg(F.expr(f"percentile_approx(_x, array({shares}))").alias("_q"), F.first("_parts").alias("_parts"))
     # Every so many-th quantile, so that a key gets its number of ranges.
     wanted = F.transform(F.sequence(F.lit(1), F.col("_parts") - 1), lambda k: F.get("_q", F.floor(k * MOST_OF_KEY / F.col("_parts")).cast("int") - 1))
     bounds = F.broadcast(cuts.select("_key", F.array_distinct(wanted).alias("_bounds")))
