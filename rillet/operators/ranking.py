@@ -18,23 +18,11 @@ from rillet.session import materialized
 _LOW_BITS = (1 << 33) - 1  # monotonically_increasing_id: record number within a partition
 
 
-def _bytes(text: str) -> int:
-    t = text.strip().lower().rstrip("b")
-    mult = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}.get(t[-1:], 1)
-    return int(float(t[:-1] if t[-1:] in "kmgt" else t) * mult)
-
-
 def _partitions(df: DataFrame, n: int | None) -> int:
-    """Range partitions for a numbering: the plan's size estimate divided by the advisory
-    partition size, and at least the default parallelism (an explicit count is not
-    coalesced by AQE, so it is sized up front)."""
-    if n:
-        return n
+    """Range partitions for a numbering: those asked for, else the session's shuffle partitions (which
+    ``cluster_conf`` sizes by the input; AQE does not coalesce a range count), at least the default parallelism."""
     spark = df.sparkSession
-    target = _bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB") or "64MB")
-    est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    # Beyond a million partitions the estimate is a product of unknown sizes.
-    return int(max(spark.sparkContext.defaultParallelism, min(-(-est // max(target, 1)), 1_000_000)))
+    return n or max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def with_global_index(df: DataFrame, order: Sequence[Column | str], name: str = "_rn",
