@@ -73,6 +73,12 @@ def tidied(make: Callable[..., Iterator[pa.RecordBatch]], *args: Any, **kwargs:
     return lambda batches: tidy(make(batches, *args, **kwargs))
 
 
+def rows_kept(docs: DataFrame, keep: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """The rows that ``keep`` gives back, all columns; they go by their place, so they may have any names."""
+    plain = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+    return plain.mapInArrow(keep, plain.schema).toDF(*docs.columns)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

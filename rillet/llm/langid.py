@@ -11,14 +11,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache, partial
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillet.llm.common import landed, learning_rows, stable_share
+from rillet.llm.common import held, landed, learning_rows, rows_kept, stable_share, tidied
 
 #: Rows to learn a language from, about so many at most.
 SAMPLE_PER_LANGUAGE = 2_000
@@ -133,16 +133,15 @@ def learn_filters(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, id_c
     languages, sample = _sample(docs, per_language, id_col, text_col, lang_col)
     if sample is None:
         return (), []
-    counts = landed(sample.mapInArrow(_count_grams, "lang int, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "trigrams")
+    counts = landed(sample.mapInArrow(tidied(_count_grams), "lang int, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "trigrams")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     # At most 1 / SHARE trigrams of each language.
     grams = counts.join(F.broadcast(totals), "lang").filter(F.col("n") >= SHARE * F.col("total")).select("lang", "gram").collect()
     return languages, sorted((r["lang"], r["gram"]) for r in grams)
 
 
-@lru_cache(maxsize=2)
 def _filters(languages: tuple, grams: bytes) -> Filters:
-    return Filters(languages, [tuple(x) for x in np.frombuffer(grams, np.int64).reshape(-1, 2).tolist()])
+    return held(("languages", languages, grams), lambda: Filters(languages, [tuple(x) for x in np.frombuffer(grams, np.int64).reshape(-1, 2).tolist()]))
 
 
 def _predict(batches: Iterator[pa.RecordBatch], languages: tuple, grams: bytes) -> Iterator[pa.RecordBatch]:
@@ -158,7 +157,7 @@ def identify_languages(docs: DataFrame, model: tuple, id_col: str = "doc_id", te
     letter are ``und`` with score 0; repeated rows get equal results; an empty table gives no rows."""
     languages, grams = model
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(partial(_predict, languages=languages, grams=np.array(grams, np.int64).tobytes()), "doc_id long, lang_pred string, score double")
+    return rows.mapInArrow(tidied(_predict, languages=languages, grams=np.array(grams, np.int64).tobytes()), "doc_id long, lang_pred string, score double")
 
 
 def _coverages(batches: Iterator[pa.RecordBatch], languages: tuple, grams: bytes) -> Iterator[pa.RecordBatch]:
@@ -188,7 +187,7 @@ def learn_floors(docs: DataFrame, model: tuple, per_language: int = SAMPLE_PER_L
         return (0.0,) * len(languages)
     if found != languages:
         raise ValueError("the model was learned from other languages")
-    shares = sample.mapInArrow(partial(_coverages, languages=languages, grams=np.array(grams, np.int64).tobytes()), "lang int, own boolean, share double")
+    shares = sample.mapInArrow(tidied(_coverages, languages=languages, grams=np.array(grams, np.int64).tobytes()), "lang int, own boolean, share double")
     got = {r["lang"]: r for r in shares.groupBy("lang").agg(
         F.percentile_approx(F.when(F.col("own"), F.col("share")), 0.01).alias("own"),
         F.percentile_approx(F.when(~F.col("own"), F.col("share")), 0.99).alias("other")).collect()}
@@ -219,6 +218,6 @@ def keep_identified(docs: DataFrame, model: tuple, floors: tuple[float, ...] | N
     """The rows of ``docs``, all columns, whose text is in a learned language: the language with the most hits covers
     at least its floor of the text's trigrams (``learn_floors``; without floors one hit is enough)."""
     languages, grams = model
-    keep = partial(_keep, at=docs.columns.index(text_col), languages=languages, grams=np.array(grams, np.int64).tobytes(),
+    keep = tidied(_keep, at=docs.columns.index(text_col), languages=languages, grams=np.array(grams, np.int64).tobytes(),
                    floors=(0.0,) * len(languages) if floors is None else floors)
-    return docs.mapInArrow(keep, docs.schema)
+    return rows_kept(docs, keep)

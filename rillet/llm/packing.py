@@ -13,7 +13,6 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from rillet.llm.common import landed, numbered
+from rillet.llm.common import held, landed, numbered, tidied
 
 CAPACITY = 2048
 WIDTH = 8  # tokens in a length class
@@ -69,9 +68,8 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, _SPLIT(text.lower())))
 
 
-@lru_cache(maxsize=2)
 def _word_ids(content: str) -> WordIds:
-    return WordIds(content)
+    return held(("word ids", content), lambda: WordIds(content))
 
 
 _NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
@@ -99,7 +97,7 @@ def cut_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
         content = f.read()
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = ", ".join(f"{c} long" for c in _NAMES) + ", ids binary" * with_ids
-    return rows.mapInArrow(partial(_cut, content=content, with_ids=with_ids), schema)
+    return rows.mapInArrow(tidied(_cut, content=content, with_ids=with_ids), schema)
 
 
 def _best_pattern(sizes: np.ndarray, values: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:

@@ -13,7 +13,6 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache, partial
 
 import ahocorasick
 import numpy as np
@@ -21,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillet.llm.common import landed, learning_rows, stable_share
+from rillet.llm.common import held, landed, learning_rows, rows_kept, stable_share, tidied
 
 #: Labelled rows to learn from, about so many per class at most.
 SAMPLE_PER_CLASS = 8_000
@@ -101,10 +100,16 @@ class Lexicon:
                 spared.append((start, end))
             elif w > at.get(start, 0.0):
                 at[start] = w
-        for a, b in spared:
-            for place in [p for p in at if a <= p < b]:
-                del at[place]
-        return at
+        if not spared or not at:
+            return at
+        spared.sort()
+        kept, k, until = {}, 0, -1
+        for place in sorted(at):
+            while k < len(spared) and spared[k][0] <= place:
+                until, k = max(until, spared[k][1]), k + 1
+            if place >= until:
+                kept[place] = at[place]
+        return kept
 
     def features(self, words: list[str]) -> tuple[float, float]:
         """Logarithms of the weight of the distinct words that hit, and of its share of all distinct words."""
@@ -182,7 +187,7 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PE
                     .select("text", F.col("_toxic").alias("toxic")), "toxicity-sample")
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}  # two rows
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
-    counted = (sample.mapInArrow(_count_terms, "term string, toxic long, clean long")
+    counted = (sample.mapInArrow(tidied(_count_terms), "term string, toxic long, clean long")
                .groupBy("term").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")))
     # A term is taken by the lower end of its log-odds, two standard errors down, and weighs the log-odds.
     odds = F.log((F.col("t") + 0.5) / (n_toxic + 1)) - F.log((F.col("c") + 0.5) / (n_clean + 1))
@@ -190,18 +195,17 @@ def learn_lexicon(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PE
     top = (counted.filter("t >= 4").withColumn("w", odds).filter(F.col("w") - doubt > 1.2)
            .orderBy(F.desc("w"), "term").limit(TERMS).select("term", "w").collect())
     terms = {r["term"]: float(r["w"]) for r in top}
-    around = (sample.mapInArrow(partial(_pairs, terms=terms), "term string, toxic long, clean long")
+    around = (sample.mapInArrow(tidied(_pairs, terms=terms), "term string, toxic long, clean long")
               .groupBy("term").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")))
     spared = (around.filter((F.col("c") >= 3) & (F.col("c") / max(n_clean, 1) > 4 * F.col("t") / max(n_toxic, 1)))
               .orderBy(F.desc("c"), "term").limit(PHRASES).select("term").collect())
     phrases = [r["term"] for r in spared]
-    rows = sample.mapInArrow(partial(_measured, terms=terms, phrases=phrases), "toxic int, x double, y double").collect()  # the bounded sample, 3 numbers a row
+    rows = sample.mapInArrow(tidied(_measured, terms=terms, phrases=phrases), "toxic int, x double, y double").collect()  # the bounded sample, 3 numbers a row
     return terms, phrases, _curve(np.array([(r["x"], r["y"]) for r in rows]), np.array([r["toxic"] for r in rows], float))
 
 
-@lru_cache(maxsize=4)
 def _ready(terms: tuple, phrases: tuple, curve: tuple) -> Lexicon:
-    return Lexicon(dict(terms), list(phrases), curve)
+    return held(("lexicon", terms, phrases, curve), lambda: Lexicon(dict(terms), list(phrases), curve))
 
 
 def _score(batches: Iterator[pa.RecordBatch], terms: tuple, phrases: tuple, curve: tuple) -> Iterator[pa.RecordBatch]:
@@ -216,7 +220,7 @@ def score_toxicity(docs: DataFrame, model: tuple, id_col: str = "doc_id", text_c
     as texts without hits; repeated rows score alike; an empty table gives no rows."""
     terms, phrases, curve = model
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(partial(_score, terms=tuple(sorted(terms.items())), phrases=tuple(phrases), curve=curve), "doc_id long, score double")
+    return rows.mapInArrow(tidied(_score, terms=tuple(sorted(terms.items())), phrases=tuple(phrases), curve=curve), "doc_id long, score double")
 
 
 def _keep(batches: Iterator[pa.RecordBatch], at: int, terms: tuple, phrases: tuple, curve: tuple, threshold: float) -> Iterator[pa.RecordBatch]:
@@ -228,5 +232,5 @@ def _keep(batches: Iterator[pa.RecordBatch], at: int, terms: tuple, phrases: tup
 def drop_toxic(docs: DataFrame, model: tuple, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, all columns, that score under ``threshold``."""
     terms, phrases, curve = model
-    keep = partial(_keep, at=docs.columns.index(text_col), terms=tuple(sorted(terms.items())), phrases=tuple(phrases), curve=curve, threshold=threshold)
-    return docs.mapInArrow(keep, docs.schema)
+    keep = tidied(_keep, at=docs.columns.index(text_col), terms=tuple(sorted(terms.items())), phrases=tuple(phrases), curve=curve, threshold=threshold)
+    return rows_kept(docs, keep)
