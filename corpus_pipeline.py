@@ -15,14 +15,25 @@ from rillet.llm import langid, line_dedup, near_dedup, packing, toxicity
 from rillet.llm.common import landed
 
 
+#: Rows of whole texts that a Python worker gets at a time.
+ROWS_AT_A_TIME = 2000
+
+
+def _few_rows_at_a_time(spark: SparkSession) -> None:
+    """Bounds what the workers of a stage hold: by default a batch has 10000 rows, however long their texts are."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_AT_A_TIME)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Toxicity (5): documents that score 0.7 or more go."""
+    _few_rows_at_a_time(spark)
     source, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
     return toxicity.drop_toxic(docs, toxicity.learn_lexicon(source, labels))
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID (7): documents without letters, or in none of the learned languages, go."""
+    _few_rows_at_a_time(spark)
     source = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = langid.learn_filters(source)
     return langid.keep_identified(docs, model, langid.learn_floors(source, model))
@@ -35,11 +46,13 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """MinHash near-dedup (8): the document with the smallest id of each class stays."""
+    _few_rows_at_a_time(spark)
     return near_dedup.keep_first(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packing (6): every document's tokens in sequences of at most 2048."""
+    _few_rows_at_a_time(spark)
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
