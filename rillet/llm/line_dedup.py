@@ -1,6 +1,8 @@
 """Line dedup by a deletion-neighbourhood join: lines one word apart count as the same, the earliest stays.
 
-The unit of an edit is a word. A line emits hashed keys of all its variants with one
+The unit of an edit is a word; in scripts that are written without blanks it is a character.
+Every line that is not blank takes part: equal ones count as the same whatever their
+length, lines of 8 words or more also with one edit. A line emits hashed keys of all its variants with one
 word deleted; lines that share a variant are candidates, their edit distance is
 verified, and a line goes if an earlier one lies within the bound. Two kinds of keys
 make this exact without pairing all lines of a key:
@@ -24,51 +26,55 @@ import operator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillet.llm.common import SPACE, bit_table, landed, let, marked
+from rillet.llm.common import bit_table, landed, let, marked
 
-#: Shorter lines are left alone; lines from NEAR words on are also compared with one edit.
-LEAST_WORDS, NEAR_WORDS = 4, 8
-#: A character of a script that is written without blanks.
+#: Lines from so many words on are also compared with one edit.
+NEAR_WORDS = 8
+#: White space between words.
+_BLANKS = " \t\n\x0b\f\r"
+#: A character of a script that is written without blanks; all of them come after _LATE, which costs less to look for.
+_LATE = r"[\x{0E00}-\x{10FFFF}]"
 _UNSPACED = "[" + "".join(rf"\p{{Is{x}}}" for x in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")) + "]"
 
 
 def _split_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc_id, line_no (from 0), line."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
+    text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
 
 
-def _words(line: Column, characters: bool) -> Column:
-    """Hashes of a line's words; with ``characters``, those of scripts without blanks are words of their own."""
-    if characters:
-        unspaced = (F.octet_length(line) > F.char_length(line)) & line.rlike(_UNSPACED)
-        line = F.when(unspaced, F.regexp_replace(line, f"({_UNSPACED})", " $1 ")).otherwise(line)
-    return F.transform(F.array_remove(F.split(line, SPACE + "+"), ""), lambda x: F.xxhash64(x))
+def _lines(rows: DataFrame) -> DataFrame:
+    """doc_id, line_no, t (the line's words parted by single blanks), c (their count) of the lines that are not blank.
 
-
-def _lines(docs: DataFrame, id_col: str, text_col: str, every: bool) -> DataFrame:
-    """doc_id, line_no, w (hashes of the line's words) of lines long enough to be compared; with ``every``, of all but blank ones."""
-    # The condition reads the raw line, so it never repeats the hashing below.
-    blank = SPACE.strip("[]")
-    compared = f"[^{blank}]" if every else f"([^{blank}]+[{blank}]+){{{LEAST_WORDS - 1}}}[^{blank}]"
-    rows = _split_lines(docs, id_col, text_col).filter(F.col("line").rlike(compared))
-    return rows.select("doc_id", "line_no", _words(F.col("line"), every).alias("w"))
+    Characters of scripts without blanks are words of their own. Each step is a column, so that none is computed twice.
+    """
+    line, trimmed = F.col("line"), F.col("_trimmed")
+    unspaced = (F.octet_length(line) > F.char_length(line)) & line.rlike(_LATE) & line.rlike(_UNSPACED)
+    spaced = F.when(unspaced, F.regexp_replace(line, f"({_UNSPACED})", " $1 ")).otherwise(line)
+    lines = rows.filter(F.btrim(line, F.lit(_BLANKS)) != "").select("doc_id", "line_no", F.btrim(spaced, F.lit(_BLANKS)).alias("_trimmed"))
+    odd = functools.reduce(operator.or_, [F.contains(trimmed, F.lit(x)) for x in ("  ", *_BLANKS[1:])])
+    lines = lines.select("doc_id", "line_no", F.when(odd, F.regexp_replace(trimmed, f"[{_BLANKS}]+", " ")).otherwise(trimmed).alias("t"))
+    return lines.withColumn("c", F.octet_length("t") - F.octet_length(F.replace("t", F.lit(" "), F.lit(""))) + 1)
 
 
-def _identity(w: Column) -> list[Column]:
+def _identity(t: Column) -> list[Column]:
     """Two independent 64-bit hashes name a line."""
-    return [F.xxhash64(w).alias("h1"), F.xxhash64(F.lit(1), w).alias("h2")]
+    return [F.xxhash64(t).alias("h1"), F.xxhash64(F.lit(1), t).alias("h2")]
+
+
+def _word_hashes(t: Column) -> Column:
+    return F.transform(F.split(t, " "), lambda x: F.xxhash64(x))
 
 
-def _halves(w: Column) -> list[Column]:
+def _halves(t: Column, words: Column) -> list[Column]:
     """Keys of the first and last half, as a line of its length and as the longer of two."""
     out = []
     for shorter in (0, 1):
-        n = F.size(w) - shorter
+        n = words - shorter
         k = F.floor(n / 2).cast("int")
-        out.append(F.xxhash64(F.lit(2), n, F.slice(w, F.lit(1), k)))
-        out.append(F.xxhash64(F.lit(3), n, F.slice(w, F.size(w) - (n - k) + 1, n - k)))
-    return [F.when(F.size(w) >= NEAR_WORDS, c) for c in out]
+        out.append(F.xxhash64(F.lit(2), n, F.call_function("substring_index", t, F.lit(" "), k)))
+        out.append(F.xxhash64(F.lit(3), n, F.call_function("substring_index", t, F.lit(" "), k - n)))
+    return [F.when(words >= NEAR_WORDS, c) for c in out]
 
 
 #: Words whose hashes make one link of the chain below.
@@ -122,11 +128,12 @@ def _edits_within_one(a: Column, b: Column) -> Column:
     return (F.abs(F.size(a) - F.size(b)) <= 1) & (run >= F.greatest(F.size(a), F.size(b)) - 1)
 
 
-def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", every: bool = False) -> DataFrame:
+def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, line_no, near of every line to drop: an earlier line, by (id, line number), is equal or
-    (``near``) one word apart. Lines under 4 words are never dropped, lines under 8 only as equal ones. With ``every``,
-    short lines are dropped as equal ones too, and a character of a script without blanks is a word."""
-    seen = landed(_lines(docs, id_col, text_col, every).select("doc_id", "line_no", *_identity(F.col("w")), *[k.alias(f"k{i}") for i, k in enumerate(_halves(F.col("w")))]), "lines")
+    (``near``) one word apart. Blank lines are never dropped, lines under 8 words only as equal ones."""
+    t = F.col("t")
+    seen = landed(_lines(_split_lines(docs, id_col, text_col)).select(
+        "doc_id", "line_no", *_identity(t), *[k.alias(f"k{i}") for i, k in enumerate(_halves(t, F.col("c")))]), "lines")
     lines = landed(seen.groupBy("h1", "h2").agg(F.min(_place(F.col("doc_id"), F.col("line_no"))).alias("first"), F.count("*").alias("n"),
                                                 *[F.max(f"k{i}").alias(f"k{i}") for i in range(4)]), "distinct-lines")
     keys = lines.select(F.explode(F.array("k0", "k1", "k2", "k3")).alias("key")).filter("key IS NOT NULL")
@@ -138,9 +145,9 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     places = wanted.select(((F.col("first") - line_no) / F.lit(1 << 31).cast("decimal(10,0)")).cast("long").alias("doc_id"), line_no.cast("int").alias("line_no"))
     in_docs = bit_table(places.select(F.xxhash64("doc_id").alias("key"))).scalar()
     in_places = bit_table(places.select(F.xxhash64("doc_id", "line_no").alias("key"))).scalar()
-    again = _split_lines(docs.filter(marked(in_docs, F.xxhash64(F.col(id_col).cast("long")))), id_col, text_col)
-    again = again.filter(marked(in_places, F.xxhash64("doc_id", "line_no"))).select(_words(F.col("line"), every).alias("w"))
-    near = again.select(*_identity(F.col("w")), "w").groupBy("h1", "h2").agg(F.first("w").alias("w"))
+    again = _split_lines(docs.filter(marked(in_docs, F.xxhash64(F.col(f"`{id_col}`").cast("long")))), id_col, text_col)
+    again = _lines(again.filter(marked(in_places, F.xxhash64("doc_id", "line_no"))))
+    near = again.select(*_identity(F.col("t")), _word_hashes(F.col("t")).alias("w")).groupBy("h1", "h2").agg(F.first("w").alias("w"))
     # From here on a line goes by its first place.
     near = landed(near.join(wanted, ["h1", "h2"]).select("first", "w", _split_keys(F.col("w")).alias("k")).select("first", "w", "k.*"), "near-lines")
     # Substitution: each line of a key against the earliest.
@@ -161,8 +168,20 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def _kept(text: Column, dropped: Column) -> Column:
-    lines = F.split(text, "\n")
-    return F.array_join(F.filter(lines, lambda _, i: ~F.array_contains(dropped, i)), "\n")
+    """The text without the lines of the given numbers: what lies between them, one slice each."""
+    def between(x: Column) -> Column:
+        at, lines = x["at"], x["lines"]
+        return F.flatten(F.transform(F.sequence(F.lit(1), F.size(at) - 1), lambda k: F.slice(lines, F.get(at, k - 1) + 2, F.get(at, k) - F.get(at, k - 1) - 1)))
+
+    def bounds(lines: Column) -> Column:
+        return F.struct(lines.alias("lines"), F.concat(F.array(F.lit(-1)), F.sort_array(dropped), F.array(F.size(lines))).alias("at"))
+    return F.array_join(let(let(F.split(text, "\n"), bounds), between), "\n")
+
+
+def _dropped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, lines, near: numbers of a document's own lines to drop, and how many of them are near ones."""
+    found = repeated_lines(docs.filter(F.col(f"`{id_col}`").isNotNull()), id_col, text_col)
+    return found.groupBy("doc_id").agg(F.collect_set("line_no").alias("lines"), F.count_if("near").alias("near"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -174,24 +193,22 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     gives no rows. A line never meets more than its key's earliest line, so a hot line,
     key or source is counted before it is shuffled and never gathered in one task.
     """
-    dropped = (repeated_lines(docs.filter(F.col(id_col).isNotNull()), id_col, text_col).groupBy("doc_id")
-               .agg(F.collect_set("line_no").alias("_lines"), F.count_if("near").alias("_near")))  # a document's own lines
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    gone = F.coalesce(F.size("_lines"), F.lit(0))
-    return (rows.join(dropped, "doc_id", "left")
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    gone, near = F.coalesce(F.size("lines"), F.lit(0)), F.coalesce("near", F.lit(0))
+    return (rows.join(_dropped(docs, id_col, text_col), "doc_id", "left")
             .select("doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("long").alias("n_lines"),
-                    (gone - F.coalesce("_near", F.lit(0))).cast("long").alias("n_equal"), F.coalesce("_near", F.lit(0)).cast("long").alias("n_near"),
-                    F.when(gone == 0, F.col("text")).otherwise(_kept(F.col("text"), F.col("_lines"))).alias("kept_text")))
+                    (gone - near).cast("long").alias("n_equal"), near.cast("long").alias("n_near"),
+                    F.when(gone == 0, F.col("text")).otherwise(_kept(F.col("text"), F.col("lines"))).alias("kept_text")))
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, with the text left after line dedup, in which every line that is
-    not blank takes part, whatever its word count. A document that loses lines goes if only blank ones are left:
-    any other may be the earliest copy, and the only one kept."""
-    dropped = (repeated_lines(docs.filter(F.col(id_col).isNotNull()), id_col, text_col, every=True).groupBy(F.col("doc_id").alias("_dropped_id"))
-               .agg(F.collect_set("line_no").alias("_dropped_lines")))
-    columns = docs.columns
-    kept = F.when(F.col("_dropped_lines").isNull(), F.col(text_col)).otherwise(_kept(F.col(text_col), F.col("_dropped_lines")))
-    rows = docs.join(dropped, F.col(id_col) == F.col("_dropped_id"), "left").withColumn("_kept_text", kept)
-    rows = rows.filter(F.col("_dropped_lines").isNull() | F.col("_kept_text").rlike(f"[^{SPACE.strip('[]')}]"))
-    return rows.select(*[F.col("_kept_text").alias(c) if c == text_col else F.col(c) for c in columns])
+    """The rows of ``docs``, all columns, with the text left after line dedup. A document that
+    loses lines goes if only blank ones are left: any other may be the earliest copy, and the
+    only one kept. Columns may have any names."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = rows.select("row", F.col("row")[id_col].cast("long").alias("doc_id"))
+    joined = rows.join(_dropped(docs, id_col, text_col), "doc_id", "left")
+    text = F.col("row")[text_col]
+    joined = joined.select("row", "lines", F.when(F.col("lines").isNull(), text).otherwise(_kept(text, F.col("lines"))).alias("kept"))
+    left = joined.filter(F.col("lines").isNull() | (F.btrim("kept", F.lit(_BLANKS)) != ""))
+    return left.select(*[(F.col("kept") if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns])

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 _BLANKS = r"[ \t\n\x0B\f\r]+"
 
+#: Characters of scripts that are written without blanks.
+_UNSPACED = r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]"
+
 LINE_DEDUP = rf"""
 WITH split AS (SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents),
-lines AS (SELECT doc_id, CAST(i AS INTEGER) AS line_no, list_filter(regexp_split_to_array(parts[i + 1], '{_BLANKS}'), lambda x: x <> '') AS w
+lines AS (SELECT doc_id, CAST(i AS INTEGER) AS line_no,
+                 list_filter(regexp_split_to_array(regexp_replace(parts[i + 1], '({_UNSPACED})', ' \1 ', 'g'), '{_BLANKS}'), lambda x: x <> '') AS w
           FROM (SELECT doc_id, parts, unnest(range(len(parts))) AS i FROM split) t),
-long AS (SELECT * FROM lines WHERE len(w) >= 4),
+long AS (SELECT * FROM lines WHERE len(w) >= 1),
 firsts AS (SELECT w, min({{'d': doc_id, 'n': line_no}}) AS first FROM long GROUP BY w),
 cut AS (SELECT w, first, len(w) AS n, i, w[1:i - 1] || w[i + 1:] AS rest
         FROM (SELECT w, first, unnest(range(1, len(w) + 1)) AS i FROM firsts WHERE len(w) >= 8) t),

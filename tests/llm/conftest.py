@@ -12,8 +12,9 @@ def make_docs(spark):
             r = r if isinstance(r, tuple) else (i, r)
             full.append((r[0], r[1], r[2] if len(r) > 2 else lang, "s", len(r[1] or "")))
         df = spark.createDataFrame(full, SCHEMA)
-        for c in ("n", "id", "key", "size", "shard", "slot", "score", "w", "line", "first", "component", "_bucket", "start", "length", "digest", "_toxic"):
-            df = df.selectExpr("*", f"'clash' AS {c}")
+        for c in ("n", "id", "key", "size", "shard", "slot", "score", "w", "line", "first", "component", "_bucket", "start", "length", "digest", "_toxic", "_dropped_lines", "_gone",
+                  "row", "kept", "lines", "near", "rank", "range", "taken", "word", "runs", "a.b"):
+            df = df.selectExpr("*", f"'clash' AS `{c}`")
         return df
     return make
 
