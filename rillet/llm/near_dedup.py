@@ -5,14 +5,17 @@ truncated logarithm (base 1.2) of the smallest of the set's exponential hash val
 registers merge by maximum, fit in a byte, and two registers agree with a probability
 that follows the resemblance of the sets. Of 1024 registers 130 make 26 bands of 5: a
 pair with resemblance 0.8 meets in no band with probability 0.00001. All 1024 estimate
-the resemblance of pairs that meet, to a standard error of 0.013; pairs 3.5 such errors
+the resemblance of pairs that meet, to a standard error of 0.013; pairs five such errors
 under the asked resemblance are not verified.
 
-Equal sets are one set from the start. In a bucket (equal band values) every set is
-compared with the bucket's first one; linked sets form components. In buckets that
+Equal sets are one set from the start. In a bucket (equal band values) every set is to be
+compared with the bucket's first one, but not with all its firsts at once: in a round each
+set meets the smallest of them, linked sets form components, and the next round compares
+only what then lies in different components. So a large group of near copies costs
+about a row a set, however many buckets its sets share. In buckets that
 still hold several components, the sets outside the first one's component are compared
-with all others by their registers, in blocks of bounded size inside the tasks; only
-pairs that are likely links leave a task, each from its first common band. So no bucket
+with all others, in blocks of bounded size inside the tasks: by their registers, and likely
+pairs by the sets themselves; only links leave a task, each from its first common band. So no bucket
 is expanded into pairs, none is gathered in a task, and every two sets that share a
 bucket end in one component or have been compared.
 """
@@ -22,15 +25,15 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
-from functools import lru_cache, partial
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from rillet.llm.common import bit_table, landed, marked
+from rillet.llm.common import bit_table, landed, marked, tidied
 
 BANDS, ROWS, REGISTERS = 26, 5, 1024
 #: SetSketch parameters: registers are floor(1 - log_BASE(x)) within 0 .. TOP, of x with rate RATE.
@@ -40,6 +43,12 @@ BASE, RATE, TOP = 1.2, 20.0, 255
 ERRORS, EXCESS = 5.0, 1.09
 #: Sets of one side of a block of comparisons.
 BLOCK = 1024
+#: Members that the sets of one side of a block have together, about.
+BLOCK_MEMBERS = 1 << 19
+#: Characters of the texts that are verified together against one text.
+TOGETHER = 1 << 22
+#: Firsts that a set meets in each round; one more round takes all the pairs that are then left.
+PARTNERS = (1, 4)
 
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -115,21 +124,23 @@ def estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, grid:
 
 def _sketch(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        n, digest, sketch = [], [], []
+        n, size, digest, sketch = [], [], [], []
         for t in b.column(1):
-            s = shingle_set(t.as_py(), width)
+            text = t.as_py()
+            s = shingle_set(text, width)
             n.append(len(s))
+            size.append(len(text or ""))
             digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
             r = registers(s) if len(s) else np.zeros(REGISTERS, np.uint8)
             sketch.append(r.tobytes())
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sketch, pa.binary())],
-                                         ["doc_id", "n", "digest", "sketch"])
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(size, pa.int64()), pa.array(digest, pa.binary()), pa.array(sketch, pa.binary())],
+                                         ["doc_id", "n", "size", "digest", "sketch"])
 
 
 def sketches(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n (set size), digest of the set, sketch (a byte per register)."""
+    """doc_id, n (set size), size (characters of the text), digest of the set, sketch (a byte per register)."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(partial(_sketch, width=width), "doc_id long, n long, digest binary, sketch binary")
+    return rows.mapInArrow(tidied(_sketch, width=width), "doc_id long, n long, size long, digest binary, sketch binary")
 
 
 def _rows(sketches: pa.Array) -> np.ndarray:
@@ -156,16 +167,18 @@ def _likely(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
             part = b.slice(at, 1024)
             sizes = (part.column(k).to_numpy().astype(float) for k in (2, 3))
             keep[at:at + 1024] = estimate(_rows(part.column(4)), _rows(part.column(5)), *sizes) >= _least(percent)
-        yield b.select(["a", "b"]).filter(pa.array(keep))
+        yield b.select(["a", "b", "size"]).filter(pa.array(keep))
 
 
-def _block_pairs(block: pa.Table, percent: int) -> pa.Table:
-    """Likely links between the outsiders and the members of one block: of different
-    components, of sizes that allow it, from the first band that both share."""
+def _block_links(block: pa.Table, percent: int) -> pa.Table:
+    """Links between the outsiders and the members of one block: of different components, of sizes
+    that allow it, from the first band that both share, likely by their registers and then
+    counted on the full sets."""
     block = block.combine_chunks()
     outside = block.column("outside").to_numpy(zero_copy_only=False)
     ids, n, component = (block.column(c).to_numpy() for c in ("id", "n", "component"))
     reg = _rows(block.column("sketch").combine_chunks())
+    sets = [np.frombuffer(x.as_py(), np.uint64) for x in block.column("hashes")]
     bands = band_keys(reg)
     band = int(np.flatnonzero(bands[0] == block.column("key")[0].as_py())[0])
     rest = np.flatnonzero(~outside)
@@ -176,22 +189,37 @@ def _block_pairs(block: pa.Table, percent: int) -> pa.Table:
             fits = fits[~(bands[fits, :band] == bands[k, :band]).any(1)]
         if len(fits):
             near = estimate(np.broadcast_to(reg[k], (len(fits), REGISTERS)), reg[fits], np.full(len(fits), float(n[k])), n[fits].astype(float))
-            found += [(min(ids[k], ids[x]), max(ids[k], ids[x])) for x in fits[near >= _least(percent)]]
+            found += [(min(ids[k], ids[x]), max(ids[k], ids[x])) for x in fits[near >= _least(percent)] if _linked(sets[k], sets[x], percent)]
     pairs = np.array(sorted(set(found)), np.int64).reshape(-1, 2)
     return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
 
 
-def _alike(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
-    last, first = None, None
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sets of hashes share enough of all their members."""
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both > 0 and 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def _hashed(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        keep = []
-        for a, x, y in zip(b.column(0), b.column(2), b.column(3), strict=True):
-            if a.as_py() != last:  # rows of one first set often follow each other
-                last, first = a.as_py(), shingle_set(x.as_py(), width)
-            other = shingle_set(y.as_py(), width)
-            both = len(np.intersect1d(first, other, assume_unique=True))
-            keep.append(100 * both >= percent * (len(first) + len(other) - both) and both > 0)
-        yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        sets = [shingle_set(t.as_py(), width).tobytes() for t in b.column(1)]
+        digests = [hashlib.blake2b(s, digest_size=16).digest() for s in sets]
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(digests, pa.binary()), pa.array(sets, pa.binary())], ["id", "digest", "hashes"])
+
+
+def _alike(group: pa.Table, width: int, percent: int) -> pa.Table:
+    """The sets of one group that are linked with its first set: ``own`` marks the rows of that one
+    (several where an id has several texts, of which each may link)."""
+    rows = list(zip(group.column("own").to_pylist(), group.column("id").to_pylist(), group.column("text"), strict=True))
+    firsts = [(i, shingle_set(t.as_py(), width)) for own, i, t in rows if own]
+    linked = set()
+    for own, i, t in rows:
+        if own:
+            continue
+        other = shingle_set(t.as_py(), width)
+        if any(_linked(first, other, percent) for _, first in firsts):
+            linked.add(i)
+    return pa.table({"a": pa.array([firsts[0][0]] * len(linked), pa.int64()), "b": pa.array(sorted(linked), pa.int64())})
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -225,6 +253,58 @@ def components(edges: DataFrame) -> DataFrame:
     return ends.unionByName(at.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
 
 
+def _texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id and text of the rows whose id may be among the ``wanted`` ones (id); a bit table keeps most others out."""
+    table = bit_table(wanted.select(F.xxhash64("id").alias("key")).distinct())
+    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    return texts.filter(marked(table.scalar(), F.xxhash64("id")))
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, name: str, width: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """The pairs (a, b) that are linked, counted on the full sets.
+
+    A text with many partners meets them in groups of at most about ``TOGETHER`` characters, so
+    it travels once a group, not once a pair, and no group is larger for its being hot. (Each
+    pair has the size of its longer text.)
+    """
+    load = pairs.groupBy("a").agg(F.sum("size").alias("load")).withColumn("parts", F.ceil((F.col("load") + 1) / TOGETHER).cast("int"))
+    dealt = landed(pairs.join(load, "a").select("a", "b", F.pmod(F.xxhash64(F.lit(5), "b"), F.col("parts")).cast("int").alias("part")), name + "-dealt")
+    members = dealt.select("a", "part", F.col("b").alias("id"), F.lit(False).alias("own")).unionByName(
+        dealt.select("a", "part", F.col("a").alias("id"), F.lit(True).alias("own")).distinct())
+    groups = members.join(_texts(docs, members, id_col, text_col), "id").select("a", "part", "id", "own", "text").groupBy("a", "part")
+    return landed(groups.applyInArrow(lambda group: _alike(group, width, percent), "a long, b long"), name + "-links")
+
+
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of ``sets`` whose registers make a link likely."""
+    left, right = (sets.select(F.col("id").alias(x), F.col("n").alias("n" + x), F.col("sketch").alias("s" + x), F.col("size").alias("z" + x)) for x in "ab")
+    full = pairs.join(right, "b").join(left, "a").select("a", "b", "na", "nb", "sa", "sb", F.greatest("za", "zb").alias("size"))
+    return landed(full.mapInArrow(tidied(_likely, percent=percent), "a long, b long, size long"), "likely")
+
+
+def _star_links(pairs: DataFrame, link) -> tuple[DataFrame, DataFrame]:
+    """Links among the star pairs (a, b), and the components (id, component) that they form.
+
+    ``link`` gives the linked ones of some pairs. In a round every set meets its smallest
+    firsts, ``PARTNERS`` of them; the last round takes all that are left. A pair is left out
+    only once its ends are in one component.
+    """
+    links = found = None
+    smallest = F.row_number().over(Window.partitionBy("b").orderBy("a"))  # at most a row for each band
+    for most in (*PARTNERS, None):
+        ranked = pairs if most is None else landed(pairs.withColumn("k", smallest), "star-round")
+        new = link(ranked if most is None else ranked.filter(F.col("k") <= most).select("a", "b"))
+        links = new if links is None else links.unionByName(new)
+        found = landed(components(links), "components")
+        if most is not None:
+            ends = [found.select(F.col("id").alias(x), F.col("component").alias("c" + x)) for x in "ab"]
+            left = ranked.filter(F.col("k") > most).join(ends[0], "a", "left").join(ends[1], "b", "left")
+            pairs = landed(left.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"), "star-pairs")
+            if pairs.isEmpty():
+                break
+    return links, found
+
+
 def near_duplicate_classes(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row.
 
@@ -235,47 +315,42 @@ def near_duplicate_classes(docs: DataFrame, width: int = 5, percent: int = 80, i
     """
     seen = landed(sketches(docs, width, id_col, text_col), "sketches")
     known = seen.filter("n > 0 AND doc_id IS NOT NULL")
-    sets = landed(known.groupBy("digest", "n").agg(F.min_by(F.struct("doc_id", "sketch"), "doc_id").alias("s"))
-                  .select(F.col("s.doc_id").alias("id"), "n", F.col("s.sketch").alias("sketch"), "digest"), "sets")
-    rows = (sets.select("id", "n", "sketch").mapInArrow(_keys, "id long, n long, keys array<bigint>")
+    sets = landed(known.groupBy("digest", "n").agg(F.min_by(F.struct("doc_id", "size", "sketch"), "doc_id").alias("s"))
+                  .select(F.col("s.doc_id").alias("id"), "n", "s.size", F.col("s.sketch").alias("sketch"), "digest"), "sets")
+    rows = (sets.select("id", "n", "sketch").mapInArrow(tidied(_keys), "id long, n long, keys array<bigint>")
             .select("id", "n", F.explode("keys").alias("key")))
-    buckets = landed(rows.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("size"))
-                     .filter("first != last"), "buckets")
+    buckets = landed(rows.groupBy("key").agg(F.min_by(F.struct("id", "n"), "id").alias("s"), F.max("id").alias("last"), F.count("*").alias("size"))
+                     .select("key", F.col("s.id").alias("first"), F.col("s.n").alias("first_n"), "last", "size").filter("first != last"), "buckets")
     members = landed(rows.join(buckets, "key"), "members")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs (a, b) that are linked, counted on the full sets."""
-        wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-        # The bit table keeps most other texts out of the shuffle; the join is exact.
-        table = bit_table(wanted.select(F.xxhash64("id").alias("key")))
-        texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-        texts = landed(texts.filter(marked(table.scalar(), F.xxhash64("id"))).join(wanted, "id"), name + "-texts")
-        a, b = (texts.select(F.col("id").alias(x), F.col("text").alias("t" + x)) for x in "ab")
-        full = pairs.join(b, "b").join(a, "a").select("a", "b", "ta", "tb")
-        return landed(full.mapInArrow(partial(_alike, width=width, percent=percent), "a long, b long"), name + "-links")
-
-    stars = members.filter("id != first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-    left, right = (sets.select(F.col("id").alias(x), F.col("n").alias("n" + x), F.col("sketch").alias("s" + x)) for x in "ab")
-    stars = (stars.join(right, "b").join(left, "a").select("a", "b", "na", "nb", "sa", "sb")
-             .filter("100 * least(na, nb) >= %d * greatest(na, nb)" % percent)
-             .mapInArrow(partial(_likely, percent=percent), "a long, b long"))
-    links = verified(landed(stars, "stars"), "stars")
-    found = landed(components(links), "components")
+        return _verified(docs, pairs, name, width, percent, id_col, text_col)
+
+    # Sets whose sizes alone forbid a link are not compared.
+    fits = "100 * least(n, first_n) >= %d * greatest(n, first_n)" % percent
+    stars = members.filter("id != first").filter(fits).select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
+    links, found = _star_links(landed(stars, "star-pairs"), lambda some: verified(_compared(some, sets, percent), "stars"))
     joined = members.filter("size > 2").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     firsts = found.select(F.col("id").alias("first"), F.col("component").alias("_c"))
     joined = joined.join(firsts, "first", "left").withColumn("outside", F.col("component") != F.coalesce("_c", "first"))
     # Members besides the first one, in buckets that hold several components.
     rest = landed(joined.filter("id != first").select("key", "id", "n", "component", "outside"), "rest")
-    crowds = rest.groupBy("key").agg(F.count_if("outside").alias("_o"), F.count("*").alias("_m")).filter("_o > 0 AND _m > 1")
-    # A bucket becomes blocks of at most about BLOCK outsiders and BLOCK members.
-    rest = rest.join(crowds, "key").withColumns({"_o": F.ceil(F.col("_o") / BLOCK).cast("int"), "_m": F.ceil(F.col("_m") / BLOCK).cast("int")})
+    crowds = rest.groupBy("key").agg(F.count_if("outside").alias("_o"), F.count("*").alias("_m"), F.sum(F.when(F.col("outside"), F.col("n"))).alias("_no"),
+                                     F.sum("n").alias("_nm")).filter("_o > 0 AND _m > 1")
+    # A bucket becomes blocks of at most about BLOCK outsiders and BLOCK members, fewer where the sets are large.
+    parts = {f"_{x}": F.ceil(F.greatest(F.col(f"_{x}") / BLOCK, F.col(f"_n{x}") / BLOCK_MEMBERS)).cast("int") for x in "om"}
+    rest = landed(rest.join(crowds, "key").withColumns(parts).drop("_no", "_nm"), "crowds")
+    # The sets themselves travel with their registers, so that only links leave a block.
+    wanted = rest.select("id").distinct()
+    full = _texts(docs, wanted, id_col, text_col).join(wanted, "id").select("id", "text").mapInArrow(tidied(_hashed, width=width), "id long, digest binary, hashes binary")
+    full = landed(full.dropDuplicates(["id", "digest"]).join(sets.select("id", "digest", "sketch"), ["id", "digest"]).drop("digest"), "crowd-sets")
     own = F.xxhash64(F.lit(3), "id")
     as_member = rest.withColumn("outside", F.lit(False)).withColumn("_y", F.pmod(own, "_m").cast("int")).withColumn("_x", F.explode(F.sequence(F.lit(0), F.col("_o") - 1)))
     as_outsider = rest.filter("outside").withColumn("_x", F.pmod(own, "_o").cast("int")).withColumn("_y", F.explode(F.sequence(F.lit(0), F.col("_m") - 1)))
-    blocks = as_member.unionByName(as_outsider.select(as_member.columns)).join(sets.select("id", "sketch"), "id")
-    pairs = blocks.select("key", "_x", "_y", "id", "n", "component", "outside", "sketch").groupBy("key", "_x", "_y") \
-        .applyInArrow(lambda block: _block_pairs(block, percent), "a long, b long")
-    more = verified(landed(pairs.distinct(), "crossing"), "crossing")
+    blocks = as_member.unionByName(as_outsider.select(as_member.columns)).join(full, "id")
+    links_in = blocks.select("key", "_x", "_y", "id", "n", "component", "outside", "sketch", "hashes").groupBy("key", "_x", "_y") \
+        .applyInArrow(lambda block: _block_links(block, percent), "a long, b long")
+    more = landed(links_in.distinct(), "crossing")
     # Ids that occur with several sets join those.
     several = known.groupBy("doc_id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).filter("x != y").select("doc_id")
     same_id = known.join(several, "doc_id").join(sets.select("digest", "n", "id"), ["digest", "n"]).select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
@@ -290,4 +365,5 @@ def keep_first(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str =
     """The rows of ``docs``, all columns, that are the first of their class; of rows with equal ids
     and equal verdicts all stay or go together."""
     gone = near_duplicate_classes(docs, width, percent, id_col, text_col).filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(landed(gone, "gone"), F.col(id_col) == F.col("_gone"), "left_anti")
+    gone = landed(gone, "gone")
+    return docs.join(gone, docs[f"`{id_col}`"] == gone["_gone"], "left_anti")
