@@ -85,7 +85,8 @@ def read_page(spark: SparkSession, path: str, offset: int, size: int = 10, numbe
 def write_series(df: DataFrame, path: str, key: str, time: str, partition_by: Sequence[str] = (), files: int | None = None) -> None:
     """Write a time series for lookups by key and time range: rows are sorted by time within a
     file, whose statistics prune by time, and a Bloom filter of the keys in each row group
-    prunes by key. ``files`` fixes the number of files (default: the shuffle setting's)."""
+    prunes by key. Spark prunes by the statistics of dates and numbers, not of timestamps
+    without a zone: such a column should be sorted beside a date. ``files`` fixes the number of files (default: the shuffle setting's)."""
     spread = df.repartitionByRange(*([files] if files else []), *partition_by, time).sortWithinPartitions(*partition_by, time, key)
     writer = (spread.write.mode("errorifexists").option(f"parquet.bloom.filter.enabled#{key}", "true")
               # Without a dictionary the filter is what tells that a key is not there.
