@@ -63,7 +63,8 @@ def _with_depths(pieces: DataFrame) -> DataFrame:
     splits = splits.withColumn("_start", F.pmod(F.coalesce(F.sum("_parity").over(upto), F.lit(0)), F.lit(2)))
     splits = splits.withColumn("_base", F.coalesce(F.sum(F.when(F.col("_start") == 0, F.col("_run0")).otherwise(F.col("_run1"))).over(upto), F.lit(0)))
     splits = splits.withColumn("_final", F.row_number().over(last) == 1).withColumn("_initial", F.row_number().over(Window.partitionBy("file").orderBy("block")) == 1)
-    known = run.join(splits.drop("_parity", "_run0", "_run1"), ["file", "block"])
+    # One row a split: the pieces stay where they were written.
+    known = run.join(F.broadcast(splits.drop("_parity", "_run0", "_run1")), ["file", "block"])
     pick = lambda c: F.when(F.col("_start") == 0, F.col(f"{c}0")).otherwise(F.col(f"{c}1"))
     ends = F.pmod(F.col("_parity") + F.col("_start"), F.lit(2)) == 1
     return (known.withColumn("after", F.col("_base") + pick("_run")).withColumn("before", F.col("after") - pick("_step"))
@@ -98,7 +99,7 @@ def json_array_objects(spark: SparkSession, path: str) -> DataFrame:
     parts = parts.withColumn("_own", F.last(begun, ignorenulls=True).over(here))
     upto = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     carried = parts.groupBy("file", "block").agg(F.max("_own").alias("_o")).select("file", "block", F.last("_o", ignorenulls=True).over(upto).alias("_carried"))
-    joined = parts.join(carried, ["file", "block"]).withColumn("_object", F.coalesce("_own", "_carried"))
+    joined = parts.join(F.broadcast(carried), ["file", "block"]).withColumn("_object", F.coalesce("_own", "_carried"))
     nested = joined.groupBy("file", "_object").agg(F.array_sort(F.collect_list(F.struct("block", "at", text.alias("t")))).alias("p")) \
         .select("file", F.array_join(F.transform("p", lambda x: x["t"]), "").alias("json"))
     # Line breaks stand only between tokens.
@@ -108,13 +109,16 @@ def json_array_objects(spark: SparkSession, path: str) -> DataFrame:
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """Rows of the JSON arrays in a file or folder; types are inferred where no schema is given.
 
-    The objects are written once as JSON lines under the shared scratch folder and read from
+    With a schema the objects are parsed as they are cut from the written pieces. Without one
+    they are written once as packed JSON lines under the shared scratch folder and read from
     there, so inference and the read are the ordinary ones. Broken objects raise.
     """
+    objects = json_array_objects(spark, path).select("json")
+    if schema is not None:
+        return objects.select(F.from_json("json", schema, {"mode": "FAILFAST"}).alias("_row")).select("_row.*")
     lines = f"{checkpoint_dir(spark).rstrip('/')}/rillet/json-lines-{uuid.uuid4().hex}"
-    json_array_objects(spark, path).select("json").write.text(lines)
-    reader = spark.read.option("mode", "FAILFAST")
-    return (reader.schema(schema) if schema is not None else reader).json(lines)
+    objects.write.option("compression", "gzip").text(lines)
+    return spark.read.option("mode", "FAILFAST").json(lines)
 
 
 def holds_arrays(spark: SparkSession, path: str) -> bool:

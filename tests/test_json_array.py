@@ -102,3 +102,29 @@ def test_a_file_is_read_by_many_tasks(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_texts_stay_where_they_were_written(spark, tmp_path):
+    """Depths reach the written pieces as one row a split, whatever the planner takes for small, and with a
+    schema no second copy of the texts is written."""
+    from pathlib import Path
+
+    from rillet.session import checkpoint_dir
+    path = tmp_path / "one.json"
+    rows = [{"id": i, "t": '}{"' * (i % 3) + "x" * 50} for i in range(300)]
+    path.write_text(json.dumps(rows))
+    scratch = Path(checkpoint_dir(spark).removeprefix("file:")) / "rillet"
+    before = set(scratch.glob("json-lines-*"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        df = ja.read_json_array(spark, str(path), "id long, t string")
+        got = df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+            spark.conf.unset(c)
+    assert sorted((r.asDict() for r in got), key=lambda r: r["id"]) == rows
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    assert set(scratch.glob("json-lines-*")) == before
