@@ -15,10 +15,25 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rillet.session import materialized
 
-def with_group_stats(df: DataFrame, keys: Sequence[str], stats: Mapping[str, Column]) -> DataFrame:
-    """Attach per-key aggregates to every row (rows with a NULL key get NULL)."""
+
+#: Keys whose statistics, written ahead, go to every task; rows are shuffled to those of more keys.
+BROADCAST_KEYS = 1 << 20
+
+
+def with_group_stats(df: DataFrame, keys: Sequence[str], stats: Mapping[str, Column], ahead: bool = False) -> DataFrame:
+    """Attach per-key aggregates to every row (rows with a NULL key get NULL).
+
+    ``ahead`` writes the statistics before the rows are joined, for a frame that is cheap to
+    read twice (a written one): with the number of keys known, rows move only if there are
+    more than ``BROADCAST_KEYS``. Else one plan does both, and rows are shuffled along with
+    the statistics, since their size shows too late.
+    """
     per_key = df.filter(_all_not_null(keys)).groupBy(*keys).agg(*[c.alias(n) for n, c in stats.items()])
+    if ahead:
+        per_key = materialized(per_key, "group-stats")
+        per_key = F.broadcast(per_key) if per_key.count() <= BROADCAST_KEYS else per_key
     return df.join(per_key, list(keys), "left")
 
 

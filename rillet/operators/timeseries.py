@@ -92,7 +92,8 @@ def rolling(df: DataFrame, key: str, order: Sequence[str], stages: Sequence[Stag
         return rows
     # Rows of a range that have all the rows before them that they need.
     placed = base.withColumn("_at", F.row_number().over(within))
-    inner = staged(placed, within).filter((F.col("_range") == 0) | (F.col("_at") > lookback))
+    # ``_cut`` decides nothing here; naming it gives both branches the same columns, so they read one exchange.
+    inner = staged(placed, within).filter(~F.col("_cut") | (F.col("_range") == 0) | (F.col("_at") > lookback))
     edges = placed.withColumn("_end", F.lead(F.lit(True), max(lookback, 1)).over(within).isNull())
     edges = edges.filter((F.col("_at") <= lookback) & (F.col("_range") > 0) | F.col("_end") & F.col("_cut"))
     outer = staged(edges.drop("_end"), along).filter((F.col("_range") > 0) & (F.col("_at") <= lookback))

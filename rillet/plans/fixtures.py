@@ -36,10 +36,10 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", unit_price().alias("unit"))
     rank = F.struct("l_orderkey", "l_partkey", "l_linenumber", "unit")
     return li.groupBy("symbol", "timestamp").agg(
-        F.min_by("unit", rank).alias("open"),
+        F.min(rank)["unit"].alias("open"),  # the rank holds the price, so buffers carry it once
         F.max("unit").alias("high"),
         F.min("unit").alias("low"),
-        F.max_by("unit", rank).alias("close"),
+        F.max(rank)["unit"].alias("close"),
         F.sum("l_quantity").cast("long").alias("volume"))
 
 

@@ -63,9 +63,9 @@ def signals(df: DataFrame) -> DataFrame:
     return df.withColumns({"trend": trend(), "rsi_signal": rsi_signal()})
 
 
-def volume_context(df: DataFrame) -> DataFrame:
-    """Volume against the key's mean."""
-    out = with_group_stats(df, ["symbol"], {"_avg_volume": F.avg("volume")})
+def volume_context(df: DataFrame, ahead: bool = False) -> DataFrame:
+    """Volume against the key's mean; ``ahead`` for a written frame (``with_group_stats``)."""
+    out = with_group_stats(df, ["symbol"], {"_avg_volume": F.avg("volume")}, ahead=ahead)
     return out.withColumn("volume_category", volume_category()).drop("_avg_volume")
 
 
@@ -76,7 +76,8 @@ def volatility_context(df: DataFrame) -> DataFrame:
 
 
 def market_context(df: DataFrame) -> DataFrame:
-    return price_context(signals(volatility_context(volume_context(df))))
+    """All of the context of a written indicator frame, which is read for the quantile, the means and the rows."""
+    return price_context(signals(volume_context(volatility_context(df), ahead=True)))
 
 
 def rounded(df: DataFrame) -> DataFrame:

@@ -281,6 +281,31 @@ def test_whole_rows_are_shuffled_once(spark):
     assert len(whole) == 1 and "ReusedExchange" in final
 
 
+def test_pruned_rows_are_shuffled_once(spark):
+    """A view of some columns still reads one exchange in both branches."""
+    df = spark.createDataFrame([(k, t, float(t % 7), t) for k in "AB" for t in range(100)], "symbol string, t long, close double, volume long")
+    out = with_indicators(df, "symbol", "t", chunk_rows=25).select("symbol", "t", "daily_return")
+    assert len(out.collect()) == 200
+    lines = out._jdf.queryExecution().executedPlan().toString().splitlines()
+    run = [b for a, b in zip(lines, lines[1:]) if "ShuffleQueryStage" in a and "hashpartitioning(symbol" in b and "_range" in b]
+    assert len(run) == 2 and sum("ReusedExchange" in b for b in run) == 1, run
+
+
+def test_group_stats_written_ahead_move_no_rows(spark, monkeypatch):
+    """Statistics written before the join go to the rows, whatever the planner takes for small; more keys than that are joined by a shuffle."""
+    df = spark.createDataFrame([(None if i % 9 == 0 else i % 4, i) for i in range(60)], "k int, v long")
+    want = sorted(map(repr, agg.with_group_stats(df, ["k"], {"m": F.avg("v")}).collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for most, join in ((4, "BroadcastHashJoin"), (3, "SortMergeJoin")):
+            monkeypatch.setattr(agg, "BROADCAST_KEYS", most)
+            out = agg.with_group_stats(df, ["k"], {"m": F.avg("v")}, ahead=True)
+            assert sorted(map(repr, out.collect())) == want
+            assert join in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_global_statistics_build_without_a_job(spark):
     from rillet.operators.stats import max_normalize, with_global_stats
     df = spark.createDataFrame([(1, 2.0), (2, 8.0), (3, None)], "i int, x double")
