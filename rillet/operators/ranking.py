@@ -47,7 +47,7 @@ def with_global_index(df: DataFrame, order: Sequence[Column | str], name: str =
     ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_mid", mid)
               .withColumns({"_pid": F.shiftright(F.col("_mid"), 33), "_ord": F.col("_mid").bitwiseAND(F.lit(_LOW_BITS))})
               .drop("_mid", "_tb"))
-    tagged = materialized(ranged, "numbered")
+    tagged = materialized(ranged, "numbered", "zstd")
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.select(
         "_pid",

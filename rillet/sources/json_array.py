@@ -56,7 +56,7 @@ def _with_depths(pieces: DataFrame) -> DataFrame:
         ends_inside = F.pmod(F.col("_parity") + start, F.lit(2))
         run = run.withColumn(f"_step{start}", F.when(inside == 0, F.col("_out")).otherwise(F.col("_in")) - F.when(ends_inside == 0, 1).otherwise(0))
         run = run.withColumn(f"_run{start}", F.sum(f"_step{start}").over(order))
-    run = materialized(run.drop("_bare", "_quotes", "_out", "_in", "_odd", "_before"), "json-pieces")
+    run = materialized(run.drop("_bare", "_quotes", "_out", "_in", "_odd", "_before"), "json-pieces", "zstd")
     splits = run.groupBy("file", "block").agg(*(F.max_by(c, "at").alias(c) for c in ("_parity", "_run0", "_run1")), F.max("at").alias("_last"),
                                              F.min("at").alias("_first"))
     upto = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
