@@ -91,5 +91,5 @@ def flow_indicators(bars: DataFrame, chunk_rows: int = 1 << 16) -> DataFrame:
     The indicator frame feeds the rows, the per-symbol means and the global quantile; it
     is written once to the shared scratch folder instead of running the windows for each.
     """
-    ind = materialized(with_indicators(clean_bars(bars), "symbol", "timestamp", chunk_rows=chunk_rows), "indicators")
+    ind = materialized(with_indicators(clean_bars(bars), "symbol", "timestamp", chunk_rows=chunk_rows), "indicators", "zstd")
     return rounded(market_context(ind))

@@ -102,7 +102,7 @@ def _ind_view(name, cols, part):
 
 
 def _with_volatility(bars):
-    return inf.volatility_context(materialized(with_indicators(bars), "indicators"))
+    return inf.volatility_context(materialized(with_indicators(bars), "indicators", "zstd"))
 
 
 _ind_view("daily_return", ["symbol", "timestamp", "close", "daily_return"], with_indicators)
