@@ -25,15 +25,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rillet.llm.common import tidied
+
 #: First scale of synchronising sets; a power of two, at least 8.
 FIRST_SCALE = 8
 #: A run has at least so many words, and so many times its period.
 LEAST_WORDS, LEAST_TIMES = 6, 4
 #: Text bytes that are searched together; a longer text is searched alone.
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 1 << 20
 
 RUNS = "array<struct<start: bigint, length: bigint, period: bigint>>"
 _TOP = np.uint64(np.iinfo(np.uint64).max)
@@ -155,53 +158,67 @@ def _at_scale(codes: np.ndarray, origin: np.ndarray, ident: np.ndarray, double:
     return found
 
 
-def _searched(texts: list[bytes]) -> tuple[list[list[tuple[int, int, int]]], list[bytes], list[int]]:
-    """Runs, text with the runs collapsed, and word count of each text."""
-    words = [t.split() for t in texts]  # of bytes: white space is 09 to 0D and 20
-    counts = [len(w) for w in words]
-    flat = [x for w in words for x in w]
-    coded = pa.array(flat, pa.large_binary()).dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    size = np.array(counts) + 1
+def _words(texts: pa.LargeBinaryArray) -> tuple[pa.LargeBinaryArray, np.ndarray]:
+    """The words of all texts, one after the other, and the word count of each text. No word is a Python object."""
+    _, offsets, data = texts.buffers()
+    bounds = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    data = np.frombuffer(data or b"", np.uint8)[bounds[0]:bounds[-1]]
+    bounds = bounds - bounds[0]
+    inside = (data != 0x20) & ((data < 0x09) | (data > 0x0D))
+    edge = np.zeros(len(data) + 1, bool)  # a word ends where its text ends
+    edge[bounds] = True
+    starts = np.flatnonzero(inside & (edge[:-1] | ~np.concatenate(([False], inside[:-1]))))
+    ends = np.flatnonzero(inside & (edge[1:] | ~np.concatenate((inside[1:], [False])))) + 1
+    counts = np.diff(np.searchsorted(starts, bounds))
+    at = np.concatenate(([0], np.cumsum(ends - starts))).astype(np.int64)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(at), pa.py_buffer(data[inside])]), counts
+
+
+def _searched(texts: pa.LargeBinaryArray) -> tuple[np.ndarray, pa.ListArray, pa.LargeBinaryArray]:
+    """Word count, runs, and text with the runs collapsed, of each text."""
+    words, counts = _words(texts)
+    coded = words.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    size = counts + 1
     starts = np.concatenate(([0], np.cumsum(size)[:-1])).astype(np.int64)
-    codes = np.empty(len(flat) + len(texts), np.int64)
+    codes = np.empty(len(words) + len(texts), np.int64)
     ends = starts + size - 1
     inside = np.ones(len(codes), bool)
     inside[ends] = False
     codes[inside] = coded
-    codes[ends] = len(flat) + np.arange(len(texts))
-    found: list[list[tuple[int, int, int]]] = [[] for _ in texts]
+    codes[ends] = len(words) + np.arange(len(texts))
+    found = np.array(find_runs(codes, starts), np.int64).reshape(-1, 3)
+    first, length, period = found.T
+    text = np.searchsorted(starts, first, "right") - 1
     gone = np.zeros(len(codes) + 1, np.int64)
-    for s, length, q in find_runs(codes, starts):
-        k = int(np.searchsorted(starts, s, "right")) - 1
-        found[k].append((s - int(starts[k]), length, q))
-        gone[s + q] += 1
-        gone[s + length] -= 1
-    kept = np.cumsum(gone[:-1]) == 0
-    out = [b" ".join([x for x, y in zip(w, kept[s:s + len(w)].tolist(), strict=True) if y] if r else w)
-           for w, r, s in zip(words, found, starts.tolist(), strict=True)]
-    return found, out, counts
-
-
-def _groups(texts: list[bytes]) -> Iterator[tuple[int, int]]:
+    np.add.at(gone, first + period, 1)
+    np.add.at(gone, first + length, -1)
+    kept = (np.cumsum(gone[:-1]) == 0)[inside]
+    runs = pa.StructArray.from_arrays([first - starts[text], length, period], ["start", "length", "period"])
+    runs = pa.ListArray.from_arrays(np.searchsorted(text, np.arange(len(texts) + 1)).astype(np.int32), runs)
+    before = np.concatenate(([0], np.cumsum(kept)))[np.concatenate(([0], np.cumsum(counts)))]
+    left = pa.LargeListArray.from_arrays(before, words.filter(pa.array(kept)))
+    return counts, runs, pc.binary_join(left, pa.scalar(b" ", pa.large_binary()))
+
+
+def _groups(lengths: list[int]) -> Iterator[tuple[int, int]]:
+    """First and end of neighbouring texts that are searched together."""
     start, size = 0, 0
-    for k, t in enumerate(texts):
-        if k > start and size + len(t) > GROUP_BYTES:
+    for k, n in enumerate(lengths):
+        if k > start and size + n > GROUP_BYTES:
             yield start, k
             start, size = k, 0
-        size += len(t)
-    if texts:
-        yield start, len(texts)
+        size += n
+    if lengths:
+        yield start, len(lengths)
 
 
 def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())]))
     for b in batches:
-        texts = b.column(1).cast(pa.large_binary()).to_pylist()
-        for start, end in _groups(texts):
-            found, out, counts = _searched(texts[start:end])
-            runs = [[{"start": s, "length": n, "period": q} for s, n, q in r] for r in found]
+        for start, end in _groups(pc.binary_length(b.column(1)).to_pylist()):
+            group = b.slice(start, end - start)
+            counts, runs, out = _searched(group.column(1).cast(pa.large_binary()))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).slice(start, end - start), pa.array(counts, pa.int64()), pa.array(runs, kind), pa.array(out, pa.binary()).cast(pa.string())],
+                [group.column(0), pa.array(counts, pa.int64()), runs, out.cast(pa.binary()).cast(pa.string())],
                 ["doc_id", "n_words", "runs", "collapsed"])
 
 
@@ -217,4 +234,4 @@ def periodic_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     row. Other columns are not looked at.
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    return rows.mapInArrow(_batches, f"doc_id long, n_words long, runs {RUNS}, collapsed string")
+    return rows.mapInArrow(tidied(_batches), f"doc_id long, n_words long, runs {RUNS}, collapsed string")
