@@ -13,9 +13,10 @@ make this exact without pairing all lines of a key:
   compared with every line of the key, and no other two.
 
 Before that, equal lines are one line; and since one edit leaves the first or the last
-half of a line as it is, only lines that share a half with another line need variants.
-Those halves are looked up in a bit table of fixed size, which may let lines through
-in vain but never loses one.
+half of a line as it is, only lines that share a half with another line need variants,
+and only those with the word deleted outside that half. Shared halves are looked up in
+a bit table sized by their number, which may let lines through in vain but never loses
+one, and then joined: what lines emit grows with the halves that they do share.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import operator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillet.llm.common import bit_table, landed, let, marked
+from rillet.llm.common import bit_table, landed, let, marked, table_bits
 
 #: Lines from so many words on are also compared with one edit.
 NEAR_WORDS = 8
@@ -96,22 +97,27 @@ def _running(w: Column) -> Column:
     return let(chain(links), after)
 
 
-def _split_keys(w: Column) -> Column:
-    """swap: a key for each word, of the words before and after it and the word count;
-    cut: the same without the count, which names the line without that word;
-    gap: a key for each gap, of the words before and after it, which names the line itself."""
-    n = F.size(w)
+def _split_keys(w: Column, half: Column) -> Column:
+    """Keys of a line's edits outside a half (part, key, swap, cut) that it shares; the half goes by its key, which holds the word count:
+    swap: for each word of the rest, of the words before and after it, to meet lines of that word count;
+    cut: the same as the longer of two lines, which names the line without that word;
+    gap: for each gap of the rest, of the words before and after it, which names the line itself."""
+    n, part, key = F.size(w), half["part"], half["key"]
+    of_two = F.when(part < 2, n).otherwise(n - 1)  # words of the shorter line
+    k = F.shiftright(of_two, 1)
+    rest = F.when(part % 2 == 0, F.slice(w, k + 1, n - k)).otherwise(F.slice(w, F.lit(1), n - of_two + k))
+    none = F.array().cast("array<bigint>")
 
     def keys(before, after):
-        words = F.sequence(F.lit(1), n)
-        return F.struct(
-            F.transform(words, lambda i: F.xxhash64(F.get(before, i - 1), F.get(after, n - i), n)).alias("swap"),
-            F.transform(words, lambda i: F.xxhash64(F.get(before, i - 1), F.get(after, n - i))).alias("cut"),
-            F.transform(F.sequence(F.lit(0), n), lambda i: F.xxhash64(F.get(before, i), F.get(after, n - i))).alias("gap"))
+        m = F.size(before) - 1
+        words = F.transform(F.sequence(F.lit(1), m), lambda i: F.xxhash64(key, F.get(before, i - 1), F.get(after, m - i)))
+        gaps = F.transform(F.sequence(F.lit(0), m), lambda i: F.xxhash64(key, F.get(before, i), F.get(after, m - i)))
+        return F.struct(F.when((part < 2) & half["swap"], words).otherwise(none).alias("swap"), F.when(part >= 2, words).otherwise(none).alias("cut"),
+                        F.when((part < 2) & half["cut"], gaps).otherwise(none).alias("gap"))
 
     def both(x):  # words and reversed words, bound
         return let(_running(x["w"]), lambda before: let(_running(x["r"]), lambda after: keys(before, after)))
-    return let(F.struct(w.alias("w"), F.reverse(w).alias("r")), both)
+    return let(rest, lambda r: let(F.struct(r.alias("w"), F.reverse(r).alias("r")), both))
 
 
 def _place(doc: Column, line: Column) -> Column:
@@ -136,20 +142,25 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "doc_id", "line_no", *_identity(t), *[k.alias(f"k{i}") for i, k in enumerate(_halves(t, F.col("c")))]), "lines")
     lines = landed(seen.groupBy("h1", "h2").agg(F.min(_place(F.col("doc_id"), F.col("line_no"))).alias("first"), F.count("*").alias("n"),
                                                 *[F.max(f"k{i}").alias(f"k{i}") for i in range(4)]), "distinct-lines")
-    keys = lines.select(F.explode(F.array("k0", "k1", "k2", "k3")).alias("key")).filter("key IS NOT NULL")
-    table = bit_table(keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"))
-    hit = functools.reduce(operator.or_, [marked(table.scalar(), F.col(f"k{k}")) for k in range(4)])
-    wanted = landed(lines.filter(hit).select("first", "h1", "h2"), "near-candidates")
+    # Parts 0 and 1 are a line's own halves, 2 and 3 those that it has as the longer of two: two such alone are no match.
+    halves = lines.select("first", "h1", "h2", F.posexplode(F.array("k0", "k1", "k2", "k3")).alias("part", "key")).filter("key IS NOT NULL")
+    shared = halves.groupBy("key").agg(F.count_if(F.col("part") < 2).alias("own"), F.count_if(F.col("part") >= 2).alias("longer")).filter("own > 0 AND own + longer > 1")
+    shared = landed(shared.select("key", F.expr("own > 1").alias("swap"), F.expr("longer > 0").alias("cut")), "shared-halves")
+    bits = table_bits(shared.count())
+    wanted = halves.filter(marked(bit_table(shared, bits).scalar(), F.col("key"), bits)).join(shared.hint("merge"), "key").filter("part < 2 OR cut")
+    wanted = landed(wanted.groupBy("first", "h1", "h2").agg(F.collect_list(F.struct("part", "key", "swap", "cut")).alias("halves")), "near-candidates")
     # Fetch the words of the candidates: two more bit tables, of their documents and of their places, spare the other texts.
     line_no = F.pmod(F.col("first"), F.lit(1 << 31).cast("decimal(10,0)")).cast("decimal(10,0)")
     places = wanted.select(((F.col("first") - line_no) / F.lit(1 << 31).cast("decimal(10,0)")).cast("long").alias("doc_id"), line_no.cast("int").alias("line_no"))
-    in_docs = bit_table(places.select(F.xxhash64("doc_id").alias("key"))).scalar()
-    in_places = bit_table(places.select(F.xxhash64("doc_id", "line_no").alias("key"))).scalar()
-    again = _split_lines(docs.filter(marked(in_docs, F.xxhash64(F.col(f"`{id_col}`").cast("long")))), id_col, text_col)
-    again = _lines(again.filter(marked(in_places, F.xxhash64("doc_id", "line_no"))))
+    bits = table_bits(wanted.count())
+    in_docs = bit_table(places.select(F.xxhash64("doc_id").alias("key")), bits).scalar()
+    in_places = bit_table(places.select(F.xxhash64("doc_id", "line_no").alias("key")), bits).scalar()
+    again = _split_lines(docs.filter(marked(in_docs, F.xxhash64(F.col(f"`{id_col}`").cast("long")), bits)), id_col, text_col)
+    again = _lines(again.filter(marked(in_places, F.xxhash64("doc_id", "line_no"), bits)))
     near = again.select(*_identity(F.col("t")), _word_hashes(F.col("t")).alias("w")).groupBy("h1", "h2").agg(F.first("w").alias("w"))
     # From here on a line goes by its first place.
-    near = landed(near.join(wanted, ["h1", "h2"]).select("first", "w", _split_keys(F.col("w")).alias("k")).select("first", "w", "k.*"), "near-lines")
+    near = near.join(wanted, ["h1", "h2"]).select("first", "w", F.transform("halves", lambda half: _split_keys(F.col("w"), half)).alias("k"))
+    near = landed(near.select("first", "w", *[F.flatten(f"k.{x}").alias(x) for x in ("swap", "cut", "gap")]), "near-lines")
     # Substitution: each line of a key against the earliest.
     swaps = near.select("first", F.explode("swap").alias("key"))
     earliest = swaps.groupBy("key").agg(F.min("first").alias("b"), F.max("first").alias("_last")).filter("b != _last").drop("_last")
@@ -159,9 +170,11 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     gaps = near.select(F.col("first").alias("b"), F.explode("gap").alias("key"))
     pairs = landed(pairs.unionByName(cuts.join(gaps, "key").select("a", "b")).distinct(), "line-pairs")
     a, b = (near.select(F.col("first").alias(x), F.col("w").alias(x + "w")) for x in "ab")
-    close = pairs.join(a, "a").join(b, "b").filter(_edits_within_one(F.col("aw"), F.col("bw")))
-    gone = close.select(F.greatest("a", "b").alias("first")).distinct()
-    verdicts = lines.join(gone.withColumn("near", F.lit(True)), "first", "left").filter("n > 1 OR near").select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
+    close = pairs.hint("merge").join(a, "a").join(b, "b").filter(_edits_within_one(F.col("aw"), F.col("bw")))
+    gone = landed(close.select(F.greatest("a", "b").alias("first")).distinct(), "near-ones")
+    bits = table_bits(gone.count())
+    in_gone = marked(bit_table(gone.select(F.xxhash64("first").alias("key")), bits).scalar(), F.xxhash64("first"), bits)
+    verdicts = lines.filter((F.col("n") > 1) | in_gone).join(gone.withColumn("near", F.lit(True)), "first", "left").filter("n > 1 OR near").select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
     verdicts = landed(verdicts, "line-verdicts")
     return (seen.select("doc_id", "line_no", "h1", "h2").join(verdicts, ["h1", "h2"])
             .filter(F.col("near") | (_place(F.col("doc_id"), F.col("line_no")) != F.col("first"))).select("doc_id", "line_no", "near"))
@@ -184,6 +197,17 @@ def _dropped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return found.groupBy("doc_id").agg(F.collect_set("line_no").alias("lines"), F.count_if("near").alias("near"))
 
 
+def _with_dropped(rows: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``rows`` (doc_id and more) with lines and near of their document, nulls where it loses none. Texts are
+    shuffled to their line numbers; a bit table of the documents that lose lines spares it the other texts. The join is a
+    merge join at every size: the line numbers grow with the documents and are no thing to broadcast."""
+    dropped = landed(_dropped(docs, id_col, text_col), "dropped-lines")
+    bits, key = table_bits(dropped.count()), F.xxhash64("doc_id")
+    loses = marked(bit_table(dropped.select(key.alias("key")), bits).scalar(), key, bits)
+    whole = rows.filter(~loses).select("*", *[F.lit(None).cast(dropped.schema[c].dataType).alias(c) for c in ("lines", "near")])
+    return rows.filter(loses).join(dropped.hint("merge"), "doc_id", "left").unionByName(whole)
+
+
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_lines, n_equal, n_near, kept_text of every row.
 
@@ -195,7 +219,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     gone, near = F.coalesce(F.size("lines"), F.lit(0)), F.coalesce("near", F.lit(0))
-    return (rows.join(_dropped(docs, id_col, text_col), "doc_id", "left")
+    return (_with_dropped(rows, docs, id_col, text_col)
             .select("doc_id", F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("long").alias("n_lines"),
                     (gone - near).cast("long").alias("n_equal"), near.cast("long").alias("n_near"),
                     F.when(gone == 0, F.col("text")).otherwise(_kept(F.col("text"), F.col("lines"))).alias("kept_text")))
@@ -207,7 +231,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     only one kept. Columns may have any names."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     rows = rows.select("row", F.col("row")[id_col].cast("long").alias("doc_id"))
-    joined = rows.join(_dropped(docs, id_col, text_col), "doc_id", "left")
+    joined = _with_dropped(rows, docs, id_col, text_col)
     text = F.col("row")[text_col]
     joined = joined.select("row", "lines", F.when(F.col("lines").isNull(), text).otherwise(_kept(text, F.col("lines"))).alias("kept"))
     left = joined.filter(F.col("lines").isNull() | (F.btrim("kept", F.lit(_BLANKS)) != ""))

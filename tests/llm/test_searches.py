@@ -10,6 +10,7 @@ import regex
 from pyspark.sql import functions as F
 
 from rillet.llm import langid, line_dedup, near_dedup, packing, toxicity
+from rillet.llm.common import bit_table, marked, table_bits
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -197,6 +198,46 @@ def test_line_dedup_equals_brute_force(small_docs, make_docs):
     assert line_dedup.dedup_lines(make_docs([])).count() == 0
 
 
+def test_line_dedup_finds_an_edit_at_each_place(make_docs):
+    rows = []
+    for n in (8, 9, 10, 33):
+        w = [f"n{n}w{k % 5}" for k in range(n - 3)] + ["a", "b", "c"]
+        lines = [w] + [w[:k] + ["x"] + w[k + 1:] for k in range(n)] + [w[:k] + w[k + 1:] for k in range(n)] + [w[:k] + ["y"] + w[k:] for k in range(n + 1)]
+        lines += [w[:n // 2] + [f"{k}of{j}" for j in range(n // 2)] for k in range(3)]
+        random.Random(n).shuffle(lines)
+        rows += ["\n".join(" ".join(x) for x in lines[k:k + 4]) for k in range(0, len(lines), 4)]
+    df = make_docs(rows)
+    equal, near = lines_to_drop(list(enumerate(rows)))
+    got = {r["doc_id"]: (r["n_equal"], r["n_near"], r["kept_text"]) for r in line_dedup.dedup_lines(df).collect()}
+    for i, t in enumerate(rows):
+        assert got[i] == (len(equal[i]), len(near[i]), "\n".join(x for k, x in enumerate(t.split("\n")) if k not in equal[i] | near[i]))
+
+
+def test_line_dedup_lines_emit_only_keys_outside_the_halves_they_share(make_docs, monkeypatch):
+    """Lines of 40 words: two share their first half, one has a half of theirs as the longer of two, the rest share none."""
+    landed, seen = line_dedup.landed, {}
+    monkeypatch.setattr(line_dedup, "landed", lambda df, name: seen.setdefault(name, landed(df, name)))
+    first = [f"f{k}" for k in range(20)]
+    rows = [" ".join(first + [f"{x}{k}" for k in range(20)]) for x in "ab"]
+    rows += [" ".join([f"{x}{k}" for k in range(40)]) for x in "cdegh"]
+    rows += [" ".join(["i", *first] + [f"b{k}" for k in range(20)])]
+    got = {r["doc_id"]: (r["n_equal"], r["n_near"], r["kept_text"]) for r in line_dedup.dedup_lines(make_docs(rows)).collect()}
+    assert got == {i: (0, 1, "") if i == 7 else (0, 0, t) for i, t in enumerate(rows)}
+    sizes = sorted((len(r["swap"]), len(r["cut"]), len(r["gap"])) for r in seen["near-lines"].collect())
+    assert sizes == [(0, 21, 0), (20, 0, 0), (20, 0, 21)]  # it was (40, 40, 41) or more for each
+    assert seen["line-verdicts"].count() == 1
+
+
+def test_bit_tables_are_sized_by_their_keys(spark):
+    assert [table_bits(n) for n in (0, 1 << 20, (1 << 20) + 1, 5_000_000, 1 << 40)] == [24, 24, 25, 27, 28]
+    keys = spark.range(-2000, 2000).select((F.col("id") * 1_000_003_000_021).alias("key"))
+    other = spark.range(0, 20000).select((F.col("id") * 77_777_777_777 + 1).alias("key"))
+    bits = table_bits(5_000_000)
+    table = bit_table(keys, bits).scalar()
+    assert keys.filter(marked(table, F.col("key"), bits)).count() == 4000
+    assert other.filter(marked(table, F.col("key"), bits)).count() < 20
+
+
 def test_line_dedup_stage_keeps_columns_and_drops_copies(make_docs):
     a, b = text_of(1, 40), text_of(2, 40)
     df = make_docs([a, a, a + "\n" + b, (None, a), (7, None), (8, "")])
