@@ -174,7 +174,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     gone = landed(close.select(F.greatest("a", "b").alias("first")).distinct(), "near-ones")
     bits = table_bits(gone.count())
     in_gone = marked(bit_table(gone.select(F.xxhash64("first").alias("key")), bits).scalar(), F.xxhash64("first"), bits)
-    verdicts = lines.filter((F.col("n") > 1) | in_gone).join(gone.withColumn("near", F.lit(True)), "first", "left").filter("n > 1 OR near").select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
+    verdicts = lines.filter((F.col("n") > 1) | in_gone).join(gone.withColumn("near", F.lit(True)).hint("merge"), "first", "left").filter("n > 1 OR near").select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
     verdicts = landed(verdicts, "line-verdicts")
     return (seen.select("doc_id", "line_no", "h1", "h2").join(verdicts, ["h1", "h2"])
             .filter(F.col("near") | (_place(F.col("doc_id"), F.col("line_no")) != F.col("first"))).select("doc_id", "line_no", "near"))
